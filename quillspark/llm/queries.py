@@ -23,8 +23,15 @@ def op1_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"), _fold(7) == 2)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.near_dedup import link_documents
+
+    return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_lm": op1_hmm_lm,
+    "op3_near_dedup": op3_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -29,9 +29,30 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op2_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.quality_gbt import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5) == 0)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5) == 0)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.language_id import identify
+
+    return identify(_table(spark, sf_dir, "documents"), _fold(4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_lm": op1_hmm_lm,
+    "op2_quality_gbt": op2_quality_gbt,
     "op3_near_dedup": op3_near_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}

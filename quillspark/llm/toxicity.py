@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model, and a linear classifier.
 
 Voters look at a text and vote toxic, clean or not at all. There is one for every word of a seed lexicon, one for
-each of the words that stand out most in the labelled sample, and some for patterns. The label model estimates by
+each word or stem (a word's first bytes) that stands out in the labelled sample, and some for patterns. The label model estimates by
 EM, without labels, how often each voter votes either way given the hidden label; voters whose votes still go
 together given the label share their weight. Its posteriors are the targets of a logistic regression on the voters,
 on patterns and on hashed words, which scores every text.
@@ -32,8 +32,10 @@ LEXICON = (
 PHRASES = ("you are nothing", "shut up", "go away", "hate you", "kill yourself")
 BUCKETS = 1 << 16
 PATTERNS = 3
-#: Words that stand out in the sample and become voters.
-MINED = 64
+#: Words and stems that stand out in the sample and become voters.
+MINED = 96
+#: Bytes of a stem; a stem is shorter than its word.
+STEMS = (4, 5, 6, 7)
 
 
 def _hash_word(word: str) -> np.uint64:
@@ -47,16 +49,23 @@ def _word_hashes(words: list[str]) -> np.ndarray:
 
 @dataclass
 class Features:
-    """Of a block of texts: words and their rows, and patterns from 0 to 1."""
+    """Of a block of texts: words, stems (0: none), where each row's begin, and patterns from 0 to 1."""
 
     h: np.ndarray
     at: np.ndarray
+    stems: np.ndarray
+    stems_at: np.ndarray
     patterns: np.ndarray
 
 
 def read(data: np.ndarray, offsets: np.ndarray) -> Features:
     """Letter runs, so that signs glued to a word don't hide it; shares of capitals, exclamation marks and phrases."""
-    h, at = tx.words(data, offsets, tx.LETTER)
+    starts, lengths, at = tx.runs(data, offsets, tx.LETTER)
+    h = tx.hashes(data, starts, lengths)
+    stems = np.zeros((len(h), len(STEMS)), np.uint64)
+    for k, size in enumerate(STEMS):
+        longer = lengths > size
+        stems[longer, k] = tx.hashes(data, starts[longer], np.full(int(longer.sum()), size)) ^ np.uint64(size)
     n = len(offsets) - 1
     size = np.maximum(np.diff(offsets), 1)
     part = data[offsets[0] : offsets[-1]]
@@ -71,17 +80,18 @@ def read(data: np.ndarray, offsets: np.ndarray) -> Features:
             hit = np.logical_and.reduce([h[j : len(h) - k + 1 + j] == want[j] for j in range(k)])
             hit &= row[: len(hit)] == row[k - 1 :]
             np.add.at(found, row[: len(hit)][hit], 1)
-    return Features(h, at, np.column_stack([upper > 0.5, bang > 0.05, found > 0]).astype(np.float64))
+    return Features(h, at, stems.ravel(), at * len(STEMS), np.column_stack([upper > 0.5, bang > 0.05, found > 0]).astype(np.float64))
 
 
 def presence(f: Features, vocabulary: np.ndarray) -> np.ndarray:
-    """Rows x words: whether the text has the word. vocabulary must be sorted."""
+    """Rows x voters: whether the text has the word or stem. vocabulary must be sorted."""
     n = len(f.at) - 1
     out = np.zeros((n, len(vocabulary)), bool)
-    if len(vocabulary) and len(f.h):
-        place = np.minimum(np.searchsorted(vocabulary, f.h), len(vocabulary) - 1)
-        hit = vocabulary[place] == f.h
-        out[np.repeat(np.arange(n), np.diff(f.at))[hit], place[hit]] = True
+    for h, at in ((f.h, f.at), (f.stems, f.stems_at)):
+        if len(vocabulary) and len(h):
+            place = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+            hit = np.flatnonzero(vocabulary[place] == h)
+            out[np.searchsorted(at, hit, side="right") - 1, place[hit]] = True
     return out
 
 
@@ -142,18 +152,42 @@ def _hashed_sum(f: Features, weights: np.ndarray) -> np.ndarray:
     return np.bincount(row, weights=weights[f.h >> np.uint64(48)], minlength=len(n)) / np.sqrt(np.maximum(n, 1))
 
 
+def _mine(kinds: np.ndarray, word: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Words that mark toxic texts which no earlier voter marks, one after another.
+
+    word, row: each distinct word and stem of each text. Texts that a seed word already marks are set aside first, so that
+    words which merely stand beside an insult, as in copies of one toxic text, don't become voters.
+    """
+    left = np.ones(len(y), bool)
+    seeds = np.isin(kinds, _word_hashes(LEXICON))
+    left[row[seeds[word]]] = False
+    mined: list[int] = []
+    least = max(5.0, 0.01 * y.sum())
+    often = np.bincount(word, weights=y[row], minlength=len(kinds)) >= least
+    often[kinds == 0] = False
+    keep = often[word]
+    word, row = word[keep], row[keep]
+    for _ in range(MINED):
+        some = left[row]
+        all_ = np.bincount(word[some], minlength=len(kinds))
+        toxic = np.bincount(word[some], weights=y[row[some]], minlength=len(kinds))
+        good = y[left].sum() + 1, (1 - y[left]).sum() + 1
+        lift = np.log((toxic + 0.5) / good[0]) - np.log((all_ - toxic + 0.5) / good[1])
+        lift[(toxic < least) | (toxic < 0.8 * all_)] = -1
+        if not len(lift) or lift.max() <= 3:
+            break
+        mined.append(int(np.where(lift > 3, toxic, -1).argmax()))
+        left[row[word == mined[-1]]] = False
+    return kinds[mined]
+
+
 def fit(f: Features, y: np.ndarray, steps: int = 200) -> Classifier:
     """Mines voters from the labels, fits the label model on all voters, then the classifier on its posteriors."""
     n = len(y)
     row = np.repeat(np.arange(n), np.diff(f.at))
-    pairs = np.unique(np.column_stack([f.h, row.astype(np.uint64)]), axis=0) if len(f.h) else np.empty((0, 2), np.uint64)
-    kinds, back = np.unique(pairs[:, 0], return_inverse=True)
-    toxic = np.bincount(back, weights=y[pairs[:, 1].astype(np.int64)], minlength=len(kinds))
-    all_ = np.bincount(back, minlength=len(kinds))
-    good = max(y.sum(), 1), max(n - y.sum(), 1)
-    lift = np.log((toxic + 0.5) / (good[0] + 1)) - np.log((all_ - toxic + 0.5) / (good[1] + 1))
-    stands = np.flatnonzero((lift > 3) & (toxic >= max(5, 0.01 * good[0])))
-    mined = kinds[stands[np.argsort(-lift[stands])][:MINED]]
+    both = np.concatenate((f.h, f.stems)), np.concatenate((row, np.repeat(np.arange(n), np.diff(f.stems_at))))
+    kinds, back = np.unique(both[0], return_inverse=True)
+    mined = _mine(kinds, back, both[1], y)
     vocabulary = np.unique(np.concatenate([_word_hashes(LEXICON), mined]))
     cast = votes(presence(f, vocabulary), f.patterns)
     balance = float((y.sum() + 1) / (n + 2))
@@ -175,7 +209,7 @@ def fit(f: Features, y: np.ndarray, steps: int = 200) -> Classifier:
     return model
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows: int = 10_000, threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows: int = 6_000, threshold: float = 0.5) -> DataFrame:
     """Scores every whole text; learns from at most ``rows`` labelled documents that are not held out.
 
     docs needs doc_id and text, labels doc_id and toxic; other columns are ignored. held_out: a Boolean column over
@@ -206,18 +240,22 @@ def _words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = tx.buffers(batch.column("text"))
         for i, j in tx.blocks(offsets):
             f = read(data, offsets[i : j + 1])
-            distinct = [np.unique(f.h[a:b]) for a, b in zip(f.at[:-1], f.at[1:])]
-            cuts = np.concatenate(([0], np.cumsum([len(x) for x in distinct]))).astype(np.int32)
-            h = np.concatenate(distinct) if distinct else f.h
+            lists = []
+            for h, at in ((f.h, f.at), (f.stems, f.stems_at)):
+                distinct = [np.unique(h[a:b]) for a, b in zip(at[:-1], at[1:])]
+                cuts = np.concatenate(([0], np.cumsum([len(x) for x in distinct]))).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(distinct).view(np.int64))))
             pattern = pa.FixedSizeListArray.from_arrays(pa.array(f.patterns.ravel()), PATTERNS).cast(pa.list_(pa.float64()))
-            yield pa.record_batch([batch.column("y").slice(i, j - i), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64))), pattern], names=["y", "h", "patterns"])
+            yield pa.record_batch([batch.column("y").slice(i, j - i), *lists, pattern], names=["y", "h", "stems", "patterns"])
 
 
 def _learn(docs: DataFrame, chosen: DataFrame, rows: int) -> Classifier:
     sample = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(rows)
-    got = sample.select("text", "y").mapInArrow(_words_only, "y int, h array<long>, patterns array<double>").toArrow()
+    got = sample.select("text", "y").mapInArrow(_words_only, "y int, h array<long>, stems array<long>, patterns array<double>").toArrow()
     if not got.num_rows:
         return Classifier(np.unique(_word_hashes(LEXICON)), np.zeros(len(set(LEXICON)) + PATTERNS + 2), np.zeros(BUCKETS), 0.0)
-    h = got["h"].combine_chunks()
-    f = Features(h.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(np.diff(h.offsets.to_numpy())))), got["patterns"].combine_chunks().flatten().to_numpy().reshape(-1, PATTERNS))
-    return fit(f, got["y"].to_numpy().astype(np.float64))
+    lists = []
+    for name in ("h", "stems"):
+        column = got[name].combine_chunks()
+        lists += [column.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(np.diff(column.offsets.to_numpy()))))]
+    return fit(Features(*lists, got["patterns"].combine_chunks().flatten().to_numpy().reshape(-1, PATTERNS)), got["y"].to_numpy().astype(np.float64))

@@ -41,6 +41,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5) == 0)
 
 
+def op5_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.kd_shard import shard
+
+    return shard(_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.language_id import identify
 
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_gbt": op2_quality_gbt,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_kd_shard": op5_kd_shard,
     "op7_language_id": op7_language_id,
 }
 

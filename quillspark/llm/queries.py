@@ -53,6 +53,20 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"), _fold(4) == 2)
 
 
+def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.pivot_search import search
+
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quillspark.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hmm_lm": op1_hmm_lm,
     "op2_quality_gbt": op2_quality_gbt,
@@ -60,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_kd_shard": op5_kd_shard,
     "op7_language_id": op7_language_id,
+    "op8_pivot_search": op8_pivot_search,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

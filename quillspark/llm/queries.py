@@ -47,6 +47,12 @@ def op5_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    return repeated_passages(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.language_id import identify
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_kd_shard": op5_kd_shard,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_pivot_search": op8_pivot_search,
     "op10_packing": op10_packing,

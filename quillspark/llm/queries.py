@@ -65,6 +65,12 @@ def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_lsa_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.lsa_decontam import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_pivot_search": op8_pivot_search,
+    "op9_lsa_decontam": op9_lsa_decontam,
     "op10_packing": op10_packing,
 }
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm import text as tx
 from quillspark.llm.store import Scratch
-from quillspark.llm.substring_dedup import common
+from quillspark.llm.substring_dedup import common, uid_of
 
 #: Words of a window; windows begin every half of that.
 WINDOW = 32
@@ -144,14 +144,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosi
     item if at least ``lcs`` of the item's words occur in it in order and make up half of its words, and if either
     0.8 of them do or at least ``answer`` of the item's last fifth does. Items that are null or have fewer than
     ``min_words`` words say too little and are left out; repeated items are reported each. Null texts count as empty.
-    Returns a row per document row and item: doc_id, item_id, start and end (words, end exclusive; the best region),
+    Words are compared in lower case. Returns a row per document row and item: doc_id, uid, item_id, start and end (words, end exclusive; the best region),
     cosine, lcs, answer. A null doc_id is reported as null. Empty tables give no rows.
     """
     spark = docs.sparkSession
     store = Scratch(spark, "lsa")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    schema = "doc_id long, item_id long, start int, end int, cosine double, lcs double, answer double"
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"), uid_of().alias("uid"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).where("item_id is not null and text is not null")
+    schema = "doc_id long, uid long, item_id long, start int, end int, cosine double, lcs double, answer double"
     out = None
     for block in _item_blocks(items, min_words):
         found = store.save(docs.mapInArrow(_search(spark, docs, block, rank, cosine, lcs, answer), schema))
@@ -272,9 +272,9 @@ def _search(spark, docs: DataFrame, block: Block, rank: int, cosine: float, lcs:
                     if got and ((row, k) not in hits or got[0] > hits[row, k][0]):
                         hits[row, k] = (got[0], got[1], low + got[2], low + got[3], float(near[w, k]))
             if hits:
-                ids = batch.column("doc_id").to_pylist()
-                rows = [(ids[r], block.ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]
-                kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "item_id", "start", "end", "cosine", "lcs", "answer"])
+                ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
+                rows = [(ids[r], uids[r], block.ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]
+                kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "uid", "item_id", "start", "end", "cosine", "lcs", "answer"])
 
     return find

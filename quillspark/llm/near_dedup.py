@@ -77,7 +77,7 @@ def _describe(k: int):
                     node[full] = _node(*_digests(x, cuts))
                     for row, mark in zip(np.flatnonzero(full), signatures(x, cuts)):
                         marks[row] = mark.tobytes()
-                yield pa.record_batch([batch.column("doc_id").slice(i, j - i), pa.array(n), pa.array(node, mask=~full), pa.array(marks, pa.binary())], names=["doc_id", "n_shingles", "node", "mark"])
+                yield pa.record_batch([batch.column("doc_id").slice(i, j - i), batch.column("uid").slice(i, j - i), pa.array(n), pa.array(node, mask=~full), pa.array(marks, pa.binary())], names=["doc_id", "uid", "n_shingles", "node", "mark"])
 
     return run
 
@@ -149,14 +149,14 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
 
     Two documents are linked if 100 * intersection >= percent * union. A text of fewer words has its whole sequence
     as one shingle; null texts and texts without words have none and are linked with nothing. Texts of the same set
-    are one class however many they are; doc_ids may repeat. Returns a row per input row: doc_id, n_shingles,
-    class_id (least doc_id of the same set), component_id (least doc_id reachable), kept (doc_id = component_id; of
+    are one class however many they are; doc_ids may repeat. Returns a row per input row: doc_id, uid (names doc_id and text),
+    n_shingles, class_id (least doc_id of the same set), component_id (least doc_id reachable), kept (doc_id = component_id; of
     rows that repeat a doc_id and a set all are kept or none). A null doc_id never stands for a component; such
     rows are kept only if their component has no doc_id. An empty table gives no rows.
     """
     store = Scratch(docs.sparkSession, "near_dedup")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = store.save(docs.mapInArrow(_describe(words), "doc_id long, n_shingles long, node long, mark binary"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
+    described = store.save(docs.mapInArrow(_describe(words), "doc_id long, uid long, n_shingles long, node long, mark binary"))
     classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.first("mark").alias("mark")))
 
     banded = classes.select("node", "mark").mapInArrow(_bands, "bucket long, node long")
@@ -206,7 +206,7 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     least = classes.join(labels, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("component"))
     heads = least.groupBy("component").agg(F.min("class_id").alias("component_id"))
     named_nodes = store.save(least.join(heads, "component").select("node", "class_id", "component_id"))
-    out = described.select("doc_id", "n_shingles", "node").join(named_nodes, "node", "left")
+    out = described.select("doc_id", "uid", "n_shingles", "node").join(named_nodes, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id"))
+    out = out.select("doc_id", "uid", "n_shingles", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id"))
     return store.finish(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -26,7 +26,7 @@ def op1_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.near_dedup import link_documents
 
-    return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85)
+    return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85).drop("uid")
 
 
 def op2_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def op2_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.toxicity import score_toxicity
 
-    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5) == 0)
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _fold(5) == 0).drop("uid")
 
 
 def op5_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lsa_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.lsa_decontam import contaminated
 
-    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("uid")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

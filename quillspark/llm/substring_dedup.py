@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -353,3 +354,31 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     whole = Window.partitionBy("uid", "run")
     kept = marked.withColumn("words", F.max("doc_end").over(whole) - F.min("doc_start").over(whole)).where(F.col("words") >= min_words)
     return store.finish(kept.select("doc_id", "uid", "doc_start", "doc_end", "partner_id", "partner_start", "partner_end", "matched", "identity"))
+
+
+def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without the words of their spans; white space before a span stays, that after its words goes."""
+    out = []
+    for text, cuts in zip(texts, spans):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        starts, _, _ = tx.runs(raw, np.array([0, len(raw)]))
+        keep = np.ones(len(raw), bool)
+        edge = np.append(starts, len(raw))
+        for a, b in cuts:
+            keep[edge[min(a, len(starts))] : edge[min(b, len(starts))]] = False
+        out.append(raw[keep].tobytes().decode("utf-8", "replace"))
+    return pd.Series(out, dtype=object)
+
+
+def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
+    """docs without the passages that repeated_passages found in them: texts are cut, n_chars follows if it is there,
+    and a document with no word left goes. All columns stay; documents without passages are untouched."""
+    spans = passages.groupBy(F.col("uid").alias("_q_uid")).agg(F.collect_set(F.array("doc_start", "doc_end")).alias("_q_spans"))
+    spans = if_small(Scratch(docs.sparkSession, "spans").save(spans))
+    named = docs.withColumn("_q_uid", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    cut = F.pandas_udf(_cut, "string")
+    hit = named.join(spans, "_q_uid").withColumn("text", cut(F.col("text").cast("string"), "_q_spans"))
+    if "n_chars" in docs.columns:
+        hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    hit = hit.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return named.join(spans, "_q_uid", "left_anti").select(docs.columns).union(hit.select(docs.columns))

@@ -214,12 +214,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows
 
     docs needs doc_id and text, labels doc_id and toxic; other columns are ignored. held_out: a Boolean column over
     doc_id; null counts as false. Null texts count as empty; every row, repeated ones too, gets a score from 0 to 1.
-    Without labelled rows the lexicon's voters cannot be weighed and every score is 0.5. Returns doc_id, held_out,
-    score, predicted; an empty table gives no rows.
+    Without labelled rows the lexicon's voters cannot be weighed and every score is 0.5. Returns doc_id, uid (names
+    doc_id and text), held_out, score, predicted; an empty table gives no rows.
     """
     spark = docs.sparkSession
     store = Scratch(spark, "toxicity")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
     chosen = labelled(labels, "toxic", held_out, rows)
     model = spark.sparkContext.broadcast(_learn(docs, chosen, rows))
 
@@ -228,10 +228,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows
             data, offsets = tx.buffers(batch.column("text"))
             parts = [model.value.score(read(data, offsets[i : j + 1])) for i, j in tx.blocks(offsets)]
             got = np.concatenate(parts) if parts else np.empty(0)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(got), pa.array((got >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("uid"), batch.column("held_out"), pa.array(got), pa.array((got >= threshold).astype(np.int32))], names=["doc_id", "uid", "held_out", "score", "predicted"])
 
     held = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    return store.finish(held.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int"))
+    return store.finish(held.mapInArrow(score, "doc_id long, uid long, held_out boolean, score double, predicted int"))
 
 
 def _words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,8 +8,10 @@ lengths and names only, and a second pass packs them in the same way, until few
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,10 @@ from quillspark.llm import text as tx
 from quillspark.llm.store import Scratch
 
 
+#: A control sign that stands alone between words and is one id.
+MARK = b"\x01"
+
+
 class OpenBins:
     """At most ``most`` open bins of a capacity; a bit for each free space that some bin has."""
 
@@ -71,10 +77,13 @@ class Encoder:
     """Token ids of whole texts. Words between ASCII white space are encoded alone, as the tokenizer's own rules never
     join them, and kept in a bounded cache."""
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 600_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words = Tokenizer.from_file(path), words
+        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self._clear()
 
     def _clear(self) -> None:
@@ -82,29 +91,51 @@ class Encoder:
         self.ids, self.many, self.used = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), 0
         self.starts = np.empty(1 << 14, np.int64)
 
+    def _ids(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some words, and how many each has; words travel together, parted by a mark that none holds."""
+        text = [w.decode("utf-8", "replace") for w in new]
+        if self.mark is None:
+            got = [e.ids for e in self.tokenizer.encode_batch(text, add_special_tokens=False)]
+            return np.array([i for x in got for i in x], np.uint32), np.array([len(x) for x in got], np.int64)
+        between = f" {MARK.decode()} "
+        flat = [i for e in self.tokenizer.encode_batch_fast([between.join([*text[i : i + 128], ""]) for i in range(0, len(text), 128)], add_special_tokens=False) for i in e.ids]
+        ids = np.array(flat, np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        return np.delete(ids, marks), np.diff(marks, prepend=-1) - 1
+
     def _learn(self, new: list[bytes]) -> None:
-        got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for word, e in zip(new, got):
-            i, n = len(self.place), len(e.ids)
-            while self.used + n > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-            if i >= len(self.many):
-                self.many, self.starts = (np.concatenate((x, np.empty_like(x))) for x in (self.many, self.starts))
-            self.ids[self.used : self.used + n] = e.ids
-            self.many[i], self.starts[i] = n, self.used
-            self.place[word] = i
-            self.used += n
+        plain = [w for w in new if MARK not in w and b"<|" not in w]
+        for words in (plain, *([w] for w in set(new).difference(plain))):
+            if not words:
+                continue
+            if words is plain:
+                ids, many = self._ids(plain)
+            else:
+                ids = np.array(self.tokenizer.encode(words[0].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+                many = np.array([len(ids)])
+            first, n = len(self.place), len(words)
+            if self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate((self.ids, np.empty(max(len(ids), len(self.ids)), np.uint32)))
+            if first + n > len(self.many):
+                self.many, self.starts = (np.concatenate((x, np.empty(max(n, len(x)), np.int64))) for x in (self.many, self.starts))
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.many[first : first + n], self.starts[first : first + n] = many, self.used + np.cumsum(many) - many
+            self.place.update(zip(words, range(first, first + n)))
+            self.used += len(ids)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids and where each text's begin (n + 1)."""
         if len(self.place) > self.words:
             self._clear()
-        split = [t.split() for t in texts]
-        flat = [w for s in split for w in s]
-        new = [w for w in set(flat) if w not in self.place]
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        # the tokenizer folds case itself; its special tokens are spelt in lower case and must not be made here
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        flat = list(chain.from_iterable(split))
+        place = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(place < 0).tolist()
+        if missing:
+            words = [flat[i] for i in missing]
+            self._learn(list(set(words)))
+            place[missing] = [self.place[w] for w in words]
         many = self.many[place]
         ends = np.cumsum(many)
         total = int(ends[-1]) if len(ends) else 0
@@ -113,6 +144,16 @@ class Encoder:
         return ids, np.concatenate(([0], ends))[words]
 
 
+#: One encoder a Python worker, so that its cache outlives a task.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997) -> DataFrame:
     """Packs the token ids of every whole text, then ``end``, into sequences of at most ``capacity`` ids.
 
@@ -127,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1,
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        encoder, bins, made = Encoder(tokenizer), OpenBins(capacity, open_bins), 0
+        encoder, bins, made = encoder_of(tokenizer), OpenBins(capacity, open_bins), 0
         ending = np.array([end], np.uint32)
 
         def out(closed: list[tuple[int, list]]) -> pa.RecordBatch:

@@ -4,9 +4,9 @@
    same set are one class; only one representative of a class goes on.
 2. Bands of minima give buckets. In each bucket the least class is the pivot.
 3. Candidate pairs are tested in three rounds: each class with its least pivot, then with its other pivots, then,
-   in buckets that still hold several components, every pair across components, in blocks of signatures. Pairs
-   inside one component need no test, so a group of copies costs about one test a copy. Signatures that agree too
-   little are refused, the others are confirmed on the full sets.
+   in buckets that still hold several components, every pair across components, in blocks of shortened sets. Pairs
+   inside one component need no test, so a group of copies costs about one test a copy. In the first two rounds
+   signatures that agree too little are refused; every link is confirmed on the full sets.
 4. Links go to connected components by large-star and small-star.
 
 With 20 bands of 4 minima a pair at a similarity of 0.85 is missed with a probability of 4e-7.
@@ -31,7 +31,7 @@ _rng = np.random.Generator(np.random.PCG64(5))
 _A = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 #: Members of an unresolved bucket that one task compares with as many others.
-BLOCK = 256
+BLOCK = 512
 
 
 def signatures(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -82,12 +82,18 @@ def _describe(k: int):
     return run
 
 
+def _band_keys(marks: list[bytes]) -> np.ndarray:
+    """Rows x BANDS: a key of each band's place and minima."""
+    marks = np.frombuffer(b"".join(marks), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.zeros(marks.shape[:2], np.uint64) + np.arange(BANDS, dtype=np.uint64)
+    for r in range(ROWS):
+        key = tx.mix(key * np.uint64(31) ^ marks[:, :, r])
+    return key
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        marks = np.frombuffer(b"".join(batch.column("mark").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-        key = np.full(marks.shape[:2], 0, np.uint64) + np.arange(BANDS, dtype=np.uint64)
-        for r in range(ROWS):
-            key = tx.mix(key * np.uint64(31) ^ marks[:, :, r])
+        key = _band_keys(batch.column("mark").to_pylist())
         yield pa.record_batch([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["bucket", "node"])
 
 
@@ -126,20 +132,49 @@ def _likely(least: int):
     return run
 
 
-def _across(least: int):
-    """Pairs of two blocks of a bucket that lie in different components and have like signatures."""
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full sets become sorted 32-bit ones, and marks 32-bit keys of their bands. Shortening can only add to an intersection."""
+    for batch in batches:
+        sets = [np.sort((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in batch.column("members")]
+        keys = [r.tobytes() for r in (_band_keys(batch.column("mark").to_pylist()) >> np.uint64(32)).astype(np.uint32)]
+        yield pa.record_batch([*(batch.column(c) for c in ("bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block")), pa.array(sets, pa.binary()), pa.array(keys, pa.binary())], names=["bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block", "short", "keys"])
+
+
+def _across(percent: int):
+    """Of two blocks of a bucket: for each pair of components the best linked pair of texts, by shortened sets.
+
+    A pair is looked at only in the first bucket that both texts share.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        out = []
+        found: dict[tuple[int, int], tuple[float, int, int]] = {}
         if len(left) and len(right):
-            a, b = (np.frombuffer(b"".join(x["mark"]), np.uint32).reshape(len(x), -1) for x in (left, right))
-            nodes, others, comp, parts = left["node"].to_numpy(), right["node"].to_numpy(), left["component"].to_numpy(), right["component"].to_numpy()
-            for i in range(len(left)):
-                far = np.flatnonzero((parts != comp[i]))
-                near = far[(b[far] == a[i]).sum(1) >= least]
-                out += [(min(nodes[i], others[x]), max(nodes[i], others[x])) for x in near]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            keys = [np.frombuffer(b"".join(x["keys"]), np.uint32).reshape(len(x), -1) for x in (left, right)]
+            here = np.uint32(int(pdf["bucket"].iloc[0]) % 2**64 >> 32)
+            sets = [np.frombuffer(x, np.uint32) for x in right["short"]]
+            sizes = np.array([len(x) for x in sets])
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            value = np.concatenate(sets)
+            order = np.argsort(value, kind="stable")
+            value, owner = value[order], owner[order]
+            nodes, parts = right["node"].to_numpy(), right["component"].to_numpy()
+            for row, node, part, short in zip(range(len(left)), left["node"], left["component"], left["short"]):
+                mine = np.frombuffer(short, np.uint32)
+                low, high = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
+                many = high - low
+                at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                both = np.bincount(owner[at], minlength=len(sets))
+                close = np.flatnonzero((100 * both >= percent * (len(mine) + sizes - both)) & (parts != part))
+                if len(close):
+                    shared = keys[1][close] == keys[0][row]
+                    close = close[keys[1][close, shared.argmax(1)] == here]
+                for x in close:
+                    pair = (min(part, parts[x]), max(part, parts[x]))
+                    share = both[x] / (len(mine) + sizes[x] - both[x])
+                    if pair not in found or share > found[pair][0]:
+                        found[pair] = (share, min(node, nodes[x]), max(node, nodes[x]))
+        return pd.DataFrame([f[1:] for f in found.values()], columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -191,15 +226,18 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     labels = store.save(components(store, found))
 
     member = buckets.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    spread = member.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low != high and size > 2")
-    # the bucket's members outside its first component are compared with all of its members
-    open_ = store.save(member.join(spread, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.hash("node"), F.col("blocks"))))
+    parts = member.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
+    spread = parts.agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0 and size > 2")
+    # the bucket's members outside its largest component are compared with all of its members, block by block
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    open_ = member.join(spread, "bucket").withColumn("blocks", blocks("size")).withColumn("left_blocks", blocks("others"))
+    open_ = store.save(open_.withColumn("block", F.pmod(F.hash("node"), "blocks")).withColumn("left_block", F.pmod(F.hash("node"), "left_blocks")))
     if not open_.isEmpty():
-        rows = open_.join(marks, "node")
-        many = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        left = rows.where("component != low").select("bucket", F.col("block").alias("i"), many.alias("j"), F.lit(0).alias("side"), "node", "component", "mark")
-        right = rows.select("bucket", many.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "component", "mark")
-        pairs = store.save(left.union(right).groupBy("bucket", "i", "j").applyInPandas(_across(agree), "a long, b long").distinct())
+        rows = open_.join(marks, "node").join(sets, "node").select("bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block", "mark", "members")
+        rows = rows.mapInArrow(_shorten, "bucket long, node long, component long, large long, blocks int, block int, left_blocks int, left_block int, short binary, keys binary")
+        left = rows.where("component != large").select("bucket", F.col("left_block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component", "short", "keys")
+        right = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "component", "short", "keys")
+        pairs = store.save(left.union(right).groupBy("bucket", "i", "j").applyInPandas(_across(percent), "a long, b long").distinct())
         found = found.union(links(pairs, signed=True))
         labels = store.save(components(store, found))
 

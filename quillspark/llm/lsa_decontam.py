@@ -7,6 +7,10 @@ leading right singular vectors. The benchmark's own passages are stacked on the
 basis tells benchmark items apart. Windows near an item by latent cosine are candidates; a candidate is a leak if the
 longest common subsequence of its region and the item, and of the item's last part (the answer), is long enough.
 
+Texts are tokenised once: what the later passes read is a table of the benchmark's words in each document and their
+places. Words in more than one passage of 400 don't count in the latent space, but for the rarest of each
+item, so that an item made of common words can be found too; the subsequence counts all words.
+
 Items are worked on in blocks of bounded size, each broadcast; a larger benchmark takes more passes.
 """
 
@@ -65,11 +69,6 @@ def _halves(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return many, np.concatenate(([0], np.cumsum(many)))
 
 
-def _half_of(place: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
-    row = np.searchsorted(at, place, side="right") - 1
-    return first[row] + (place - at[row]) // (WINDOW // 2)
-
-
 def _pairs(total: int, first: np.ndarray) -> np.ndarray:
     """Half windows that begin a window: all but each text's last."""
     begins = np.ones(total, bool)
@@ -85,16 +84,53 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield batch.slice(i, j - i), h, at
 
 
-def _rows(block: Block, idf: np.ndarray, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+@dataclass
+class Found:
+    """Rows' lengths in words, and the terms in them: place from the row's start, term, and where each row's begin."""
+
+    n: np.ndarray
+    place: np.ndarray
+    term: np.ndarray
+    cuts: np.ndarray
+
+    @property
+    def row(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.n)), np.diff(self.cuts))
+
+    def only(self, keep: np.ndarray) -> Found:
+        kept = np.concatenate(([0], np.cumsum(keep)))
+        return Found(self.n, self.place[keep], self.term[keep], kept[self.cuts])
+
+
+def locate(block: Block, h: np.ndarray, at: np.ndarray) -> Found:
+    where, term = block.find(h)
+    row = np.searchsorted(at, where, side="right") - 1
+    return Found(np.diff(at), where - at[row], term, np.searchsorted(where, at))
+
+
+def _bytes(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    values = np.ascontiguousarray(values, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _read(batches: Iterator[pa.RecordBatch], entries: int = 150_000) -> Iterator[tuple[pa.RecordBatch, Found]]:
+    """Groups of rows of the located table with a bounded number of entries, one row at least."""
+    for batch in batches:
+        place, cuts = tx.buffers(batch.column("places"))
+        term, _ = tx.buffers(batch.column("terms"))
+        n = batch.column("n").to_numpy()
+        for i, j in tx.blocks(cuts, 4 * entries):
+            a, b = int(cuts[i]), int(cuts[j])
+            yield batch.slice(i, j - i), Found(n[i:j], np.frombuffer(place[a:b].tobytes(), np.int32).astype(np.int64), np.frombuffer(term[a:b].tobytes(), np.int32).astype(np.int64), (cuts[i : j + 1] - a) // 4)
+
+
+def _rows(found: Found, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Disjoint passages of WINDOW words as unit TF-IDF rows: row, term and value of every entry, and how many rows."""
-    place, term = block.find(h)
-    many = -(-np.diff(at) // WINDOW)
-    first = np.concatenate(([0], np.cumsum(many)))
-    row = np.searchsorted(at, place, side="right") - 1
-    row = first[row] + (place - at[row]) // WINDOW
-    value = idf[term]
+    first = np.concatenate(([0], np.cumsum(-(-found.n // WINDOW))))
+    row = first[found.row] + found.place // WINDOW
+    value = idf[found.term]
     norm = np.sqrt(np.bincount(row, weights=value * value, minlength=int(first[-1])))
-    return row, term, value / np.maximum(norm[row], 1e-9), int(first[-1])
+    return row, found.term, value / np.maximum(norm[row], 1e-9), int(first[-1])
 
 
 def _back(row: np.ndarray, term: np.ndarray, value: np.ndarray, rows: int, terms: int, omega: np.ndarray) -> np.ndarray:
@@ -110,34 +146,36 @@ def _back(row: np.ndarray, term: np.ndarray, value: np.ndarray, rows: int, terms
     return out
 
 
-def leaked(item: np.ndarray, region: np.ndarray, least: float, answer: float) -> tuple[float, float, int, int] | None:
-    """Shares of the item and of its answer that are common to the region in order, and the span; None if too small."""
-    want, have = item.tolist(), region.tolist()
-    known = set(want)
-    if sum(1 for w in set(have) if w in known) < 0.5 * least * len(known):
+def leaked(item: list[int], region: list[int], places: list[int], least: float, answer: float) -> tuple[float, float, int, int] | None:
+    """Shares of the item and of its answer that are common to the region in order, and the span; None if too small.
+
+    item, region: terms; places: where the region's stand.
+    """
+    known = set(item)
+    if sum(1 for w in set(region) if w in known) < 0.5 * least * len(known):
         return None
-    same = common(want, have)
-    if same < least * len(want):
+    same = common(item, region)
+    if same < least * len(item):
         return None
-    low, high = 0, len(have)  # the shortest region that still holds as much
-    a, b = same, high
+    a, b = same, len(region)  # the shortest part that still holds as much
     while a < b:
         middle = (a + b) // 2
-        a, b = (a, middle) if common(want, have[:middle]) >= same else (middle + 1, b)
+        a, b = (a, middle) if common(item, region[:middle]) >= same else (middle + 1, b)
     high = a
     a, b = 0, high - same
     while a < b:
         middle = (a + b + 1) // 2
-        a, b = (middle, b) if common(want, have[middle:high]) >= same else (a, middle - 1)
+        a, b = (middle, b) if common(item, region[middle:high]) >= same else (a, middle - 1)
     low = a
-    tail = want[-max(3, len(want) // 5) :]
-    found = common(tail, have[low:high]) / len(tail)
-    if same < 0.5 * (high - low) or (same < 0.8 * len(want) and found < answer):
+    tail = item[-max(3, len(item) // 5) :]
+    found = common(tail, region[low:high]) / len(tail)
+    start, end = places[low], places[high - 1] + 1
+    if same < 0.5 * (end - start) or (same < 0.8 * len(item) and found < answer):
         return None
-    return same / len(want), found, low, high
+    return same / len(item), found, start, end
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosine: float = 0.5, lcs: float = 0.6, answer: float = 0.5, min_words: int = 8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 96, cosine: float = 0.4, lcs: float = 0.6, answer: float = 0.5, min_words: int = 8) -> DataFrame:
     """Documents that hold a benchmark item or a paraphrase of one.
 
     docs needs doc_id and text, benchmark item_id and text; other columns are ignored. A document's region leaks an
@@ -154,7 +192,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 128, cosi
     schema = "doc_id long, uid long, item_id long, start int, end int, cosine double, lcs double, answer double"
     out = None
     for block in _item_blocks(items, min_words):
-        found = store.save(docs.mapInArrow(_search(spark, docs, block, rank, cosine, lcs, answer), schema))
+        located = store.save(docs.mapInArrow(_locate(spark, block), "doc_id long, uid long, n long, places binary, terms binary"))
+        found = store.save(located.mapInArrow(_search(spark, located, block, rank, cosine, lcs, answer), schema))
+        store.drop(located)
         out = found if out is None else out.union(found)
     return store.finish(out if out is not None else spark.createDataFrame([], schema))
 
@@ -172,35 +212,55 @@ def _item_blocks(items: DataFrame, min_words: int) -> Iterator[Block]:
         yield make_block(held)
 
 
-def _search(spark, docs: DataFrame, block: Block, rank: int, cosine: float, lcs: float, answer: float):  # noqa: ANN001, ANN202
+def _locate(spark, block: Block):  # noqa: ANN001, ANN202
     shared = spark.sparkContext.broadcast(block)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, h, at in _texts(batches):
+            found = locate(shared.value, h, at)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("uid"), pa.array(found.n), _bytes(found.place, found.cuts), _bytes(found.term, found.cuts)], names=["doc_id", "uid", "n", "places", "terms"])
+
+    return run
+
+
+def _stop_terms(block: Block, own: Found, df: np.ndarray, passages: int) -> np.ndarray:
+    """Terms of more than one passage in 400, but for each item's eight rarest."""
+    stop = df > max(passages, 4000) / 400
+    for a, b in zip(own.cuts[:-1], own.cuts[1:]):
+        terms = np.unique(own.term[a:b])
+        stop[terms[np.argsort(df[terms], kind="stable")[:8]]] = False
+    return stop
+
+
+def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, lcs: float, answer: float):  # noqa: ANN001, ANN202
     terms = len(block.terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(terms, np.int64), 0
-        for _, h, at in _texts(batches):
-            row, term, _, rows = _rows(shared.value, np.ones(terms), h, at)
+        df, passages = np.zeros(terms, np.int64), 0
+        for _, found in _read(batches):
+            row, term, _, rows = _rows(found, np.ones(terms))
             df += np.bincount(np.unique(row * terms + term) % terms, minlength=terms)
-            n += rows
+            passages += rows
         some = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(df[some], n))], names=["term", "n"])
+        yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(df[some], passages))], names=["term", "n"])
 
-    got = docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    got = located.select("n", "places", "terms").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     place, count = got["term"].to_numpy(), got["n"].to_numpy()
     passages = int(count[place == -1].sum())
     df = np.zeros(terms)
     df[place[place >= 0]] = count[place >= 0]
-    idf = np.log((passages + 1) / (df + 1)) + 0.05
-    rng = np.random.default_rng(7)
+    flat, at = np.concatenate(block.words), np.concatenate(([0], np.cumsum([len(w) for w in block.words])))
+    own = locate(block, flat, at)
+    idf = np.where(_stop_terms(block, own, df, passages), 0.0, np.log((passages + 1) / (df + 1)) + 0.05)
     width = min(rank + 8, terms)
-    omega = rng.standard_normal((terms, width)).astype(np.float32)
+    omega = np.random.default_rng(7).standard_normal((terms, width)).astype(np.float32)
     weights = spark.sparkContext.broadcast((idf, omega))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, omega = weights.value
         total = np.zeros((terms, omega.shape[1]), np.float32)
-        for _, h, at in _texts(batches):
-            row, term, value, rows = _rows(shared.value, idf, h, at)
+        for _, found in _read(batches):
+            row, term, value, rows = _rows(found.only(idf[found.term] > 0), idf)
             total += _back(row, term, value, rows, terms, omega)
         some = np.flatnonzero(total.any(1))
         if len(some):
@@ -210,51 +270,44 @@ def _search(spark, docs: DataFrame, block: Block, rank: int, cosine: float, lcs:
         total = np.frombuffer(b"".join(table["part"].to_pylist()), np.float32).reshape(table.num_rows, -1).sum(0, dtype=np.float64)
         return pa.table({"term": [keys[0].as_py()], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = docs.select("text").mapInArrow(multiply, "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
+    parts = located.select("n", "places", "terms").mapInArrow(multiply, "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
     sketch = np.zeros((terms, width))
     if parts.num_rows:
         sketch[parts["term"].to_numpy()] = np.frombuffer(b"".join(parts["part"].to_pylist()), np.float32).reshape(-1, width)
-    flat, at = np.concatenate(block.words), np.concatenate(([0], np.cumsum([len(w) for w in block.words])))
-    own = _back(*_rows(block, idf, flat, at), terms, omega)
+    kept = own.only(idf[own.term] > 0)
+    mine = _back(*_rows(kept, idf), terms, omega)
     # the benchmark's passages weigh four times as much as the corpus's, as a whole
-    sketch += own * (4 * np.linalg.norm(sketch) / max(np.linalg.norm(own), 1e-9) if sketch.any() else 1.0)
-    basis = np.linalg.qr(sketch)[0][:, :rank]
-    load = (basis * idf[:, None]).astype(np.float32)
-    where, term = block.find(flat)
-    item_of = np.repeat(np.arange(len(block.words)), np.diff(at))
+    sketch += mine * (4 * np.linalg.norm(sketch) / max(np.linalg.norm(mine), 1e-9) if sketch.any() else 1.0)
+    load = (np.linalg.qr(sketch)[0][:, :rank] * idf[:, None]).astype(np.float32)
     latent = np.zeros((len(block.words), load.shape[1]), np.float32)
-    np.add.at(latent, item_of[where], load[term])
+    np.add.at(latent, kept.row, load[kept.term])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    mass = np.bincount(item_of[where], weights=idf[term], minlength=len(block.words))
-    # a window of WINDOW words that could hold the leaked part of an item has this share of its weight at least
-    lengths = np.array([len(w) for w in block.words])
-    least_mass = float((0.5 * lcs * mass * np.minimum(1, WINDOW / 2 / lengths)).min())
-    plan = spark.sparkContext.broadcast((idf, load, latent, least_mass))
+    mass = np.bincount(kept.row, weights=idf[kept.term], minlength=len(block.words))
+    # a window of WINDOW words amid the leaked part of an item has this share of its weight at least
+    least_mass = float((0.5 * lcs * mass * np.minimum(1, WINDOW / 2 / np.diff(at))).min())
+    items = [own.term[a:b].tolist() for a, b in zip(own.cuts[:-1], own.cuts[1:])]
+    plan = spark.sparkContext.broadcast((idf, load, latent, least_mass, items, block.ids))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        idf, load, latent, least_mass = plan.value
+        idf, load, latent, least_mass, items, item_ids = plan.value
         half = WINDOW // 2
-        for batch, h, at in _texts(batches):
-            n = np.diff(at)
-            many, first = _halves(n)
-            place, term = block.find(h)
-            if not len(place):
-                continue
-            of = _half_of(place, at, first)
+        for batch, found in _read(batches):
+            _, first = _halves(found.n)
+            some = found.only(idf[found.term] > 0)
+            of, term = first[some.row] + some.place // half, some.term
             heavy = np.bincount(of, weights=idf[term], minlength=int(first[-1]))
             begins = _pairs(int(first[-1]), first)
             begins = begins[heavy[begins] + heavy[begins + 1] >= least_mass]
-            if not len(begins):
+            if not len(begins) or not len(of):
                 continue
             needed = np.zeros(int(first[-1]), bool)
             needed[begins] = needed[begins + 1] = True
-            some = needed[of]
-            of, term = of[some], term[some]
+            dense = np.cumsum(needed) - 1
+            wanted = needed[of]
+            of, term = dense[of[wanted]], term[wanted]
             cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-            halves = np.zeros((int(first[-1]) if len(begins) > 50_000 else int(needed.sum()), load.shape[1]), np.float32)
-            dense = np.cumsum(needed) - 1 if len(halves) < int(first[-1]) else np.arange(int(first[-1]))
-            halves[dense[of[cuts]]] = np.add.reduceat(load[term], cuts)
+            halves = np.zeros((int(needed.sum()), load.shape[1]), np.float32)
+            halves[of[cuts]] = np.add.reduceat(load[term], cuts)
             hits: dict[tuple[int, int], tuple] = {}
             for lo in range(0, len(begins), 8192):
                 part = begins[lo : lo + 8192]
@@ -263,17 +316,17 @@ def _search(spark, docs: DataFrame, block: Block, rank: int, cosine: float, lcs:
                 near = window @ latent.T
                 for w, k in zip(*np.nonzero(near >= cosine)):
                     row = int(np.searchsorted(first, part[w], side="right")) - 1
-                    start = int(part[w] - first[row]) * half
-                    item = block.words[k]
-                    low, high = max(0, start - len(item)), min(int(n[row]), start + WINDOW + len(item))
                     if (row, k) in hits and hits[row, k][0] >= 0.999:
                         continue
-                    got = leaked(item, h[at[row] + low : at[row] + high], lcs, answer)
+                    start, size = int(part[w] - first[row]) * half, len(items[k])
+                    mine = found.place[found.cuts[row] : found.cuts[row + 1]]
+                    a, b = np.searchsorted(mine, [start - size, start + WINDOW + size]) + found.cuts[row]
+                    got = leaked(items[k], found.term[a:b].tolist(), found.place[a:b].tolist(), lcs, answer)
                     if got and ((row, k) not in hits or got[0] > hits[row, k][0]):
-                        hits[row, k] = (got[0], got[1], low + got[2], low + got[3], float(near[w, k]))
+                        hits[row, k] = (*got, float(near[w, k]))
             if hits:
                 ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
-                rows = [(ids[r], uids[r], block.ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]
+                rows = [(ids[r], uids[r], item_ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]
                 kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64()
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "uid", "item_id", "start", "end", "cosine", "lcs", "answer"])
 

@@ -16,7 +16,8 @@ def passes(facets: dict[str, Column], chosen: dict[str, list[str]], apart: str |
 
 def counts(rows: DataFrame, facets: dict[str, Column], chosen: dict[str, list[str]]) -> DataFrame:
     """(facet, value, n) under every active filter but the facet's own, in one pass over the rows."""
-    parts = [F.when(passes(facets, chosen, k), F.transform(F.array_distinct(v), lambda x, k=k: F.struct(F.lit(k).alias("facet"), x.alias("value")))) for k, v in facets.items()]
+    named = lambda k: lambda x: F.struct(F.lit(k).alias("facet"), x.alias("value"))
+    parts = [F.when(passes(facets, chosen, k), F.transform(F.array_distinct(v), named(k))) for k, v in facets.items()]
     empty = F.array().cast("array<struct<facet:string,value:string>>")
     every = F.flatten(F.array(*(F.coalesce(p, empty) for p in parts)))
     found = rows.select(F.explode(every).alias("f")).select("f.facet", "f.value").where("value is not null")

@@ -15,7 +15,7 @@ def first_by_key(rows: DataFrame, key: list[str], order: list[Column | str]) ->
 def merge_by_key(rows: DataFrame, key: list[str], order: Column, first: list[str], collect: dict[str, str]) -> DataFrame:
     """One row a key: display columns from the first row in order, and sorted sets of the collected columns."""
     picked = [F.min_by(c, order).alias(c) for c in first]
-    return rows.groupBy(*key).agg(*picked, *(F.array_sort(F.collect_set(c)).alias(name) for name, c in collect.items()))
+    return rows.groupBy(*key).agg(*picked, *(F.array_sort(F.collect_set(c)).alias(name) for c, name in collect.items()))
 
 
 def dense_ids(rows: DataFrame, order: list[str], name: str, parts: int = 64) -> DataFrame:

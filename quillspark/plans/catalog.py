@@ -1,10 +1,309 @@
-"""The registered queries of the reference's own operators, and their SQL."""
+"""The registered queries of the reference's own operators over whole tables, and DuckDB SQL that says the same."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillspark.functions import text as t
+from quillspark.functions import vectors as v
+from quillspark.operators import evaluation, facets, relational, search, spatial, vector_ops
+from quillspark.sources.tables import table
+from quillspark.streaming import events as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _register(name: str, sql: str | None = None):  # noqa: ANN202
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+#: SQL of functions.text.tokens.
+_TOKENS = f"list_filter(regexp_split_to_array(translate(regexp_replace(lower(text), '[̀-ͯ^`¨¯´¸]', '', 'g'), '{t.ACCENTED}', '{t.PLAIN}'), '[^a-z0-9]+'), lambda x: length(x) >= 2)"
+_POSTINGS = f"p AS (SELECT doc_id, unnest({_TOKENS}) AS token, generate_subscripts({_TOKENS}, 1) AS pos FROM documents)"
+_WORDS = ("the", "thtion", "with")
+
+
+def _index(spark: SparkSession, d: str) -> search.Index:
+    return search.build_index(table(spark, d, "documents"), "doc_id", "text")
+
+
+@_register("q_tokens", f"SELECT doc_id, length({_TOKENS}) AS n_tokens, length(list_distinct({_TOKENS})) AS n_distinct FROM documents")
+def tokens(spark: SparkSession, d: str) -> DataFrame:
+    words = t.tokens(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(words).cast("long").alias("n_tokens"), F.size(F.array_distinct(words)).cast("long").alias("n_distinct"))
+
+
+@_register("q_document_frequency", f"WITH {_POSTINGS} SELECT token, count(DISTINCT doc_id) AS df, count(*) AS n FROM p GROUP BY token")
+def document_frequency(spark: SparkSession, d: str) -> DataFrame:
+    each = _index(spark, d).postings.groupBy("token", "id").agg(F.count("*").alias("n"))
+    return each.groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
+
+
+def _near(word: str) -> str:
+    """DuckDB's distance has unrestricted swaps; the words below have thresholds at which both agree."""
+    return f"(token = '{word}' OR ({search.threshold(word)} > 0 AND damerau_levenshtein(token, '{word}') <= {search.threshold(word)}))"
+
+
+@_register(
+    "q_lexical_search",
+    f"WITH {_POSTINGS}, w1 AS (SELECT doc_id, max((token = 'with')::int) AS e FROM p WHERE {_near('with')} GROUP BY doc_id), w2 AS (SELECT doc_id, max((token = 'then')::int) AS e FROM p WHERE {_near('then')} GROUP BY doc_id), gone AS (SELECT DISTINCT doc_id FROM p WHERE token = 'las') SELECT w1.doc_id AS id, (w1.e + w2.e)::bigint AS exactness FROM w1 JOIN w2 USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM gone)",
+)
+def lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(_index(spark, d), search.parse("with then -las"))[0]
+
+
+@_register(
+    "q_phrase_search",
+    f"WITH {_POSTINGS}, a AS (SELECT doc_id, pos, (token = 'und')::int AS e FROM p WHERE token = 'und'), b AS (SELECT doc_id, pos - 1 AS pos, (token = 'der')::int AS e FROM p WHERE token = 'der'), hit AS (SELECT doc_id, arg_min(a.e + b.e, pos) AS e FROM a JOIN b USING (doc_id, pos) GROUP BY doc_id), o AS (SELECT DISTINCT doc_id FROM p WHERE token = 'las') SELECT doc_id AS id, max(e)::bigint AS exactness FROM (SELECT doc_id, e FROM hit UNION ALL SELECT doc_id, 1 FROM o) GROUP BY doc_id",
+)
+def phrase_search(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(_index(spark, d), search.parse('"und der" OR las'))[0]
+
+
+@_register("q_search_seeds", f"WITH {_POSTINGS}, h AS (SELECT DISTINCT doc_id, 'with' AS w FROM p WHERE {_near('with')} UNION SELECT DISTINCT doc_id, 'des' FROM p WHERE token = 'des') SELECT doc_id AS id, count(*)::bigint AS score FROM h GROUP BY doc_id")
+def search_seeds(spark: SparkSession, d: str) -> DataFrame:
+    return search.seeds(_index(spark, d), search.parse("with des"))
+
+
+@_register("q_id_prefix", "WITH f AS (SELECT doc_id AS id FROM documents WHERE starts_with(doc_id::varchar, '12') ORDER BY doc_id LIMIT 10) SELECT id, (count(*) OVER () = 1) AS exact FROM f")
+def id_prefix(spark: SparkSession, d: str) -> DataFrame:
+    return search.id_prefix(table(spark, d, "documents"), "doc_id", "id:0012")
+
+
+@_register("q_hybrid_merge", "WITH lex AS (SELECT doc_id FROM documents WHERE lang = 'fr'), sem AS (SELECT doc_id FROM labels WHERE quality = 1), blocked AS (SELECT doc_id FROM labels WHERE toxic = 1) SELECT doc_id AS id FROM lex UNION SELECT doc_id FROM sem WHERE doc_id NOT IN (SELECT doc_id FROM blocked)")
+def hybrid_merge(spark: SparkSession, d: str) -> DataFrame:
+    labels = table(spark, d, "labels").withColumnRenamed("doc_id", "id")
+    return search.merge(table(spark, d, "documents").where("lang = 'fr'").select(F.col("doc_id").alias("id")), labels.where("quality = 1"), labels.where("toxic = 1"))
+
+
+@_register("q_compose", "SELECT doc_id AS id FROM documents WHERE lang IN ('en', 'de') AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def compose(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").withColumnRenamed("doc_id", "id")
+    return search.compose(docs.select("id"), [docs.where("lang in ('en', 'de')"), None, table(spark, d, "labels").where("quality = 1").withColumnRenamed("doc_id", "id")])
+
+
+@_register("q_rank", "SELECT d.doc_id AS id, l.quality::double AS score, (d.n_chars % 3)::bigint AS exactness, row_number() OVER (ORDER BY d.n_chars % 3 DESC, l.quality DESC NULLS LAST, d.doc_id)::int AS place FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)")
+def rank(spark: SparkSession, d: str) -> DataFrame:
+    matches = table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") % 3).alias("exactness"))
+    scores = table(spark, d, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").cast("double").alias("score"))
+    return search.rank(matches, scores)
+
+
+def _facets() -> dict:
+    band = F.when(F.col("n_chars") < 1000, "short").when(F.col("n_chars") < 4000, "middle").otherwise("long")
+    return {"lang": F.array("lang"), "source": F.array("source"), "band": F.array(band)}
+
+
+_BAND = "CASE WHEN n_chars < 1000 THEN 'short' WHEN n_chars < 4000 THEN 'middle' ELSE 'long' END"
+_FACETED = f"WITH r AS (SELECT lang, source, {_BAND} AS band FROM documents)"
+
+
+@_register("q_facet_counts", _FACETED + " SELECT 'lang' AS facet, lang AS value, count(*) AS n FROM r WHERE source IN ('src0', 'src1') GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM r WHERE lang IN ('en', 'fr') GROUP BY source UNION ALL SELECT 'band', band, count(*) FROM r WHERE lang IN ('en', 'fr') AND source IN ('src0', 'src1') GROUP BY band")
+def facet_counts(spark: SparkSession, d: str) -> DataFrame:
+    return facets.counts(table(spark, d, "documents"), _facets(), {"lang": ["en", "fr"], "source": ["src0", "src1"]})
+
+
+@_register("q_facet_filter", "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars < 1000")
+def facet_filter(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where(facets.passes(_facets(), {"lang": ["en", "fr"], "band": ["short"]})).select("doc_id")
+
+
+@_register("q_facet_options", _FACETED + " SELECT DISTINCT 'lang' AS facet, lang AS value FROM r UNION SELECT DISTINCT 'source', source FROM r UNION SELECT DISTINCT 'band', band FROM r")
+def facet_options(spark: SparkSession, d: str) -> DataFrame:
+    return facets.options(table(spark, d, "documents"), _facets())
+
+
+@_register("q_first_by_key", "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1")
+def first_by_key(spark: SparkSession, d: str) -> DataFrame:
+    return relational.first_by_key(table(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@_register("q_inverted_index", "SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(l_orderkey))), ',') AS orders FROM lineitem GROUP BY l_partkey")
+def inverted_index(spark: SparkSession, d: str) -> DataFrame:
+    order = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    merged = relational.merge_by_key(table(spark, d, "lineitem").withColumn("first_flag", F.col("l_returnflag")), ["l_partkey"], order, ["first_flag"], {"l_orderkey": "orders"})
+    return merged.withColumn("orders", F.array_join(F.transform("orders", lambda x: x.cast("string")), ","))
+
+
+@_register("q_dense_ids", "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS slot FROM customer")
+def dense_ids(spark: SparkSession, d: str) -> DataFrame:
+    return relational.dense_ids(table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"], "slot")
+
+
+@_register("q_remap", "WITH o AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS n, l_suppkey FROM lineitem), m AS (SELECT l_orderkey, n_nationkey, min(n) AS pos FROM o JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL) SELECT k.l_orderkey, coalesce(string_agg(n_nationkey::varchar, ',' ORDER BY pos), '') AS nations FROM (SELECT DISTINCT l_orderkey FROM o) k LEFT JOIN m USING (l_orderkey) GROUP BY k.l_orderkey")
+def remap(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("s"))
+    lines = lines.select("l_orderkey", F.transform("s", lambda x: x["l_suppkey"]).alias("ids"))
+    mapping = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("old"), F.col("n_nationkey").cast("long").alias("new"))
+    return relational.remap(lines, "l_orderkey", "ids", mapping).select("l_orderkey", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("nations"))
+
+
+@_register("q_left_defaults", "SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
+def left_defaults(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
+
+
+@_register("q_overlay", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, CASE WHEN quality = 1 THEN 'checked' END FROM labels")
+def overlay(spark: SparkSession, d: str) -> DataFrame:
+    final = table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "checked").alias("source")).distinct()
+    return relational.overlay(table(spark, d, "documents"), final, "doc_id", ["source"])
+
+
+@_register("q_coverage", "SELECT count(*) FILTER (WHERE l.doc_id IS NOT NULL) AS matched, count(*) FILTER (WHERE l.doc_id IS NULL) AS no_value FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def coverage(spark: SparkSession, d: str) -> DataFrame:
+    known = table(spark, d, "labels").select("doc_id").distinct().withColumn("k", F.lit(1))
+    return table(spark, d, "documents").join(known, "doc_id", "left").agg(F.count("k").alias("matched"), F.count_if(F.col("k").isNull()).alias("no_value"))
+
+
+@_register("q_missing_references", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def missing_references(spark: SparkSession, d: str) -> DataFrame:
+    return relational.missing(table(spark, d, "customer").select("c_custkey"), "c_custkey", table(spark, d, "orders"), "o_custkey")
+
+
+@_register("q_rollup_wide", "SELECT user_id, sum(value) FILTER (WHERE event_type = 'click') AS click, sum(value) FILTER (WHERE event_type = 'view') AS view FROM (SELECT user_id, event_type, round(sum(value), 4) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL) GROUP BY user_id")
+def rollup_wide(spark: SparkSession, d: str) -> DataFrame:
+    long = table(spark, d, "events").where("event_type in ('click', 'view')").groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 4).alias("value"))
+    return relational.rollup_wide(long, "user_id", "event_type", "value", ["click", "view"])
+
+
+@_register("q_schema_diff", "WITH a AS (SELECT n_name AS field, n_regionkey % 2 AS kind FROM nation WHERE n_nationkey < 20), b AS (SELECT n_name AS field, n_nationkey % 2 AS kind FROM nation WHERE n_nationkey >= 3) SELECT field, CASE WHEN a.kind IS NULL THEN 'added' WHEN b.kind IS NULL THEN 'removed' ELSE 'changed' END AS change, CASE WHEN field LIKE '%0' THEN 'x' END IS NOT NULL AS odd FROM a FULL JOIN b USING (field) WHERE a.kind IS DISTINCT FROM b.kind")
+def schema_diff(spark: SparkSession, d: str) -> DataFrame:
+    nation = table(spark, d, "nation")
+    before = nation.where("n_nationkey < 20").select(F.col("n_name").alias("field"), (F.col("n_regionkey") % 2).alias("kind"))
+    after = nation.where("n_nationkey >= 3").select(F.col("n_name").alias("field"), (F.col("n_nationkey") % 2).alias("kind"))
+    return relational.schema_diff(before, after, [], []).select("field", "change", F.col("field").endswith("0").alias("odd"))
+
+
+@_register("q_suffixed_labels", "SELECT c_custkey, CASE WHEN rn > 1 THEN c_mktsegment || ' (' || rn || ')' ELSE c_mktsegment END AS label FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn FROM customer)")
+def suffixed_labels(spark: SparkSession, d: str) -> DataFrame:
+    return relational.suffixed(table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("label")), "label", ["c_custkey"])
+
+
+@_register("q_conflicts", "SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL HAVING count(*) > 1")
+def conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@_register("q_quotas", "SELECT label AS \"group\", count(*) AS n FROM embeddings GROUP BY label")
+def quotas(spark: SparkSession, d: str) -> DataFrame:
+    sizes = table(spark, d, "embeddings").groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"))
+    return relational.quotas(sizes, 100).select("group", "n")
+
+
+@_register("q_html_text")
+def html_text(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", t.html_to_text(F.col("html")).alias("text"))
+
+
+@_register("q_clean_titles", r"SELECT page_id, trim(regexp_replace(trim(regexp_replace(url, '\s+', ' ', 'g')), '^[•*\-–—]\s+', '')) AS title FROM pages")
+def clean_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", t.clean_title(F.col("url")).alias("title"))
+
+
+@_register("q_reference_keys", "SELECT page_id, 'text:' || sha1(lower(url)) AS key FROM pages")
+def reference_keys(spark: SparkSession, d: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return table(spark, d, "pages").select("page_id", t.reference_key(none, none, F.col("url")).alias("key"))
+
+
+@_register("q_same_claims", f"WITH c AS (SELECT conv_id, turn, list_filter({_TOKENS.replace('length(x) >= 2', 'length(x) >= 1')}, lambda x: true) AS w FROM conversations), pairs AS (SELECT a.conv_id, a.turn, a.w AS x, b.w AS y FROM c a JOIN c b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1) SELECT conv_id, turn, coalesce(length(list_distinct(list_concat(x, y))) > 0 AND (length(list_intersect(list_distinct(x), list_distinct(y))) / length(list_distinct(list_concat(x, y))) >= 0.85 OR (length(x) >= 5 AND x[1:5] = y[1:5])), false) AS same FROM pairs")
+def same_claims(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "conversations")
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next"))
+    return c.join(after, ["conv_id", "turn"]).select("conv_id", "turn", t.same_claim(F.col("text"), F.col("next")).alias("same"))
+
+
+@_register("q_ctfidf", f"WITH {_POSTINGS}, n AS (SELECT lang AS cluster, token AS term, count(*) AS n FROM p JOIN documents USING (doc_id) GROUP BY ALL), tot AS (SELECT cluster, sum(n) AS total FROM n GROUP BY cluster), df AS (SELECT term, count(DISTINCT cluster) AS df FROM n GROUP BY term) SELECT cluster, term, round(n / total * ln(1 + (SELECT count(*) FROM tot) / df), 9) AS score FROM n JOIN tot USING (cluster) JOIN df USING (term)")
+def ctfidf(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    counts = docs.select(F.col("lang").alias("cluster"), F.explode(t.tokens(F.col("text"))).alias("term")).groupBy("cluster", "term").agg(F.count("*").alias("n"))
+    return evaluation.ctfidf(counts).withColumn("score", F.round("score", 9))
+
+
+@_register("q_neighbours", "SELECT id, neighbour, rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9), b.vec_id)::int AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE rank <= 10")
+def neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10).select("id", "neighbour", "rank")
+
+
+@_register("q_neighbour_graph")
+def neighbour_graph(spark: SparkSession, d: str) -> DataFrame:
+    edges = vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10)
+    return vector_ops.undirected(edges.select(F.col("id").alias("u"), F.col("neighbour").alias("v"), (1 - F.col("distance")).alias("w"))).withColumn("w", F.round("w", 6))
+
+
+@_register("q_quantised", "WITH m AS (SELECT max(list_max(list_transform(embedding, lambda x: abs(x::double)))) AS m FROM embeddings) SELECT vec_id, array_to_string(list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::double * 127.0 / m, 0)::int))), ',') AS q FROM embeddings, m")
+def quantised(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    largest = rows.agg(F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))).alias("m"))
+    q = v.quantise(F.col("embedding"), F.col("m"))
+    return rows.crossJoin(F.broadcast(largest)).select("vec_id", F.array_join(F.transform(q, lambda x: x.cast("string")), ",").alias("q"))
+
+
+@_register("q_centroids", "WITH x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), m AS (SELECT label, pos, avg(x) AS x FROM x GROUP BY ALL), s AS (SELECT label, sqrt(sum(x * x)) AS s FROM m GROUP BY label) SELECT label, (pos - 1)::int AS pos, round(x / s, 6) AS x FROM m JOIN s USING (label)")
+def centroids(spark: SparkSession, d: str) -> DataFrame:
+    found = vector_ops.centroids(table(spark, d, "embeddings"), "label", "embedding")
+    return found.select("label", F.posexplode("centroid").alias("pos", "x")).withColumn("x", F.round("x", 6))
+
+
+@_register("q_nearest_centroid")
+def nearest_centroid(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    return vector_ops.nearest(rows, "vec_id", "embedding", vector_ops.centroids(rows, "label", "embedding"), "label").withColumn("distance", F.round("distance", 6))
+
+
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
+
+
+@_register("q_box_select", "SELECT vec_id FROM embeddings WHERE embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.05 AND 0.2")
+def box_select(spark: SparkSession, d: str) -> DataFrame:
+    return _points(spark, d).where(spatial.in_box(F.col("x"), F.col("y"), (-0.1, -0.05, 0.1, 0.2))).select("vec_id")
+
+
+@_register("q_lasso_select", "WITH p AS (SELECT vec_id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings) SELECT vec_id FROM p WHERE y >= 0 AND y < 0.2 AND x >= -0.2 + y AND x < 0.2 - y")
+def lasso_select(spark: SparkSession, d: str) -> DataFrame:
+    return _points(spark, d).where(spatial.in_polygon(F.col("x"), F.col("y"), [(-0.2, 0.0), (0.2, 0.0), (0.0, 0.2)])).select("vec_id")
+
+
+@_register("q_levels_of_detail")
+def levels_of_detail(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.levels(_points(spark, d), "vec_id", "x", "y", [4, 8, 16]).select("vec_id", "lod")
+
+
+@_register("q_size_metrics", "WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source), p AS (SELECT n, n / sum(n) OVER () AS p FROM n) SELECT count(*) AS clusters, round(max(p), 9) AS largest, round(stddev_pop(n) / avg(n), 9) AS spread, round(-sum(p * ln(p)) / ln(count(*)), 9) AS entropy FROM p")
+def size_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.size_metrics(table(spark, d, "documents"), "source").select("clusters", *(F.round(c, 9).alias(c) for c in ("largest", "spread", "entropy")))
+
+
+@_register("q_purity", "WITH n AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL), p AS (SELECT source, sum(n) OVER (PARTITION BY source) AS s, n / sum(n) OVER (PARTITION BY source) AS p FROM n), e AS (SELECT source, first(s) AS s, max(p) AS top, -sum(p * ln(p)) AS h FROM p GROUP BY source) SELECT round(sum(s * top) / sum(s), 9) AS purity, round(sum(s * h) / sum(s), 9) AS entropy FROM e")
+def purity(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.purity(table(spark, d, "documents"), "source", "lang").select(F.round("purity", 9).alias("purity"), F.round("entropy", 9).alias("entropy"))
+
+
+@_register("q_label_agreement")
+def label_agreement(spark: SparkSession, d: str) -> DataFrame:
+    found = evaluation.agreement(table(spark, d, "documents"), "source", "lang")
+    return found.select(*(F.round(c, 9).alias(c) for c in found.columns))
+
+
+@_register("q_palette", "WITH n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label), r AS (SELECT label, row_number() OVER (ORDER BY n DESC, label) AS r FROM n) SELECT label, CASE WHEN r <= 4 THEN r - 1 ELSE 4 + (row_number() OVER (PARTITION BY r <= 4 ORDER BY label) - 1) % 3 END AS colour FROM r")
+def palette(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "embeddings").groupBy("label").count()
+    ranked = n.withColumn("r", F.row_number().over(Window.partitionBy().orderBy(F.desc("count"), "label")).cast("long"))
+    rest = F.row_number().over(Window.partitionBy(F.col("r") <= 4).orderBy("label")).cast("long") - 1
+    return ranked.select("label", F.when(F.col("r") <= 4, F.col("r") - 1).otherwise(4 + rest % 3).alias("colour"))
+
+
+@_register("q_event_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    return streams.windowed(table(spark, d, "events")).withColumn("total", F.round("total", 4))

@@ -174,7 +174,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_words(train: DataFrame) -> DataFrame:
     """(h, c): how often each word, and the end, is in the texts."""
-    return train.select("text").mapInArrow(_count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return train.select("text").mapInArrow(tx.lean(_count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols: int = 32_768, count_table: int = 1 << 20, passes: int = 2, warm_texts: int = 600, warm_passes: int = 12) -> DataFrame:
@@ -237,7 +237,7 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
                 some = np.flatnonzero(grid.any(1))
                 yield pa.record_batch([pa.array(some.astype(np.int32)), *(pa.array(grid[some, j]) for j in range(k))], names=["row", *(f"s{j}" for j in range(k))])
 
-        got = train.select("text").mapInArrow(gather, "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
+        got = train.select("text").mapInArrow(tx.lean(gather), "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
         grid = np.zeros((m + 2 + states, states))
         grid[got["row"].to_numpy()] = np.column_stack([got[f"s{j}"].to_numpy() for j in range(states)]) if got.num_rows else 0
         model = maximise(grid[m + 1], grid[m + 2 :], grid[: m + 1], prior, weight)
@@ -282,7 +282,7 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
             )
             row += len(n)
 
-    scored = store.save(docs.mapInArrow(score, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<long>, many array<int>"))
+    scored = store.save(docs.mapInArrow(tx.lean(score), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<long>, many array<int>"))
     rest = scored.select("row", F.explode(F.arrays_zip("rest", "many")).alias("x")).select("row", F.col("x.rest").alias("h"), F.col("x.many").alias("many"))
     rare_words = vocabulary.where(F.col("c") < least)
     more = rest.join(rare_words, "h").groupBy("row").agg(F.sum("many").alias("more_known"), F.sum(F.col("many") * F.log10(F.col("c") + 1)).alias("more"))

@@ -72,17 +72,17 @@ class Model:
         return order[:, 0], best, lead
 
 
-def fit(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 150) -> Model:
+def fit(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 100) -> Model:
     """x: rows of trigram shares; y: places in languages. All bits are fitted at once, by Adam."""
     code = codewords(len(languages))
-    scale = 1 / (x.std(0) + 1e-4)
+    scale = 1 / (x.std(0) + np.float32(1e-4))
     x = x * scale
-    target = (code[y] + 1) / 2
-    w, b = np.zeros((x.shape[1], code.shape[1])), np.zeros(code.shape[1])
-    m, v = np.zeros((x.shape[1] + 1, code.shape[1])), np.zeros((x.shape[1] + 1, code.shape[1]))
+    target = ((code[y] + 1) / 2).astype(np.float32)
+    w, b = np.zeros((x.shape[1], code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
+    m, v = np.zeros((x.shape[1] + 1, code.shape[1]), np.float32), np.zeros((x.shape[1] + 1, code.shape[1]), np.float32)
     for t in range(1, steps + 1):
-        miss = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - target) / len(x)
-        g = np.vstack((x.T @ miss + 1e-4 * w, miss.sum(0)))
+        miss = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - target) / np.float32(len(x))
+        g = np.vstack((x.T @ miss + np.float32(1e-4) * w, miss.sum(0)))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
@@ -103,7 +103,7 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column("lang").slice(i, j - i), pa.array([r.tobytes() for r in seen], pa.binary())], names=["lang", "x"])
 
 
-def identify(docs: DataFrame, held_out: Column, *, rows: int = 5000, languages: int = 256, lead: float = 0.2) -> DataFrame:
+def identify(docs: DataFrame, held_out: Column, *, rows: int = 2500, languages: int = 256, lead: float = 0.2) -> DataFrame:
     """Predicts the language of every whole text.
 
     docs needs doc_id, text and lang; other columns are ignored. It learns from at most ``rows`` documents with a
@@ -122,7 +122,7 @@ def identify(docs: DataFrame, held_out: Column, *, rows: int = 5000, languages:
     shares = spark.createDataFrame([(r["lang"], float(min(1.0, 1.2 * quota / r["count"]))) for r in counts], "lang string, part double")
     few = train.where(letter).select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").withColumn("k", F.xxhash64("doc_id")).where(F.pmod("k", F.lit(1 << 30)) < F.col("part") * (1 << 30))
     # at most 1.2 times the quota of each language is expected, so the bound seldom cuts and cuts all alike
-    got = few.mapInArrow(_shares, "lang string, x binary").limit(int(1.5 * rows)).toArrow()
+    got = few.mapInArrow(tx.lean(_shares), "lang string, x binary").limit(int(1.5 * rows)).toArrow()
     model = None
     if got.num_rows:
         names = sorted(set(got["lang"].to_pylist()))
@@ -152,4 +152,4 @@ def identify(docs: DataFrame, held_out: Column, *, rows: int = 5000, languages:
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(said, pa.string()), pa.array(score), pa.array(unsure)], names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
     ready = docs.select("doc_id", "held_out", "text", letter.alias("letter"))
-    return store.finish(ready.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"))
+    return store.finish(ready.mapInArrow(tx.lean(predict), "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"))

@@ -192,8 +192,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 96, cosin
     schema = "doc_id long, uid long, item_id long, start int, end int, cosine double, lcs double, answer double"
     out = None
     for block in _item_blocks(items, min_words):
-        located = store.save(docs.mapInArrow(_locate(spark, block), "doc_id long, uid long, n long, places binary, terms binary"))
-        found = store.save(located.mapInArrow(_search(spark, located, block, rank, cosine, lcs, answer), schema))
+        located = store.save(docs.mapInArrow(tx.lean(_locate(spark, block)), "doc_id long, uid long, n long, places binary, terms binary"))
+        found = store.save(located.mapInArrow(tx.lean(_search(spark, located, block, rank, cosine, lcs, answer)), schema))
         store.drop(located)
         out = found if out is None else out.union(found)
     return store.finish(out if out is not None else spark.createDataFrame([], schema))
@@ -244,7 +244,7 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, l
         some = np.flatnonzero(df)
         yield pa.record_batch([pa.array(np.append(some, -1)), pa.array(np.append(df[some], passages))], names=["term", "n"])
 
-    got = located.select("n", "places", "terms").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    got = located.select("n", "places", "terms").mapInArrow(tx.lean(frequencies), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     place, count = got["term"].to_numpy(), got["n"].to_numpy()
     passages = int(count[place == -1].sum())
     df = np.zeros(terms)
@@ -270,7 +270,7 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, l
         total = np.frombuffer(b"".join(table["part"].to_pylist()), np.float32).reshape(table.num_rows, -1).sum(0, dtype=np.float64)
         return pa.table({"term": [keys[0].as_py()], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = located.select("n", "places", "terms").mapInArrow(multiply, "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
+    parts = located.select("n", "places", "terms").mapInArrow(tx.lean(multiply), "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
     sketch = np.zeros((terms, width))
     if parts.num_rows:
         sketch[parts["term"].to_numpy()] = np.frombuffer(b"".join(parts["part"].to_pylist()), np.float32).reshape(-1, width)

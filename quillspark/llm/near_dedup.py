@@ -191,17 +191,17 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     """
     store = Scratch(docs.sparkSession, "near_dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
-    described = store.save(docs.mapInArrow(_describe(words), "doc_id long, uid long, n_shingles long, node long, mark binary"))
+    described = store.save(docs.mapInArrow(tx.lean(_describe(words)), "doc_id long, uid long, n_shingles long, node long, mark binary"))
     classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.first("mark").alias("mark")))
 
-    banded = classes.select("node", "mark").mapInArrow(_bands, "bucket long, node long")
+    banded = classes.select("node", "mark").mapInArrow(tx.lean(_bands), "bucket long, node long")
     pivots = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = store.save(banded.join(pivots, "bucket"))
 
     agree = round((percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / (BANDS * ROWS))) * BANDS * ROWS)
     candidates = store.save(buckets.select("node").distinct().join(classes.select("node", "class_id"), "node"))
     ids = if_small(store.save(candidates.select("class_id").distinct()))
-    fetched = docs.join(ids.withColumnRenamed("class_id", "doc_id"), "doc_id", "left_semi").select("text").mapInArrow(_shingle_sets(words), "node long, members binary")
+    fetched = docs.join(ids.withColumnRenamed("class_id", "doc_id"), "doc_id", "left_semi").select("text").mapInArrow(tx.lean(_shingle_sets(words)), "node long, members binary")
     wanted = if_small(candidates.select("node"))
     sets = store.save(fetched.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members")))
     marks = classes.select("node", "mark")
@@ -209,9 +209,9 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     def links(pairs: DataFrame, signed: bool = False) -> DataFrame:
         if not signed:
             marked = pairs.join(marks.select(F.col("node").alias("a"), F.col("mark").alias("mark_a")), "a").join(marks.select(F.col("node").alias("b"), F.col("mark").alias("mark_b")), "b")
-            pairs = marked.mapInArrow(_likely(agree), "a long, b long")
+            pairs = marked.mapInArrow(tx.lean(_likely(agree)), "a long, b long")
         full = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
-        return store.save(full.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a long, b long"))
+        return store.save(full.select("a", "b", "left", "right").mapInArrow(tx.lean(_confirm(percent)), "a long, b long"))
 
     def named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Components of both ends; a node without links is its own."""
@@ -234,7 +234,7 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     open_ = store.save(open_.withColumn("block", F.pmod(F.hash("node"), "blocks")).withColumn("left_block", F.pmod(F.hash("node"), "left_blocks")))
     if not open_.isEmpty():
         rows = open_.join(marks, "node").join(sets, "node").select("bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block", "mark", "members")
-        rows = rows.mapInArrow(_shorten, "bucket long, node long, component long, large long, blocks int, block int, left_blocks int, left_block int, short binary, keys binary")
+        rows = rows.mapInArrow(tx.lean(_shorten), "bucket long, node long, component long, large long, blocks int, block int, left_blocks int, left_block int, short binary, keys binary")
         left = rows.where("component != large").select("bucket", F.col("left_block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component", "short", "keys")
         right = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "component", "short", "keys")
         pairs = store.save(left.union(right).groupBy("bucket", "i", "j").applyInPandas(_across(percent), "a long, b long").distinct())

@@ -77,7 +77,7 @@ class Encoder:
     """Token ids of whole texts. Words between ASCII white space are encoded alone, as the tokenizer's own rules never
     join them, and kept in a bounded cache."""
 
-    def __init__(self, path: str, words: int = 600_000):
+    def __init__(self, path: str, words: int = 420_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
@@ -144,16 +144,6 @@ class Encoder:
         return ids, np.concatenate(([0], ends))[words]
 
 
-#: One encoder a Python worker, so that its cache outlives a task.
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997) -> DataFrame:
     """Packs the token ids of every whole text, then ``end``, into sequences of at most ``capacity`` ids.
 
@@ -168,7 +158,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1,
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        encoder, bins, made = encoder_of(tokenizer), OpenBins(capacity, open_bins), 0
+        encoder, bins, made = Encoder(tokenizer), OpenBins(capacity, open_bins), 0
         ending = np.array([end], np.uint32)
 
         def out(closed: list[tuple[int, list]]) -> pa.RecordBatch:
@@ -199,7 +189,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1,
             yield out(left)
 
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = store.save(encoded.mapInArrow(first, "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, used long"))
+    placed = store.save(encoded.mapInArrow(tx.lean(first), "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, used long"))
     loose = placed.where((F.col("used") < full * capacity) & (F.col("offset") == 0)).select("bin", "used")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +215,6 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1,
 
     # at most open_bins loose bins a task; a second task for each 50,000 of them, the fullest and the emptiest mixed
     tasks = max(1, loose.count() // 50_000)
-    joined = store.save(loose.repartition(tasks, F.pmod(F.xxhash64("bin"), F.lit(tasks))).sortWithinPartitions(F.desc("used"), "bin").mapInArrow(again, "bin long, sequence_id long, base long"))
+    joined = store.save(loose.repartition(tasks, F.pmod(F.xxhash64("bin"), F.lit(tasks))).sortWithinPartitions(F.desc("used"), "bin").mapInArrow(tx.lean(again), "bin long, sequence_id long, base long"))
     moved = placed.join(joined, "bin", "left")
     return store.finish(moved.select("doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("sequence_id", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset")))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.llm import text as tx
 from quillspark.llm.store import Scratch
 
 #: Rows of an index block and of a query block.
@@ -124,8 +125,8 @@ def _search(store: Scratch, rows: DataFrame, width: int, k: int, pivots: int, sa
                 yield pa.record_batch([pa.array([pivot[at]], pa.int32()), pa.array([d[0]]), pa.array([d[-1]]), pa.array([d.tobytes()], pa.binary()), pa.array([batch.column("vec_id").slice(at, to - at).to_numpy().tobytes()], pa.binary()), pa.array([b"".join(batch.column("x").slice(at, to - at).to_pylist())], pa.binary())], names=["pivot", "low", "high", "distances", "ids", "x"])
                 at = to
 
-    keyed = rows.select("vec_id", "x").mapInArrow(key, "vec_id long, pivot int, distance double, x binary")
-    index = store.save(keyed.repartitionByRange("pivot", "distance", "vec_id").sortWithinPartitions("pivot", "distance", "vec_id").mapInArrow(pack, "pivot int, low double, high double, distances binary, ids binary, x binary"))
+    keyed = rows.select("vec_id", "x").mapInArrow(tx.lean(key), "vec_id long, pivot int, distance double, x binary")
+    index = store.save(keyed.repartitionByRange("pivot", "distance", "vec_id").sortWithinPartitions("pivot", "distance", "vec_id").mapInArrow(tx.lean(pack), "pivot int, low double, high double, distances binary, ids binary, x binary"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, _ = shared.value
@@ -134,7 +135,7 @@ def _search(store: Scratch, rows: DataFrame, width: int, k: int, pivots: int, sa
             near = np.argmin(query_distances(x, centres), 1) if len(x) else np.empty(0, np.int64)
             yield pa.record_batch([batch.column("vec_id"), pa.array(near.astype(np.int32)), pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())], names=["query_id", "home", "q"])
 
-    asked = store.save(rows.where("is_query").select("vec_id", "x").distinct().mapInArrow(ask, "query_id long, home int, q binary"))
+    asked = store.save(rows.where("is_query").select("vec_id", "x").distinct().mapInArrow(tx.lean(ask), "query_id long, home int, q binary"))
 
     def probe(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         """Around a query's nearest pivot, the blocks whose annuli are nearest to its distance."""
@@ -203,9 +204,9 @@ def _search(store: Scratch, rows: DataFrame, width: int, k: int, pivots: int, sa
             if found:
                 yield pa.record_batch([pa.array(np.concatenate([f[c] for f in found])) for c in range(3)], names=["query_id", "vec_id", "score"])
 
-    waves = bounded.repartition(F.col("query_id")).mapInArrow(group, "pivot int, qids binary, q binary, `from` binary, `to` binary, least double, most double")
+    waves = bounded.repartition(F.col("query_id")).mapInArrow(tx.lean(group), "pivot int, qids binary, q binary, `from` binary, `to` binary, least double, most double")
     joined = waves.join(index, "pivot").where("low <= most and high >= least").drop("least", "most", "low", "high", "pivot")
-    hits = joined.mapInArrow(expand, "query_id long, vec_id long, score long")
+    hits = joined.mapInArrow(tx.lean(expand), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

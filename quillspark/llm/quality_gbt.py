@@ -165,7 +165,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows:
     store = Scratch(spark, "quality")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    measured = store.save(docs.mapInArrow(_measure, "doc_id long, held_out boolean, x array<float>"))
+    measured = store.save(docs.mapInArrow(tx.lean(_measure), "doc_id long, held_out boolean, x array<float>"))
     chosen = labelled(labels, "quality", held_out, rows)
     known = measured.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("x", "y").toArrow()
     x = known["x"].combine_chunks().flatten().to_numpy().reshape(-1, len(STATISTICS)) if known.num_rows else np.empty((0, len(STATISTICS)))
@@ -177,4 +177,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows:
             score = np.concatenate([1 / (1 + np.exp(-forest.value.margin(x[i : i + 4096]))) for i in range(0, len(x), 4096)]) if len(x) else np.empty(0)
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return store.finish(measured.mapInArrow(walk, "doc_id long, held_out boolean, score double, predicted int"))
+    return store.finish(measured.mapInArrow(tx.lean(walk), "doc_id long, held_out boolean, score double, predicted int"))

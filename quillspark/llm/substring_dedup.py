@@ -325,12 +325,12 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     """
     store = Scratch(docs.sparkSession, "substring")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("uid", uid_of())
-    found = docs.mapInArrow(_scan(k, w), f"h long, {LINK}")
+    found = docs.mapInArrow(tx.lean(_scan(k, w)), f"h long, {LINK}")
     # links made already ride along under the document's own key
     ordered = found.repartition(F.col("h")).sortWithinPartitions("h", "doc_id", "uid", "pos")
-    links = ordered.mapInArrow(_resolve, LINK)
+    links = ordered.mapInArrow(tx.lean(_resolve), LINK)
     nearest = min_words - 2 * w
-    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(_chains(k, w, max(k, min(nearest, min_words // 2))), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int")
+    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, max(k, min(nearest, min_words // 2)))), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int")
     chains = store.save(chains)
 
     sides = [chains.select(F.col(u).alias("uid"), F.greatest(F.lit(0), F.col(s) - MARGIN).alias("from"), (F.col(e) + MARGIN).alias("to")) for u, s, e in (("uid", "start", "end"), ("partner_uid", "partner_start", "partner_end"))]
@@ -339,12 +339,12 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     wanted = store.save(asked.groupBy("uid").agg(F.collect_list(F.struct("from", "to")).alias("spans")))
     uids = if_small(wanted.select("uid"))
     texts = docs.select("uid", "text").join(uids, "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text"))
-    slices = store.save(texts.join(wanted, "uid").mapInArrow(_slices, "uid long, from int, to int, words binary"))
+    slices = store.save(texts.join(wanted, "uid").mapInArrow(tx.lean(_slices), "uid long, from int, to int, words binary"))
     left, right = (slices.select(F.col("uid").alias(f"{x}_uid"), F.col("from").alias(f"{x}_from"), F.col("to").alias(f"{x}_to"), F.col("words").alias(x)) for x in ("left", "right"))
     both = chains.join(left, (F.col("uid") == F.col("left_uid")) & (F.greatest(F.lit(0), F.col("start") - MARGIN) == F.col("left_from")) & (F.col("end") + MARGIN == F.col("left_to")))
     both = both.join(right, (F.col("partner_uid") == F.col("right_uid")) & (F.greatest(F.lit(0), F.col("partner_start") - MARGIN) == F.col("right_from")) & (F.col("partner_end") + MARGIN == F.col("right_to")))
     both = both.select("doc_id", "uid", "start", "end", "partner_id", "partner_start", "partner_end", "left", "right")
-    aligned = store.save(both.mapInArrow(_align(identity), "doc_id long, uid long, doc_start int, doc_end int, partner_id long, partner_start int, partner_end int, matched int, identity double"))
+    aligned = store.save(both.mapInArrow(tx.lean(_align(identity)), "doc_id long, uid long, doc_start int, doc_end int, partner_id long, partner_start int, partner_end int, matched int, identity double"))
 
     from pyspark.sql import Window
 

@@ -6,7 +6,10 @@ times powers of an odd constant, mixed. No Python object is made per word. Null
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 
 #: Bytes of text that are worked on at once; a longer text is a block of its own.
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -125,5 +128,21 @@ def shingles(h: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
     return mix(value), to
 
 
+def lean(run: Callable) -> Callable:
+    """run over a task's batches; afterwards freed memory goes back to the system, since Spark keeps its Python
+    workers and the next task may need the memory for something else."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())

@@ -209,7 +209,7 @@ def fit(f: Features, y: np.ndarray, steps: int = 200) -> Classifier:
     return model
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows: int = 6_000, threshold: float = 0.5) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows: int = 4_000, threshold: float = 0.5) -> DataFrame:
     """Scores every whole text; learns from at most ``rows`` labelled documents that are not held out.
 
     docs needs doc_id and text, labels doc_id and toxic; other columns are ignored. held_out: a Boolean column over
@@ -231,7 +231,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, *, rows
             yield pa.record_batch([batch.column("doc_id"), batch.column("uid"), batch.column("held_out"), pa.array(got), pa.array((got >= threshold).astype(np.int32))], names=["doc_id", "uid", "held_out", "score", "predicted"])
 
     held = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
-    return store.finish(held.mapInArrow(score, "doc_id long, uid long, held_out boolean, score double, predicted int"))
+    return store.finish(held.mapInArrow(tx.lean(score), "doc_id long, uid long, held_out boolean, score double, predicted int"))
 
 
 def _words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,7 +251,7 @@ def _words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _learn(docs: DataFrame, chosen: DataFrame, rows: int) -> Classifier:
     sample = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).limit(rows)
-    got = sample.select("text", "y").mapInArrow(_words_only, "y int, h array<long>, stems array<long>, patterns array<double>").toArrow()
+    got = sample.select("text", "y").mapInArrow(tx.lean(_words_only), "y int, h array<long>, stems array<long>, patterns array<double>").toArrow()
     if not got.num_rows:
         return Classifier(np.unique(_word_hashes(LEXICON)), np.zeros(len(set(LEXICON)) + PATTERNS + 2), np.zeros(BUCKETS), 0.0)
     lists = []

@@ -77,7 +77,7 @@ class Encoder:
     """Token ids of whole texts. Words between ASCII white space are encoded alone, as the tokenizer's own rules never
     join them, and kept in a bounded cache."""
 
-    def __init__(self, path: str, words: int = 420_000):
+    def __init__(self, path: str, words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
@@ -144,11 +144,24 @@ class Encoder:
         return ids, np.concatenate(([0], ends))[words]
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997) -> DataFrame:
+#: Encoders that outlive a task, one a Python worker.
+_KEPT: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str, words: int, reuse: bool) -> Encoder:
+    if not reuse:
+        return Encoder(path, words)
+    if path not in _KEPT or _KEPT[path].words != words:
+        _KEPT[path] = Encoder(path, words)
+    return _KEPT[path]
+
+
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997, cache_words: int = 600_000, reuse: bool = True) -> DataFrame:
     """Packs the token ids of every whole text, then ``end``, into sequences of at most ``capacity`` ids.
 
     docs needs doc_id and text; other columns are ignored. tokenizer: the path of a tokenizers file that every
-    executor can open. Null and empty texts are one id, the end. Only longer documents are cut, into pieces of
+    executor can open. cache_words, reuse: how many words' ids a Python worker keeps, and whether from task to task;
+    they change memory and time only. Null and empty texts are one id, the end. Only longer documents are cut, into pieces of
     capacity ids and a rest. Repeated rows and doc_ids are packed one by one. Returns a row per piece: doc_id, piece,
     start, length, ids_crc32, sequence_id, offset; offsets of a sequence are gapless. An empty table gives no rows.
     """
@@ -158,7 +171,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1,
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        encoder, bins, made = Encoder(tokenizer), OpenBins(capacity, open_bins), 0
+        encoder, bins, made = encoder_of(tokenizer, cache_words, reuse), OpenBins(capacity, open_bins), 0
         ending = np.array([end], np.uint32)
 
         def out(closed: list[tuple[int, list]]) -> pa.RecordBatch:

@@ -62,8 +62,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens."""
-    return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+    """Sequences of at most 4096 tokens. Workers keep no cache that later stages would have to make room for."""
+    return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), cache_words=300_000, reuse=False)
 
 
 STAGES = [

@@ -192,16 +192,16 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     store = Scratch(docs.sparkSession, "near_dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
     described = store.save(docs.mapInArrow(tx.lean(_describe(words)), "doc_id long, uid long, n_shingles long, node long, mark binary"))
-    classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.first("mark").alias("mark")))
+    classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("uid").alias("text_of"), F.first("mark").alias("mark")))
 
     banded = classes.select("node", "mark").mapInArrow(tx.lean(_bands), "bucket long, node long")
     pivots = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = store.save(banded.join(pivots, "bucket"))
 
     agree = round((percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / (BANDS * ROWS))) * BANDS * ROWS)
-    candidates = store.save(buckets.select("node").distinct().join(classes.select("node", "class_id"), "node"))
-    ids = if_small(store.save(candidates.select("class_id").distinct()))
-    fetched = docs.join(ids.withColumnRenamed("class_id", "doc_id"), "doc_id", "left_semi").select("text").mapInArrow(tx.lean(_shingle_sets(words)), "node long, members binary")
+    candidates = store.save(buckets.select("node").distinct().join(classes.select("node", "text_of"), "node"))
+    names = if_small(store.save(candidates.select(F.col("text_of").alias("uid")).distinct()))
+    fetched = docs.join(names, "uid", "left_semi").select("text").mapInArrow(tx.lean(_shingle_sets(words)), "node long, members binary")
     wanted = if_small(candidates.select("node"))
     sets = store.save(fetched.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members")))
     marks = classes.select("node", "mark")

@@ -79,6 +79,37 @@ def test_near_dedup_by_brute_force(docs):
     assert {(r["doc_id"], r["component_id"]) for r in got} == set(low.items())
 
 
+def test_near_copies_without_ids_are_linked(spark):
+    from quillspark.llm.near_dedup import link_documents
+
+    rng = random.Random(8)
+    text = prose(rng, 200)
+    rows = [(None, text + " end"), (None, text), (9, prose(rng, 60))]
+    got = link_documents(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in got) == [("9", "9", True), ("None", "None", True), ("None", "None", True)]
+    named = [(4, text + " end"), (None, text), (3, text + " more"), (9, rows[2][1])]
+    got = link_documents(spark.createDataFrame(named, "doc_id long, text string"), words=3, percent=85).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"], r["kept"]) for r in got) == [("3", 3, True), ("4", 3, False), ("9", 9, True), ("None", 3, False)]
+
+
+@pytest.mark.parametrize("name", ["op3_near_dedup", "op8_pivot_search"])
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_queries_equal_their_sql(spark, name, size):
+    import duckdb
+
+    from quillspark.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/{size}/{t}.parquet'")
+    want = con.execute(ORACLE_SQL[name])
+    names = sorted(d[0] for d in want.description)
+    want = {tuple(r) for r in want.df()[names].itertuples(index=False, name=None)}
+    got = QUERIES[name](spark, f"/root/testdata/{size}")
+    assert sorted(got.columns) == names
+    assert {tuple(r) for r in got.toPandas()[names].itertuples(index=False, name=None)} == want
+
+
 def test_sharding_is_even_and_whole(docs):
     from quillspark.llm.kd_shard import shard
 

@@ -96,3 +96,17 @@ def ngrams(words: Column, n: int) -> Column:
 def category_distance(left_parent: Column, left: Column, right_parent: Column, right: Column) -> Column:
     """0 for the same category, 0.5 for the same parent, else 1."""
     return F.when((left_parent == right_parent) & (left == right), 0.0).when(left_parent == right_parent, 0.5).otherwise(1.0)
+
+
+def urls(text: Column) -> Column:
+    """All distinct web addresses in order, without closing signs."""
+    found = F.regexp_extract_all(text, F.lit(r"(https?://[^\s\"'<>]+)"), 1)
+    return F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, r"[.,;:)\]]+$", "")))
+
+
+def term_score(text: Column, fields: list[tuple[Column, float]], term: str) -> Column:
+    """A word's occurrences in arrays of words, each field with its weight."""
+    score = F.lit(0.0)
+    for words, weight in fields:
+        score = score + F.size(F.filter(words, lambda x: x == term)) * F.lit(weight)
+    return F.coalesce(score, F.lit(0.0))

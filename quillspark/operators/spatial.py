@@ -43,3 +43,24 @@ def levels(points: DataFrame, key: str, x: str, y: str, resolutions: list[int])
         first = F.min(F.col(key)).over(whole) == F.col(key)
         out = out.withColumn("lod", F.when(F.col("lod").isNull() & (covered == 0) & first, F.lit(level)).otherwise(F.col("lod"))).drop("_cell")
     return out.withColumn("lod", F.coalesce("lod", F.lit(len(resolutions))))
+
+
+def coverage(points: DataFrame, lod: str, x: str, y: str, resolution: int) -> DataFrame:
+    """(lod, coverage): the share of the occupied cells that each level and the levels before it reach."""
+    low = points.agg(F.min(x), F.min(y), F.greatest(F.max(x) - F.min(x), F.max(y) - F.min(y))).first()
+    span = (low[0] or 0.0, low[1] or 0.0, low[2] or 0.0)
+    first = points.select(F.col(lod).alias("lod"), cells(points, x, y, resolution, span).alias("cell")).groupBy("cell").agg(F.min("lod").alias("first"))
+    many = points.select(F.col(lod).alias("lod")).distinct().join(first.groupBy(F.col("first").alias("lod")).agg(F.count("*").alias("n")), "lod", "left")
+    so_far = F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy("lod"))
+    return many.select("lod", (so_far / F.sum("n").over(Window.partitionBy())).alias("coverage"))
+
+
+def lod_cap(points: DataFrame, lod: str, order: str, most: int = 50_000) -> DataFrame:
+    """Whole levels from the coarsest, then part of one in source order, ``most`` points in all."""
+    return points.orderBy(lod, order).limit(most).orderBy(order)
+
+
+def detail(points: DataFrame, lod: str, rest: int, x: str, y: str, box: tuple[float, float, float, float], budget: int) -> DataFrame:
+    """The points of the last level in a box, or none at all if they are more than the budget."""
+    seen = points.where((F.col(lod) == rest) & in_box(F.col(x), F.col(y), box))
+    return seen.limit(0) if seen.limit(budget + 1).count() > budget else seen

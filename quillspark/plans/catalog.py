@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillspark.functions import markup
 from quillspark.functions import text as t
 from quillspark.functions import vectors as v
-from quillspark.operators import evaluation, facets, relational, search, spatial, vector_ops
+from quillspark.operators import clusters, evaluation, facets, ordering, relational, search, sequence, spatial, vector_ops
 from quillspark.sources.tables import table
 from quillspark.streaming import events as streams
 
@@ -307,3 +308,190 @@ def palette(spark: SparkSession, d: str) -> DataFrame:
 @_register("q_event_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
     return streams.windowed(table(spark, d, "events")).withColumn("total", F.round("total", 4))
+
+
+#: SQL of functions.text.fold.
+_FOLD = "translate(regexp_replace(lower({}), '[̀-ͯ^`¨¯´¸]', '', 'g'), '" + t.ACCENTED + "', '" + t.PLAIN + "')"
+
+
+@_register("q_exact_id", "SELECT doc_id, lang FROM documents WHERE doc_id = 12")
+def exact_id(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where(F.col("doc_id") == 12).select("doc_id", "lang")
+
+
+@_register("q_substring_search", f"SELECT doc_id FROM documents WHERE contains({_FOLD.format('text')}, 'ers')")
+def substring_search(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where(t.fold(F.col("text")).contains("ers")).select("doc_id")
+
+
+@_register("q_page", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 60 OFFSET 60")
+def page(spark: SparkSession, d: str) -> DataFrame:
+    return ordering.page(table(spark, d, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 1)
+
+
+@_register("q_merge_sources", "WITH u AS (SELECT 'article' AS source, doc_id AS id, (n_chars % 5)::double AS first, l.q::double AS second FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) l USING (doc_id) UNION ALL SELECT 'overlay', page_id, (length(url) % 5)::double, page_id::double FROM pages) SELECT *, row_number() OVER (ORDER BY first DESC NULLS LAST, second DESC NULLS LAST, source, id) - 1 AS place FROM u")
+def merge_sources(spark: SparkSession, d: str) -> DataFrame:
+    scores = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("second"))
+    articles = table(spark, d, "documents").join(scores, "doc_id", "left").select(F.col("doc_id").alias("id"), (F.col("n_chars") % 5).alias("first"), "second")
+    overlay = table(spark, d, "pages").select(F.col("page_id").alias("id"), (F.length("url") % 5).alias("first"), F.col("page_id").alias("second"))
+    return ordering.merge_sources({"article": articles, "overlay": overlay})
+
+
+@_register("q_run_diff", "SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' ELSE 'removed' END AS state FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'fr') a FULL JOIN (SELECT DISTINCT doc_id FROM documents WHERE n_chars >= 300) b ON a.doc_id = b.doc_id WHERE a.doc_id IS NULL OR b.doc_id IS NULL")
+def run_diff(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return ordering.difference(docs.where("lang <> 'fr'"), docs.where("n_chars >= 300"), "doc_id")
+
+
+@_register("q_ordered_distinct", "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def ordered_distinct(spark: SparkSession, d: str) -> DataFrame:
+    return ordering.ordered_distinct(table(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", ["ts", "event_id"]).select("user_id", "event_id")
+
+
+@_register("q_slots", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderdate) - 1 AS slot FROM orders")
+def slots(spark: SparkSession, d: str) -> DataFrame:
+    return ordering.slots(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate").select("o_orderkey", "slot")
+
+
+@_register("q_relabel", "SELECT label, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS renamed FROM embeddings GROUP BY label")
+def relabel(spark: SparkSession, d: str) -> DataFrame:
+    return ordering.by_size(table(spark, d, "embeddings"), "label")
+
+
+@_register("q_letters", f"SELECT doc_id, CASE WHEN f BETWEEN 'A' AND 'Z' THEN f ELSE 'Other' END AS letter FROM (SELECT doc_id, upper(substr({_FOLD.format('ltrim(text)')}, 1, 1)) AS f FROM documents)")
+def letters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", ordering.letter(F.col("text")).alias("letter"))
+
+
+@_register("q_invariants", "SELECT count(*) AS n, (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)) AS repeated_keys, count(*) FILTER (WHERE l_orderkey IS NULL) AS missing_keys, count(*) FILTER (WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey > 4)) AS dangling FROM lineitem")
+def invariants(spark: SparkSession, d: str) -> DataFrame:
+    return ordering.invariants(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "supplier").where("s_nationkey > 4"), "s_suppkey", "l_suppkey")
+
+
+@_register("q_merge_references", "WITH e AS (SELECT user_id, event_id, event_type, CASE WHEN value > 10 THEN event_type END AS big FROM events), f AS (SELECT user_id, event_type, min(event_id) AS place FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY place, event_type) AS n FROM f) SELECT user_id, count(*) AS uses, arg_min(big, event_id) AS big, (SELECT string_agg(event_type, ',' ORDER BY n) FROM r WHERE r.user_id = e.user_id AND n <= 3) AS raw FROM e GROUP BY user_id")
+def merge_references(spark: SparkSession, d: str) -> DataFrame:
+    uses = table(spark, d, "events").select("user_id", "event_id", F.when(F.col("value") > 10, F.col("event_type")).alias("big"), F.col("event_type").alias("raw"))
+    return ordering.merge_references(uses, "user_id", F.col("event_id"), ["big"], "raw").withColumn("raw", F.array_join("raw", ","))
+
+
+@_register("q_links", r"""SELECT page_id, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' '), '') AS links FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(https?://[^\s"''<>]+)', 1), lambda u: regexp_replace(u, '[.,;:)\]]+$', '')) AS l FROM pages)""")
+def links(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", F.array_join(t.urls(F.col("html")), " ").alias("links"))
+
+
+@_register("q_html_markdown")
+def html_markdown(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", markup.html_to_markdown(F.col("html")).alias("markdown"))
+
+
+@_register("q_term_score", f"WITH x AS (SELECT doc_id, {_TOKENS} AS b, {_TOKENS.replace('lower(text)', 'lower(source)')} AS s FROM documents) SELECT doc_id, length(list_filter(s, lambda y: y = 'src0')) * 10.0::double + length(list_filter(b, lambda y: y = 'the')) * 1.5::double AS score FROM x")
+def term_score(spark: SparkSession, d: str) -> DataFrame:
+    fields = [(t.tokens(F.col("source")), 10.0), (t.tokens(F.col("text")), 1.5)]
+    one, two = t.term_score(F.col("text"), fields[:1], "src0"), t.term_score(F.col("text"), fields[1:], "the")
+    return table(spark, d, "documents").select("doc_id", (one + two).alias("score"))
+
+
+_PAIRS = "n AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9) AS distance, a.label AS la, b.label AS lb FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)"
+
+
+@_register("q_farthest", f"WITH {_PAIRS} SELECT id, neighbour, (row_number() OVER (PARTITION BY id ORDER BY distance DESC, neighbour))::int AS rank FROM n QUALIFY rank <= 10")
+def farthest(spark: SparkSession, d: str) -> DataFrame:
+    return vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10, farthest=True).select("id", "neighbour", "rank")
+
+
+@_register("q_place_in_map", f"WITH {_PAIRS}, k AS (SELECT * FROM n WHERE id % 10 = 0 AND neighbour % 10 <> 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 15), w AS (SELECT id, neighbour, exp((min(distance) OVER (PARTITION BY id) - distance) / 0.1) AS w FROM k) SELECT id, round(sum(w * embedding[1]) / sum(w), 6) AS x, round(sum(w * embedding[2]) / sum(w), 6) AS y FROM w JOIN embeddings ON vec_id = neighbour GROUP BY id")
+def place_in_map(spark: SparkSession, d: str) -> DataFrame:
+    rows = _points(spark, d).join(table(spark, d, "embeddings").select("vec_id", "embedding"), "vec_id")
+    found = vector_ops.place(rows.where("vec_id % 10 = 0"), rows.where("vec_id % 10 <> 0"), "vec_id", "embedding", ["x", "y"])
+    return found.select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@_register("q_label_neighbours", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT round(avg((la = lb)::int), 9) AS agreement FROM k")
+def label_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
+    return vector_ops.label_agreement(edges, rows.select(F.col("vec_id").alias("id"), "label")).select(F.round("agreement", 9).alias("agreement"))
+
+
+@_register("q_expand", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT neighbour AS id, min(distance) AS distance FROM k WHERE id % 25 = 0 AND neighbour % 25 <> 0 GROUP BY neighbour HAVING min(distance) <= 0.8 ORDER BY distance, id LIMIT 250")
+def expand(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
+    return vector_ops.expand(rows.where("vec_id % 25 = 0").select(F.col("vec_id").alias("id")), edges, 0.8, 250)
+
+
+@_register("q_modularity", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10), g AS (SELECT least(id, neighbour) AS u, greatest(id, neighbour) AS v, avg(1 - distance) AS w, first(CASE WHEN id < neighbour THEN la ELSE lb END) AS lu, first(CASE WHEN id < neighbour THEN lb ELSE la END) AS lv FROM k GROUP BY ALL), m AS (SELECT sum(w) AS m FROM g), i AS (SELECT lu AS l, sum(w) AS inside FROM g WHERE lu = lv GROUP BY lu), d AS (SELECT l, sum(w) AS degree FROM (SELECT lu AS l, w FROM g UNION ALL SELECT lv, w FROM g) GROUP BY l) SELECT round(sum(coalesce(inside, 0) / m - (degree / (2 * m)) ** 2), 6) AS modularity FROM d LEFT JOIN i USING (l), m")
+def modularity(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
+    graph = vector_ops.undirected(edges.select(F.col("id").alias("u"), F.col("neighbour").alias("v"), (1 - F.col("distance")).alias("w")))
+    return vector_ops.modularity(graph, rows.select(F.col("vec_id").alias("id"), "label")).select(F.round("modularity", 6).alias("modularity"))
+
+
+_CENTRES = "x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos, vec_id FROM embeddings), c AS (SELECT label, pos, avg(x) AS m FROM x GROUP BY ALL), o AS (SELECT label, vec_id, sqrt(sum((x - m) ** 2)) AS d FROM x JOIN c USING (label, pos) GROUP BY ALL), g AS (SELECT a.label AS a, b.label AS b, sqrt(sum((a.m - b.m) ** 2)) AS gap FROM c a JOIN c b ON a.pos = b.pos AND a.label < b.label GROUP BY ALL)"
+
+
+@_register("q_separation", f"WITH {_CENTRES} SELECT round(i, 6) AS intra, round(e, 6) AS inter, round(e / i, 6) AS ratio FROM (SELECT avg(d) AS i FROM o), (SELECT avg(gap) AS e FROM g)")
+def separation(spark: SparkSession, d: str) -> DataFrame:
+    found = clusters.separation(table(spark, d, "embeddings"), "label", "embedding")
+    return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
+
+
+@_register("q_scatter", f"WITH {_CENTRES}, s AS (SELECT label, avg(d) AS s, sum(d * d) AS inside, count(*) AS n FROM o GROUP BY label), al AS (SELECT pos, avg(x) AS a FROM x GROUP BY pos), u AS (SELECT label, sum((m - a) ** 2) AS o FROM c JOIN al USING (pos) GROUP BY label), r AS (SELECT a, b, (x.s + y.s) / gap AS r FROM g JOIN s x ON x.label = a JOIN s y ON y.label = b), w AS (SELECT l, max(r) AS r FROM (SELECT a AS l, r FROM r UNION ALL SELECT b, r FROM r) GROUP BY l) SELECT round((SELECT sum(n * o) / (count(*) - 1) / (sum(inside) / (sum(n) - count(*))) FROM s JOIN u USING (label)), 6) AS calinski_harabasz, round((SELECT avg(r) FROM w), 6) AS davies_bouldin")
+def scatter(spark: SparkSession, d: str) -> DataFrame:
+    found = clusters.scatter(table(spark, d, "embeddings"), "label", "embedding")
+    return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
+
+
+@_register("q_kmeans")
+def kmeans(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.fit(table(spark, d, "embeddings"), "vec_id", "embedding", 10, components=16)
+
+
+@_register("q_window_distances", "WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS d FROM embeddings a JOIN embeddings b ON b.vec_id > a.vec_id AND b.vec_id <= a.vec_id + 5) SELECT round(avg(d) FILTER (WHERE j = i + 1), 6) AS adjacent_mean, round(median(d) FILTER (WHERE j = i + 1), 6) AS adjacent_median, round(avg(d), 6) AS window_mean, round(median(d), 6) AS window_median FROM p")
+def window_distances(spark: SparkSession, d: str) -> DataFrame:
+    found = sequence.window_distances(table(spark, d, "embeddings"), "vec_id", "embedding", 5)
+    return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
+
+
+@_register("q_sequence_tail", "WITH p AS (SELECT a.vec_id AS p, b.vec_id AS q, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS s FROM embeddings a JOIN embeddings b ON b.vec_id <> a.vec_id AND abs(b.vec_id - a.vec_id) <= 5), m AS (SELECT p, avg(s) AS m FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY p ORDER BY abs(q - p), q) <= 5) GROUP BY p) SELECT round(avg(m), 6) AS mean, round(median(m), 6) AS median, round(quantile_cont(m, 0.1), 6) AS p10, count(*) FILTER (WHERE m < 0.6) AS below_06, count(*) FILTER (WHERE m < 0.5) AS below_05 FROM m")
+def sequence_tail(spark: SparkSession, d: str) -> DataFrame:
+    found = sequence.tail(sequence.neighbour_means(table(spark, d, "embeddings"), "vec_id", "embedding"))
+    return found.select(*(F.round(c, 6).alias(c) if c in ("mean", "median", "p10") else F.col(c) for c in found.columns))
+
+
+@_register("q_greedy_paths")
+def greedy_paths(spark: SparkSession, d: str) -> DataFrame:
+    return sequence.greedy_paths(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
+
+
+@_register("q_group_top", "WITH u AS (SELECT unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE label = 0), c AS (SELECT list(m ORDER BY pos) AS m FROM (SELECT pos, avg(x) AS m FROM u GROUP BY pos)) SELECT vec_id AS id, round(list_cosine_similarity(embedding::double[], m), 6) AS similarity FROM embeddings, c WHERE label <> 0 ORDER BY round(list_cosine_similarity(embedding::double[], m), 9) DESC, vec_id LIMIT 20")
+def group_top(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    found = vector_ops.nearest_to_group(rows.where("label = 0"), rows.where("label <> 0"), "vec_id", "embedding", 20)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@_register("q_viewport_detail", "WITH p AS (SELECT vec_id FROM embeddings WHERE vec_id % 4 = 3 AND embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.1 AND 0.1) SELECT vec_id FROM p WHERE (SELECT count(*) FROM p) <= 100000")
+def viewport_detail(spark: SparkSession, d: str) -> DataFrame:
+    points = _points(spark, d).withColumn("lod", (F.col("vec_id") % 4).cast("int"))
+    return spatial.detail(points, "lod", 3, "x", "y", (-0.1, -0.1, 0.1, 0.1), 100_000).select("vec_id")
+
+
+@_register("q_lod_cap", "SELECT vec_id FROM embeddings ORDER BY vec_id % 4, vec_id LIMIT 300")
+def lod_cap(spark: SparkSession, d: str) -> DataFrame:
+    points = _points(spark, d).withColumn("lod", (F.col("vec_id") % 4).cast("int"))
+    return spatial.lod_cap(points, "lod", "vec_id", 300).select("vec_id")
+
+
+@_register("q_lod_coverage")
+def lod_coverage(spark: SparkSession, d: str) -> DataFrame:
+    leveled = spatial.levels(_points(spark, d), "vec_id", "x", "y", [4, 8, 16])
+    return spatial.coverage(leveled, "lod", "x", "y", 16).withColumn("coverage", F.round("coverage", 9))
+
+
+@_register("q_stratified")
+def stratified(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    sizes = rows.groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"))
+    return relational.stratified(rows, "label", "vec_id", relational.quotas(sizes, 100), 7).select("vec_id", "label")

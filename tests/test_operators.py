@@ -1,10 +1,12 @@
 """Search grammar, edit distance, facets, relational and spatial operators on small inputs; oracles at sf0.001."""
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.operators import facets, relational, search, spatial
+from quillspark.functions import markup
+from quillspark.operators import clusters, facets, ordering, relational, search, sequence, spatial
 from quillspark.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
@@ -50,6 +52,43 @@ def test_polygon_needs_three_corners(spark):
     assert rows.where(spatial.in_polygon(F.col("x"), F.col("y"), [(0, 0), (1, 1)])).isEmpty()
 
 
+def test_markdown():
+    assert markup.convert(None) is None and markup.convert("") == ""
+    html = "<h2>A &amp; B</h2><p>One <b>two</b> <a href='u'>three</a></p><script>x</script><ol><li>a<ul><li>b</li></ul></li><li>c</li></ol>"
+    assert markup.convert(html) == "## A & B\n\nOne **two** [three](u)\n\n1. a\n  - b\n2. c"
+    assert markup.convert("<p>open <i>x") == "open *x"
+
+
+def test_greedy_paths_by_walking(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i % 3, i, rng.normal(size=4).tolist()) for i in range(40)] + [(0, None, [1.0] * 4), (1, 99, None)]
+    got = sequence.greedy_paths(spark.createDataFrame(rows, "g int, id long, v array<double>"), "g", "id", "v").collect()
+    for g in range(3):
+        mine = {i: np.array(v) / np.linalg.norm(v) for h, i, v in rows if h == g and i is not None and v is not None}
+        now, left, path = sum(mine.values()), dict(mine), []
+        while left:
+            best = max(left, key=lambda i: (left[i] @ now, -i))
+            path.append(best)
+            now = left.pop(best)
+        assert path == [r["id"] for r in sorted((r for r in got if r["group"] == g), key=lambda r: r["place"])]
+    with pytest.raises(ValueError):
+        sequence.greedy_paths(spark.createDataFrame(rows, "g int, id long, v array<double>"), "g", "id", "v", most=5)
+
+
+def test_kmeans_separates(spark):
+    rows = [(i, [1.0, 0.01 * i, 0.0]) for i in range(10)] + [(100 + i, [0.0, 0.01 * i, 1.0]) for i in range(10)] + [(7, None)]
+    got = clusters.fit(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 2).collect()
+    assert len(got) == 20 and len({(r["cluster"], r["id"] < 100) for r in got}) == 2
+
+
+def test_invariants_and_empty(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 2), (None, 9), (2, None)], "k long, r long")
+    parents = spark.createDataFrame([(1,), (None,)], "p long")
+    assert tuple(ordering.invariants(rows, "k", parents, "p", "r").first()) == (4, 1, 1, 2)
+    assert tuple(ordering.invariants(rows.limit(0), "k", parents, "p", "r").first()) == (0, 0, 0, 0)
+    assert ordering.difference(rows, rows, "r").where("r is not null").isEmpty()
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()

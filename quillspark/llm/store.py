@@ -41,10 +41,22 @@ def _clean() -> None:
             return
 
 
+#: Bytes of an Arrow batch, which the JVM and Python both hold, and more than once.
+BATCH = "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session, unless it names a bound of its own. Results don't depend on it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH)
+
+
 class Scratch:
     """The tables that one run of an operator writes."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0

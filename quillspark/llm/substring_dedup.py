@@ -6,7 +6,8 @@
    sorted partitions are read as a stream, so no group is held in memory.
 3. A document's links with one partner are chained: blocks in order in both texts, scored by length less gap costs,
    with the best predecessor found in a Fenwick tree of prefix maxima.
-4. Chains are extended and aligned on the words themselves, fetched once for each distinct span.
+4. Chains are extended and aligned on the words themselves, fetched once for each distinct span. A chain that is not
+   alike enough as a whole is split at its widest gaps, so passages around differing words are found each.
 """
 
 from __future__ import annotations
@@ -160,13 +161,13 @@ class Fenwick:
         return out
 
 
-def chain(blocks: list[tuple[int, int, int, int]], gap: float = 0.25) -> list[tuple[int, int, int, int, int]]:
-    """Collinear chains of blocks (start, end, partner start, partner end), as spans and matched words, the best first.
+def chain(blocks: list[tuple[int, int, int, int]], gap: float = 0.25) -> list[tuple[int, int, int, int, int, list]]:
+    """Collinear chains of blocks (start, end, partner start, partner end), as spans, matched words and the blocks in order, the best first.
 
     A chain's score is its words less ``gap`` for each word skipped in either text.
     """
     if len(blocks) == 1:
-        return [(*blocks[0], blocks[0][1] - blocks[0][0])]
+        return [(*blocks[0], blocks[0][1] - blocks[0][0], blocks)]
     ends = sorted({b[3] for b in blocks})
     rank = {e: i for i, e in enumerate(ends)}
     tree = Fenwick(len(ends))
@@ -192,8 +193,8 @@ def chain(blocks: list[tuple[int, int, int, int]], gap: float = 0.25) -> list[tu
             used.add(i)
             i = back[i]
         if path:
-            a, b = blocks[path[-1]], blocks[path[0]]
-            out.append((a[0], b[1], a[2], b[3], sum(blocks[j][1] - blocks[j][0] for j in path)))
+            parts = [blocks[j] for j in reversed(path)]
+            out.append((parts[0][0], parts[-1][1], parts[0][2], parts[-1][3], sum(b[1] - b[0] for b in parts), parts))
     return out
 
 
@@ -215,7 +216,7 @@ def _blocks(pos: np.ndarray, other: np.ndarray, k: int, reach: int) -> list[tupl
 
 
 def _chains(k: int, w: int, least: int):
-    names = ["doc_id", "uid", "start", "end", "partner_id", "partner_uid", "partner_start", "partner_end"]
+    names = ["doc_id", "uid", "start", "end", "partner_id", "partner_uid", "partner_start", "partner_end", "parts"]
 
     def of(table: pa.Table) -> list[tuple]:
         doc, uid, pos, pdoc, puid, ppos = (table[c].to_numpy() for c in LINK.replace(" long", "").replace(" int", "").split(", "))
@@ -224,9 +225,9 @@ def _chains(k: int, w: int, least: int):
         for a, b in zip(cuts, np.append(cuts[1:], len(uid))):
             if pos[b - 1] + k - pos[a] < least:
                 continue
-            for s, e, ps, pe, _ in chain(_blocks(pos[a:b].astype(np.int64), ppos[a:b].astype(np.int64), k, 4 * w)):
+            for s, e, ps, pe, _, parts in chain(_blocks(pos[a:b].astype(np.int64), ppos[a:b].astype(np.int64), k, 4 * w)):
                 if e - s >= least and pe - ps >= least:
-                    out.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe))
+                    out.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe, [x for b in parts for x in (b[0], b[2], b[1] - b[0])]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +235,7 @@ def _chains(k: int, w: int, least: int):
 
         def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             if rows:
-                kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()
+                kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
@@ -284,23 +285,66 @@ def common(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def _align(identity: float):
+def _runs(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The runs of equal words in blocks (start in a, start in b, length), in order and apart in both texts."""
+    out, x, y = [], 0, 0
+    for s, ps, n in parts:
+        skip = max(0, x - s, y - ps)
+        s, ps, n = s + skip, ps + skip, n - skip
+        if n <= 0:
+            continue
+        same = np.concatenate(([False], a[s : s + n] == b[ps : ps + n], [False]))
+        edge = np.flatnonzero(same[1:] != same[:-1]).tolist()
+        out += [(s + i, ps + i, j - i) for i, j in zip(edge[::2], edge[1::2])]
+        x, y = s + n, ps + n
+    return out
+
+
+def aligned_parts(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]], identity: float) -> list[tuple[int, int, int, int, int]]:
+    """Spans of a and b with their common words, at least ``identity`` of the longer: the chain as a whole if it is
+    alike enough, else what is left of it when it is split at its widest gap, again and again, down to single runs of
+    equal words. A chain's ends are extended as far as words are equal."""
+
+    def span(i: int, j: int) -> tuple[int, int, int, int]:
+        s, ps = runs[i][:2]
+        e, pe = runs[j][0] + runs[j][2], runs[j][1] + runs[j][2]
+        low, plow = (runs[i - 1][0] + runs[i - 1][2], runs[i - 1][1] + runs[i - 1][2]) if i else (0, 0)
+        high, phigh = runs[j + 1][:2] if j + 1 < len(runs) else (len(a), len(b))
+        while s > low and ps > plow and a[s - 1] == b[ps - 1]:
+            s, ps = s - 1, ps - 1
+        while e < high and pe < phigh and a[e] == b[pe]:
+            e, pe = e + 1, pe + 1
+        return s, e, ps, pe
+
+    runs = _runs(a, b, parts)
+    out, left = [], [(0, len(runs) - 1)] if runs else []
+    while left:
+        i, j = left.pop()
+        s, e, ps, pe = span(i, j)
+        longer = max(e - s, pe - ps)
+        if min(e - s, pe - ps) >= identity * longer:
+            x, y = a[s:e], b[ps:pe]
+            same = len(x) if len(x) == len(y) and (x == y).all() else common(x.tolist(), y.tolist())
+            if same >= identity * longer:
+                out.append((s, e, ps, pe, same))
+                continue
+        widest = max(range(i, j), key=lambda t: max(runs[t + 1][0] - runs[t][0], runs[t + 1][1] - runs[t][1]) - runs[t][2])
+        left += [(widest + 1, j), (i, widest)]
+    return out
+
+
+def _align(identity: float, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
                 a, b = np.frombuffer(r["left"], np.uint32), np.frombuffer(r["right"], np.uint32)
-                s, e = r["start"] - max(0, r["start"] - MARGIN), r["end"] - max(0, r["start"] - MARGIN)
-                ps, pe = r["partner_start"] - max(0, r["partner_start"] - MARGIN), r["partner_end"] - max(0, r["partner_start"] - MARGIN)
-                while s and ps and a[s - 1] == b[ps - 1]:
-                    s, ps = s - 1, ps - 1
-                while e < len(a) and pe < len(b) and a[e] == b[pe]:
-                    e, pe = e + 1, pe + 1
-                x, y = a[s:e], b[ps:pe]
-                same = len(x) if len(x) == len(y) and (x == y).all() else common(x.tolist(), y.tolist())
-                if same >= identity * max(len(x), len(y)):
-                    base, other = max(0, r["start"] - MARGIN), max(0, r["partner_start"] - MARGIN)
-                    out.append((r["doc_id"], r["uid"], base + s, base + e, r["partner_id"], other + ps, other + pe, same, same / max(len(x), len(y))))
+                base, other = max(0, r["start"] - MARGIN), max(0, r["partner_start"] - MARGIN)
+                flat = r["parts"]
+                parts = [(s - base, ps - other, n) for s, ps, n in zip(flat[::3], flat[1::3], flat[2::3])]
+                for s, e, ps, pe, same in aligned_parts(a, b, parts, identity):
+                    if e - s >= least:
+                        out.append((r["doc_id"], r["uid"], base + s, base + e, r["partner_id"], other + ps, other + pe, same, same / max(e - s, pe - ps)))
             if out:
                 kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["doc_id", "uid", "doc_start", "doc_end", "partner_id", "partner_start", "partner_end", "matched", "identity"])
@@ -330,7 +374,7 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     ordered = found.repartition(F.col("h")).sortWithinPartitions("h", "doc_id", "uid", "pos")
     links = ordered.mapInArrow(tx.lean(_resolve), LINK)
     nearest = min_words - 2 * w
-    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, max(k, min(nearest, min_words // 2)))), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int")
+    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, max(k, min(nearest, min_words // 2)))), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int, parts array<int>")
     chains = store.save(chains)
 
     sides = [chains.select(F.col(u).alias("uid"), F.greatest(F.lit(0), F.col(s) - MARGIN).alias("from"), (F.col(e) + MARGIN).alias("to")) for u, s, e in (("uid", "start", "end"), ("partner_uid", "partner_start", "partner_end"))]
@@ -343,8 +387,8 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     left, right = (slices.select(F.col("uid").alias(f"{x}_uid"), F.col("from").alias(f"{x}_from"), F.col("to").alias(f"{x}_to"), F.col("words").alias(x)) for x in ("left", "right"))
     both = chains.join(left, (F.col("uid") == F.col("left_uid")) & (F.greatest(F.lit(0), F.col("start") - MARGIN) == F.col("left_from")) & (F.col("end") + MARGIN == F.col("left_to")))
     both = both.join(right, (F.col("partner_uid") == F.col("right_uid")) & (F.greatest(F.lit(0), F.col("partner_start") - MARGIN) == F.col("right_from")) & (F.col("partner_end") + MARGIN == F.col("right_to")))
-    both = both.select("doc_id", "uid", "start", "end", "partner_id", "partner_start", "partner_end", "left", "right")
-    aligned = store.save(both.mapInArrow(tx.lean(_align(identity)), "doc_id long, uid long, doc_start int, doc_end int, partner_id long, partner_start int, partner_end int, matched int, identity double"))
+    both = both.select("doc_id", "uid", "start", "end", "partner_id", "partner_start", "partner_end", "parts", "left", "right")
+    aligned = store.save(both.mapInArrow(tx.lean(_align(identity, k)), "doc_id long, uid long, doc_start int, doc_end int, partner_id long, partner_start int, partner_end int, matched int, identity double"))
 
     from pyspark.sql import Window
 

@@ -137,6 +137,27 @@ def test_substring_and_leaks(docs, spark):
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench).collect()} == ({(7, 1)} if len(item.split()) >= 8 else set())
 
 
+def covered(passages, doc):
+    """The words of a document that its passages hold."""
+    return {i for r in passages if r["doc_id"] == doc for i in range(r["doc_start"], r["doc_end"])}
+
+
+def test_passages_around_differing_words(spark):
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    rng = random.Random(11)
+    rows = []
+    for n, (size, gap) in enumerate([(60, 31), (60, 45), (60, 100), (200, 120), (200, 300)]):
+        head, foot = prose(rng, size, 9000), prose(rng, size, 9000)
+        rows += [(100 * n + i, f"{prose(rng, 20, 9000)} {head} {prose(rng, gap, 9000)} {foot} {prose(rng, 20, 9000)}") for i in (1, 2)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for n, (size, gap) in enumerate([(60, 31), (60, 45), (60, 100), (200, 120), (200, 300)]):
+        want = set(range(20, 20 + size)) | set(range(20 + size + gap, 20 + 2 * size + gap))
+        assert covered(got, 100 * n + 2) == want
+        assert covered(got, 100 * n + 1) == set()
+    assert all(r["identity"] >= 0.8 for r in got)
+
+
 def test_search_by_brute_force(spark):
     from quillspark.llm.pivot_search import search
 

@@ -30,6 +30,8 @@ LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partn
 HELD = 4_000_000
 #: Words beyond a chain's ends that alignment looks at.
 MARGIN = 16
+#: Words between two spans that still count together.
+TOUCH = 3
 
 
 def _slide(x: np.ndarray, w: int, best) -> np.ndarray:  # noqa: ANN001
@@ -215,19 +217,51 @@ def _blocks(pos: np.ndarray, other: np.ndarray, k: int, reach: int) -> list[tupl
     return out
 
 
+def touching(spans: list[tuple[int, int]], slack: int, least: int) -> list[bool]:
+    """Which spans lie in a run of at least ``least`` words, when spans parted by at most ``slack`` words are united."""
+    out, run, end, start = [False] * len(spans), [], 0, 0
+    for i in [*sorted(range(len(spans)), key=lambda i: spans[i]), -1]:
+        if run and (i < 0 or spans[i][0] - end > slack):
+            if end - start >= least:
+                for j in run:
+                    out[j] = True
+            run = []
+        if i >= 0:
+            start, end = (min(start, spans[i][0]), max(end, spans[i][1])) if run else spans[i]
+            run.append(i)
+    return out
+
+
 def _chains(k: int, w: int, least: int):
+    """Chains with each partner. Short ones stay if a document's chains with all partners may make up ``least`` words:
+    alignment moves an end by MARGIN words at most, and spans TOUCH words apart count together."""
     names = ["doc_id", "uid", "start", "end", "partner_id", "partner_uid", "partner_start", "partner_end", "parts"]
 
     def of(table: pa.Table) -> list[tuple]:
         doc, uid, pos, pdoc, puid, ppos = (table[c].to_numpy() for c in LINK.replace(" long", "").replace(" int", "").split(", "))
+        pos, ppos = pos.astype(np.int64), ppos.astype(np.int64)
         cuts = np.flatnonzero(np.append(True, (uid[1:] != uid[:-1]) | (puid[1:] != puid[:-1])))
-        out = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(uid))):
-            if pos[b - 1] + k - pos[a] < least:
-                continue
-            for s, e, ps, pe, _, parts in chain(_blocks(pos[a:b].astype(np.int64), ppos[a:b].astype(np.int64), k, 4 * w)):
-                if e - s >= least and pe - ps >= least:
-                    out.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe, [x for b in parts for x in (b[0], b[2], b[1] - b[0])]))
+        ends = np.append(cuts[1:], len(uid))
+        # links first, as arrays: most documents have a few that stand alone
+        order = np.lexsort((pos, uid))
+        u, p = uid[order], pos[order]
+        new = np.append(True, (u[1:] != u[:-1]) | (p[1:] - p[:-1] - k > 2 * MARGIN + TOUCH))
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(u)) - 1
+        long = p[last] + k - p[first] >= least - 2 * MARGIN
+        keep = np.empty(len(u), bool)
+        keep[order] = long[np.cumsum(new) - 1]
+        kept = np.concatenate(([0], np.cumsum(keep)))
+        out, mine = [], []
+        for n, (a, b) in enumerate(zip(cuts, ends)):
+            if kept[b] > kept[a]:
+                use = a + np.flatnonzero(keep[a:b])
+                for s, e, ps, pe, _, parts in chain(_blocks(pos[use], ppos[use], k, 4 * w)):
+                    mine.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe, [x for b in parts for x in (b[0], b[2], b[1] - b[0])]))
+            if mine and (n + 1 == len(cuts) or uid[cuts[n + 1]] != uid[a]):
+                good = touching([r[2:4] for r in mine], 2 * MARGIN + TOUCH, least - 2 * MARGIN)
+                out += [r for r, g in zip(mine, good) if g]
+                mine = []
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,8 +407,7 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     # links made already ride along under the document's own key
     ordered = found.repartition(F.col("h")).sortWithinPartitions("h", "doc_id", "uid", "pos")
     links = ordered.mapInArrow(tx.lean(_resolve), LINK)
-    nearest = min_words - 2 * w
-    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, max(k, min(nearest, min_words // 2)))), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int, parts array<int>")
+    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, min_words)), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int, parts array<int>")
     chains = store.save(chains)
 
     sides = [chains.select(F.col(u).alias("uid"), F.greatest(F.lit(0), F.col(s) - MARGIN).alias("from"), (F.col(e) + MARGIN).alias("to")) for u, s, e in (("uid", "start", "end"), ("partner_uid", "partner_start", "partner_end"))]
@@ -394,7 +427,7 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
 
     along = Window.partitionBy("uid").orderBy("doc_start", "doc_end", "partner_id", "partner_start")
     reach = F.max("doc_end").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    marked = aligned.withColumn("fresh", (F.coalesce(reach, F.lit(-9)) + 3 < F.col("doc_start")).cast("int")).withColumn("run", F.sum("fresh").over(along))
+    marked = aligned.withColumn("fresh", (F.coalesce(reach, F.lit(-9)) + TOUCH < F.col("doc_start")).cast("int")).withColumn("run", F.sum("fresh").over(along))
     whole = Window.partitionBy("uid", "run")
     kept = marked.withColumn("words", F.max("doc_end").over(whole) - F.min("doc_start").over(whole)).where(F.col("words") >= min_words)
     return store.finish(kept.select("doc_id", "uid", "doc_start", "doc_end", "partner_id", "partner_start", "partner_end", "matched", "identity"))

@@ -158,6 +158,21 @@ def test_passages_around_differing_words(spark):
     assert all(r["identity"] >= 0.8 for r in got)
 
 
+def test_passage_whose_halves_stand_elsewhere(spark):
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    rng = random.Random(12)
+    words = lambda n: prose(rng, n, 9000)
+    rows = []
+    for n in range(8):
+        left, right = words(30), words(30)
+        for i, middle in enumerate([left, right, f"{left} {right}", f"{left} {right}"]):
+            rows.append((10 * n + i, f"{words(30)} {middle} {words(30)}"))
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(covered(got, 10 * n + 3) >= set(range(30, 90)) for n in range(8))
+    assert not any(covered(got, 10 * n + i) for n in range(8) for i in (0, 1))
+
+
 def test_search_by_brute_force(spark):
     from quillspark.llm.pivot_search import search
 

@@ -1,8 +1,8 @@
 """Passages that repeat across documents, exactly or nearly: k-mer seeds, collinear chains, alignment.
 
 1. Seeds are k-word windows, thinned to the least of every w in a row, so any run of k + w - 1 equal words shares one.
-2. Each seed's occurrences are linked to its first one, by doc_id, not to each other. A task links what it has itself
-   and sends on one occurrence a seed, so a passage that a third of the corpus holds costs a row a task in the shuffle;
+2. Each seed's places in later documents are linked to its first place, by doc_id, not to each other. A task links what
+   it has itself and sends on the places in its first document that has the seed, so a passage that a third of the corpus holds costs a row a task in the shuffle;
    sorted partitions are read as a stream, so no group is held in memory.
 3. A document's links with one partner are chained: blocks in order in both texts, scored by length less gap costs,
    with the best predecessor found in a Fenwick tree of prefix maxima.
@@ -70,13 +70,14 @@ def seeds(h: np.ndarray, at: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np
 
 
 def _link(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorts by seed, document, place. Returns the order, the first of each seed, and the linked occurrences' firsts (-1: none)."""
+    """Sorts by seed, document, place. Returns the order, the places in each seed's first document, and the first place
+    that each place in a later document is linked to (-1: none)."""
     order = np.lexsort((pos, uid, doc, h))
     h, uid = h[order], uid[order]
     new = np.append(True, h[1:] != h[:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    again = np.append(False, (h[1:] == h[:-1]) & (uid[1:] == uid[:-1]))  # a seed counts once in a document
-    return order, new, np.where((uid != uid[first]) & ~again, first, -1)
+    later = uid != uid[first]
+    return order, ~later, np.where(later, first, -1)
 
 
 def _scan(k: int, w: int):
@@ -84,11 +85,11 @@ def _scan(k: int, w: int):
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         h, doc, uid, pos = (np.concatenate(x) for x in zip(*held))
-        order, new, first = _link(h, doc, uid, pos)
+        order, held_first, first = _link(h, doc, uid, pos)
         h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
-        n = int(new.sum())
+        n = int(held_first.sum())
         none = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())
-        yield pa.record_batch([pa.array(h[new].view(np.int64)), pa.array(doc[new]), pa.array(uid[new]), pa.array(pos[new]), *none], names=names)
+        yield pa.record_batch([pa.array(h[held_first].view(np.int64)), pa.array(doc[held_first]), pa.array(uid[held_first]), pa.array(pos[held_first]), *none], names=names)
         mine = np.flatnonzero(first >= 0)
         to = first[mine]
         yield pa.record_batch([pa.array(uid[mine]), pa.array(doc[mine]), pa.array(uid[mine]), pa.array(pos[mine]), pa.array(doc[to]), pa.array(uid[to]), pa.array(pos[to])], names=names)
@@ -399,7 +400,8 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     doc_end (words, end exclusive), partner_id, partner_start, partner_end, matched (words in the longest common
     subsequence), identity (matched by the longer span, at least ``identity``). The first holder of a passage stands
     as partner only. Rows with a null doc_id or text, and texts of fewer than k words, take no part; rows that repeat
-    doc_id and text are one document. Repeats within a document are not passages. An empty table gives no rows.
+    doc_id and text are one document. Repeats within a document are not passages, but every copy in it of an earlier
+    document's passage is one. An empty table gives no rows.
     """
     store = Scratch(docs.sparkSession, "substring")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("uid", uid_of())

@@ -173,6 +173,26 @@ def test_passage_whose_halves_stand_elsewhere(spark):
     assert not any(covered(got, 10 * n + i) for n in range(8) for i in (0, 1))
 
 
+def test_every_copy_in_a_document_is_found(spark):
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    rng = random.Random(13)
+    words = lambda n: prose(rng, n, 9000)
+    first, second = words(60), words(60)
+    quote = " ".join(second.split()[:40])
+    rows = [
+        (1, f"{words(20)} {first} {words(20)}"),
+        (2, f"{words(20)} {first} {words(40)} {first} {words(20)}"),
+        (3, f"{words(20)} {second} {words(20)}"),
+        (4, f"{words(20)} {quote} {words(40)} {second} {words(20)}"),
+    ]
+    for tasks in (1, 4):
+        got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks)).collect()
+        assert covered(got, 2) == set(range(20, 80)) | set(range(120, 180))
+        assert covered(got, 4) == set(range(100, 160))
+        assert covered(got, 1) == covered(got, 3) == set()
+
+
 def test_search_by_brute_force(spark):
     from quillspark.llm.pivot_search import search
 

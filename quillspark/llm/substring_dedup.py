@@ -1,7 +1,7 @@
 """Passages that repeat across documents, exactly or nearly: k-mer seeds, collinear chains, alignment.
 
 1. Seeds are k-word windows, thinned to the least of every w in a row, so any run of k + w - 1 equal words shares one.
-2. Each seed's places in later documents are linked to its first place, by doc_id, not to each other. A task links what
+2. Each seed's places in later documents are linked to those in its first one, by doc_id, not to each other. A task links what
    it has itself and sends on the places in its first document that has the seed, so a passage that a third of the corpus holds costs a row a task in the shuffle;
    sorted partitions are read as a stream, so no group is held in memory.
 3. A document's links with one partner are chained: blocks in order in both texts, scored by length less gap costs,
@@ -69,15 +69,24 @@ def seeds(h: np.ndarray, at: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np
     return place, value[place]
 
 
-def _link(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorts by seed, document, place. Returns the order, the places in each seed's first document, and the first place
-    that each place in a later document is linked to (-1: none)."""
+def _link(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray, seen: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorts by seed, document, place. Returns the order, the places in each seed's first document, what each place in a
+    later document is linked to (-1: none), and each place's number in its document.
+
+    A document's n-th place is linked to the first document's n-th, counted round, so a text that repeats itself keeps
+    its order. seen: a seed, a document and how many of its places came before.
+    """
     order = np.lexsort((pos, uid, doc, h))
     h, uid = h[order], uid[order]
+    at = np.arange(len(h))
     new = np.append(True, h[1:] != h[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    number = at - np.maximum.accumulate(np.where(new | np.append(True, uid[1:] != uid[:-1]), at, 0))
+    if seen:
+        number[(h == seen[0]) & (uid == seen[1])] += seen[2]
     later = uid != uid[first]
-    return order, ~later, np.where(later, first, -1)
+    many = np.bincount(first[~later], minlength=len(h))
+    return order, ~later, np.where(later, first + number % np.maximum(many[first], 1), -1), number
 
 
 def _scan(k: int, w: int):
@@ -85,7 +94,7 @@ def _scan(k: int, w: int):
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         h, doc, uid, pos = (np.concatenate(x) for x in zip(*held))
-        order, held_first, first = _link(h, doc, uid, pos)
+        order, held_first, first, _ = _link(h, doc, uid, pos)
         h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
         n = int(held_first.sum())
         none = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())
@@ -117,7 +126,8 @@ def _scan(k: int, w: int):
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted by seed: links of this partition to each seed's first occurrence; links made before pass through."""
     names = LINK.replace(" long", "").replace(" int", "").split(", ")
-    first: tuple | None = None
+    first: tuple | None = None  # the last seed's places in its first document
+    seen: tuple = ()
     for batch in batches:
         made = batch.column("partner_uid").is_valid()
         done = batch.filter(made).select(names)
@@ -128,17 +138,18 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         h, doc, uid, pos = (rest.column(c).to_numpy() for c in ("h", "doc_id", "uid", "pos"))
         if first is not None:
-            h, doc, uid, pos = (np.insert(x, 0, v) for x, v in zip((h, doc, uid, pos), first))
-        order, _, to = _link(h.view(np.uint64), doc, uid, pos)
+            h, doc, uid, pos = (np.concatenate((v, x)) for x, v in zip((h, doc, uid, pos), first))
+        last, final = rest.column("h")[-1].as_py(), rest.column("uid")[-1].as_py()
+        order, held_first, to, number = _link(h, doc, uid, pos, seen)
         h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
         mine = np.flatnonzero(to >= 0)
         if len(mine):
             to = to[mine]
             yield pa.record_batch([pa.array(doc[mine]), pa.array(uid[mine]), pa.array(pos[mine]), pa.array(doc[to]), pa.array(uid[to]), pa.array(pos[to])], names=names)
-        # the stream is sorted as signed numbers, so its last seed is the last row read
-        last = rest.column("h")[-1].as_py()
-        start = int(np.flatnonzero(h == last)[0])
-        first = tuple(x[start] for x in (h, doc, uid, pos))
+        ours = (h == last) & held_first
+        first = tuple(x[ours] for x in (h, doc, uid, pos))
+        ours = (h == last) & (uid == final) & ~held_first
+        seen = (last, final, int(number[ours].max()) + 1) if ours.any() else ()
 
 
 class Fenwick:

@@ -193,6 +193,16 @@ def test_every_copy_in_a_document_is_found(spark):
         assert covered(got, 1) == covered(got, 3) == set()
 
 
+def test_passage_that_repeats_itself_is_one_span(spark):
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    rng = random.Random(14)
+    words = lambda n: prose(rng, n, 9000)
+    rows = [(i, f"{words(20)} {' '.join(['du'] * 80)} {words(20)}") for i in (1, 2)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["doc_start"], r["doc_end"], r["partner_id"]) for r in got] == [(2, 20, 100, 1)]
+
+
 def test_search_by_brute_force(spark):
     from quillspark.llm.pivot_search import search
 

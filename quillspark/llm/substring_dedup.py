@@ -254,21 +254,20 @@ def _chains(k: int, w: int, least: int):
         pos, ppos = pos.astype(np.int64), ppos.astype(np.int64)
         cuts = np.flatnonzero(np.append(True, (uid[1:] != uid[:-1]) | (puid[1:] != puid[:-1])))
         ends = np.append(cuts[1:], len(uid))
-        # links first, as arrays: most documents have a few that stand alone
-        order = np.lexsort((pos, uid))
-        u, p = uid[order], pos[order]
-        new = np.append(True, (u[1:] != u[:-1]) | (p[1:] - p[:-1] - k > 2 * MARGIN + TOUCH))
+        # the reach of all links with a partner holds every chain with it, whatever gaps the chain bridges
+        group = np.cumsum(np.append(False, uid[cuts[1:]] != uid[cuts[:-1]])) << 40
+        low, high = group + pos[cuts], group + pos[ends - 1] + k
+        order = np.argsort(low, kind="stable")
+        reach = np.maximum.accumulate(high[order])
+        new = np.append(True, low[order][1:] > reach[:-1] + 2 * MARGIN + TOUCH)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(u)) - 1
-        long = p[last] + k - p[first] >= least - 2 * MARGIN
-        keep = np.empty(len(u), bool)
+        long = reach[np.append(first[1:], len(cuts)) - 1] - low[order][first] >= least - 2 * MARGIN
+        keep = np.empty(len(cuts), bool)
         keep[order] = long[np.cumsum(new) - 1]
-        kept = np.concatenate(([0], np.cumsum(keep)))
         out, mine = [], []
         for n, (a, b) in enumerate(zip(cuts, ends)):
-            if kept[b] > kept[a]:
-                use = a + np.flatnonzero(keep[a:b])
-                for s, e, ps, pe, _, parts in chain(_blocks(pos[use], ppos[use], k, 4 * w)):
+            if keep[n]:
+                for s, e, ps, pe, _, parts in chain(_blocks(pos[a:b], ppos[a:b], k, 4 * w)):
                     mine.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe, [x for b in parts for x in (b[0], b[2], b[1] - b[0])]))
             if mine and (n + 1 == len(cuts) or uid[cuts[n + 1]] != uid[a]):
                 good = touching([r[2:4] for r in mine], 2 * MARGIN + TOUCH, least - 2 * MARGIN)

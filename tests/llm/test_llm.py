@@ -1,6 +1,7 @@
 """The ten operators against brute force, on small tables with nulls, empty texts, ties and repeated rows."""
 
 import itertools
+import math
 import random
 import zlib
 
@@ -244,3 +245,15 @@ def test_empty_tables(docs, spark):
     assert language_id.identify(none, F.lit(False)).isEmpty()
     assert {r["score"] for r in quality_gbt.score_quality(docs, labels, F.lit(False)).collect()} == {0.5}
     assert {r["score"] for r in toxicity.score_toxicity(docs, labels, F.lit(False)).collect()} == {0.5}
+
+
+def test_search_keeps_huge_components(spark):
+    from quillspark.llm.pivot_search import search
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)] + [(100, [4e7, 1.0, 0.0, 0.0]), (101, [-3e9, 2.0, 1.0, 5.5]), (120, [5e17, -1.25, 1.0, 1.0]), (121, [1e300, 1.0, 1.0, 1.0])]
+    got = search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=7, pivots=3).collect()
+    x = [(i, [int(math.floor(64 * c)) for c in v]) for i, v in rows]
+    dot = lambda a, b: max(-(2**63), min(2**63 - 1, sum(p * q for p, q in zip(a, b))))
+    want = {(i, r + 1, j, s) for i, q in x if i % 20 == 0 for r, (s, j) in enumerate(sorted(((dot(q, y), j) for j, y in x if j != i), key=lambda p: (-p[0], p[1]))[:7])}
+    assert {tuple(r) for r in got} == want

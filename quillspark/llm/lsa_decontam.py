@@ -2,10 +2,12 @@
 
 Passages are windows of words, as TF-IDF rows over the words that the benchmark uses; document frequencies count
 passages of the whole corpus. A distributed randomised SVD finds the latent space: every partition multiplies its
-passages with a random matrix and back (X' X Omega), Spark sums the parts, and their orthonormal basis spans the
-leading right singular vectors. The benchmark's own passages are stacked on the corpus's with a weight, so that the
-basis tells benchmark items apart. Windows near an item by latent cosine are candidates; a candidate is a leak if the
+passages with a random matrix and back (X' X Omega), Spark sums the parts, and their orthonormal basis goes through the
+same product once more; a small decomposition of the two gives the leading right singular vectors and values, and
+the oversampled ones go. The benchmark's own passages are stacked on the corpus's with a weight, so that the
+basis tells benchmark items apart. Windows near an item, or near a part of a long one, by latent cosine are candidates; a candidate is a leak if the
 longest common subsequence of its region and the item, and of the item's last part (the answer), is long enough.
+Items of few words are matched word for word instead.
 
 Texts are tokenised once: what the later passes read is a table of the benchmark's words in each document and their
 places. Words in more than one passage of 400 don't count in the latent space, but for the rarest of each
@@ -146,7 +148,64 @@ def _back(row: np.ndarray, term: np.ndarray, value: np.ndarray, rows: int, terms
     return out
 
 
-def leaked(item: list[int], region: list[int], places: list[int], least: float, answer: float) -> tuple[float, float, int, int] | None:
+def randomised_svd(product, terms: int, rank: int, extra: int = 8) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
+    """The leading ``rank`` right singular vectors and singular values of X, by two products X' (X B) with tall B.
+
+    The basis of a random sketch goes through the product again; that and the basis give the Nystrom form of X' X (Tropp
+    et al., 2017), whose factor's singular value decomposition is rotated and then cut to ``rank``.
+    """
+    width = min(rank + extra, terms)
+    basis = np.linalg.qr(product(np.random.default_rng(7).standard_normal((terms, width)).astype(np.float32)))[0]
+    again = product(basis.astype(np.float32)).astype(np.float64)
+    core, turn = np.linalg.eigh((basis.T @ again + again.T @ basis) / 2)
+    keep = core > max(core[-1], 1e-30) * 1e-6
+    left, values, _ = np.linalg.svd((again @ turn[:, keep]) / np.sqrt(core[keep]), full_matrices=False)
+    return left[:, :rank], values[:rank]
+
+
+def item_parts(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items of n words are cut into parts of about WINDOW words: how many, and where each item's begin."""
+    many = np.maximum(1, np.rint(n / WINDOW)).astype(np.int64)
+    return many, np.concatenate(([0], np.cumsum(many)))
+
+
+class Literal:
+    """Short items, found word for word: in a row, or, if of one or two words, as the whole of a text."""
+
+    def __init__(self, items: list[list[int]], which: list[int]):
+        self.by_size: dict[int, dict[tuple, list[int]]] = {}
+        for k in which:
+            self.by_size.setdefault(len(items[k]), {}).setdefault(tuple(items[k]), []).append(k)
+        self.keys = {m: np.sort(np.array([self.key(np.array([t], np.int64).T)[0] for t in found], np.uint64)) for m, found in self.by_size.items()}
+
+    @staticmethod
+    def key(columns: np.ndarray) -> np.ndarray:
+        return tx.mix(sum((c.astype(np.uint64) + np.uint64(1)) * tx._SALT[j] for j, c in enumerate(columns)))
+
+    def find(self, found: Found) -> Iterator[tuple[int, int, int, int]]:
+        """Row, item, start and end; the first place in each row."""
+        row = found.row
+        for m, texts in self.by_size.items():
+            if len(row) < m:
+                continue
+            last = len(row) - m + 1
+            good = (row[:last] == row[m - 1 :]) & (found.place[m - 1 :] - found.place[:last] == m - 1)
+            if m < 3:
+                good &= found.n[row[:last]] == m
+            at = np.flatnonzero(good)
+            if not len(at):
+                continue
+            key = self.key(np.stack([found.term[at + j] for j in range(m)]))
+            place = np.minimum(np.searchsorted(self.keys[m], key), len(self.keys[m]) - 1)
+            seen = set()
+            for i in at[self.keys[m][place] == key]:
+                for k in texts.get(tuple(found.term[i : i + m].tolist()), ()):
+                    if (row[i], k) not in seen:
+                        seen.add((row[i], k))
+                        yield int(row[i]), k, int(found.place[i]), int(found.place[i]) + m
+
+
+def leaked(item: list[int], region: list[int], places: list[int], least: float, answer: float, sure: float) -> tuple[float, float, int, int] | None:
     """Shares of the item and of its answer that are common to the region in order, and the span; None if too small.
 
     item, region: terms; places: where the region's stand.
@@ -170,18 +229,19 @@ def leaked(item: list[int], region: list[int], places: list[int], least: float,
     tail = item[-max(3, len(item) // 5) :]
     found = common(tail, region[low:high]) / len(tail)
     start, end = places[low], places[high - 1] + 1
-    if same < 0.5 * (end - start) or (same < 0.8 * len(item) and found < answer):
+    if same < 0.5 * (end - start) or (same < sure * len(item) and found < answer):
         return None
     return same / len(item), found, start, end
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 96, cosine: float = 0.4, lcs: float = 0.6, answer: float = 0.5, min_words: int = 8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 96, cosine: float = 0.4, lcs: float = 0.6, answer: float = 0.5, sure: float = 0.75, min_words: int = 8) -> DataFrame:
     """Documents that hold a benchmark item or a paraphrase of one.
 
     docs needs doc_id and text, benchmark item_id and text; other columns are ignored. A document's region leaks an
     item if at least ``lcs`` of the item's words occur in it in order and make up half of its words, and if either
-    0.8 of them do or at least ``answer`` of the item's last fifth does. Items that are null or have fewer than
-    ``min_words`` words say too little and are left out; repeated items are reported each. Null texts count as empty.
+    ``sure`` of them do or at least ``answer`` of the item's last fifth does. An item of fewer than ``min_words`` words
+    leaks where its words stand in a row, one of one or two words only where a text has no others (cosine, lcs and
+    answer are then 1). Null items, items without words and null item_ids are left out; repeated items are reported each. Null texts count as empty.
     Words are compared in lower case. Returns a row per document row and item: doc_id, uid, item_id, start and end (words, end exclusive; the best region),
     cosine, lcs, answer. A null doc_id is reported as null. Empty tables give no rows.
     """
@@ -191,18 +251,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, rank: int = 96, cosin
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).where("item_id is not null and text is not null")
     schema = "doc_id long, uid long, item_id long, start int, end int, cosine double, lcs double, answer double"
     out = None
-    for block in _item_blocks(items, min_words):
+    for block in _item_blocks(items):
         located = store.save(docs.mapInArrow(tx.lean(_locate(spark, block)), "doc_id long, uid long, n long, places binary, terms binary"))
-        found = store.save(located.mapInArrow(tx.lean(_search(spark, located, block, rank, cosine, lcs, answer)), schema))
+        found = store.save(located.mapInArrow(tx.lean(_search(spark, located, block, rank, cosine, (lcs, answer, sure), min_words)), schema))
         store.drop(located)
         out = found if out is None else out.union(found)
     return store.finish(out if out is not None else spark.createDataFrame([], schema))
 
 
-def _item_blocks(items: DataFrame, min_words: int) -> Iterator[Block]:
+def _item_blocks(items: DataFrame) -> Iterator[Block]:
     held, size = [], 0
     for r in items.orderBy("item_id", "text").toLocalIterator():
-        if len(r["text"].encode().split()) >= min_words:
+        if r["text"].encode().split():
             held.append((r["item_id"], r["text"]))
             size += len(r["text"])
         if len(held) >= ITEMS or size >= ITEM_BYTES:
@@ -232,7 +292,7 @@ def _stop_terms(block: Block, own: Found, df: np.ndarray, passages: int) -> np.n
     return stop
 
 
-def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, lcs: float, answer: float):  # noqa: ANN001, ANN202
+def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, bounds: tuple[float, float, float], min_words: int):  # noqa: ANN001, ANN202
     terms = len(block.terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,11 +312,10 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, l
     flat, at = np.concatenate(block.words), np.concatenate(([0], np.cumsum([len(w) for w in block.words])))
     own = locate(block, flat, at)
     idf = np.where(_stop_terms(block, own, df, passages), 0.0, np.log((passages + 1) / (df + 1)) + 0.05)
-    width = min(rank + 8, terms)
-    omega = np.random.default_rng(7).standard_normal((terms, width)).astype(np.float32)
-    weights = spark.sparkContext.broadcast((idf, omega))
+    long = np.diff(at) >= min_words
+    kept = own.only((idf[own.term] > 0) & long[own.row])
 
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def multiply(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
         idf, omega = weights.value
         total = np.zeros((terms, omega.shape[1]), np.float32)
         for _, found in _read(batches):
@@ -270,26 +329,41 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, l
         total = np.frombuffer(b"".join(table["part"].to_pylist()), np.float32).reshape(table.num_rows, -1).sum(0, dtype=np.float64)
         return pa.table({"term": [keys[0].as_py()], "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = located.select("n", "places", "terms").mapInArrow(tx.lean(multiply), "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
-    sketch = np.zeros((terms, width))
-    if parts.num_rows:
-        sketch[parts["term"].to_numpy()] = np.frombuffer(b"".join(parts["part"].to_pylist()), np.float32).reshape(-1, width)
-    kept = own.only(idf[own.term] > 0)
-    mine = _back(*_rows(kept, idf), terms, omega)
-    # the benchmark's passages weigh four times as much as the corpus's, as a whole
-    sketch += mine * (4 * np.linalg.norm(sketch) / max(np.linalg.norm(mine), 1e-9) if sketch.any() else 1.0)
-    load = (np.linalg.qr(sketch)[0][:, :rank] * idf[:, None]).astype(np.float32)
-    latent = np.zeros((len(block.words), load.shape[1]), np.float32)
-    np.add.at(latent, kept.row, load[kept.term])
+    heavier: list[float] = []
+
+    def product(omega: np.ndarray) -> np.ndarray:
+        weights = spark.sparkContext.broadcast((idf, omega))
+        run = tx.lean(lambda batches: multiply(batches, weights))
+        got = located.select("n", "places", "terms").mapInArrow(run, "term long, part binary").groupBy("term").applyInArrow(add, "term long, part binary").toArrow()
+        weights.unpersist()
+        sketch = np.zeros((terms, omega.shape[1]))
+        if got.num_rows:
+            sketch[got["term"].to_numpy()] = np.frombuffer(b"".join(got["part"].to_pylist()), np.float32).reshape(-1, omega.shape[1])
+        mine = _back(*_rows(kept, idf), terms, omega)
+        if not heavier:  # the benchmark's passages weigh four times as much as the corpus's, as a whole
+            heavier.append(4 * np.linalg.norm(sketch) / max(np.linalg.norm(mine), 1e-9) if sketch.any() else 1.0)
+        return sketch + heavier[0] * mine
+
+    many, first_part = item_parts(np.diff(at))
+    owner = np.repeat(np.arange(len(many)), many)
+    part = first_part[kept.row] + kept.place * many[kept.row] // kept.n[kept.row]
+    load = np.zeros((terms, 1), np.float32)
+    if long.any():
+        load = (randomised_svd(product, terms, rank)[0] * idf[:, None]).astype(np.float32)
+    latent = np.zeros((len(owner), load.shape[1]), np.float32)
+    np.add.at(latent, part, load[kept.term])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    mass = np.bincount(kept.row, weights=idf[kept.term], minlength=len(block.words))
+    mass = np.bincount(part, weights=idf[kept.term], minlength=len(owner))
+    some = np.flatnonzero(mass > 0)
+    latent, owner, mass = latent[some], owner[some], mass[some]
     # a window of WINDOW words amid the leaked part of an item has this share of its weight at least
-    least_mass = float((0.5 * lcs * mass * np.minimum(1, WINDOW / 2 / np.diff(at))).min())
+    least_mass = float((0.5 * bounds[0] * mass * np.minimum(1, WINDOW / 2 * many[owner] / np.diff(at)[owner])).min()) if len(mass) else np.inf
     items = [own.term[a:b].tolist() for a, b in zip(own.cuts[:-1], own.cuts[1:])]
-    plan = spark.sparkContext.broadcast((idf, load, latent, least_mass, items, block.ids))
+    literal = Literal(items, np.flatnonzero(~long).tolist())
+    plan = spark.sparkContext.broadcast((idf, load, latent, owner, least_mass, items, block.ids, literal))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, load, latent, least_mass, items, item_ids = plan.value
+        idf, load, latent, owner, least_mass, items, item_ids, literal = plan.value
         half = WINDOW // 2
         for batch, found in _read(batches):
             _, first = _halves(found.n)
@@ -297,33 +371,33 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, l
             of, term = first[some.row] + some.place // half, some.term
             heavy = np.bincount(of, weights=idf[term], minlength=int(first[-1]))
             begins = _pairs(int(first[-1]), first)
-            begins = begins[heavy[begins] + heavy[begins + 1] >= least_mass]
-            if not len(begins) or not len(of):
-                continue
+            begins = begins[heavy[begins] + heavy[begins + 1] >= least_mass] if len(of) else begins[:0]
             needed = np.zeros(int(first[-1]), bool)
             needed[begins] = needed[begins + 1] = True
             dense = np.cumsum(needed) - 1
             wanted = needed[of]
             of, term = dense[of[wanted]], term[wanted]
-            cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
             halves = np.zeros((int(needed.sum()), load.shape[1]), np.float32)
-            halves[of[cuts]] = np.add.reduceat(load[term], cuts)
-            hits: dict[tuple[int, int], tuple] = {}
+            if len(of):
+                halves[of[cuts]] = np.add.reduceat(load[term], cuts)
+            hits: dict[tuple[int, int], tuple] = {(r, k): (1.0, 1.0, s, e, 1.0) for r, k, s, e in literal.find(found)}
             for lo in range(0, len(begins), 8192):
                 part = begins[lo : lo + 8192]
                 window = halves[dense[part]] + halves[dense[part + 1]]
                 window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
                 near = window @ latent.T
-                for w, k in zip(*np.nonzero(near >= cosine)):
+                for w, p in zip(*np.nonzero(near >= cosine)):
+                    k = int(owner[p])
                     row = int(np.searchsorted(first, part[w], side="right")) - 1
                     if (row, k) in hits and hits[row, k][0] >= 0.999:
                         continue
                     start, size = int(part[w] - first[row]) * half, len(items[k])
                     mine = found.place[found.cuts[row] : found.cuts[row + 1]]
                     a, b = np.searchsorted(mine, [start - size, start + WINDOW + size]) + found.cuts[row]
-                    got = leaked(items[k], found.term[a:b].tolist(), found.place[a:b].tolist(), lcs, answer)
+                    got = leaked(items[k], found.term[a:b].tolist(), found.place[a:b].tolist(), *bounds)
                     if got and ((row, k) not in hits or got[0] > hits[row, k][0]):
-                        hits[row, k] = (*got, float(near[w, k]))
+                        hits[row, k] = (*got, float(near[w, p]))
             if hits:
                 ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
                 rows = [(ids[r], uids[r], item_ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]

@@ -257,3 +257,50 @@ def test_search_keeps_huge_components(spark):
     dot = lambda a, b: max(-(2**63), min(2**63 - 1, sum(p * q for p, q in zip(a, b))))
     want = {(i, r + 1, j, s) for i, q in x if i % 20 == 0 for r, (s, j) in enumerate(sorted(((dot(q, y), j) for j, y in x if j != i), key=lambda p: (-p[0], p[1]))[:7])}
     assert {tuple(r) for r in got} == want
+
+
+def test_randomised_svd_equals_numpy():
+    from quillspark.llm.lsa_decontam import randomised_svd
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(200, 40)) @ np.diag(0.8 ** np.arange(40)) @ np.linalg.qr(rng.normal(size=(40, 40)))[0]
+    vectors, values = randomised_svd(lambda b: x.T @ (x @ b), 40, 6)
+    _, want, turned = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(values, want[:6], rtol=1e-3)
+    assert np.allclose(np.abs((vectors * turned[:6].T).sum(0)), 1, atol=1e-2)
+    assert np.allclose(vectors.T @ vectors, np.eye(6), atol=1e-6)
+
+
+def zipf(rng, n, words=3000):
+    return [f"w{int(words ** rng.random()) - 1}x" for _ in range(n)]
+
+
+def edited(rng, words, share):
+    """words with a share of them, rounded, replaced by others."""
+    out = list(words)
+    for i in rng.sample(range(len(out)), round(share * len(out))):
+        out[i] = f"e{rng.randrange(10**6)}"
+    return out
+
+
+@pytest.mark.parametrize("least,most", [(9, 12), (20, 40), (90, 300)])
+def test_paraphrases_of_benchmark_items_are_found(spark, least, most):
+    from quillspark.llm.lsa_decontam import contaminated
+
+    rng = random.Random(least)
+    items = [(i, zipf(rng, rng.randrange(least, most + 1))) for i in range(100)]
+    docs = [(1000 + i, " ".join(zipf(rng, rng.randrange(20, 200)))) for i in range(300)]
+    docs += [(i, " ".join(zipf(rng, rng.randrange(10, 120)) + edited(rng, w, 0.2) + zipf(rng, rng.randrange(10, 120)))) for i, w in items]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert len(got & {(i, i) for i, _ in items}) >= 90
+    assert len({d for d, i in got if d != i}) <= 3
+
+
+def test_short_items_are_matched_word_for_word(spark):
+    from quillspark.llm.lsa_decontam import contaminated
+
+    rows = [(1, "x Alpha beta  gamma delta epsilon zeta y"), (2, "alpha beta gamma delta x epsilon zeta"), (3, "Tiny"), (4, "a tiny thing"), (5, None), (None, "so alpha beta gamma it is"), (7, "alpha beta gamma alpha beta gamma")]
+    bench = [(1, "alpha beta gamma delta epsilon zeta"), (2, "tiny"), (3, "alpha beta gamma"), (4, ""), (5, None), (6, "alpha BETA gamma")]
+    found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["item_id"], r["start"], r["end"]) for r in found) == sorted([("1", 1, 1, 7), ("3", 2, 0, 1)] + [(d, i, s, s + 3) for d, s in (("1", 1), ("2", 0), ("None", 1), ("7", 0)) for i in (3, 6)])

@@ -10,8 +10,7 @@ longest common subsequence of its region and the item, and of the item's last pa
 Items of few words are matched word for word instead.
 
 Texts are tokenised once: what the later passes read is a table of the benchmark's words in each document and their
-places. Words in more than one passage of 400 don't count in the latent space, but for the rarest of each
-item, so that an item made of common words can be found too; the subsequence counts all words.
+places.
 
 Items are worked on in blocks of bounded size, each broadcast; a larger benchmark takes more passes.
 """
@@ -283,15 +282,6 @@ def _locate(spark, block: Block):  # noqa: ANN001, ANN202
     return run
 
 
-def _stop_terms(block: Block, own: Found, df: np.ndarray, passages: int) -> np.ndarray:
-    """Terms of more than one passage in 400, but for each item's eight rarest."""
-    stop = df > max(passages, 4000) / 400
-    for a, b in zip(own.cuts[:-1], own.cuts[1:]):
-        terms = np.unique(own.term[a:b])
-        stop[terms[np.argsort(df[terms], kind="stable")[:8]]] = False
-    return stop
-
-
 def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, bounds: tuple[float, float, float], min_words: int):  # noqa: ANN001, ANN202
     terms = len(block.terms)
 
@@ -311,15 +301,15 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, b
     df[place[place >= 0]] = count[place >= 0]
     flat, at = np.concatenate(block.words), np.concatenate(([0], np.cumsum([len(w) for w in block.words])))
     own = locate(block, flat, at)
-    idf = np.where(_stop_terms(block, own, df, passages), 0.0, np.log((passages + 1) / (df + 1)) + 0.05)
+    idf = np.log((passages + 1) / (df + 1)) + 0.05
     long = np.diff(at) >= min_words
-    kept = own.only((idf[own.term] > 0) & long[own.row])
+    kept = own.only(long[own.row])
 
     def multiply(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
         idf, omega = weights.value
         total = np.zeros((terms, omega.shape[1]), np.float32)
         for _, found in _read(batches):
-            row, term, value, rows = _rows(found.only(idf[found.term] > 0), idf)
+            row, term, value, rows = _rows(found, idf)
             total += _back(row, term, value, rows, terms, omega)
         some = np.flatnonzero(total.any(1))
         if len(some):
@@ -367,8 +357,7 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, b
         half = WINDOW // 2
         for batch, found in _read(batches):
             _, first = _halves(found.n)
-            some = found.only(idf[found.term] > 0)
-            of, term = first[some.row] + some.place // half, some.term
+            of, term = first[found.row] + found.place // half, found.term
             heavy = np.bincount(of, weights=idf[term], minlength=int(first[-1]))
             begins = _pairs(int(first[-1]), first)
             begins = begins[heavy[begins] + heavy[begins + 1] >= least_mass] if len(of) else begins[:0]

@@ -6,8 +6,10 @@ depends on its count alone. A text's probability thus splits exactly into the fo
 which needs a bounded model, and a sum over its rare words, which needs their counts: counts of the next most
 frequent words are broadcast (bounded by ``count_table``), the others are joined by word.
 
-Baum-Welch: each partition runs scaled forward-backward over its texts, emits expected counts, and Spark sums
-them by symbol. The start values come from a bounded sample of texts; every later pass is over all training texts.
+Every text is hashed and looked up once; what the passes read is a table of its symbols. Baum-Welch: each partition runs
+scaled forward-backward over its texts, emits expected counts, and Spark sums them by symbol. The first passes, from random
+start values, are over growing shares of the training texts, by a hash of the text, so they grow with the corpus; then follow passes
+over all of them until the likelihood hardly rises.
 """
 
 from __future__ import annotations
@@ -69,10 +71,11 @@ def forward(model: Model, tokens: np.ndarray, active: np.ndarray) -> tuple[np.nd
     return alpha, emitted, scale
 
 
-def expected(model: Model, tokens: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts of starts, moves and emissions, from forward-backward."""
+def expected(model: Model, tokens: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts of starts, moves and emissions, from forward-backward, and the log10 likelihood."""
     k = len(model.start)
     alpha, emitted, scale = forward(model, tokens, active)
+    likelihood = float(np.log10(scale.astype(np.float64)).sum())
     emitted /= scale[:, None]
     moves = np.zeros((k, k))
     to = np.concatenate(([0], np.cumsum(active)))
@@ -95,7 +98,7 @@ def expected(model: Model, tokens: np.ndarray, active: np.ndarray) -> tuple[np.n
     counts = np.empty((len(model.emit), k))
     for j in range(k):
         counts[:, j] = np.bincount(tokens, weights=alpha[:, j], minlength=len(model.emit))
-    return alpha[: active[0]].sum(0, dtype=np.float64), moves * model.move, counts
+    return alpha[: active[0]].sum(0, dtype=np.float64), moves * model.move, counts, likelihood
 
 
 def maximise(start: np.ndarray, moves: np.ndarray, emits: np.ndarray, prior: np.ndarray, weight: float) -> Model:
@@ -107,10 +110,6 @@ def maximise(start: np.ndarray, moves: np.ndarray, emits: np.ndarray, prior: np.
     return Model(start.astype(np.float32), moves.astype(np.float32), emits.astype(np.float32))
 
 
-def token_blocks(h: np.ndarray, at: np.ndarray, limit: int = TOKENS) -> Iterator[tuple[int, int]]:
-    yield from tx.blocks(at, limit)
-
-
 def with_end(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's words and then one end."""
     return np.insert(h, at[1:], tx.END), at + np.arange(len(at))
@@ -172,16 +171,31 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Symbols of whole texts in groups of rows of TOKENS words at most, or of one row."""
+    for batch in batches:
+        data, offsets = tx.buffers(batch.column("symbols"))
+        for i, j in tx.blocks(offsets, 4 * TOKENS):
+            a, b = int(offsets[i]), int(offsets[j])
+            yield batch.slice(i, j - i), np.frombuffer(data[a:b].tobytes(), np.int32).astype(np.int64), (offsets[i : j + 1] - a) // 4
+
+
 def count_words(train: DataFrame) -> DataFrame:
     """(h, c): how often each word, and the end, is in the texts."""
     return train.select("text").mapInArrow(tx.lean(_count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols: int = 32_768, count_table: int = 1 << 20, passes: int = 2, warm_texts: int = 600, warm_passes: int = 12) -> DataFrame:
+#: Shares of the training texts that the first passes of Baum-Welch are over, and how many passes each has.
+RAMP = ((1 / 16, 6), (1 / 4, 3))
+
+
+def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols: int = 1 << 16, count_table: int = 1 << 20, ramp: tuple = RAMP, passes: int = 4, gain: float = 0.002) -> DataFrame:
     """Scores every whole text by a model of the texts that are not held out.
 
     docs needs doc_id and text; other columns are ignored. held_out: a Boolean column over docs; null counts as
     false. Null and empty texts have one token, the end. Repeated rows, doc_ids included, are scored one by one.
+    The ``symbols`` commonest words have emissions of their own in each state, all others their counts. Passes over all training
+    texts end when the mean log10 likelihood of a token rises by less than ``gain``, after ``passes`` at the latest.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, vocabulary, base_score, score (log10). An empty
     table gives no rows. Without training texts every score is 0.
     """
@@ -213,38 +227,8 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
     base_log = float(np.log10(total + distinct + 1.0))
     shared = spark.sparkContext.broadcast((keys, counts, symbol))
 
-    def symbols_of(h: np.ndarray, of: tuple) -> np.ndarray:
-        place, found = look_up(of[0], h)
-        if not len(of[0]):
-            return np.zeros(len(h), np.int64)
-        got = np.where(found, of[2][place], -1)
-        return np.where(got < 0, m, got)
-
-    model = _warm_start(train, symbols_of, (keys, counts, symbol), prior, states, warm_texts, warm_passes)
-    weight = 50.0
-    for _ in range(passes if total else 0):
-        now = spark.sparkContext.broadcast(model)
-
-        def gather(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            model, sums = now.value, None
-            for _, h, at in _batches(batches, "text"):
-                tokens, active, _ = time_major(symbols_of(h, shared.value), at)
-                got = expected(model, tokens, active)
-                sums = got if sums is None else tuple(a + b for a, b in zip(sums, got))
-            if sums is not None:
-                k = len(model.start)
-                grid = np.vstack((sums[2], sums[0][None], sums[1]))
-                some = np.flatnonzero(grid.any(1))
-                yield pa.record_batch([pa.array(some.astype(np.int32)), *(pa.array(grid[some, j]) for j in range(k))], names=["row", *(f"s{j}" for j in range(k))])
-
-        got = train.select("text").mapInArrow(tx.lean(gather), "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
-        grid = np.zeros((m + 2 + states, states))
-        grid[got["row"].to_numpy()] = np.column_stack([got[f"s{j}"].to_numpy() for j in range(states)]) if got.num_rows else 0
-        model = maximise(grid[m + 1], grid[m + 2 :], grid[: m + 1], prior, weight)
-        now.unpersist()
-    final = spark.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's symbols, what its words' counts say, and its words beyond the table."""
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 36
@@ -252,21 +236,17 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
         for batch, h, at in _batches(batches, "text"):
             n = np.diff(at)
             place, found = look_up(keys, h)
-            tokens = np.full(len(h), m, np.int64)
+            tokens = np.full(len(h), m, np.int32)
             known = np.zeros(len(h), np.int64)
             if len(keys):
                 known = np.where(found, counts[place], 0)
                 got = np.where(found, symbol[place], -1)
-                tokens = np.where(got < 0, m, got)
+                tokens = np.where(got < 0, m, got).astype(np.int32)
             text = np.repeat(np.arange(len(n)), n)
-            moved, active, order = time_major(tokens, at)
-            _, _, scale = forward(final.value, moved, active)
-            text_of = order[np.arange(len(moved)) - np.repeat(np.cumsum(active) - active, active)]
-            logs = np.bincount(text_of, weights=np.log10(scale.astype(np.float64)), minlength=len(n))
             counted = np.log10(known + 1.0)
             # words beyond the table count as unseen here; the join adds what their counts say
             base = np.bincount(text, weights=counted - base_log, minlength=len(n))
-            logs += np.bincount(text, weights=np.where(tokens == m, counted - rare_log, 0.0), minlength=len(n))
+            share = np.bincount(text, weights=np.where(tokens == m, counted - rare_log, 0.0), minlength=len(n))
             rest = ~found
             pairs = np.lexsort((h[rest], text[rest]))
             left_text, left = text[rest][pairs], h[rest][pairs]
@@ -275,38 +255,68 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
             cuts = np.searchsorted(left_text[first], np.arange(len(n) + 1)).astype(np.int32)
             yield pa.record_batch(
                 [
-                    pa.array(row + np.arange(len(n))), batch.column("doc_id"), batch.column("held_out"), pa.array(n.astype(np.int64)), pa.array(np.bincount(text, weights=found, minlength=len(n)).astype(np.int64)), pa.array(base), pa.array(logs),
+                    pa.array(row + np.arange(len(n))), *(batch.column(c) for c in ("doc_id", "held_out", "dealt")), pa.array(n.astype(np.int64)), pa.array(np.bincount(text, weights=found, minlength=len(n)).astype(np.int64)), pa.array(base), pa.array(share),
+                    pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(4 * at.astype(np.int64)), pa.py_buffer(tokens)]).cast(pa.binary()),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(left[first].view(np.int64))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(many.astype(np.int32))),
                 ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rest", "many"],
+                names=["row", "doc_id", "held_out", "dealt", "n_tokens", "n_known", "base", "share", "symbols", "rest", "many"],
             )
             row += len(n)
 
-    scored = store.save(docs.mapInArrow(tx.lean(score), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rest array<long>, many array<int>"))
-    rest = scored.select("row", F.explode(F.arrays_zip("rest", "many")).alias("x")).select("row", F.col("x.rest").alias("h"), F.col("x.many").alias("many"))
+    named = docs.withColumn("dealt", F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 20)).cast("int"))
+    encoded = store.save(named.mapInArrow(tx.lean(encode), "row long, doc_id long, held_out boolean, dealt int, n_tokens long, n_known long, base double, share double, symbols binary, rest array<long>, many array<int>"))
+    shared.unpersist()
+    model, weight, before = _random_start(prior, states), 50.0, -np.inf
+    for part in [f for f, times in ramp for _ in range(times)] + [1.0] * passes if total else []:
+        now = spark.sparkContext.broadcast(model)
+
+        def gather(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            model, sums = now.value, None
+            for _, tokens, at in _stored(batches):
+                tokens, active, _ = time_major(tokens, at)
+                got = expected(model, tokens, active)
+                sums = got if sums is None else tuple(a + b for a, b in zip(sums, got))
+            if sums is not None:
+                k = len(model.start)
+                grid = np.vstack((sums[2], sums[0][None], sums[1], np.full((1, k), sums[3])))
+                some = np.flatnonzero(grid.any(1))
+                yield pa.record_batch([pa.array(some.astype(np.int32)), *(pa.array(grid[some, j]) for j in range(k))], names=["row", *(f"s{j}" for j in range(k))])
+
+        some = encoded.where(~F.col("held_out") & (F.col("dealt") < int(part * (1 << 20)))).select("symbols")
+        got = some.mapInArrow(tx.lean(gather), "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
+        now.unpersist()
+        grid = np.zeros((m + 3 + states, states))
+        grid[got["row"].to_numpy()] = np.column_stack([got[f"s{j}"].to_numpy() for j in range(states)]) if got.num_rows else 0
+        model = maximise(grid[m + 1], grid[m + 2 : m + 2 + states], grid[: m + 1], prior, weight)
+        if part == 1.0:
+            mean = grid[-1, 0] / total
+            if mean - before < gain:
+                break
+            before = mean
+    final = spark.sparkContext.broadcast(model)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, tokens, at in _stored(batches):
+            moved, active, order = time_major(tokens, at)
+            _, _, scale = forward(final.value, moved, active)
+            text_of = order[np.arange(len(moved)) - np.repeat(np.cumsum(active) - active, active)]
+            logs = np.bincount(text_of, weights=np.log10(scale.astype(np.float64)), minlength=batch.num_rows)
+            yield pa.record_batch([*(batch.column(c) for c in ("row", "doc_id", "held_out", "n_tokens", "n_known", "base")), pa.array(logs + batch.column("share").to_numpy())], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model"])
+
+    columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "share", "symbols"]
+    scored = store.save(encoded.select(columns).mapInArrow(tx.lean(score), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"))
+    rest = encoded.select("row", F.explode(F.arrays_zip("rest", "many")).alias("x")).select("row", F.col("x.rest").alias("h"), F.col("x.many").alias("many"))
     rare_words = vocabulary.where(F.col("c") < least)
     more = rest.join(rare_words, "h").groupBy("row").agg(F.sum("many").alias("more_known"), F.sum(F.col("many") * F.log10(F.col("c") + 1)).alias("more"))
-    out = scored.drop("rest", "many").join(more, "row", "left")
+    out = scored.join(more, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return store.finish(
         out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), F.lit(distinct).cast("long").alias("vocabulary"), (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"))
     )
 
 
-def _warm_start(train: DataFrame, symbols_of, table: tuple, prior: np.ndarray, states: int, texts: int, passes: int) -> Model:
-    """Start values from at most ``texts`` texts, taken by a hash of doc_id, none over 32 KB; fitted on the driver."""
-    rng = np.random.default_rng(11)
-    noise = rng.gamma(2.0, 1.0, (len(prior), states))
-    emit = prior[:, None] * noise
-    model = Model(np.full(states, 1 / states, np.float32), (np.full((states, states), 0.4 / states) + 0.6 * np.eye(states)).astype(np.float32), (emit / emit.sum(0)).astype(np.float32))
-    few = train.where(F.octet_length("text") <= 32_768).select(F.xxhash64("doc_id").alias("k"), "text").orderBy("k").limit(texts)
-    got = few.select("text").toArrow()
-    if not got.num_rows or len(prior) == 1:
-        return model
-    data, offsets = tx.buffers(got["text"])
-    h, at = with_end(*tx.words(data, offsets))
-    tokens, active, _ = time_major(symbols_of(h, table), at)
-    for _ in range(passes):
-        start, moves, emits = expected(model, tokens, active)
-        model = maximise(start, moves, emits, prior, 50.0)
-    return model
+def _random_start(prior: np.ndarray, states: int) -> Model:
+    """The unigram law with noise in each state, and states that tend to stay."""
+    emit = prior[:, None] * np.random.default_rng(11).gamma(2.0, 1.0, (len(prior), states))
+    move = np.full((states, states), 0.4 / states) + 0.6 * np.eye(states)
+    return Model(np.full(states, 1 / states, np.float32), move.astype(np.float32), (emit / emit.sum(0)).astype(np.float32))

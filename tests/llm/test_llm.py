@@ -49,7 +49,7 @@ def test_forward_backward_by_enumeration():
 
 def test_lm_base_score(docs):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    rows = hmm_lm.score_texts(docs, held, warm_texts=20, passes=1, count_table=50).collect()
+    rows = hmm_lm.score_texts(docs, held, ramp=((0.5, 2),), passes=2, count_table=50).collect()
     assert len(rows) == docs.count()
     count, texts = {}, [(r["doc_id"], r["text"]) for r in docs.collect()]
     split = lambda t: [*(t or "").encode().lower().split(), b""]
@@ -304,3 +304,63 @@ def test_short_items_are_matched_word_for_word(spark):
     bench = [(1, "alpha beta gamma delta epsilon zeta"), (2, "tiny"), (3, "alpha beta gamma"), (4, ""), (5, None), (6, "alpha BETA gamma")]
     found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
     assert sorted((str(r["doc_id"]), r["item_id"], r["start"], r["end"]) for r in found) == sorted([("1", 1, 1, 7), ("3", 2, 0, 1)] + [(d, i, s, s + 3) for d, s in (("1", 1), ("2", 0), ("None", 1), ("7", 0)) for i in (3, 6)])
+
+
+def test_lm_expected_counts_by_enumeration():
+    rng = np.random.default_rng(1)
+    model = hmm_lm.Model(np.float32([0.3, 0.7]), rng.dirichlet(np.ones(2), 2).astype("f4"), rng.dirichlet(np.ones(3), 2).T.astype("f4").copy())
+    texts = [rng.integers(0, 3, n) for n in (5, 1, 3)]
+    starts, moves, emits, likelihood = np.zeros(2), np.zeros((2, 2)), np.zeros((3, 2)), 0.0
+    for t in texts:
+        paths = list(itertools.product(range(2), repeat=len(t)))
+        p = np.array([model.start[z[0]] * model.emit[t[0], z[0]] * np.prod([model.move[z[i - 1], z[i]] * model.emit[t[i], z[i]] for i in range(1, len(t))]) for z in paths])
+        likelihood += np.log10(p.sum())
+        for z, w in zip(paths, p / p.sum()):
+            starts[z[0]] += w
+            for i, s in enumerate(z):
+                emits[t[i], s] += w
+                if i:
+                    moves[z[i - 1], s] += w
+    tokens, active, _ = hmm_lm.time_major(np.concatenate(texts), np.cumsum([0, *(len(t) for t in texts)]))
+    got = hmm_lm.expected(model, tokens, active)
+    assert np.allclose(got[0], starts, atol=1e-4) and np.allclose(got[1], moves, atol=1e-4) and np.allclose(got[2], emits, atol=1e-4)
+    assert np.isclose(got[3], likelihood, atol=1e-4)
+
+
+def test_lm_passes_raise_the_likelihood_and_beat_the_base(spark):
+    rng = random.Random(6)
+    # two kinds of texts whose words alternate between classes
+    line = lambda kind: " ".join(f"{'ab' if i % 2 else 'cd'}{kind}{rng.randrange(30)}" for i in range(40))
+    docs = spark.createDataFrame([(i, line(i % 2)) for i in range(200)], "doc_id long, text string")
+    held = F.col("doc_id") % 5 == 0
+    sums = []
+    for passes in (1, 3, 6):
+        rows = hmm_lm.score_texts(docs, held, states=4, ramp=((0.5, 2),), passes=passes, gain=-1.0).collect()
+        sums.append(sum(r["score"] for r in rows if not r["held_out"]))
+    assert sums == sorted(sums)
+    out = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in out) > 0.9 * sum(r["base_score"] for r in out)
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_lm_score_by_brute_force(spark):
+    """The score of a text is the forward probability times each rare word's share of the rare symbol, by its count."""
+    texts = ["a b a c", "a a b", "b a d e", "", None, "a f b a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = hmm_lm.score_texts(docs, F.lit(False), states=1, symbols=2, ramp=(), passes=1, count_table=3).collect()
+    tokens = [[*(t or "").split(), None] for t in texts]
+    count = {w: sum(t.count(w) for t in tokens) for w in {w for t in tokens for w in t}}
+    total, distinct = sum(count.values()), len(count)
+    top = sorted(count.values(), reverse=True)[:2]
+    assert {r["train_tokens"] for r in rows} == {total}
+    # one state: its emissions are the smoothed unigram law
+    mine = [w for w in count if count[w] in top][:2] if sorted(count.values())[-3] < top[1] else None
+    assert mine is not None
+    rare = total - sum(top)
+    prior = {w: (count[w] + 1) / (total + distinct + 1) for w in mine}
+    other = (rare + distinct - 2 + 1) / (total + distinct + 1)
+    law = {w: (count[w] + 50 * prior[w]) / (total + 50) for w in mine}
+    spare = (rare + 50 * other) / (total + 50)
+    for r in rows:
+        want = sum(np.log10(law[w]) if w in law else np.log10(spare) + np.log10((count[w] + 1) / (rare + distinct - 2 + 1)) for w in tokens[r["doc_id"]])
+        assert np.isclose(r["score"], want, atol=1e-4)

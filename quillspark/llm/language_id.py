@@ -47,7 +47,9 @@ def codewords(classes: int) -> np.ndarray:
         code = rng.choice([-1.0, 1.0], (classes, bits))
         if classes > 1:
             code[0, np.abs(code.sum(0)) == classes] *= -1  # a bit must part the classes
-        apart = min((int((code[i] != code[j]).sum()) for i in range(classes) for j in range(i)), default=bits)
+        alike = code @ code.T
+        np.fill_diagonal(alike, -bits)
+        apart = int((bits - alike.max()) / 2)
         if apart > far:
             best, far = code, apart
     return best
@@ -63,7 +65,8 @@ class Model:
 
     def decode(self, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The nearest codeword of each row, its share of belief, and its lead over the next."""
-        loss = np.logaddexp(0, -margin[:, None, :] * self.code[None]) @ self.trust
+        ones, zeros = (np.logaddexp(0, sign * margin) * self.trust for sign in (-1, 1))  # the loss of a bit of 1, of -1
+        loss = ones @ (self.code > 0).T + zeros @ (self.code < 0).T
         order = np.argsort(loss, 1, kind="stable")
         share = np.exp(loss.min(1, keepdims=True) - loss)
         share /= share.sum(1, keepdims=True)
@@ -100,14 +103,15 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.repeat(np.arange(j - i), np.diff(cut))[good]
             seen = np.bincount(row * BUCKETS + code[good], minlength=(j - i) * BUCKETS).reshape(j - i, BUCKETS)
             seen = (seen / np.maximum(seen.sum(1, keepdims=True), 1)).astype(np.float32)
-            yield pa.record_batch([batch.column("lang").slice(i, j - i), pa.array([r.tobytes() for r in seen], pa.binary())], names=["lang", "x"])
+            yield pa.record_batch([batch.column("lang").slice(i, j - i), batch.column("k").slice(i, j - i), pa.array([r.tobytes() for r in seen], pa.binary())], names=["lang", "k", "x"])
 
 
-def identify(docs: DataFrame, held_out: Column, *, rows: int = 2500, languages: int = 256, lead: float = 0.2) -> DataFrame:
+def identify(docs: DataFrame, held_out: Column, *, rows: int = 2500, lead: float = 0.2) -> DataFrame:
     """Predicts the language of every whole text.
 
-    docs needs doc_id, text and lang; other columns are ignored. It learns from at most ``rows`` documents with a
-    lang that are not held out, dealt evenly over the ``languages`` commonest values and taken by a hash of doc_id.
+    docs needs doc_id, text and lang; other columns are ignored. It learns from at most ``rows`` distinct documents with a
+    lang that are not held out, dealt evenly over all languages (of more than ``rows`` languages the commonest) and
+    taken by a hash of doc_id and text.
     held_out: a Boolean column; null counts as false. Texts that are null or have no letter get ``und`` and 0, as
     all do if there is nothing to learn from. Returns doc_id, held_out, lang_pred, score (0 to 1), ambiguous (the
     next codeword is nearer than ``lead``), for every row, repeated ones too; an empty table gives none.
@@ -117,17 +121,23 @@ def identify(docs: DataFrame, held_out: Column, *, rows: int = 2500, languages:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     train = docs.where(~F.col("held_out") & F.col("lang").isNotNull())
-    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    quota = rows / max(len(counts), 1)
-    shares = spark.createDataFrame([(r["lang"], float(min(1.0, 1.2 * quota / r["count"]))) for r in counts], "lang string, part double")
-    few = train.where(letter).select("doc_id", "text", "lang").join(F.broadcast(shares), "lang").withColumn("k", F.xxhash64("doc_id")).where(F.pmod("k", F.lit(1 << 30)) < F.col("part") * (1 << 30))
-    # at most 1.2 times the quota of each language is expected, so the bound seldom cuts and cuts all alike
-    got = few.mapInArrow(tx.lean(_shares), "lang string, x binary").limit(int(1.5 * rows)).toArrow()
+    train = train.where(letter)
+    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()
+    quota = rows // max(len(counts), 1)
+    # of a language about 1.2 times its quota and 20 are looked at, so that no task chooses from all rows
+    shares = spark.createDataFrame([(r["lang"], float(min(1.0, (1.2 * quota + 20) / r["count"]))) for r in counts], "lang string, part double")
+    named = train.select("text", "lang", F.xxhash64("doc_id", "text").alias("k")).join(F.broadcast(shares), "lang")
+    few = named.where(F.pmod("k", F.lit(1 << 40)) < F.col("part") * (1 << 40)).dropDuplicates(["lang", "k"])
+    got = few.select("lang", "k", "text").mapInArrow(tx.lean(_shares), "lang string, k long, x binary").toArrow().sort_by([("lang", "ascending"), ("k", "ascending")])
     model = None
     if got.num_rows:
-        names = sorted(set(got["lang"].to_pylist()))
-        x = np.frombuffer(b"".join(got["x"].to_pylist()), np.float32).reshape(-1, BUCKETS)
-        model = fit(x, np.array([names.index(v) for v in got["lang"].to_pylist()]), names)
+        said = np.array(got["lang"].to_pylist(), object)
+        begins = np.append(True, said[1:] != said[:-1])
+        at = np.arange(len(said))
+        chosen = np.flatnonzero(at - np.maximum.accumulate(np.where(begins, at, 0)) < quota)
+        names = said[begins].tolist()
+        x = np.frombuffer(b"".join(got["x"].take(chosen).to_pylist()), np.float32).reshape(-1, BUCKETS)
+        model = fit(x, (np.cumsum(begins) - 1)[chosen], names)
     shared = spark.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -364,3 +364,37 @@ def test_lm_score_by_brute_force(spark):
     for r in rows:
         want = sum(np.log10(law[w]) if w in law else np.log10(spare) + np.log10((count[w] + 1) / (rare + distinct - 2 + 1)) for w in tokens[r["doc_id"]])
         assert np.isclose(r["score"], want, atol=1e-4)
+
+
+def test_language_held_out_accuracy(spark):
+    from quillspark.llm.queries import QUERIES
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01").join(docs, "doc_id").where("held_out and lang_pred != 'und'").collect()
+    assert len(rows) > 150
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) >= 0.97
+
+
+def test_language_knows_many_values_and_repeats(spark):
+    from quillspark.llm.language_id import identify
+
+    rng = random.Random(9)
+    letters = [f"{a}{b}" for a in "abcdefghijklmnopqrst" for b in "aeiou"]
+    docs = [(None if i % 3 else i, " ".join(rng.choice(letters[2 * k : 2 * k + 2]) * 2 for _ in range(30)), f"l{k:02}") for k in range(40) for i in range(6)]
+    docs += [(1, "fafa fafa fafa", "l05")] * 200 + [(2, None, "l00"), (3, "123 !", "l00"), (4, "", None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = identify(frame, F.lit(False)).toPandas()
+    assert len(got) == len(docs)
+    assert len(set(got["lang_pred"]) - {"und"}) >= 38
+    assert (got["lang_pred"] == "und").sum() == 3
+    again = identify(frame.repartition(7), F.lit(False)).toPandas()
+    assert sorted(map(str, got.itertuples(index=False))) == sorted(map(str, again.itertuples(index=False)))
+
+
+def test_quality_held_out_accuracy(spark):
+    from quillspark.llm.queries import QUERIES
+
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").groupBy("doc_id").agg(F.max("quality").alias("y"))
+    rows = QUERIES["op2_quality_gbt"](spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 500
+    assert np.mean([r["y"] == r["predicted"] for r in rows]) >= 0.98

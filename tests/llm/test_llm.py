@@ -244,7 +244,9 @@ def test_empty_tables(docs, spark):
     assert near_dedup.link_documents(none).isEmpty() and kd_shard.shard(none).isEmpty()
     assert language_id.identify(none, F.lit(False)).isEmpty()
     assert {r["score"] for r in quality_gbt.score_quality(docs, labels, F.lit(False)).collect()} == {0.5}
-    assert {r["score"] for r in toxicity.score_toxicity(docs, labels, F.lit(False)).collect()} == {0.5}
+    assert {round(r["score"], 6) for r in toxicity.score_toxicity(docs, labels, F.lit(False)).collect()} == {0.05}
+    mixed = docs.limit(0).union(spark.createDataFrame([(1, "You STUPID pathetic clown!", "en", "s", 1.0), (2, None, None, None, None), (3, "a fine day", "en", "s", 1.0)], docs.schema))
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(mixed, labels, F.lit(False)).collect()} == {1: 1, 2: 0, 3: 0}
 
 
 def test_search_keeps_huge_components(spark):
@@ -398,3 +400,28 @@ def test_quality_held_out_accuracy(spark):
     rows = QUERIES["op2_quality_gbt"](spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
     assert len(rows) > 500
     assert np.mean([r["y"] == r["predicted"] for r in rows]) >= 0.98
+
+
+def test_toxicity_held_out_recall(spark):
+    from quillspark.llm.queries import QUERIES
+
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    rows = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1").join(labels, "doc_id").where("held_out").collect()
+    caught = sum(r["y"] and r["predicted"] for r in rows)
+    assert caught >= 0.9 * sum(r["y"] for r in rows)
+    assert caught >= 0.95 * sum(r["predicted"] for r in rows)
+
+
+def test_label_model_finds_accuracies_and_copied_voters():
+    from quillspark.llm.toxicity import label_model
+
+    rng = np.random.default_rng(4)
+    y = rng.random(4000) < 0.3
+    vote = lambda right: np.where(rng.random(4000) < right, y, ~y).astype(np.int8)
+    good = [vote(0.9), vote(0.8), vote(0.85)]
+    weak = vote(0.6)
+    copies = [np.where(rng.random(4000) < 0.95, weak, 1 - weak).astype(np.int8) for _ in range(4)]
+    post, right, parent = label_model(np.column_stack([*good, weak, *copies]), 0.3)
+    assert ((post >= 0.5) == y).mean() > 0.9
+    assert np.allclose(right[:3], [(g[g == (g.mean() > 0.5)] == y[g == (g.mean() > 0.5)]).mean() for g in good], atol=0.08)
+    assert all(parent[j] >= 3 or j == 3 for j in range(3, 8) if parent[j] >= 0) and (parent[3:] >= 3).sum() >= 4

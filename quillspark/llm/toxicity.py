@@ -2,7 +2,7 @@
 
 Voters look at a text and vote toxic, clean or not at all. There is one for every word of a seed lexicon, one for
 each word or stem (a word's first bytes) that stands out in the labelled sample, and some for patterns. The label model estimates by
-EM, without labels, how often each voter votes either way given the hidden label and the vote of one other voter: of all
+EM, from labels that may be wrong, how often each voter votes either way given the hidden label and the vote of one other voter: of all
 trees over the voters the one whose pairs tell most about each other given the label (Friedman et al., 1997). Voters that it finds to be
 wrong more often than right are dropped. Its posteriors are the targets of a logistic regression on the voters,
 on patterns and on hashed words, which scores every text.
@@ -135,23 +135,24 @@ def _tree(one_hot: np.ndarray, post: np.ndarray) -> np.ndarray:
     return parent
 
 
-def label_model(cast: np.ndarray, balance: float, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(cast: np.ndarray, balance: float, start: np.ndarray | None = None, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posteriors of toxic, each voter's accuracy when it votes, and its parent (-1: none).
 
     A voter votes v given label y, and given its parent's vote u, with probability theta[y, u, v], drawn towards theta[y, v] as by
-    two more texts. EM starts from voters that are right in 8 of 10 votes; the tree is found when their first estimates stand.
+    two more texts. EM starts from ``start``, labels that may be wrong here and there, or from voters that are right in 8 of 10 votes;
+    many copies of one voter can outvote the rest in the latter. The tree is found from the start, and again when first estimates stand.
     """
     n, m = cast.shape
     one_hot = np.stack([cast == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
     lean = np.where(cast == 1, BELIEF, np.where(cast == 0, -BELIEF, 0)).sum(1) + np.log(balance / (1 - balance))
-    post = 1 / (1 + np.exp(-np.clip(lean, -30, 30)))
+    post = 1 / (1 + np.exp(-np.clip(lean, -30, 30))) if start is None else 0.8 * start + 0.1
     parent = np.full(m, -1)
     for r in range(rounds):
         mass = np.array([(1 - post).sum(), post.sum()])
         both = np.stack([1 - post, post])
         theta = np.einsum("yn,nmv->ymv", both, one_hot, optimize=True) + 0.1
         theta /= mass[:, None, None] + 0.3
-        if r == 8 and n > 1:
+        if r in (0, 8) and n > 1:
             parent = _tree(one_hot, post)
         lean = np.log((mass[1] + 1) / (mass[0] + 1)) + np.einsum("nmv,mv->n", one_hot[:, parent < 0], (np.log(theta[1]) - np.log(theta[0]))[parent < 0])
         for j in np.flatnonzero(parent >= 0):
@@ -243,9 +244,9 @@ def fit(f: Features, y: np.ndarray, steps: int = 200) -> Classifier:
     vocabulary = np.unique(np.concatenate([_word_hashes(LEXICON), mined]))
     balance = float((y.sum() + 1) / (n + 2))
     cast = votes(presence(f, vocabulary), f.patterns)
-    right = label_model(cast, balance)[1][: len(vocabulary)]
+    right = label_model(cast, balance, y)[1][: len(vocabulary)]
     vocabulary = vocabulary[(right >= 0.5) | ~(cast[:, : len(vocabulary)] >= 0).any(0)]
-    target = label_model(votes(presence(f, vocabulary), f.patterns), balance)[0]
+    target = label_model(votes(presence(f, vocabulary), f.patterns), balance, y)[0]
     dense = _dense(f, vocabulary)
     voters, bias = np.zeros(dense.shape[1]), float(np.log(balance / (1 - balance)))
     bucket = (f.h >> np.uint64(48)).astype(np.int64)

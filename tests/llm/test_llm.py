@@ -428,3 +428,52 @@ def test_label_model_finds_accuracies_and_copied_voters():
     clean = [(v[v == 0] == y[v == 0]).mean() for v in good]
     assert all(min(abs(r - a), abs(r - b)) < 0.08 for r, a, b in zip(right, toxic, clean))
     assert all(parent[j] >= 3 or j == 3 for j in range(3, 8) if parent[j] >= 0) and (parent[3:] >= 3).sum() >= 4
+
+
+def test_shards_have_equal_bytes(spark):
+    from quillspark.llm.queries import QUERIES
+
+    rows = QUERIES["op5_kd_shard"](spark, "/root/testdata/sf0.01").collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    assert all(r["size"] == len((texts[r["doc_id"]] or "").encode()) + 1 for r in rows)
+    total = [sum(r["size"] for r in rows if r["shard"] == s) for s in range(16)]
+    heaviest = max(sum(r["size"] for r in rows if r["text_crc32"] == c) for c in {r["text_crc32"] for r in rows})
+    assert max(total) - min(total) <= 2 * max(heaviest, max(r["size"] for r in rows))
+    assert max(total) <= 1.1 * sum(total) / 16 + max(r["size"] for r in rows)
+    for s in range(16):
+        slots = [r["slot"] for r in rows if r["shard"] == s]
+        assert sorted(slots) == list(range(len(slots)))
+
+
+def sharded(spark, rows, **how):
+    from quillspark.llm.kd_shard import shard
+
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size string, shard int"), **how).collect()
+    assert len(got) == len(rows)
+    sizes = {}
+    for r in got:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+    return sizes
+
+
+def test_repeated_rows_and_heavy_groups_are_dealt(spark):
+    rng = random.Random(3)
+    rows = [(7, "the same text", "en", "s", None, 5)] * 400 + [(i, prose(rng, 3), "en", "s", "x", 1) for i in range(400)]
+    sizes = sharded(spark, rows)
+    assert len(sizes) == 16 and max(sizes.values()) <= 1.15 * sum(sizes.values()) / 16
+    # a heavy text that can't be split stands alone, wherever it lies in the order
+    heavy = [(i, "x" * 8000 if i == at else "ab", "en", "s", None, 1) for at in (0, 5, 9) for i in range(10)]
+    for at in range(3):
+        sizes = sharded(spark, heavy[10 * at : 10 * at + 10], depth=1)
+        assert sorted(sizes.values()) == [27, 8001]
+    few = [(i, t, None, None, None, None) for i, t in enumerate([None, None, "", "", " ", " ", "\t", "\t", None])]
+    assert max(sharded(spark, few, depth=2).values()) <= 8
+
+
+def test_sharding_to_a_target(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randrange(1, 30)), "en", f"s{i % 5}", None, 1) for i in range(300)]
+    sizes = sharded(spark, rows, target_bytes=2500)
+    assert sorted(sizes) == list(range(len(sizes))) and max(sizes.values()) <= 2500
+    assert min(sizes.values()) >= 900

@@ -205,14 +205,40 @@ class Literal:
                         yield int(row[i]), k, int(found.place[i]), int(found.place[i]) + m
 
 
+class Shared:
+    """Which regions hold enough of an item's words to have a long enough common subsequence: at most the words that both have,
+    each as often as the rarer side has it."""
+
+    COARSE = 1 << 22
+
+    def __init__(self, own: Found, terms: int, least: float):
+        self.terms, self.n, self.least = terms, np.diff(own.cuts), least
+        self.keys, self.count = np.unique(own.row * terms + own.term, return_counts=True)
+        self.coarse = np.zeros(self.COARSE, bool)
+        self.coarse[self.keys % self.COARSE] = True
+
+    def enough(self, found: Found, item: np.ndarray, low: np.ndarray, high: np.ndarray, size: int = 20_000) -> np.ndarray:
+        """For each pair of an item and a range of located words."""
+        out = np.zeros(len(item), bool)
+        for at in range(0, len(item), size):
+            k, a, n = item[at : at + size], low[at : at + size], (high - low)[at : at + size]
+            pair = np.repeat(np.arange(len(k)), n)
+            term = found.term[np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)]
+            key = k[pair] * self.terms + term
+            some = np.flatnonzero(self.coarse[key % self.COARSE])
+            place = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+            hit = self.keys[place] == key[some]
+            both, times = np.unique(pair[some][hit] * len(self.keys) + place[hit], return_counts=True)
+            shared = np.bincount(both // len(self.keys), weights=np.minimum(times, self.count[both % len(self.keys)]), minlength=len(k))
+            out[at : at + size] = shared >= self.least * self.n[k] - 1e-9
+        return out
+
+
 def leaked(item: list[int], region: list[int], places: list[int], least: float, answer: float, sure: float) -> tuple[float, float, int, int] | None:
     """Shares of the item and of its answer that are common to the region in order, and the span; None if too small.
 
     item, region: terms; places: where the region's stand.
     """
-    known = set(item)
-    if sum(1 for w in set(region) if w in known) < 0.5 * least * len(known):
-        return None
     same = common(item, region)
     if same < least * len(item):
         return None
@@ -360,11 +386,11 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, b
     least_mass = float((0.5 * bounds[0] * mass * np.minimum(1, WINDOW / 2 * many[owner] / np.diff(at)[owner])).min()) if len(mass) else np.inf
     items = [own.term[a:b].tolist() for a, b in zip(own.cuts[:-1], own.cuts[1:])]
     literal = Literal(items, np.flatnonzero(~long).tolist())
-    plan = spark.sparkContext.broadcast((idf, load, latent, owner, least_mass, items, block.ids, literal))
+    plan = spark.sparkContext.broadcast((idf, load, latent, owner, least_mass, items, block.ids, literal, Shared(own, terms, bounds[0])))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, load, latent, owner, least_mass, items, item_ids, literal = plan.value
-        half = WINDOW // 2
+        idf, load, latent, owner, least_mass, items, item_ids, literal, shared = plan.value
+        half, sizes = WINDOW // 2, np.array([len(x) for x in items], np.int64)
         for batch, found in _read(batches):
             _, first = _halves(found.n)
             some = found.only(idf[found.term] > 0)
@@ -381,23 +407,24 @@ def _search(spark, located: DataFrame, block: Block, rank: int, cosine: float, b
             halves = np.zeros((int(needed.sum()), load.shape[1]), np.float32)
             if len(of):
                 halves[of[cuts]] = np.add.reduceat(load[term], cuts)
+            words = (found.row << 40) + found.place
             hits: dict[tuple[int, int], tuple] = {(r, k): (1.0, 1.0, s, e, 1.0) for r, k, s, e in literal.find(found)}
             for lo in range(0, len(begins), 8192):
                 part = begins[lo : lo + 8192]
                 window = halves[dense[part]] + halves[dense[part + 1]]
                 window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
                 near = window @ latent.T
-                for w, p in zip(*np.nonzero(near >= cosine)):
-                    k = int(owner[p])
-                    row = int(np.searchsorted(first, part[w], side="right")) - 1
-                    if (row, k) in hits and hits[row, k][0] >= 0.999:
+                w, p = np.nonzero(near >= cosine)
+                row, item, share = np.searchsorted(first, part[w], side="right") - 1, owner[p], near[w, p]
+                start = (part[w] - first[row]) * half
+                low, high = (np.searchsorted(words, (row << 40) + at) for at in (np.maximum(start - sizes[item], 0), start + WINDOW + sizes[item]))
+                for i in np.flatnonzero(shared.enough(found, item, low, high)):
+                    pair, a, b = (int(row[i]), int(item[i])), low[i], high[i]
+                    if pair in hits and hits[pair][0] >= 0.999:
                         continue
-                    start, size = int(part[w] - first[row]) * half, len(items[k])
-                    mine = found.place[found.cuts[row] : found.cuts[row + 1]]
-                    a, b = np.searchsorted(mine, [start - size, start + WINDOW + size]) + found.cuts[row]
-                    got = leaked(items[k], found.term[a:b].tolist(), found.place[a:b].tolist(), *bounds)
-                    if got and ((row, k) not in hits or got[0] > hits[row, k][0]):
-                        hits[row, k] = (*got, float(near[w, p]))
+                    got = leaked(items[pair[1]], found.term[a:b].tolist(), found.place[a:b].tolist(), *bounds)
+                    if got and (pair not in hits or got[0] > hits[pair][0]):
+                        hits[pair] = (*got, float(share[i]))
             if hits:
                 ids, uids = batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist()
                 rows = [(ids[r], uids[r], item_ids[k], s, e, c, share, said) for (r, k), (share, said, s, e, c) in hits.items()]

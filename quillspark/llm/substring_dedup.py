@@ -1,12 +1,14 @@
 """Passages that repeat across documents, exactly or nearly: k-mer seeds, collinear chains, alignment.
 
 1. Seeds are k-word windows, thinned to the least of every w in a row, so any run of k + w - 1 equal words shares one.
-2. Each seed's places in later documents are linked to those in its first one, by doc_id, not to each other. A task links what
-   it has itself and sends on the places in its first document that has the seed, so a passage that a third of the corpus holds costs a row a task in the shuffle;
-   sorted partitions are read as a stream, so no group is held in memory.
+2. Each seed's places in later documents are linked to those in its first one, by doc_id, not to each other. A task links
+   what it has to its own first holder and sends that holder's places on, so a passage that a third of the corpus holds
+   costs a row a task in the shuffle; there the first holder of all is found, and the task's links are moved to it by a
+   join on seed and task's holder, which no passage makes large. So links don't depend on how rows lie in tasks.
 3. A document's links with one partner are chained: blocks in order in both texts, scored by length less gap costs,
    with the best predecessor found in a Fenwick tree of prefix maxima.
-4. Chains are extended and aligned on the words themselves, fetched once for each distinct span. A chain that is not
+4. Chains are extended and aligned on the words themselves, fetched once for each distinct span; spans that very many
+   chains ask for are copied as often as needed. A chain that is not
    alike enough as a whole is split at its widest gaps, so passages around differing words are found each.
 """
 
@@ -30,6 +32,8 @@ LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partn
 HELD = 4_000_000
 #: Words beyond a chain's ends that alignment looks at.
 MARGIN = 16
+#: Spans of a document in one list, and chains that one copy of a partner's span serves.
+ASKED, SHARED = 1000, 2000
 #: Words between two spans that still count together.
 TOUCH = 3
 
@@ -69,39 +73,51 @@ def seeds(h: np.ndarray, at: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np
     return place, value[place]
 
 
-def _link(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray, seen: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorts by seed, document, place. Returns the order, the places in each seed's first document, what each place in a
-    later document is linked to (-1: none), and each place's number in its document.
+def _runs_of(*keys: np.ndarray) -> np.ndarray:
+    """Whether a new run of equal keys begins at each place."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
 
-    A document's n-th place is linked to the first document's n-th, counted round, so a text that repeats itself keeps
-    its order. seen: a seed, a document and how many of its places came before.
-    """
+
+def _number(new: np.ndarray) -> np.ndarray:
+    """Places within runs, from 0."""
+    at = np.arange(len(new))
+    return at - np.maximum.accumulate(np.where(new, at, 0))
+
+
+def _sorted(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """By seed, document and place; a document that repeats is one."""
     order = np.lexsort((pos, uid, doc, h))
-    h, uid = h[order], uid[order]
-    at = np.arange(len(h))
-    new = np.append(True, h[1:] != h[:-1])
-    first = np.maximum.accumulate(np.where(new, at, 0))
-    number = at - np.maximum.accumulate(np.where(new | np.append(True, uid[1:] != uid[:-1]), at, 0))
-    if seen:
-        number[(h == seen[0]) & (uid == seen[1])] += seen[2]
-    later = uid != uid[first]
-    many = np.bincount(first[~later], minlength=len(h))
-    return order, ~later, np.where(later, first + number % np.maximum(many[first], 1), -1), number
+    h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
+    keep = _runs_of(h, uid, pos)
+    return h[keep], doc[keep], uid[keep], pos[keep]
 
 
-def _scan(k: int, w: int):
-    names = ["h", "doc_id", "uid", "pos", "partner_id", "partner_uid", "partner_pos"]
+#: Of the shuffle: a first holder's places under their seed, and links within a task under their document.
+FOUND = "key long, seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int"
+#: What comes out: links within a task, and for each seed the places of a task's holder and of the first of all.
+PAIRS = "seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int, places array<int>, partner_places array<int>"
+
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _scan(k: int, w: int):
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        h, doc, uid, pos = (np.concatenate(x) for x in zip(*held))
-        order, held_first, first, _ = _link(h, doc, uid, pos)
-        h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
-        n = int(held_first.sum())
-        none = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())
-        yield pa.record_batch([pa.array(h[held_first].view(np.int64)), pa.array(doc[held_first]), pa.array(uid[held_first]), pa.array(pos[held_first]), *none], names=names)
-        mine = np.flatnonzero(first >= 0)
-        to = first[mine]
-        yield pa.record_batch([pa.array(uid[mine]), pa.array(doc[mine]), pa.array(uid[mine]), pa.array(pos[mine]), pa.array(doc[to]), pa.array(uid[to]), pa.array(pos[to])], names=names)
+        h, doc, uid, pos = _sorted(*(np.concatenate(x) for x in zip(*held)))
+        at = np.arange(len(h))
+        first = np.maximum.accumulate(np.where(_runs_of(h), at, 0))
+        number = _number(_runs_of(h, uid))
+        own = uid == uid[first]
+        none = [pa.nulls(int(own.sum()), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32())]
+        yield pa.record_batch([pa.array(h[own].view(np.int64)), pa.nulls(int(own.sum()), pa.int64()), pa.array(doc[own]), pa.array(uid[own]), pa.array(pos[own]), *none], names=_names(FOUND))
+        mine = np.flatnonzero(~own)
+        if len(mine):  # the n-th place goes to the holder's n-th, counted round, so a text that repeats itself keeps its order
+            many = np.bincount(first[own], minlength=len(h))
+            to = first[mine] + number[mine] % many[first[mine]]
+            yield pa.record_batch([pa.array(x) for x in (uid[mine], h[mine].view(np.int64), doc[mine], uid[mine], pos[mine], number[mine].astype(np.int32), doc[to], uid[to], pos[to])], names=_names(FOUND))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -124,32 +140,49 @@ def _scan(k: int, w: int):
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by seed: links of this partition to each seed's first occurrence; links made before pass through."""
-    names = LINK.replace(" long", "").replace(" int", "").split(", ")
-    first: tuple | None = None  # the last seed's places in its first document
-    seen: tuple = ()
+    """Sorted by seed: for each task's holder of a seed its places and those of the first holder of all; links pass through."""
+    links = _names(PAIRS)[:8]
+
+    def pairs(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = np.arange(len(h))
+        first = np.maximum.accumulate(np.where(_runs_of(h), at, 0))
+        starts = np.flatnonzero(_runs_of(h, uid))
+        n = np.diff(starts, append=len(h))
+        later = uid[starts] != uid[first[starts]]
+        if not later.any():
+            return
+        size_of = np.zeros(len(h), np.int64)
+        size_of[starts] = n
+        a, m = starts[later], n[later]
+        g = first[a]
+        gm = size_of[g]
+        lists = []
+        for begin, many in ((a, m), (g, gm)):
+            cuts = np.concatenate(([0], np.cumsum(many)))
+            lists.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(pos[np.repeat(begin - cuts[:-1], many) + np.arange(cuts[-1])])))
+        none = pa.nulls(len(a), pa.int32())
+        yield pa.record_batch([pa.array(h[a]), pa.array(doc[a]), pa.array(uid[a]), none, none, pa.array(doc[g]), pa.array(uid[g]), none, *lists], names=_names(PAIRS))
+
+    kept: tuple | None = None
     for batch in batches:
-        made = batch.column("partner_uid").is_valid()
-        done = batch.filter(made).select(names)
+        made = batch.column("seed").is_valid()
+        done = batch.filter(made)
         if done.num_rows:
-            yield done
+            none = pa.nulls(done.num_rows, pa.list_(pa.int32()))
+            yield pa.record_batch([*(done.column(c) for c in links), none, none], names=_names(PAIRS))
         rest = batch.filter(pc.invert(made))
         if not rest.num_rows:
             continue
-        h, doc, uid, pos = (rest.column(c).to_numpy() for c in ("h", "doc_id", "uid", "pos"))
-        if first is not None:
-            h, doc, uid, pos = (np.concatenate((v, x)) for x, v in zip((h, doc, uid, pos), first))
-        last, final = rest.column("h")[-1].as_py(), rest.column("uid")[-1].as_py()
-        order, held_first, to, number = _link(h, doc, uid, pos, seen)
-        h, doc, uid, pos = h[order], doc[order], uid[order], pos[order]
-        mine = np.flatnonzero(to >= 0)
-        if len(mine):
-            to = to[mine]
-            yield pa.record_batch([pa.array(doc[mine]), pa.array(uid[mine]), pa.array(pos[mine]), pa.array(doc[to]), pa.array(uid[to]), pa.array(pos[to])], names=names)
-        ours = (h == last) & held_first
-        first = tuple(x[ours] for x in (h, doc, uid, pos))
-        ours = (h == last) & (uid == final) & ~held_first
-        seen = (last, final, int(number[ours].max()) + 1) if ours.any() else ()
+        rows = tuple(rest.column(c).to_numpy() for c in ("key", "doc_id", "uid", "pos"))
+        rows = _sorted(*(rows if kept is None else (np.concatenate(x) for x in zip(kept, rows))))
+        # the last document may go on in the next batch, and its seed's first holder is needed then
+        h, _, uid, _ = rows
+        last = (h == h[-1]) & (uid == uid[-1])
+        yield from pairs(*(x[~last] for x in rows))
+        head = (h == h[-1]) & (uid == uid[np.flatnonzero(h == h[-1])[0]])
+        kept = tuple(x[last | head] for x in rows)
+    if kept is not None:
+        yield from pairs(*kept)
 
 
 class Fenwick:
@@ -246,11 +279,15 @@ def touching(spans: list[tuple[int, int]], slack: int, least: int) -> list[bool]
 
 def _chains(k: int, w: int, least: int):
     """Chains with each partner. Short ones stay if a document's chains with all partners may make up ``least`` words:
-    alignment moves an end by MARGIN words at most, and spans TOUCH words apart count together."""
+    alignment moves an end by MARGIN words at most, and spans TOUCH words apart count together. Equal words go on for
+    less than w words beyond a chain's seeds, so chains farther apart than that on both sides don't touch."""
+    slack = 2 * w + TOUCH
     names = ["doc_id", "uid", "start", "end", "partner_id", "partner_uid", "partner_start", "partner_end", "parts"]
 
     def of(table: pa.Table) -> list[tuple]:
-        doc, uid, pos, pdoc, puid, ppos = (table[c].to_numpy() for c in LINK.replace(" long", "").replace(" int", "").split(", "))
+        doc, uid, pos, pdoc, puid, ppos = (table[c].to_numpy() for c in _names(LINK))
+        once = _runs_of(uid, puid, pos, ppos)  # rows that repeat a document link it again
+        doc, uid, pos, pdoc, puid, ppos = (x[once] for x in (doc, uid, pos, pdoc, puid, ppos))
         pos, ppos = pos.astype(np.int64), ppos.astype(np.int64)
         cuts = np.flatnonzero(np.append(True, (uid[1:] != uid[:-1]) | (puid[1:] != puid[:-1])))
         ends = np.append(cuts[1:], len(uid))
@@ -259,7 +296,7 @@ def _chains(k: int, w: int, least: int):
         low, high = group + pos[cuts], group + pos[ends - 1] + k
         order = np.argsort(low, kind="stable")
         reach = np.maximum.accumulate(high[order])
-        new = np.append(True, low[order][1:] > reach[:-1] + 2 * MARGIN + TOUCH)
+        new = np.append(True, low[order][1:] > reach[:-1] + slack)
         first = np.flatnonzero(new)
         long = reach[np.append(first[1:], len(cuts)) - 1] - low[order][first] >= least - 2 * MARGIN
         keep = np.empty(len(cuts), bool)
@@ -270,7 +307,7 @@ def _chains(k: int, w: int, least: int):
                 for s, e, ps, pe, _, parts in chain(_blocks(pos[a:b], ppos[a:b], k, 4 * w)):
                     mine.append((doc[a], uid[a], s, e, pdoc[a], puid[a], ps, pe, [x for b in parts for x in (b[0], b[2], b[1] - b[0])]))
             if mine and (n + 1 == len(cuts) or uid[cuts[n + 1]] != uid[a]):
-                good = touching([r[2:4] for r in mine], 2 * MARGIN + TOUCH, least - 2 * MARGIN)
+                good = touching([r[2:4] for r in mine], slack, least - 2 * MARGIN)
                 out += [r for r, g in zip(mine, good) if g]
                 mine = []
         return out
@@ -345,10 +382,19 @@ def _runs(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]]) -> li
     return out
 
 
+def _ahead(same: np.ndarray) -> int:
+    """How far to go on: to where equal words outweigh four times the differing ones by most."""
+    if not len(same):
+        return 0
+    score = np.cumsum(np.where(same, 1, -4))
+    best = int(score.argmax())
+    return best + 1 if score[best] > 0 else 0
+
+
 def aligned_parts(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]], identity: float) -> list[tuple[int, int, int, int, int]]:
     """Spans of a and b with their common words, at least ``identity`` of the longer: the chain as a whole if it is
     alike enough, else what is left of it when it is split at its widest gap, again and again, down to single runs of
-    equal words. A chain's ends are extended as far as words are equal."""
+    equal words. A chain's ends are extended as far as words are equal, and beyond differing words if enough equal ones follow."""
 
     def span(i: int, j: int) -> tuple[int, int, int, int]:
         s, ps = runs[i][:2]
@@ -359,7 +405,23 @@ def aligned_parts(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]
             s, ps = s - 1, ps - 1
         while e < high and pe < phigh and a[e] == b[pe]:
             e, pe = e + 1, pe + 1
-        return s, e, ps, pe
+        # beyond differing words, if enough equal ones follow
+        n = min(MARGIN, s - low, ps - plow)
+        more = _ahead(a[s - n : s][::-1] == b[ps - n : ps][::-1])
+        s, ps = s - more, ps - more
+        n = min(MARGIN, high - e, phigh - pe)
+        more = _ahead(a[e : e + n] == b[pe : pe + n])
+        return s, e + more, ps, pe + more
+
+    def matched(i: int, j: int, s: int, e: int, ps: int, pe: int) -> int:
+        """Common words in order: the runs, and the longest common subsequences between them and at the ends."""
+        same = sum(r[2] for r in runs[i : j + 1])
+        x, y = s, ps
+        for t, u, n in [*runs[i : j + 1], (e, pe, 0)]:
+            if t > x and u > y:
+                same += common(a[x:t].tolist(), b[y:u].tolist())
+            x, y = t + n, u + n
+        return same
 
     runs = _runs(a, b, parts)
     out, left = [], [(0, len(runs) - 1)] if runs else []
@@ -368,8 +430,7 @@ def aligned_parts(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]
         s, e, ps, pe = span(i, j)
         longer = max(e - s, pe - ps)
         if min(e - s, pe - ps) >= identity * longer:
-            x, y = a[s:e], b[ps:pe]
-            same = len(x) if len(x) == len(y) and (x == y).all() else common(x.tolist(), y.tolist())
+            same = matched(i, j, s, e, ps, pe)
             if same >= identity * longer:
                 out.append((s, e, ps, pe, same))
                 continue
@@ -402,7 +463,7 @@ def uid_of() -> F.Column:
     return F.xxhash64("doc_id", "text")
 
 
-def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: int = 50, identity: float = 0.8) -> DataFrame:
+def repeated_passages(docs: DataFrame, *, k: int = 6, w: int = 6, min_words: int = 50, identity: float = 0.8) -> DataFrame:
     """Passages of at least ``min_words`` words that an earlier document (by doc_id) also has.
 
     docs needs doc_id and text; other columns are ignored. Words are runs without ASCII white space, A-Z folded. A
@@ -415,23 +476,41 @@ def repeated_passages(docs: DataFrame, *, k: int = 8, w: int = 12, min_words: in
     """
     store = Scratch(docs.sparkSession, "substring")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("uid", uid_of())
-    found = docs.mapInArrow(tx.lean(_scan(k, w)), f"h long, {LINK}")
-    # links made already ride along under the document's own key
-    ordered = found.repartition(F.col("h")).sortWithinPartitions("h", "doc_id", "uid", "pos")
-    links = ordered.mapInArrow(tx.lean(_resolve), LINK)
-    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos").mapInArrow(tx.lean(_chains(k, w, min_words)), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int, parts array<int>")
+    found = docs.mapInArrow(tx.lean(_scan(k, w)), FOUND)
+    ordered = found.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "uid", "pos")
+    mixed = store.save(ordered.mapInArrow(tx.lean(_resolve), PAIRS))
+    pairs, local = mixed.where("places is not null"), mixed.where("places is null")
+    nth = lambda n: F.get("partner_places", n % F.size("partner_places"))
+    across = pairs.select("doc_id", "uid", F.posexplode("places").alias("number", "pos"), "partner_id", "partner_uid", "partner_places")
+    across = across.select("doc_id", "uid", "pos", "partner_id", "partner_uid", nth(F.col("number")).alias("partner_pos"))
+    to = pairs.select("seed", F.col("uid").alias("holder"), F.col("partner_id").alias("first_id"), F.col("partner_uid").alias("first_uid"), "partner_places")
+    moved = local.drop("places", "partner_places").withColumn("holder", F.col("partner_uid")).join(to, ["seed", "holder"], "left")
+    moved = moved.select("doc_id", "uid", "pos", *(F.coalesce(x, y).alias(y) for x, y in (("first_id", "partner_id"), ("first_uid", "partner_uid"))), F.coalesce(nth(F.col("number")), "partner_pos").alias("partner_pos"))
+    links = across.union(moved)
+    chains = links.repartition(F.col("uid")).sortWithinPartitions("uid", "partner_uid", "pos", "partner_pos").mapInArrow(tx.lean(_chains(k, w, min_words)), "doc_id long, uid long, start int, end int, partner_id long, partner_uid long, partner_start int, partner_end int, parts array<int>")
     chains = store.save(chains)
 
     sides = [chains.select(F.col(u).alias("uid"), F.greatest(F.lit(0), F.col(s) - MARGIN).alias("from"), (F.col(e) + MARGIN).alias("to")) for u, s, e in (("uid", "start", "end"), ("partner_uid", "partner_start", "partner_end"))]
     asked = sides[0].union(sides[1]).distinct()
-    # a document of n words is asked for spans that differ; a passage that many share is asked for once
-    wanted = store.save(asked.groupBy("uid").agg(F.collect_list(F.struct("from", "to")).alias("spans")))
-    uids = if_small(wanted.select("uid"))
+    asked = store.save(asked)
+    # lists of at most about ASKED spans; a document that is asked for more is read several times
+    many = if_small(store.save(asked.groupBy("uid").count().where(F.col("count") > ASKED).select("uid", F.ceil(F.col("count") / ASKED).alias("lists"))))
+    dealt = asked.join(many, "uid", "left").withColumn("list", F.pmod(F.xxhash64("from", "to"), F.coalesce("lists", F.lit(1))))
+    wanted = store.save(dealt.groupBy("uid", "list").agg(F.collect_list(F.struct("from", "to")).alias("spans")).drop("list"))
+    uids = if_small(store.save(asked.select("uid").distinct()))
     texts = docs.select("uid", "text").join(uids, "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text"))
     slices = store.save(texts.join(wanted, "uid").mapInArrow(tx.lean(_slices), "uid long, from int, to int, words binary"))
-    left, right = (slices.select(F.col("uid").alias(f"{x}_uid"), F.col("from").alias(f"{x}_from"), F.col("to").alias(f"{x}_to"), F.col("words").alias(x)) for x in ("left", "right"))
-    both = chains.join(left, (F.col("uid") == F.col("left_uid")) & (F.greatest(F.lit(0), F.col("start") - MARGIN) == F.col("left_from")) & (F.col("end") + MARGIN == F.col("left_to")))
-    both = both.join(right, (F.col("partner_uid") == F.col("right_uid")) & (F.greatest(F.lit(0), F.col("partner_start") - MARGIN) == F.col("right_from")) & (F.col("partner_end") + MARGIN == F.col("right_to")))
+    mine = slices.select(F.col("uid"), F.col("from"), F.col("to"), F.col("words").alias("left"))
+    both = chains.withColumn("from", F.greatest(F.lit(0), F.col("start") - MARGIN)).withColumn("to", F.col("end") + MARGIN).join(mine, ["uid", "from", "to"]).drop("from", "to")
+    # a partner's span that more than SHARED chains have is copied, once for every SHARED of them
+    span = ["partner_uid", "partner_from", "partner_to"]
+    both = both.withColumn("partner_from", F.greatest(F.lit(0), F.col("partner_start") - MARGIN)).withColumn("partner_to", F.col("partner_end") + MARGIN)
+    ends = chains.select("partner_uid", F.greatest(F.lit(0), F.col("partner_start") - MARGIN).alias("partner_from"), (F.col("partner_end") + MARGIN).alias("partner_to"))
+    hot = if_small(store.save(ends.groupBy(*span).count().where(F.col("count") > SHARED).select(*span, F.ceil(F.col("count") / SHARED).cast("int").alias("copies"))))
+    copies = F.coalesce("copies", F.lit(1))
+    theirs = slices.select(F.col("uid").alias(span[0]), F.col("from").alias(span[1]), F.col("to").alias(span[2]), F.col("words").alias("right"))
+    theirs = theirs.join(hot, span, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("copies")
+    both = both.join(hot, span, "left").withColumn("copy", F.pmod(F.xxhash64("uid", "start"), copies).cast("int")).join(theirs, [*span, "copy"])
     both = both.select("doc_id", "uid", "start", "end", "partner_id", "partner_start", "partner_end", "parts", "left", "right")
     aligned = store.save(both.mapInArrow(tx.lean(_align(identity, k)), "doc_id long, uid long, doc_start int, doc_end int, partner_id long, partner_start int, partner_end int, matched int, identity double"))
 

@@ -477,3 +477,46 @@ def test_sharding_to_a_target(spark):
     sizes = sharded(spark, rows, target_bytes=2500)
     assert sorted(sizes) == list(range(len(sizes))) and max(sizes.values()) <= 2500
     assert min(sizes.values()) >= 900
+
+
+def test_passages_do_not_depend_on_the_layout(spark):
+    from quillspark.llm.substring_dedup import repeated_passages
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id % 50 = 0")).cache()  # some rows repeat
+    first, second = (sorted(map(tuple, repeated_passages(docs.repartition(n)).collect())) for n in (2, 9))
+    assert len(first) > 50 and first == second
+
+
+def test_edited_passages_are_found(spark):
+    from quillspark.llm.substring_dedup import common, repeated_passages
+
+    rng = random.Random(21)
+    rows, where = [], {}
+    for n in range(120):
+        passage = zipf(rng, 80, 5000)
+        other = [f"e{rng.randrange(10**6)}" if rng.random() < 0.08 else w for w in passage]
+        at = rng.randrange(10, 60)
+        rows += [(2 * n, " ".join(zipf(rng, 40, 5000) + passage + zipf(rng, 30, 5000))), (2 * n + 1, " ".join(zipf(rng, at, 5000) + other + zipf(rng, 30, 5000)))]
+        where[2 * n + 1] = at
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    hit = [len(covered(got, d) & set(range(at, at + 80))) for d, at in where.items()]
+    assert sum(h >= 50 for h in hit) >= 0.9 * len(hit)
+    words = {d: t.split() for d, t in rows}
+    for r in got:  # what is reported is alike by brute force
+        x, y = words[r["doc_id"]][r["doc_start"] : r["doc_end"]], words[r["partner_id"]][r["partner_start"] : r["partner_end"]]
+        assert r["matched"] <= common(x, y) and r["matched"] >= 0.8 * max(len(x), len(y)) - 1e-9
+        assert abs(r["identity"] - r["matched"] / max(len(x), len(y))) < 1e-9
+
+
+def test_a_passage_of_very_many_documents(spark, monkeypatch):
+    from quillspark.llm import substring_dedup as sd
+
+    monkeypatch.setattr(sd, "SHARED", 7)
+    monkeypatch.setattr(sd, "ASKED", 5)
+    rng = random.Random(22)
+    passage = " ".join(prose(rng, 70, 9000).split())
+    rows = [(i, f"{prose(rng, 3 + i % 20, 9000)} {passage} {prose(rng, 20, 9000)}") for i in range(60)]
+    got = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert all(covered(got, i) == set(range(3 + i % 20, 73 + i % 20)) for i in range(1, 60)) and not covered(got, 0)
+    assert {r["doc_id"] for r in got if r["partner_id"] == 0} == set(range(1, 60))

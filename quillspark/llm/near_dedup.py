@@ -4,17 +4,19 @@
    same set are one class; only one representative of a class goes on.
 2. Bands of minima give buckets. In each bucket the least class is the pivot.
 3. Candidate pairs are tested in three rounds: each class with its least pivot, then with its other pivots, then,
-   in buckets that still hold several components, every pair across components, in blocks of shortened sets. Pairs
-   inside one component need no test, so a group of copies costs about one test a copy. In the first two rounds
-   signatures that agree too little are refused; every link is confirmed on the full sets.
+   in buckets that still hold several components, every pair across components whose sizes allow a link, in blocks of sets
+   with a prefix filter. Pairs inside one component need no test, so a group of copies costs about one test a copy. In the first
+   two rounds signatures that agree too little are refused; every link is confirmed on the full sets.
 4. Links go to connected components by large-star and small-star.
 
-With 20 bands of 4 minima a pair at a similarity of 0.85 is missed with a probability of 4e-7.
+With 32 bands of 4 minima a pair at a similarity of 0.85 shares no bucket with a probability of 6e-11, at 0.80 of 5e-8.
+Verification refuses a pair at the bound with a probability of at most 1e-9.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from quillspark.llm import text as tx
 from quillspark.llm.components import components
 from quillspark.llm.store import Scratch, if_small
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 32, 4
 _rng = np.random.Generator(np.random.PCG64(5))
 _A = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -132,48 +134,68 @@ def _likely(least: int):
     return run
 
 
-def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Full sets become sorted 32-bit ones, and marks 32-bit keys of their bands. Shortening can only add to an intersection."""
+def refusal(percent: int, chance: float = 1e-9) -> int:
+    """Of all minima the least number of equal ones that a pair must have: one at the bound has fewer with this chance at most."""
+    n, p, total = BANDS * ROWS, percent / 100, 0.0
+    for k in range(n + 1):
+        total += comb(n, k) * p**k * (1 - p) ** (n - k)
+        if total > chance:
+            return k
+    return n
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks become keys of their bands."""
     for batch in batches:
-        sets = [np.sort((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in batch.column("members")]
-        keys = [r.tobytes() for r in (_band_keys(batch.column("mark").to_pylist()) >> np.uint64(32)).astype(np.uint32)]
-        yield pa.record_batch([*(batch.column(c) for c in ("bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block")), pa.array(sets, pa.binary()), pa.array(keys, pa.binary())], names=["bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block", "short", "keys"])
+        keys = [r.tobytes() for r in _band_keys(batch.column("mark").to_pylist())]
+        at = batch.schema.get_field_index("mark")
+        yield batch.set_column(at, "keys", pa.array(keys, pa.binary()))
 
 
 def _across(percent: int):
-    """Of two blocks of a bucket: for each pair of components the best linked pair of texts, by shortened sets.
+    """Of two blocks of a bucket: for each pair of components the best linked pair of texts.
 
-    A pair is looked at only in the first bucket that both texts share.
+    A pair is looked at only in the first bucket that both texts share. Of each set the members that are rarest in the blocks
+    are looked up; two sets that are alike enough share one of those.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         found: dict[tuple[int, int], tuple[float, int, int]] = {}
         if len(left) and len(right):
-            keys = [np.frombuffer(b"".join(x["keys"]), np.uint32).reshape(len(x), -1) for x in (left, right)]
-            here = np.uint32(int(pdf["bucket"].iloc[0]) % 2**64 >> 32)
-            sets = [np.frombuffer(x, np.uint32) for x in right["short"]]
+            keys = [np.frombuffer(b"".join(x["keys"]), np.uint64).reshape(len(x), -1) for x in (left, right)]
+            here = np.uint64(int(pdf["bucket"].iloc[0]) % 2**64)
+            sets = [np.frombuffer(x, np.uint64) for x in [*left["members"], *right["members"]]]
             sizes = np.array([len(x) for x in sets])
             owner = np.repeat(np.arange(len(sets)), sizes)
-            value = np.concatenate(sets)
-            order = np.argsort(value, kind="stable")
-            value, owner = value[order], owner[order]
-            nodes, parts = right["node"].to_numpy(), right["component"].to_numpy()
-            for row, node, part, short in zip(range(len(left)), left["node"], left["component"], left["short"]):
-                mine = np.frombuffer(short, np.uint32)
-                low, high = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
-                many = high - low
-                at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                both = np.bincount(owner[at], minlength=len(sets))
-                close = np.flatnonzero((100 * both >= percent * (len(mine) + sizes - both)) & (parts != part))
-                if len(close):
-                    shared = keys[1][close] == keys[0][row]
-                    close = close[keys[1][close, shared.argmax(1)] == here]
-                for x in close:
-                    pair = (min(part, parts[x]), max(part, parts[x]))
-                    share = both[x] / (len(mine) + sizes[x] - both[x])
-                    if pair not in found or share > found[pair][0]:
-                        found[pair] = (share, min(node, nodes[x]), max(node, nodes[x]))
+            value, back, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            order = np.lexsort((back, many[back], owner))
+            rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            early = rank < (sizes - -(-percent * sizes // 100) + 1)[owner[order]]
+            token, whose = back[order][early], owner[order][early]
+            old = whose >= len(left)
+            by = np.argsort(token[old], kind="stable")
+            theirs, whom = token[old][by], whose[old][by]
+            mine, who = token[~old], whose[~old]
+            low, high = np.searchsorted(theirs, mine, "left"), np.searchsorted(theirs, mine, "right")
+            n = high - low
+            at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            pair = np.unique(np.repeat(who, n) * len(sets) + whom[at])
+            x, y = pair // len(sets), pair % len(sets)
+            nodes, parts = (np.concatenate((left[c].to_numpy(), right[c].to_numpy())) for c in ("node", "component"))
+            fine = (100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])) & (parts[x] != parts[y])
+            x, y = x[fine], y[fine]
+            if len(x):
+                shared = keys[0][x] == keys[1][y - len(left)]
+                first = keys[0][x, shared.argmax(1)] == here
+                x, y = x[first], y[first]
+            for i, j in zip(x.tolist(), y.tolist()):
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                either = sizes[i] + sizes[j] - both
+                if 100 * both >= percent * either:
+                    two = (min(parts[i], parts[j]), max(parts[i], parts[j]))
+                    if two not in found or both / either > found[two][0]:
+                        found[two] = (both / either, min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
         return pd.DataFrame([f[1:] for f in found.values()], columns=["a", "b"], dtype="int64")
 
     return run
@@ -185,20 +207,21 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     Two documents are linked if 100 * intersection >= percent * union. A text of fewer words has its whole sequence
     as one shingle; null texts and texts without words have none and are linked with nothing. Texts of the same set
     are one class however many they are; doc_ids may repeat. Returns a row per input row: doc_id, uid (names doc_id and text),
-    n_shingles, class_id (least doc_id of the same set), component_id (least doc_id reachable), kept (doc_id = component_id; of
+    n_shingles, class_id (least doc_id of the same set), component_id (least doc_id reachable), group (a name of the component;
+    null without shingles), kept (doc_id = component_id; of
     rows that repeat a doc_id and a set all are kept or none). A null doc_id never stands for a component; such
     rows are kept only if their component has no doc_id. An empty table gives no rows.
     """
     store = Scratch(docs.sparkSession, "near_dedup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("uid"))
     described = store.save(docs.mapInArrow(tx.lean(_describe(words)), "doc_id long, uid long, n_shingles long, node long, mark binary"))
-    classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("uid").alias("text_of"), F.first("mark").alias("mark")))
+    classes = store.save(described.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("uid").alias("text_of"), F.first("mark").alias("mark"), F.first("n_shingles").alias("n")))
 
     banded = classes.select("node", "mark").mapInArrow(tx.lean(_bands), "bucket long, node long")
     pivots = banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = store.save(banded.join(pivots, "bucket"))
 
-    agree = round((percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / (BANDS * ROWS))) * BANDS * ROWS)
+    agree = refusal(percent)
     candidates = store.save(buckets.select("node").distinct().join(classes.select("node", "text_of"), "node"))
     names = if_small(store.save(candidates.select(F.col("text_of").alias("uid")).distinct()))
     fetched = docs.join(names, "uid", "left_semi").select("text").mapInArrow(tx.lean(_shingle_sets(words)), "node long, members binary")
@@ -206,10 +229,9 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     sets = store.save(fetched.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("members").alias("members")))
     marks = classes.select("node", "mark")
 
-    def links(pairs: DataFrame, signed: bool = False) -> DataFrame:
-        if not signed:
-            marked = pairs.join(marks.select(F.col("node").alias("a"), F.col("mark").alias("mark_a")), "a").join(marks.select(F.col("node").alias("b"), F.col("mark").alias("mark_b")), "b")
-            pairs = marked.mapInArrow(tx.lean(_likely(agree)), "a long, b long")
+    def links(pairs: DataFrame) -> DataFrame:
+        marked = pairs.join(marks.select(F.col("node").alias("a"), F.col("mark").alias("mark_a")), "a").join(marks.select(F.col("node").alias("b"), F.col("mark").alias("mark_b")), "b")
+        pairs = marked.mapInArrow(tx.lean(_likely(agree)), "a long, b long")
         full = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
         return store.save(full.select("a", "b", "left", "right").mapInArrow(tx.lean(_confirm(percent)), "a long, b long"))
 
@@ -227,24 +249,27 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
 
     member = buckets.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     parts = member.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
-    spread = parts.agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0 and size > 2")
-    # the bucket's members outside its largest component are compared with all of its members, block by block
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    open_ = member.join(spread, "bucket").withColumn("blocks", blocks("size")).withColumn("left_blocks", blocks("others"))
-    open_ = store.save(open_.withColumn("block", F.pmod(F.hash("node"), "blocks")).withColumn("left_block", F.pmod(F.hash("node"), "left_blocks")))
+    spread = parts.agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0 and size > 2").select("bucket", "large")
+    # the bucket's members outside its largest component are compared with those of its members whose sizes are near, block by block:
+    # sizes fall into bands, and a set can be linked only to sets of its band and the two beside it
+    band = F.floor(F.log(F.col("n")) / (F.log(F.lit(100 / percent)) * 1.000001)).cast("int")
+    open_ = store.save(member.join(spread, "bucket").join(classes.select("node", "n"), "node").select("bucket", "node", "component", "large", band.alias("band")))
     if not open_.isEmpty():
-        rows = open_.join(marks, "node").join(sets, "node").select("bucket", "node", "component", "large", "blocks", "block", "left_blocks", "left_block", "mark", "members")
-        rows = rows.mapInArrow(tx.lean(_shorten), "bucket long, node long, component long, large long, blocks int, block int, left_blocks int, left_block int, short binary, keys binary")
-        left = rows.where("component != large").select("bucket", F.col("left_block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component", "short", "keys")
-        right = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "component", "short", "keys")
-        pairs = store.save(left.union(right).groupBy("bucket", "i", "j").applyInPandas(_across(percent), "a long, b long").distinct())
-        found = found.union(links(pairs, signed=True))
+        near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+        asking = open_.where("component != large").select("bucket", "node", "component", near)
+        blocks = lambda: F.ceil(F.count("*") / BLOCK).cast("int")
+        sizes = store.save(open_.groupBy("bucket", "band").agg(blocks().alias("blocks")).join(asking.groupBy("bucket", "band").agg(blocks().alias("left_blocks")), ["bucket", "band"]))
+        full = open_.select("node").distinct().join(marks, "node").join(sets, "node").mapInArrow(tx.lean(_keyed), "node long, keys binary, members binary")
+        full = store.save(full)
+        left = asking.join(sizes, ["bucket", "band"]).select("bucket", "band", F.pmod(F.hash("node"), "left_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component")
+        right = open_.join(sizes, ["bucket", "band"]).select("bucket", "band", F.explode(F.sequence(F.lit(0), F.col("left_blocks") - 1)).alias("i"), F.pmod(F.hash("node"), "blocks").alias("j"), F.lit(1).alias("side"), "node", "component")
+        found = found.union(store.save(left.union(right).join(full, "node").groupBy("bucket", "band", "i", "j").applyInPandas(_across(percent), "a long, b long").distinct()))
         labels = store.save(components(store, found))
 
     least = classes.join(labels, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("component"))
     heads = least.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named_nodes = store.save(least.join(heads, "component").select("node", "class_id", "component_id"))
+    named_nodes = store.save(least.join(heads, "component").select("node", "class_id", "component_id", F.col("component").alias("group")))
     out = described.select("doc_id", "uid", "n_shingles", "node").join(named_nodes, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id"))
-    out = out.select("doc_id", "uid", "n_shingles", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id"))
+    out = out.select("doc_id", "uid", "n_shingles", F.coalesce("class_id", own).alias("class_id"), F.coalesce("component_id", own).alias("component_id"), "group")
     return store.finish(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -26,7 +26,7 @@ def op1_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.near_dedup import link_documents
 
-    return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85).drop("uid")
+    return link_documents(_table(spark, sf_dir, "documents"), words=3, percent=85).drop("uid", "group")
 
 
 def op2_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:

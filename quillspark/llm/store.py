@@ -10,6 +10,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,25 @@ def _clean() -> None:
             return
 
 
+@contextmanager
+def passing() -> Iterator[None]:
+    """Tables that operators write inside, results included, are deleted at the end, when what is read from them has been written."""
+    known = len(_KEPT)
+    try:
+        yield
+    finally:
+        while len(_KEPT) > known:
+            delete(*_KEPT.pop())
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it; Spark ignores case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Bytes of an Arrow batch, which the JVM and Python both hold, and more than once.
 BATCH = "8m"
 

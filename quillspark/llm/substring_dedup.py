@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import text as tx
-from quillspark.llm.store import Scratch, if_small
+from quillspark.llm.store import Scratch, free_name, if_small
 
 LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partner_pos int"
 #: Seeds that a task holds before it links and sends them on.
@@ -541,12 +541,13 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs without the passages that repeated_passages found in them: texts are cut, n_chars follows if it is there,
     and a document with no word left goes. All columns stay; documents without passages are untouched."""
-    spans = passages.groupBy(F.col("uid").alias("_q_uid")).agg(F.collect_set(F.array("doc_start", "doc_end")).alias("_q_spans"))
+    name, cuts = free_name(docs, "_q_uid"), free_name(docs, "_q_spans")
+    spans = passages.groupBy(F.col("uid").alias(name)).agg(F.collect_set(F.array("doc_start", "doc_end")).alias(cuts))
     spans = if_small(Scratch(docs.sparkSession, "spans").save(spans))
-    named = docs.withColumn("_q_uid", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    named = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     cut = F.pandas_udf(_cut, "string")
-    hit = named.join(spans, "_q_uid").withColumn("text", cut(F.col("text").cast("string"), "_q_spans"))
+    hit = named.join(spans, name).withColumn("text", cut(F.col("text").cast("string"), cuts))
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     hit = hit.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return named.join(spans, "_q_uid", "left_anti").select(docs.columns).union(hit.select(docs.columns))
+    return named.join(spans, name, "left_anti").select(docs.columns).union(hit.select(docs.columns))

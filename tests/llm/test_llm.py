@@ -520,3 +520,26 @@ def test_a_passage_of_very_many_documents(spark, monkeypatch):
     got = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     assert all(covered(got, i) == set(range(3 + i % 20, 73 + i % 20)) for i in range(1, 60)) and not covered(got, 0)
     assert {r["doc_id"] for r in got if r["partner_id"] == 0} == set(range(1, 60))
+
+
+def test_near_dedup_in_buckets_of_alike_texts(spark, monkeypatch):
+    """Texts that share half of their words meet in buckets without links; some of them are near copies."""
+    from quillspark.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rng = random.Random(31)
+    shared = prose(rng, 120, 9000)
+    texts = [f"{shared} {prose(rng, rng.randrange(20, 90), 9000)}" for _ in range(90)]
+    texts += [f"{t} {prose(rng, rng.randrange(1, 16), 9000)}" for t in texts[:40]]
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append(set(zip(w, w[1:], w[2:])))
+    low = list(range(len(texts)))
+    for _ in range(4):
+        for a, b in itertools.combinations(range(len(texts)), 2):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                low[a] = low[b] = min(low[a], low[b])
+    got = near_dedup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=3, percent=85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(low))
+    assert 20 < sum(a != b for a, b in enumerate(low)) < 90

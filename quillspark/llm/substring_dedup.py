@@ -29,11 +29,13 @@ from quillspark.llm.store import Scratch, free_name, if_small
 
 LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partner_pos int"
 #: Seeds that a task holds before it links and sends them on.
-HELD = 4_000_000
+HELD = 2_000_000
 #: Words beyond a chain's ends that alignment looks at.
 MARGIN = 16
 #: Spans of a document in one list, and chains that one copy of a partner's span serves.
 ASKED, SHARED = 1000, 2000
+#: Bytes of words in an Arrow batch of slices.
+SLICES = 4_000_000
 #: Words between two spans that still count together.
 TOUCH = 3
 
@@ -337,20 +339,29 @@ def _chains(k: int, w: int, least: int):
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes, 32 bits each, of the asked spans; a text comes once, with all spans asked of it."""
+    """Word hashes, 32 bits each, of the asked spans; a text comes once for each list of spans asked of it."""
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["uid", "from", "to", "words"])
+
     for batch in batches:
         data, offsets = tx.buffers(batch.column("text"))
         spans = batch.column("spans").to_pylist()
-        out = []
+        out, size = [], 0
         for i, j in tx.blocks(offsets):
             h, at = tx.words(data, offsets[i : j + 1])
             short = (h >> np.uint64(32)).astype(np.uint32)
             for r in range(i, j):
                 mine = short[at[r - i] : at[r - i + 1]]
                 uid = batch.column("uid")[r].as_py()
-                out += [(uid, s["from"], s["to"], mine[max(0, s["from"]) : s["to"]].tobytes()) for s in spans[r]]
+                for s in spans[r]:
+                    out.append((uid, s["from"], s["to"], mine[max(0, s["from"]) : s["to"]].tobytes()))
+                    size += len(out[-1][3])
+                    if size > SLICES:
+                        yield made(out)
+                        out, size = [], 0
         if out:
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["uid", "from", "to", "words"])
+            yield made(out)
 
 
 def common(a: list[int], b: list[int]) -> int:

@@ -2,8 +2,8 @@
 
 1. Seeds are k-word windows, thinned to the least of every w in a row, so any run of k + w - 1 equal words shares one.
 2. Each seed's places in later documents are linked to those in its first one, by doc_id, not to each other. A task links
-   what it has to its own first holder and sends that holder's places on, so a passage that a third of the corpus holds
-   costs a row a task in the shuffle; there the first holder of all is found, and the task's links are moved to it by a
+   what it has to its own first holder and sends that holder's places on, packed in buckets, so a passage that a third of
+   the corpus holds costs a place a task in the shuffle; there the first holder of all is found, and the task's links are moved to it by a
    join on seed and task's holder, which no passage makes large. So links don't depend on how rows lie in tasks.
 3. A document's links with one partner are chained: blocks in order in both texts, scored by length less gap costs,
    with the best predecessor found in a Fenwick tree of prefix maxima.
@@ -96,8 +96,10 @@ def _sorted(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) ->
     return h[keep], doc[keep], uid[keep], pos[keep]
 
 
-#: Of the shuffle: a first holder's places under their seed, and links within a task under their document.
-FOUND = "key long, seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int"
+#: Of the shuffle: first holders' places, a row a bucket of seeds with their columns packed, and links within a task, dealt by document.
+FOUND = "bucket long, h binary, doc binary, uids binary, places binary, seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int"
+#: Seeds that a bucket should hold; it is sorted in a worker's memory.
+BUCKET = 500_000
 #: What comes out: links within a task, and for each seed the places of a task's holder and of the first of all.
 PAIRS = "seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int, places array<int>, partner_places array<int>"
 
@@ -106,20 +108,32 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _scan(k: int, w: int):
+def _scan(k: int, w: int, buckets: int):
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         h, doc, uid, pos = _sorted(*(np.concatenate(x) for x in zip(*held)))
         at = np.arange(len(h))
         first = np.maximum.accumulate(np.where(_runs_of(h), at, 0))
         number = _number(_runs_of(h, uid))
         own = uid == uid[first]
-        none = [pa.nulls(int(own.sum()), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int32())]
-        yield pa.record_batch([pa.array(h[own].view(np.int64)), pa.nulls(int(own.sum()), pa.int64()), pa.array(doc[own]), pa.array(uid[own]), pa.array(pos[own]), *none], names=_names(FOUND))
+        of = (h[own] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        cuts = np.flatnonzero(_runs_of(of[order]))
+        ends = np.append(cuts, len(order))
+        packed = [pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(x.itemsize * ends), pa.py_buffer(np.ascontiguousarray(x[own][order]))]).cast(pa.binary()) for x in (h, doc, uid, pos)]
+        names = _names(FOUND)
+        none = [pa.nulls(len(cuts), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32())]
+        rows = pa.record_batch([pa.array(of[order][cuts]), *packed, *none], names=names)
+        for at in range(0, len(cuts), 1024):
+            yield rows.slice(at, 1024)
         mine = np.flatnonzero(~own)
         if len(mine):  # the n-th place goes to the holder's n-th, counted round, so a text that repeats itself keeps its order
             many = np.bincount(first[own], minlength=len(h))
             to = first[mine] + number[mine] % many[first[mine]]
-            yield pa.record_batch([pa.array(x) for x in (uid[mine], h[mine].view(np.int64), doc[mine], uid[mine], pos[mine], number[mine].astype(np.int32), doc[to], uid[to], pos[to])], names=_names(FOUND))
+            none = [pa.nulls(len(mine), pa.binary())] * 4
+            links = (h[mine].view(np.int64), doc[mine], uid[mine], pos[mine], number[mine].astype(np.int32), doc[to], uid[to], pos[to])
+            rows = pa.record_batch([pa.array(-1 - uid[mine] % buckets), *none, *(pa.array(x) for x in links)], names=names)
+            for at in range(0, len(mine), 50_000):
+                yield rows.slice(at, 50_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -142,7 +156,7 @@ def _scan(k: int, w: int):
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by seed: for each task's holder of a seed its places and those of the first holder of all; links pass through."""
+    """Bucket by bucket: for each task's holder of a seed its places and those of the first holder of all; links pass through."""
     links = _names(PAIRS)[:8]
 
     def pairs(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -163,9 +177,10 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cuts = np.concatenate(([0], np.cumsum(many)))
             lists.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(pos[np.repeat(begin - cuts[:-1], many) + np.arange(cuts[-1])])))
         none = pa.nulls(len(a), pa.int32())
-        yield pa.record_batch([pa.array(h[a]), pa.array(doc[a]), pa.array(uid[a]), none, none, pa.array(doc[g]), pa.array(uid[g]), none, *lists], names=_names(PAIRS))
+        yield pa.record_batch([pa.array(h[a].view(np.int64)), pa.array(doc[a]), pa.array(uid[a]), none, none, pa.array(doc[g]), pa.array(uid[g]), none, *lists], names=_names(PAIRS))
 
-    kept: tuple | None = None
+    held: list[tuple] = []
+    last = None
     for batch in batches:
         made = batch.column("seed").is_valid()
         done = batch.filter(made)
@@ -173,18 +188,17 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             none = pa.nulls(done.num_rows, pa.list_(pa.int32()))
             yield pa.record_batch([*(done.column(c) for c in links), none, none], names=_names(PAIRS))
         rest = batch.filter(pc.invert(made))
-        if not rest.num_rows:
-            continue
-        rows = tuple(rest.column(c).to_numpy() for c in ("key", "doc_id", "uid", "pos"))
-        rows = _sorted(*(rows if kept is None else (np.concatenate(x) for x in zip(kept, rows))))
-        # the last document may go on in the next batch, and its seed's first holder is needed then
-        h, _, uid, _ = rows
-        last = (h == h[-1]) & (uid == uid[-1])
-        yield from pairs(*(x[~last] for x in rows))
-        head = (h == h[-1]) & (uid == uid[np.flatnonzero(h == h[-1])[0]])
-        kept = tuple(x[last | head] for x in rows)
-    if kept is not None:
-        yield from pairs(*kept)
+        bucket = rest.column("bucket").to_numpy()
+        packed = [(*tx.buffers(rest.column(c)), t) for c, t in (("h", np.uint64), ("doc", np.int64), ("uids", np.int64), ("places", np.int32))]
+        cuts = np.append(np.flatnonzero(_runs_of(bucket)), len(bucket)) if len(bucket) else []
+        for i, j in pairwise(cuts):
+            if held and bucket[i] != last:
+                yield from pairs(*_sorted(*(np.concatenate(x) for x in zip(*held))))
+                held = []
+            last = bucket[i]
+            held.append(tuple(np.frombuffer(data[at[i] : at[j]].tobytes(), t) for data, at, t in packed))
+    if held:
+        yield from pairs(*_sorted(*(np.concatenate(x) for x in zip(*held))))
 
 
 class Fenwick:
@@ -485,10 +499,14 @@ def repeated_passages(docs: DataFrame, *, k: int = 6, w: int = 6, min_words: int
     doc_id and text are one document. Repeats within a document are not passages, but every copy in it of an earlier
     document's passage is one. An empty table gives no rows.
     """
-    store = Scratch(docs.sparkSession, "substring")
+    spark = docs.sparkSession
+    store = Scratch(spark, "substring")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("uid", uid_of())
-    found = docs.mapInArrow(tx.lean(_scan(k, w)), FOUND)
-    ordered = found.repartition(F.col("key")).sortWithinPartitions("key", "doc_id", "uid", "pos")
+    # about a word for every six bytes, and two seeds for every w + 1 words
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, size // (3 * (w + 1) * BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = docs.mapInArrow(tx.lean(_scan(k, w, buckets)), FOUND)
+    ordered = found.repartition(F.col("bucket")).sortWithinPartitions("bucket")
     mixed = store.save(ordered.mapInArrow(tx.lean(_resolve), PAIRS))
     pairs, local = mixed.where("places is not null"), mixed.where("places is null")
     nth = lambda n: F.get("partner_places", n % F.size("partner_places"))

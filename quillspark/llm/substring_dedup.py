@@ -99,7 +99,7 @@ def _sorted(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) ->
 #: Of the shuffle: first holders' places, a row a bucket of seeds with their columns packed, and links within a task, dealt by document.
 FOUND = "bucket long, h binary, doc binary, uids binary, places binary, seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int"
 #: Seeds that a bucket should hold; it is sorted in a worker's memory.
-BUCKET = 500_000
+BUCKET = 200_000
 #: What comes out: links within a task, and for each seed the places of a task's holder and of the first of all.
 PAIRS = "seed long, doc_id long, uid long, pos int, number int, partner_id long, partner_uid long, partner_pos int, places array<int>, partner_places array<int>"
 
@@ -504,7 +504,7 @@ def repeated_passages(docs: DataFrame, *, k: int = 6, w: int = 6, min_words: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null").withColumn("uid", uid_of())
     # about a word for every six bytes, and two seeds for every w + 1 words
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, size // (3 * (w + 1) * BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(1, size // (3 * (w + 1) * BUCKET), 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = docs.mapInArrow(tx.lean(_scan(k, w, buckets)), FOUND)
     ordered = found.repartition(F.col("bucket")).sortWithinPartitions("bucket")
     mixed = store.save(ordered.mapInArrow(tx.lean(_resolve), PAIRS))

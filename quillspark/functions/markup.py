@@ -9,84 +9,79 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EMPHASIS = {"b": "**", "strong": "**", "i": "*", "em": "*", "code": "`"}
-_BLOCKS = {"p", "div", "section", "article", "table", "tr", "blockquote", "pre", "header", "footer", "main"}
+#: What opens and closes a piece of text.
+MARKS = {"strong": ("**", "**"), "b": ("**", "**"), "em": ("_", "_"), "i": ("_", "_"), "sup": ("^(", ")")}
 
 
 class _Writer(HTMLParser):
-    """Collects Markdown; lists nest by two spaces, links keep their address, scripts and styles go."""
+    """Markdown so far, the numbers of open lists (None: bullets), the addresses of open links and the marks still to close."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
+        self.text = ""
         self.lists: list[int | None] = []
-        self.links: list[str] = []
-        self.hidden = 0
+        self.links: list[str | None] = []
+        self.open: list[str] = []
+
+    def part(self) -> None:
+        """A blank line, unless the text is empty or ends in one."""
+        if self.text and not self.text.endswith("\n\n"):
+            self.text += "\n" if self.text.endswith("\n") else "\n\n"
+
+    def item(self) -> None:
+        mark = "- "
+        if self.lists and self.lists[-1] is not None:
+            self.lists[-1] += 1
+            mark = f"{self.lists[-1]}. "
+        self.text += "\n" + "  " * max(0, len(self.lists) - 1) + mark
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in ("script", "style"):
-            self.hidden += 1
-        elif tag in _EMPHASIS:
-            self.out.append(_EMPHASIS[tag])
-        elif re.fullmatch("h[1-6]", tag):
-            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
-        elif tag in _BLOCKS:
-            self.out.append("\n\n")
-        elif tag == "br":
-            self.out.append("\n")
+        if tag in MARKS:
+            self.text += MARKS[tag][0]
+            self.open.append(MARKS[tag][1])
+        elif tag in ("p", "div"):
+            self.part()
         elif tag in ("ul", "ol"):
             self.lists.append(0 if tag == "ol" else None)
-            self.out.append("" if len(self.lists) > 1 else "\n\n")
+            self.part()
         elif tag == "li":
-            mark = "-"
-            if self.lists and self.lists[-1] is not None:
-                self.lists[-1] += 1
-                mark = f"{self.lists[-1]}."
-            self.out.append("\n" + "\v\v" * max(len(self.lists) - 1, 0) + mark + " ")
+            self.item()
         elif tag == "a":
-            self.links.append(dict(attrs).get("href") or "")
-            self.out.append("[" if self.links[-1] else "")
-        elif tag in ("sup", "sub"):
-            self.out.append("^" if tag == "sup" else "~")
+            self.links.append(dict(attrs).get("href"))
+            self.text += "["
+        elif tag == "br":
+            self.text += "\n"
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("script", "style"):
-            self.hidden = max(0, self.hidden - 1)
-        elif tag in _EMPHASIS:
-            self.out.append(_EMPHASIS[tag])
-        elif tag in _BLOCKS or re.fullmatch("h[1-6]", tag):
-            self.out.append("\n\n")
-        elif tag in ("ul", "ol") and self.lists:
-            self.lists.pop()
-            self.out.append("" if self.lists else "\n\n")
-        elif tag == "a" and self.links:
-            href = self.links.pop()
-            self.out.append(f"]({href})" if href else "")
-        elif tag in ("sup", "sub"):
-            self.out.append("^" if tag == "sup" else "~")
+        if tag in MARKS and self.open:
+            self.text += self.open.pop()
+        elif tag == "a":
+            address = self.links.pop() if self.links else None
+            self.text += f"]({address})" if address else "]"
+        elif tag in ("p", "div", "ul", "ol"):
+            if tag in ("ul", "ol") and self.lists:
+                self.lists.pop()
+            self.part()
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            self.out.append(re.sub(r"\s+", " ", data))
-
-    def text(self) -> str:
-        t = re.sub(r"[ \t]*\n[ \t]*", "\n", re.sub(r"[ \t]+", " ", "".join(self.out)))
-        return re.sub(r"\n{3,}", "\n\n", t).strip().replace("\v", " ")
+        if data.strip():
+            self.text += re.sub(r"\s+", " ", data)
 
 
-def convert(html: str | None) -> str | None:
-    """Markdown of a piece of HTML; null stays null, unclosed tags are tolerated."""
-    if html is None:
-        return None
+def convert(html: str | None) -> str:
+    """Markdown of a piece of HTML: emphasis, raised text, nested lists, links and blank lines between blocks. Null and empty are
+    empty, and what has no tag is only stripped."""
+    if not html or "<" not in html or ">" not in html:
+        return (html or "").strip()
     writer = _Writer()
     writer.feed(html)
     writer.close()
-    return writer.text()
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", writer.text)).strip()
 
 
 def html_to_markdown(html: Column) -> Column:
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
-        return values.map(convert, na_action="ignore")
+        return values.map(convert)
 
     return run(html)

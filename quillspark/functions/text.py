@@ -2,17 +2,42 @@
 
 from __future__ import annotations
 
+import html
+import re
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+#: Marks that stand alone: combining ones, and the signs of ASCII and Latin-1 that are written over or under a letter.
+MARKS = "[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f^`\u00a8\u00af\u00b4\u00b7\u00b8]"
+
+
+def _folded() -> dict[str, str]:
+    """Every letter that canonical decomposition parts into one letter and marks, and that letter."""
+    found = {}
+    for c in map(chr, [*range(0xC0, 0x2000), *range(0x212A, 0x212C)]):
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
+        if len(base) == 1 and base != c:
+            found[c] = base.lower()
+    return found
 
-#: Accented letters of the corpus's languages and the letters they fold to.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+
+_LETTERS = _folded()
+ACCENTED, PLAIN = "".join(_LETTERS), "".join(_LETTERS.values())
+_TABLE = str.maketrans(_LETTERS)
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics: combining marks and ASCII modifiers go, accented letters lose their accents."""
-    return F.translate(F.regexp_replace(F.lower(text), r"[̀-ͯ^`¨¯´¸]", ""), ACCENTED, PLAIN)
+    """Lower case without diacritics: accented letters lose their accents, and marks that stand alone go."""
+    return F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), MARKS, "")
+
+
+def fold_text(text: str) -> str:
+    """What fold gives, on the driver."""
+    return re.sub(MARKS, "", text.lower().translate(_TABLE))
 
 
 def tokens(text: Column, least: int = 2) -> Column:
@@ -20,29 +45,77 @@ def tokens(text: Column, least: int = 2) -> Column:
     return F.filter(F.split(fold(text), "[^a-z0-9]+"), lambda t: F.length(t) >= least)
 
 
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
+#: Quotes that may stand around a title.
+QUOTES = (('"', '"'), ("“", "”"), ("‘", "’"), ("'", "'"))
+
+
+def title_changes(title: Column) -> Column:
+    """A struct of the cleaned title and the reasons, in order: outer spaces go, then leading bullets, then one pair of quotes
+    around something, then runs of white space become a space."""
+    raw = F.coalesce(title, F.lit(""))
+    trimmed = _strip(raw)
+    bullet = r"(?U)^\s*[•*\-]+\s*"
+    bare = F.regexp_replace(trimmed, bullet, "")
+    inner = F.lit(None).cast("string")
+    for left, right in reversed(QUOTES):
+        inner = F.when(bare.startswith(left) & bare.endswith(right), F.nullif(_strip(F.substring(bare, F.lit(2), F.greatest(F.length(bare) - 2, F.lit(0)))), F.lit(""))).otherwise(inner)
+    unquoted = F.coalesce(inner, bare)
+    clean = _strip(F.regexp_replace(unquoted, r"(?U)\s+", " "))
+    reasons = F.array_compact(
+        F.array(
+            F.when(trimmed != raw, "trim_whitespace"),
+            F.when(trimmed.rlike(bullet), "remove_leading_marker"),
+            F.when(inner.isNotNull(), "remove_wrapping_quotes"),
+            F.when(clean != unquoted, "normalize_spacing"),
+        )
+    )
+    return F.struct(clean.alias("title"), reasons.alias("reasons"))
+
+
 def clean_title(title: Column) -> Column:
-    """Trims, drops one leading bullet and one pair of quotes around the whole, and collapses white space."""
-    t = F.trim(F.regexp_replace(title, r"\s+", " "))
-    t = F.regexp_replace(t, r"^[•*\-–—]\s+", "")
-    return F.trim(F.regexp_replace(t, r'^["“](.*)["”]$', "$1"))
+    """The cleaned title; null gives an empty one."""
+    return title_changes(title)["title"]
 
 
 def markdown_to_text(text: Column) -> Column:
-    """Drops heading marks, list marks, emphasis and code signs, and keeps the words of links."""
-    t = F.regexp_replace(text, r"(?m)^\s{0,3}#{1,6}\s+", "")
-    t = F.regexp_replace(t, r"(?m)^\s*[-*+]\s+", "")
-    t = F.regexp_replace(t, r"\[([^\]]*)\]\([^)]*\)", "$1")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[*_`]+", ""), r"\s+", " "))
+    """Code signs go, links keep their words, emphasis, heading marks, list marks and numbers go, white space collapses; null is empty."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), "`([^`]+)`", "$1")
+    t = F.regexp_replace(t, r"\[(.*?)\]\((.*?)\)", "$1")
+    t = F.regexp_replace(t, r"[*_]", "")
+    for mark in (r"(?m)^#+\s*", r"(?m)^\s*[-*]\s+", r"(?m)^\s*[0-9]+\.\s+"):
+        t = F.regexp_replace(t, mark, "")
+    return _strip(F.regexp_replace(t, r"(?U)\s+", " "))
+
+
+#: Raised and lowered signs.
+RAISED = "0123456789+-=()ni", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿⁱ"
+LOWERED = "0123456789+-=()", "₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎"
 
 
-def html_to_text(html: Column) -> Column:
-    """Blocks become blank lines, tags go, the five basic entities and spaces are decoded, white space collapses."""
-    t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    t = F.regexp_replace(t, r"(?i)<(br|/p|/div|/li|/h[1-6]|/tr)\b[^>]*>", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
-    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(sign))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t\r\f\x0B]+", " "), r"\s*\n\s*", "\n"))
+def _glyphs(text: Column, tag: str, signs: tuple[str, str]) -> Column:
+    """Each piece of text between the tags as raised or lowered signs, as far as there are any."""
+    pieces = F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?i)(<{tag}[^>]*>[^<]*</{tag}>)"), 1))
+    plain = lambda p: F.translate(F.regexp_replace(p, "<[^>]*>", ""), *signs)
+    return F.aggregate(pieces, text, lambda t, p: F.replace(t, p, plain(p)))
+
+
+@F.pandas_udf(StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def html_to_text(markup: Column) -> Column:
+    """Raised and lowered text becomes signs, block tags become blank lines, other tags go, entities are decoded, white space
+    collapses; null is empty. Only Python knows all entities, so a text that may hold one is decoded there."""
+    t = _glyphs(_glyphs(F.coalesce(markup, F.lit("")), "sup", RAISED), "sub", LOWERED)
+    t = F.regexp_replace(t, r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|tbody|thead|section|article)[^>]*>", "\n\n")
+    t = F.regexp_replace(t, "<[^>]+>", "")
+    t = F.regexp_replace(_unescaped(t), "[ \t\u00a0]+", " ")
+    return _strip(F.regexp_replace(t, "\n{3,}", "\n\n"))
 
 
 def string_list(raw: Column) -> Column:
@@ -75,6 +148,32 @@ def reference_key(doi: Column, pmid: Column, text: Column) -> Column:
     return F.coalesce(F.concat(F.lit("doi:"), F.nullif(F.trim(F.lower(doi)), F.lit(""))), F.concat(F.lit("pmid:"), F.nullif(F.trim(pmid), F.lit(""))), F.concat(F.lit("text:"), F.sha1(F.lower(text).cast("binary"))))
 
 
+@F.pandas_udf(StringType())
+def composed(texts: pd.Series) -> pd.Series:
+    """Canonical composition; Spark has none."""
+    return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+
+def name_key(name: Column) -> Column:
+    """Composed, without outer spaces, in lower case; diacritics stay. Null is empty."""
+    return F.lower(_strip(composed(F.coalesce(name, F.lit("")))))
+
+
+def full_name(first: Column, middle: Column, last: Column) -> Column:
+    return F.concat_ws(" ", *(F.nullif(F.trim(c), F.lit("")) for c in (first, middle, last)))
+
+
+def affiliation(entry: Column) -> Column:
+    """Institution, city, state and country, as far as they are there."""
+    return F.concat_ws(", ", *(F.nullif(F.trim(entry[c]), F.lit("")) for c in ("institution", "city", "state", "country")))
+
+
+def primary_affiliation(entries: Column) -> Column:
+    """The one of order 0, else the first listed; empty without any."""
+    first = F.coalesce(F.get(F.filter(entries, lambda e: e["affiliation_order"] == 0), F.lit(0)), F.get(entries, F.lit(0)))
+    return F.when(first.isNull(), "").otherwise(affiliation(first))
+
+
 def same_claim(a: Column, b: Column, share: float = 0.85) -> Column:
     """Whether the distinct tokens have a Jaccard similarity of share or more, or the first five tokens agree."""
     x, y = tokens(a, 1), tokens(b, 1)

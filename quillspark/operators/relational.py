@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.sources.tables import stored
+
 
 def first_by_key(rows: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
     """One row a key, the first in the given order."""
@@ -18,15 +20,14 @@ def merge_by_key(rows: DataFrame, key: list[str], order: Column, first: list[str
     return rows.groupBy(*key).agg(*picked, *(F.array_sort(F.collect_set(c)).alias(name) for c, name in collect.items()))
 
 
-def dense_ids(rows: DataFrame, order: list[str], name: str, parts: int = 64) -> DataFrame:
+def dense_ids(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """0, 1, 2 ... in key order. Ranges are numbered apart and shifted by their sizes, so no task holds all rows."""
     spark = rows.sparkSession
-    ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).persist()
-    sizes = {r["_part"]: r["count"] for r in ranged.groupBy("_part").count().collect()}
-    before, so_far = [], 0
-    for p in sorted(sizes):
-        before.append((p, so_far))
-        so_far += sizes[p]
+    ranged = stored(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+    so_far, before = 0, []
+    for r in ranged.groupBy("_part").count().orderBy("_part").collect():  # a row a partition
+        before.append((r["_part"], so_far))
+        so_far += r["count"]
     shift = F.broadcast(spark.createDataFrame(before, "_part int, _before long"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return ranged.withColumn("_inside", inside).join(shift, "_part").withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_inside", "_before")

@@ -2,21 +2,23 @@
 
 A query is a disjunction (upper-case OR) of groups; a group is a conjunction of words, quoted phrases and negations.
 Words of fewer than 4 characters must match exactly, of 4 to 6 within one edit, longer ones within two; swapping two
-neighbours is one edit. The parser runs on the driver; everything else is a plan over the tables tokens and postings.
+neighbours is one edit. The parser runs on the driver; everything else is a plan over the tables of an index: its
+vocabulary, and its postings in folders by a hash of the token, of which a query reads those of the tokens that it hits.
+A query's words meet the vocabulary once and the postings once, whatever the number of its clauses.
 """
 
 from __future__ import annotations
 
 import re
-import unicodedata
-from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import tokens
+from quillspark.functions.text import fold_text, tokens
+from quillspark.operators.relational import dense_ids
+from quillspark.sources.tables import stored
 
 
 @dataclass(frozen=True)
@@ -38,8 +40,7 @@ class Query:
 
 
 def split_words(text: str) -> list[str]:
-    folded = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c) and c not in "^`").lower()
-    return [w for w in re.split("[^a-z0-9]+", folded) if len(w) >= 2]
+    return [w for w in re.split("[^a-z0-9]+", fold_text(text)) if len(w) >= 2]
 
 
 def parse(text: str) -> Query:
@@ -81,51 +82,63 @@ def osa(a: str, b: str, most: int) -> int:
     return min(old[-1], most + 1)
 
 
+#: The distance of the columns word and token as osa gives it.
+_OSA = """aggregate(sequence(1, length(word)), named_struct('older', sequence(0, length(token)), 'old', sequence(0, length(token))),
+  (s, i) -> named_struct('older', s.old, 'old', aggregate(sequence(1, length(token)), array(i), (row, j) -> concat(row, array(least(
+    s.old[j] + 1, row[j - 1] + 1, s.old[j - 1] + if(substr(word, i, 1) = substr(token, j, 1), 0, 1),
+    if(i > 1 and j > 1 and substr(word, i, 1) = substr(token, j - 1, 1) and substr(word, i - 1, 1) = substr(token, j, 1), s.older[j - 2] + 1, 1000)))))),
+  s -> s.old[length(token)])"""
+#: Folders of the postings; a large corpus needs thousands.
+FOLDERS = 64
+
+
 @dataclass
 class Index:
-    """postings: (id, pos, token); ids: all ids."""
+    """postings: (folder, token, id, pos); vocabulary: (folder, token, df, n); ids: all ids."""
 
     postings: DataFrame
+    vocabulary: DataFrame
     ids: DataFrame
 
-    @property
-    def vocabulary(self) -> DataFrame:
-        return self.postings.select("token").distinct()
-
 
-def build_index(docs: DataFrame, key: str, text: str) -> Index:
-    ids = docs.select(F.col(key).alias("id"))
-    return Index(docs.select(F.col(key).alias("id"), F.posexplode(tokens(F.col(text))).alias("pos", "token")), ids)
+def build_index(docs: DataFrame, key: str, text: str, *, folders: int = FOLDERS) -> Index:
+    """Tokenises the corpus once and stores the index in the cluster's shared folder. Null texts have no tokens."""
+    ids = stored(docs.select(F.col(key).alias("id")), "ids")
+    # AQE sizes the tasks, so a token that a third of all documents have is dealt over several
+    found = docs.select(F.col(key).alias("id"), F.posexplode(tokens(F.col(text))).alias("pos", "token"))
+    placed = found.withColumn("folder", F.pmod(F.hash("token"), F.lit(folders))).hint("rebalance", F.col("folder"))
+    postings = stored(placed.sortWithinPartitions("folder", "token", "id", "pos"), "postings", ["folder"])
+    each = postings.groupBy("folder", "token", "id").agg(F.count("*").alias("n"))
+    vocabulary = stored(each.groupBy("folder", "token").agg(F.count("*").alias("df"), F.sum("n").alias("n")).coalesce(8), "vocabulary")
+    return Index(postings, vocabulary, ids)
 
 
 def word_hits(index: Index, words: list[str]) -> DataFrame:
-    """(word, token, exact): the vocabulary within each word's threshold. Plain edits prune before the exact distance."""
+    """(folder, token, word, exact): the vocabulary within each word's threshold. Plain edits prune before the exact distance."""
     spark = index.ids.sparkSession
     wanted = spark.createDataFrame([(w, threshold(w)) for w in sorted(set(words))], "word string, most int")
-    near = index.vocabulary.join(F.broadcast(wanted), (F.abs(F.length("token") - F.length("word")) <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
-    sure = near.where("token = word or (most > 0 and levenshtein(token, word) <= most)").select("word", "token")
+    close = F.levenshtein("token", "word", 4) >= 0  # a swap counts as two plain edits at most
+    near = index.vocabulary.join(F.broadcast(wanted), (F.abs(F.length("token") - F.length("word")) <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & close & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
+    plain = F.levenshtein("token", "word")
+    good = F.when(plain <= F.col("most"), F.lit(True)).otherwise(F.expr(_OSA) <= F.col("most"))
+    return near.where(good).select("folder", "token", "word", (F.col("word") == F.col("token")).cast("int").alias("exact"))
 
-    def swaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            good = [osa(w, t, m) <= m for w, t, m in zip(pdf["word"], pdf["token"], pdf["most"])]
-            yield pdf.loc[good, ["word", "token"]]
 
-    unsure = near.where("token != word and levenshtein(token, word) > most").mapInPandas(swaps, "word string, token string")
-    return sure.union(unsure).withColumn("exact", (F.col("word") == F.col("token")).cast("int"))
+def _hits(index: Index, words: list[str]) -> DataFrame:
+    """Postings of the words; those of other folders are not read."""
+    return index.postings.join(F.broadcast(word_hits(index, words)), ["folder", "token"])
 
 
-def _clause(index: Index, hits: DataFrame, clause: Clause) -> DataFrame:
-    """(id, exact): for a word whether it occurs exactly; for a phrase how many words of its first place do."""
+def _exactness(clause: Clause, name: str) -> tuple[list[Column], Column]:
+    """Aggregates over a document's hits, and from them: null without a match; for a word whether it occurs exactly, for a
+    phrase how many words of its first place do."""
     if len(clause.words) == 1:
-        found = hits.where(F.col("word") == clause.words[0])
-        return index.postings.join(F.broadcast(found), "token").groupBy("id").agg(F.max("exact").alias("exact"))
-    out = None
-    for i, word in enumerate(clause.words):
-        found = F.broadcast(hits.where(F.col("word") == word).select("token", F.col("exact").alias(f"e{i}")))
-        here = index.postings.join(found, "token").select("id", (F.col("pos") - i).alias("start"), f"e{i}")
-        out = here if out is None else out.join(here, ["id", "start"])
-    total = sum((F.col(f"e{i}") for i in range(len(clause.words))), F.lit(0))
-    return out.withColumn("exact", total).groupBy("id").agg(F.min_by("exact", "start").alias("exact"))
+        return [F.max(F.when(F.col("word") == clause.words[0], F.col("exact"))).alias(name)], F.col(name)
+    found = [F.collect_set(F.when(F.col("word") == w, F.struct((F.col("pos") - i).alias("start"), "exact"))).alias(f"{name}_{i}") for i, w in enumerate(clause.words)]
+    places = [F.col(f"{name}_{i}") for i in range(len(clause.words))]
+    first = F.array_min(reduce(F.array_intersect, [F.transform(p, lambda x: x["start"]) for p in places]))
+    total = reduce(lambda a, b: a + b, [F.array_max(F.transform(F.filter(p, lambda x: x["start"] == first), lambda x: x["exact"])) for p in places])
+    return found, F.when(first.isNotNull(), total)
 
 
 def search(index: Index, query: Query) -> tuple[DataFrame, DataFrame]:
@@ -135,34 +148,45 @@ def search(index: Index, query: Query) -> tuple[DataFrame, DataFrame]:
     left a group empty is not evaluated, so it blocks nothing. A group of negations only starts from all ids.
     """
     spark = index.ids.sparkSession
-    nothing = spark.createDataFrame([], "id long, exactness long")
-    hits = word_hits(index, [w for g in query.groups for c in g for w in c.words]) if query.groups else None
-    matched, blocked = nothing, nothing.select("id")
+    if not query.groups:
+        nothing = spark.createDataFrame([], "id long, exactness long")
+        return nothing, nothing.select("id")
+    clauses = sorted({(c.words,) for g in query.groups for c in g})
+    name = {words: f"c{i}" for i, (words,) in enumerate(clauses)}
+    parts = {words: _exactness(Clause(words), name[words]) for (words,) in clauses}
+    found = _hits(index, [w for (words,) in clauses for w in words]).groupBy("id").agg(*(a for aggregates, _ in parts.values() for a in aggregates))
+    found = found.select("id", *(parts[words][1].cast("long").alias(name[words]) for (words,) in clauses))
+    if any(all(c.negated for c in g) for g in query.groups):
+        found = index.ids.distinct().join(found, "id", "left")
+    score = []
+    for group in query.groups:
+        fits = reduce(lambda a, b: a & b, [F.col(name[c.words]).isNull() if c.negated else F.col(name[c.words]).isNotNull() for c in group])
+        score.append(F.when(fits, reduce(lambda a, b: a + b, [F.col(name[c.words]) for c in group if not c.negated], F.lit(0).cast("long"))))
+    matched = found.select("id", (F.greatest(*score) if len(score) > 1 else score[0]).alias("exactness")).where("exactness is not null")
+    return matched, _blocked(found, query, name)
+
+
+def _blocked(found: DataFrame, query: Query, name: dict) -> DataFrame:
+    """Ids that an evaluated negation holds: one before which the clauses of its group still have a match somewhere."""
+    hit, needs = [], []
     for group in query.groups:
-        positive, kept, seen = None, [], False
-        for clause in group:
-            found = _clause(index, hits, clause)
+        for i, clause in enumerate(group):
             if clause.negated:
-                kept.append(found.select("id"))
-                continue
-            found = found.select("id", F.col("exact").cast("long").alias("exactness"))
-            positive = found if positive is None else positive.join(found.withColumnRenamed("exactness", "more"), "id").select("id", (F.col("exactness") + F.col("more")).alias("exactness"))
-            seen = True
-            if any(c.negated for c in group[group.index(clause) + 1 :]) and positive.isEmpty():
-                break
-        base = positive if seen else index.ids.select("id", F.lit(0).cast("long").alias("exactness"))
-        for gone in kept:
-            base, blocked = base.join(gone, "id", "left_anti"), blocked.union(gone)
-        matched = matched.union(base)
-    return matched.groupBy("id").agg(F.max("exactness").alias("exactness")), blocked.distinct()
+                before = [F.col(name[c.words]).isNotNull() for c in group[:i] if not c.negated]
+                hit.append(F.col(name[clause.words]).isNotNull())
+                needs.append(F.max(reduce(lambda a, b: a & b, before)) if before else F.lit(True))
+    if not hit:
+        return found.select("id").limit(0)
+    flags = found.agg(*(n.alias(f"n{i}") for i, n in enumerate(needs)))  # a single row
+    held = reduce(lambda a, b: a | b, [h & F.coalesce(f"n{i}", F.lit(False)) for i, h in enumerate(hit)])
+    return found.crossJoin(F.broadcast(flags)).where(held).select("id")
 
 
 def seeds(index: Index, query: Query) -> DataFrame:
     """(id, score): how many of the query's words, repeats included, each document has."""
-    hits = word_hits(index, query.words())
-    times = index.ids.sparkSession.createDataFrame([(w, query.words().count(w)) for w in sorted(set(query.words()))], "word string, times int")
-    found = index.postings.join(F.broadcast(hits), "token").select("id", "word").distinct()
-    return found.join(F.broadcast(times), "word").groupBy("id").agg(F.sum("times").alias("score"))
+    words = query.words()
+    times = F.create_map(*(x for w in sorted(set(words)) for x in (F.lit(w), F.lit(words.count(w)))))
+    return _hits(index, words).groupBy("id").agg(F.collect_set("word").alias("words")).select("id", F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + times[w]).alias("score"))
 
 
 def id_prefix(docs: DataFrame, key: str, query: str, limit: int = 10) -> DataFrame:
@@ -187,9 +211,8 @@ def compose(universe: DataFrame, parts: list[DataFrame | None]) -> DataFrame:
 
 def rank(matches: DataFrame, scores: DataFrame) -> DataFrame:
     """Exactness first, then semantic score, missing scores last, then id."""
-    joined = matches.join(scores, "id", "left")
-    order = Window.partitionBy().orderBy(F.desc("exactness"), F.desc_nulls_last("score"), "id")
-    return joined.withColumn("place", F.row_number().over(order))
+    joined = matches.join(scores, "id", "left").withColumn("_less", -F.coalesce("score", F.lit(float("-inf")))).withColumn("_worse", -F.col("exactness"))
+    return dense_ids(joined, ["_worse", "_less", "id"], "place").withColumn("place", (F.col("place") + 1).cast("int")).drop("_less", "_worse")
 
 
 __all__ = ["Clause", "Index", "Query", "SparkSession", "build_index", "compose", "id_prefix", "merge", "osa", "parse", "rank", "search", "seeds", "word_hits"]

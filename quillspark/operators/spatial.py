@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.sources.tables import stored
+
 
 def in_box(x: Column, y: Column, box: tuple[float, float, float, float]) -> Column:
     """Closed bounds: left, bottom, right, top."""
@@ -35,14 +37,14 @@ def levels(points: DataFrame, key: str, x: str, y: str, resolutions: list[int])
     rest get the number of grids."""
     low = points.agg(F.min(x), F.min(y), F.greatest(F.max(x) - F.min(x), F.max(y) - F.min(y))).first()
     span = (low[0] or 0.0, low[1] or 0.0, low[2] or 0.0)
-    out = points.withColumn("lod", F.lit(None).cast("int"))
-    for level, r in enumerate(resolutions):
-        out = out.withColumn("_cell", cells(points, x, y, r, span))
-        whole = Window.partitionBy("_cell")
-        covered = F.max(F.col("lod").isNotNull().cast("int")).over(whole)
-        first = F.min(F.col(key)).over(whole) == F.col(key)
-        out = out.withColumn("lod", F.when(F.col("lod").isNull() & (covered == 0) & first, F.lit(level)).otherwise(F.col("lod"))).drop("_cell")
-    return out.withColumn("lod", F.coalesce("lod", F.lit(len(resolutions))))
+    each = [cells(points, x, y, r, span).alias(f"_cell{i}") for i, r in enumerate(resolutions)]
+    out = points.withColumns({f"_cell{i}": c for i, c in enumerate(each)}).withColumn("lod", F.lit(None).cast("int"))
+    for level in range(len(resolutions)):
+        # the least key of each cell that no point of an earlier level is in; aggregated before the shuffle
+        least = out.groupBy(f"_cell{level}").agg(F.min(key).alias("_first"), F.max(F.col("lod").isNotNull()).alias("_covered"))
+        chosen = least.where("not _covered").select(F.col("_first").alias(key), F.lit(level).alias("_new"))
+        out = stored(out.join(chosen, key, "left").withColumn("lod", F.coalesce("lod", "_new")).drop("_new"), "levels")
+    return out.withColumn("lod", F.coalesce("lod", F.lit(len(resolutions)))).drop(*(f"_cell{i}" for i in range(len(resolutions))))
 
 
 def coverage(points: DataFrame, lod: str, x: str, y: str, resolution: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,43 +9,36 @@ from quillspark.functions import markup
 from quillspark.functions import text as t
 from quillspark.functions import vectors as v
 from quillspark.operators import clusters, evaluation, facets, ordering, relational, search, sequence, spatial, vector_ops
+from quillspark.plans.registry import ORACLE_SQL, QUERIES, register
 from quillspark.sources.tables import table
 from quillspark.streaming import events as streams
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def _register(name: str, sql: str | None = None):  # noqa: ANN202
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return add
-
-
 #: SQL of functions.text.tokens.
-_TOKENS = f"list_filter(regexp_split_to_array(translate(regexp_replace(lower(text), '[̀-ͯ^`¨¯´¸]', '', 'g'), '{t.ACCENTED}', '{t.PLAIN}'), '[^a-z0-9]+'), lambda x: length(x) >= 2)"
+_TOKENS = f"list_filter(regexp_split_to_array(regexp_replace(strip_accents(lower(text)), '{t.MARKS}', '', 'g'), '[^a-z0-9]+'), lambda x: length(x) >= 2)"
 _POSTINGS = f"p AS (SELECT doc_id, unnest({_TOKENS}) AS token, generate_subscripts({_TOKENS}, 1) AS pos FROM documents)"
 _WORDS = ("the", "thtion", "with")
 
 
-def _index(spark: SparkSession, d: str) -> search.Index:
-    return search.build_index(table(spark, d, "documents"), "doc_id", "text")
+_INDEXES: dict[tuple[str, str], search.Index] = {}
+
+
+def index(spark: SparkSession, d: str) -> search.Index:
+    """The index of a folder's documents, built once a session."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _INDEXES:
+        _INDEXES[key] = search.build_index(table(spark, d, "documents"), "doc_id", "text")
+    return _INDEXES[key]
 
 
-@_register("q_tokens", f"SELECT doc_id, length({_TOKENS}) AS n_tokens, length(list_distinct({_TOKENS})) AS n_distinct FROM documents")
+@register("q_tokens", f"SELECT doc_id, length({_TOKENS}) AS n_tokens, length(list_distinct({_TOKENS})) AS n_distinct FROM documents")
 def tokens(spark: SparkSession, d: str) -> DataFrame:
     words = t.tokens(F.col("text"))
     return table(spark, d, "documents").select("doc_id", F.size(words).cast("long").alias("n_tokens"), F.size(F.array_distinct(words)).cast("long").alias("n_distinct"))
 
 
-@_register("q_document_frequency", f"WITH {_POSTINGS} SELECT token, count(DISTINCT doc_id) AS df, count(*) AS n FROM p GROUP BY token")
+@register("q_document_frequency", f"WITH {_POSTINGS} SELECT token, count(DISTINCT doc_id) AS df, count(*) AS n FROM p GROUP BY token")
 def document_frequency(spark: SparkSession, d: str) -> DataFrame:
-    each = _index(spark, d).postings.groupBy("token", "id").agg(F.count("*").alias("n"))
-    return each.groupBy("token").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
+    return index(spark, d).vocabulary.select("token", "df", "n")
 
 
 def _near(word: str) -> str:
@@ -55,45 +46,72 @@ def _near(word: str) -> str:
     return f"(token = '{word}' OR ({search.threshold(word)} > 0 AND damerau_levenshtein(token, '{word}') <= {search.threshold(word)}))"
 
 
-@_register(
+@register(
     "q_lexical_search",
     f"WITH {_POSTINGS}, w1 AS (SELECT doc_id, max((token = 'with')::int) AS e FROM p WHERE {_near('with')} GROUP BY doc_id), w2 AS (SELECT doc_id, max((token = 'then')::int) AS e FROM p WHERE {_near('then')} GROUP BY doc_id), gone AS (SELECT DISTINCT doc_id FROM p WHERE token = 'las') SELECT w1.doc_id AS id, (w1.e + w2.e)::bigint AS exactness FROM w1 JOIN w2 USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM gone)",
 )
 def lexical_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(_index(spark, d), search.parse("with then -las"))[0]
+    return search.search(index(spark, d), search.parse("with then -las"))[0]
 
 
-@_register(
+@register(
     "q_phrase_search",
     f"WITH {_POSTINGS}, a AS (SELECT doc_id, pos, (token = 'und')::int AS e FROM p WHERE token = 'und'), b AS (SELECT doc_id, pos - 1 AS pos, (token = 'der')::int AS e FROM p WHERE token = 'der'), hit AS (SELECT doc_id, arg_min(a.e + b.e, pos) AS e FROM a JOIN b USING (doc_id, pos) GROUP BY doc_id), o AS (SELECT DISTINCT doc_id FROM p WHERE token = 'las') SELECT doc_id AS id, max(e)::bigint AS exactness FROM (SELECT doc_id, e FROM hit UNION ALL SELECT doc_id, 1 FROM o) GROUP BY doc_id",
 )
 def phrase_search(spark: SparkSession, d: str) -> DataFrame:
-    return search.search(_index(spark, d), search.parse('"und der" OR las'))[0]
+    return search.search(index(spark, d), search.parse('"und der" OR las'))[0]
+
+
+@register(
+    "q_negation_only",
+    f"WITH {_POSTINGS} SELECT doc_id AS id, 0::bigint AS exactness FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM p WHERE token IN ('las', 'des'))",
+)
+def negation_only(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(index(spark, d), search.parse("-las -des"))[0]
+
+
+@register("q_blocked", f"WITH {_POSTINGS} SELECT DISTINCT doc_id AS id FROM p WHERE token = 'las'")
+def blocked(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(index(spark, d), search.parse("zzqqzz -des OR -las -zzqqzz"))[1]
+
+
+#: The alignment distance of a token and a word, as a list of rows; DuckDB's own has unrestricted swaps.
+_OSA = "list_reduce(range(1, length(token) + 1), lambda s, i: [s[2], list_reduce(range(1, length({w}) + 1), lambda r, j: list_append(r, least(s[2][j + 1] + 1, r[j] + 1, s[2][j] + (substr(token, i::int, 1) <> substr({w}, j::int, 1))::int, CASE WHEN i > 1 AND j > 1 AND substr(token, i::int, 1) = substr({w}, j::int - 1, 1) AND substr(token, i::int - 1, 1) = substr({w}, j::int, 1) THEN s[1][j - 1] + 1 ELSE 99 END)), [i])], [range(0, length({w}) + 1), range(0, length({w}) + 1)])[2][length({w}) + 1]"
+
 
+@register("q_swapped_word", f"WITH {_POSTINGS}, v AS (SELECT DISTINCT token FROM p WHERE abs(length(token) - 6) <= 1), h AS (SELECT token FROM v WHERE {_OSA.format(w="'hteaer'")} <= 1) SELECT doc_id AS id, 0::bigint AS exactness FROM p JOIN h USING (token) GROUP BY doc_id")
+def swapped_word(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(index(spark, d), search.parse("hteaer"))[0]
 
-@_register("q_search_seeds", f"WITH {_POSTINGS}, h AS (SELECT DISTINCT doc_id, 'with' AS w FROM p WHERE {_near('with')} UNION SELECT DISTINCT doc_id, 'des' FROM p WHERE token = 'des') SELECT doc_id AS id, count(*)::bigint AS score FROM h GROUP BY doc_id")
+
+@register("q_accented_word", f"WITH {_POSTINGS} SELECT doc_id AS id, 1::bigint AS exactness FROM p WHERE token = 'uber' OR (abs(length(token) - 4) <= 1 AND damerau_levenshtein(token, 'uber') <= 1) GROUP BY doc_id HAVING max((token = 'uber')::int) = 1 UNION ALL SELECT doc_id, 0 FROM p WHERE abs(length(token) - 4) <= 1 AND damerau_levenshtein(token, 'uber') <= 1 GROUP BY doc_id HAVING max((token = 'uber')::int) = 0")
+def accented_word(spark: SparkSession, d: str) -> DataFrame:
+    return search.search(index(spark, d), search.parse("Ūbêŕ"))[0]
+
+
+@register("q_search_seeds", f"WITH {_POSTINGS}, h AS (SELECT DISTINCT doc_id, 'with' AS w FROM p WHERE {_near('with')} UNION SELECT DISTINCT doc_id, 'des' FROM p WHERE token = 'des') SELECT doc_id AS id, count(*)::bigint AS score FROM h GROUP BY doc_id")
 def search_seeds(spark: SparkSession, d: str) -> DataFrame:
-    return search.seeds(_index(spark, d), search.parse("with des"))
+    return search.seeds(index(spark, d), search.parse("with des"))
 
 
-@_register("q_id_prefix", "WITH f AS (SELECT doc_id AS id FROM documents WHERE starts_with(doc_id::varchar, '12') ORDER BY doc_id LIMIT 10) SELECT id, (count(*) OVER () = 1) AS exact FROM f")
+@register("q_id_prefix", "WITH f AS (SELECT doc_id AS id FROM documents WHERE starts_with(doc_id::varchar, '12') ORDER BY doc_id LIMIT 10) SELECT id, (count(*) OVER () = 1) AS exact FROM f")
 def id_prefix(spark: SparkSession, d: str) -> DataFrame:
     return search.id_prefix(table(spark, d, "documents"), "doc_id", "id:0012")
 
 
-@_register("q_hybrid_merge", "WITH lex AS (SELECT doc_id FROM documents WHERE lang = 'fr'), sem AS (SELECT doc_id FROM labels WHERE quality = 1), blocked AS (SELECT doc_id FROM labels WHERE toxic = 1) SELECT doc_id AS id FROM lex UNION SELECT doc_id FROM sem WHERE doc_id NOT IN (SELECT doc_id FROM blocked)")
+@register("q_hybrid_merge", "WITH lex AS (SELECT doc_id FROM documents WHERE lang = 'fr'), sem AS (SELECT doc_id FROM labels WHERE quality = 1), blocked AS (SELECT doc_id FROM labels WHERE toxic = 1) SELECT doc_id AS id FROM lex UNION SELECT doc_id FROM sem WHERE doc_id NOT IN (SELECT doc_id FROM blocked)")
 def hybrid_merge(spark: SparkSession, d: str) -> DataFrame:
     labels = table(spark, d, "labels").withColumnRenamed("doc_id", "id")
     return search.merge(table(spark, d, "documents").where("lang = 'fr'").select(F.col("doc_id").alias("id")), labels.where("quality = 1"), labels.where("toxic = 1"))
 
 
-@_register("q_compose", "SELECT doc_id AS id FROM documents WHERE lang IN ('en', 'de') AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+@register("q_compose", "SELECT doc_id AS id FROM documents WHERE lang IN ('en', 'de') AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def compose(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").withColumnRenamed("doc_id", "id")
     return search.compose(docs.select("id"), [docs.where("lang in ('en', 'de')"), None, table(spark, d, "labels").where("quality = 1").withColumnRenamed("doc_id", "id")])
 
 
-@_register("q_rank", "SELECT d.doc_id AS id, l.quality::double AS score, (d.n_chars % 3)::bigint AS exactness, row_number() OVER (ORDER BY d.n_chars % 3 DESC, l.quality DESC NULLS LAST, d.doc_id)::int AS place FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)")
+@register("q_rank", "SELECT d.doc_id AS id, l.quality::double AS score, (d.n_chars % 3)::bigint AS exactness, row_number() OVER (ORDER BY d.n_chars % 3 DESC, l.quality DESC NULLS LAST, d.doc_id)::int AS place FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l USING (doc_id)")
 def rank(spark: SparkSession, d: str) -> DataFrame:
     matches = table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") % 3).alias("exactness"))
     scores = table(spark, d, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").cast("double").alias("score"))
@@ -109,39 +127,39 @@ _BAND = "CASE WHEN n_chars < 1000 THEN 'short' WHEN n_chars < 4000 THEN 'middle'
 _FACETED = f"WITH r AS (SELECT lang, source, {_BAND} AS band FROM documents)"
 
 
-@_register("q_facet_counts", _FACETED + " SELECT 'lang' AS facet, lang AS value, count(*) AS n FROM r WHERE source IN ('src0', 'src1') GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM r WHERE lang IN ('en', 'fr') GROUP BY source UNION ALL SELECT 'band', band, count(*) FROM r WHERE lang IN ('en', 'fr') AND source IN ('src0', 'src1') GROUP BY band")
+@register("q_facet_counts", _FACETED + " SELECT 'lang' AS facet, lang AS value, count(*) AS n FROM r WHERE source IN ('src0', 'src1') GROUP BY lang UNION ALL SELECT 'source', source, count(*) FROM r WHERE lang IN ('en', 'fr') GROUP BY source UNION ALL SELECT 'band', band, count(*) FROM r WHERE lang IN ('en', 'fr') AND source IN ('src0', 'src1') GROUP BY band")
 def facet_counts(spark: SparkSession, d: str) -> DataFrame:
     return facets.counts(table(spark, d, "documents"), _facets(), {"lang": ["en", "fr"], "source": ["src0", "src1"]})
 
 
-@_register("q_facet_filter", "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars < 1000")
+@register("q_facet_filter", "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars < 1000")
 def facet_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(facets.passes(_facets(), {"lang": ["en", "fr"], "band": ["short"]})).select("doc_id")
 
 
-@_register("q_facet_options", _FACETED + " SELECT DISTINCT 'lang' AS facet, lang AS value FROM r UNION SELECT DISTINCT 'source', source FROM r UNION SELECT DISTINCT 'band', band FROM r")
+@register("q_facet_options", _FACETED + " SELECT DISTINCT 'lang' AS facet, lang AS value FROM r UNION SELECT DISTINCT 'source', source FROM r UNION SELECT DISTINCT 'band', band FROM r")
 def facet_options(spark: SparkSession, d: str) -> DataFrame:
     return facets.options(table(spark, d, "documents"), _facets())
 
 
-@_register("q_first_by_key", "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1")
+@register("q_first_by_key", "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1")
 def first_by_key(spark: SparkSession, d: str) -> DataFrame:
     return relational.first_by_key(table(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
-@_register("q_inverted_index", "SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(l_orderkey))), ',') AS orders FROM lineitem GROUP BY l_partkey")
+@register("q_inverted_index", "SELECT l_partkey, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber) AS first_flag, array_to_string(list_sort(list_distinct(list(l_orderkey))), ',') AS orders FROM lineitem GROUP BY l_partkey")
 def inverted_index(spark: SparkSession, d: str) -> DataFrame:
     order = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     merged = relational.merge_by_key(table(spark, d, "lineitem").withColumn("first_flag", F.col("l_returnflag")), ["l_partkey"], order, ["first_flag"], {"l_orderkey": "orders"})
     return merged.withColumn("orders", F.array_join(F.transform("orders", lambda x: x.cast("string")), ","))
 
 
-@_register("q_dense_ids", "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS slot FROM customer")
+@register("q_dense_ids", "SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS slot FROM customer")
 def dense_ids(spark: SparkSession, d: str) -> DataFrame:
     return relational.dense_ids(table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"], "slot")
 
 
-@_register("q_remap", "WITH o AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS n, l_suppkey FROM lineitem), m AS (SELECT l_orderkey, n_nationkey, min(n) AS pos FROM o JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL) SELECT k.l_orderkey, coalesce(string_agg(n_nationkey::varchar, ',' ORDER BY pos), '') AS nations FROM (SELECT DISTINCT l_orderkey FROM o) k LEFT JOIN m USING (l_orderkey) GROUP BY k.l_orderkey")
+@register("q_remap", "WITH o AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) AS n, l_suppkey FROM lineitem), m AS (SELECT l_orderkey, n_nationkey, min(n) AS pos FROM o JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL) SELECT k.l_orderkey, coalesce(string_agg(n_nationkey::varchar, ',' ORDER BY pos), '') AS nations FROM (SELECT DISTINCT l_orderkey FROM o) k LEFT JOIN m USING (l_orderkey) GROUP BY k.l_orderkey")
 def remap(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("s"))
     lines = lines.select("l_orderkey", F.transform("s", lambda x: x["l_suppkey"]).alias("ids"))
@@ -149,100 +167,119 @@ def remap(spark: SparkSession, d: str) -> DataFrame:
     return relational.remap(lines, "l_orderkey", "ids", mapping).select("l_orderkey", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("nations"))
 
 
-@_register("q_left_defaults", "SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
+@register("q_left_defaults", "SELECT d.doc_id, coalesce(l.quality, -1) AS quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
 def left_defaults(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
 
 
-@_register("q_overlay", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, CASE WHEN quality = 1 THEN 'checked' END FROM labels")
+@register("q_overlay", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT DISTINCT doc_id, CASE WHEN quality = 1 THEN 'checked' END FROM labels")
 def overlay(spark: SparkSession, d: str) -> DataFrame:
     final = table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "checked").alias("source")).distinct()
     return relational.overlay(table(spark, d, "documents"), final, "doc_id", ["source"])
 
 
-@_register("q_coverage", "SELECT count(*) FILTER (WHERE l.doc_id IS NOT NULL) AS matched, count(*) FILTER (WHERE l.doc_id IS NULL) AS no_value FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+@register("q_coverage", "SELECT count(*) FILTER (WHERE l.doc_id IS NOT NULL) AS matched, count(*) FILTER (WHERE l.doc_id IS NULL) AS no_value FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
 def coverage(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "labels").select("doc_id").distinct().withColumn("k", F.lit(1))
     return table(spark, d, "documents").join(known, "doc_id", "left").agg(F.count("k").alias("matched"), F.count_if(F.col("k").isNull()).alias("no_value"))
 
 
-@_register("q_missing_references", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@register("q_missing_references", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def missing_references(spark: SparkSession, d: str) -> DataFrame:
     return relational.missing(table(spark, d, "customer").select("c_custkey"), "c_custkey", table(spark, d, "orders"), "o_custkey")
 
 
-@_register("q_rollup_wide", "SELECT user_id, sum(value) FILTER (WHERE event_type = 'click') AS click, sum(value) FILTER (WHERE event_type = 'view') AS view FROM (SELECT user_id, event_type, round(sum(value), 4) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL) GROUP BY user_id")
+@register("q_rollup_wide", "SELECT user_id, sum(value) FILTER (WHERE event_type = 'click') AS click, sum(value) FILTER (WHERE event_type = 'view') AS view FROM (SELECT user_id, event_type, round(sum(value), 4) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL) GROUP BY user_id")
 def rollup_wide(spark: SparkSession, d: str) -> DataFrame:
     long = table(spark, d, "events").where("event_type in ('click', 'view')").groupBy("user_id", "event_type").agg(F.round(F.sum("value"), 4).alias("value"))
     return relational.rollup_wide(long, "user_id", "event_type", "value", ["click", "view"])
 
 
-@_register("q_schema_diff", "WITH a AS (SELECT n_name AS field, n_regionkey % 2 AS kind FROM nation WHERE n_nationkey < 20), b AS (SELECT n_name AS field, n_nationkey % 2 AS kind FROM nation WHERE n_nationkey >= 3) SELECT field, CASE WHEN a.kind IS NULL THEN 'added' WHEN b.kind IS NULL THEN 'removed' ELSE 'changed' END AS change, CASE WHEN field LIKE '%0' THEN 'x' END IS NOT NULL AS odd FROM a FULL JOIN b USING (field) WHERE a.kind IS DISTINCT FROM b.kind")
+@register("q_schema_diff", "WITH a AS (SELECT n_name AS field, n_regionkey % 2 AS kind FROM nation WHERE n_nationkey < 20), b AS (SELECT n_name AS field, n_nationkey % 2 AS kind FROM nation WHERE n_nationkey >= 3), n AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS r FROM nation) SELECT field, CASE WHEN a.kind IS NULL THEN 'added' WHEN b.kind IS NULL THEN 'removed' ELSE 'changed' END AS change, CASE WHEN r % 3 = 0 THEN 'HARD' WHEN r % 3 = 1 THEN 'SOFT' ELSE 'INFORMATIONAL' END AS tier FROM a FULL JOIN b USING (field) JOIN n ON n_name = field WHERE a.kind IS DISTINCT FROM b.kind")
 def schema_diff(spark: SparkSession, d: str) -> DataFrame:
     nation = table(spark, d, "nation")
     before = nation.where("n_nationkey < 20").select(F.col("n_name").alias("field"), (F.col("n_regionkey") % 2).alias("kind"))
     after = nation.where("n_nationkey >= 3").select(F.col("n_name").alias("field"), (F.col("n_nationkey") % 2).alias("kind"))
-    return relational.schema_diff(before, after, [], []).select("field", "change", F.col("field").endswith("0").alias("odd"))
+    names = sorted(r["n_name"] for r in nation.collect())  # a contract's fields are few
+    return relational.schema_diff(before, after, names[2::3], names[0::3])
 
 
-@_register("q_suffixed_labels", "SELECT c_custkey, CASE WHEN rn > 1 THEN c_mktsegment || ' (' || rn || ')' ELSE c_mktsegment END AS label FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn FROM customer)")
+@register("q_suffixed_labels", "SELECT c_custkey, CASE WHEN rn > 1 THEN c_mktsegment || ' (' || rn || ')' ELSE c_mktsegment END AS label FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn FROM customer)")
 def suffixed_labels(spark: SparkSession, d: str) -> DataFrame:
     return relational.suffixed(table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("label")), "label", ["c_custkey"])
 
 
-@_register("q_conflicts", "SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL HAVING count(*) > 1")
+@register("q_conflicts", "SELECT conv_id, role, count(*) AS n FROM conversations GROUP BY ALL HAVING count(*) > 1")
 def conflicts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").groupBy("conv_id", "role").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@_register("q_quotas", "SELECT label AS \"group\", count(*) AS n FROM embeddings GROUP BY label")
+#: A target that rounded-up quotas pass by a few, which the largest lose one by one; few rounds are enough for ten groups.
+@register("q_quotas", "WITH RECURSIVE s AS (SELECT label AS g, count(*) AS n FROM embeddings GROUP BY label), q AS (SELECT g, n, least(n, greatest(1, ceil(100.0 * n / (SELECT sum(n) FROM s))::bigint)) AS q, 0 AS r FROM s UNION ALL SELECT g, n, CASE WHEN total > greatest(100, groups) AND g = worst THEN q - 1 ELSE q END, r + 1 FROM (SELECT *, sum(q) OVER () AS total, count(*) OVER () AS groups, first_value(g) OVER (ORDER BY q DESC, g) AS worst FROM q) WHERE r < 12) SELECT g AS \"group\", n, q AS quota FROM q WHERE r = 12")
 def quotas(spark: SparkSession, d: str) -> DataFrame:
     sizes = table(spark, d, "embeddings").groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"))
-    return relational.quotas(sizes, 100).select("group", "n")
+    return relational.quotas(sizes, 100)
 
 
-@_register("q_html_text")
+@register("q_html_text")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", t.html_to_text(F.col("html")).alias("text"))
 
 
-@_register("q_clean_titles", r"SELECT page_id, trim(regexp_replace(trim(regexp_replace(url, '\s+', ' ', 'g')), '^[•*\-–—]\s+', '')) AS title FROM pages")
+#: Titles with bullets, quotes and spaces, made of what the tables have.
+_TITLES = "SELECT page_id, CASE page_id % 5 WHEN 0 THEN '  • ' || url WHEN 1 THEN '\"' || url || ' \"' WHEN 2 THEN '- “' || url || '”' WHEN 3 THEN url || '   x' ELSE url END AS raw FROM pages"
+
+
+def _titles(spark: SparkSession, d: str) -> DataFrame:
+    n, url = F.col("page_id") % 5, F.col("url")
+    raw = F.when(n == 0, F.concat(F.lit("  • "), url)).when(n == 1, F.concat(F.lit('"'), url, F.lit(' "'))).when(n == 2, F.concat(F.lit("- “"), url, F.lit("”"))).when(n == 3, F.concat(url, F.lit("   x"))).otherwise(url)
+    return table(spark, d, "pages").select("page_id", raw.alias("raw"))
+
+
+@register("q_clean_titles", f"SELECT page_id, CASE page_id % 5 WHEN 3 THEN url || ' x' ELSE url END AS title, CASE page_id % 5 WHEN 0 THEN 'trim_whitespace,remove_leading_marker' WHEN 1 THEN 'remove_wrapping_quotes' WHEN 2 THEN 'remove_leading_marker,remove_wrapping_quotes' WHEN 3 THEN 'normalize_spacing' ELSE '' END AS reasons FROM ({_TITLES}) JOIN pages USING (page_id)")
 def clean_titles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", t.clean_title(F.col("url")).alias("title"))
+    changed = _titles(spark, d).withColumn("c", t.title_changes(F.col("raw")))
+    return changed.select("page_id", "c.title", F.array_join("c.reasons", ",").alias("reasons"))
+
 
+@register("q_title_reasons", "SELECT reason, count(*) AS n FROM (SELECT unnest(CASE page_id % 5 WHEN 0 THEN ['trim_whitespace', 'remove_leading_marker'] WHEN 1 THEN ['remove_wrapping_quotes'] WHEN 2 THEN ['remove_leading_marker', 'remove_wrapping_quotes'] WHEN 3 THEN ['normalize_spacing'] ELSE [] END) AS reason FROM pages) GROUP BY reason")
+def title_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return _titles(spark, d).select(F.explode(t.title_changes(F.col("raw"))["reasons"]).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
-@_register("q_reference_keys", "SELECT page_id, 'text:' || sha1(lower(url)) AS key FROM pages")
+
+@register("q_reference_keys", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'doi:10.1/x' || page_id WHEN page_id % 3 = 1 THEN 'pmid:' || page_id ELSE 'text:' || sha1(lower(url)) END AS key FROM pages")
 def reference_keys(spark: SparkSession, d: str) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return table(spark, d, "pages").select("page_id", t.reference_key(none, none, F.col("url")).alias("key"))
+    doi = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("10.1/X"), "page_id")).when(F.col("page_id") % 3 == 1, "")
+    pmid = F.when(F.col("page_id") % 3 < 2, F.col("page_id").cast("string"))
+    return table(spark, d, "pages").select("page_id", t.reference_key(doi, pmid, F.col("url")).alias("key"))
 
 
-@_register("q_same_claims", f"WITH c AS (SELECT conv_id, turn, list_filter({_TOKENS.replace('length(x) >= 2', 'length(x) >= 1')}, lambda x: true) AS w FROM conversations), pairs AS (SELECT a.conv_id, a.turn, a.w AS x, b.w AS y FROM c a JOIN c b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1) SELECT conv_id, turn, coalesce(length(list_distinct(list_concat(x, y))) > 0 AND (length(list_intersect(list_distinct(x), list_distinct(y))) / length(list_distinct(list_concat(x, y))) >= 0.85 OR (length(x) >= 5 AND x[1:5] = y[1:5])), false) AS same FROM pairs")
+@register("q_same_claims", f"WITH c AS (SELECT conv_id, turn, list_filter({_TOKENS.replace('length(x) >= 2', 'length(x) >= 1')}, lambda x: true) AS w FROM conversations), pairs AS (SELECT a.conv_id, a.turn, a.w AS x, b.w AS y FROM c a JOIN c b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1) SELECT conv_id, turn, coalesce(length(list_distinct(list_concat(x, y))) > 0 AND (length(list_intersect(list_distinct(x), list_distinct(y))) / length(list_distinct(list_concat(x, y))) >= 0.85 OR (length(x) >= 5 AND x[1:5] = y[1:5])), false) AS same FROM pairs")
 def same_claims(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "conversations")
     after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next"))
     return c.join(after, ["conv_id", "turn"]).select("conv_id", "turn", t.same_claim(F.col("text"), F.col("next")).alias("same"))
 
 
-@_register("q_ctfidf", f"WITH {_POSTINGS}, n AS (SELECT lang AS cluster, token AS term, count(*) AS n FROM p JOIN documents USING (doc_id) GROUP BY ALL), tot AS (SELECT cluster, sum(n) AS total FROM n GROUP BY cluster), df AS (SELECT term, count(DISTINCT cluster) AS df FROM n GROUP BY term) SELECT cluster, term, round(n / total * ln(1 + (SELECT count(*) FROM tot) / df), 9) AS score FROM n JOIN tot USING (cluster) JOIN df USING (term)")
+@register("q_ctfidf", f"WITH {_POSTINGS}, n AS (SELECT lang AS cluster, token AS term, count(*) AS n FROM p JOIN documents USING (doc_id) GROUP BY ALL), tot AS (SELECT cluster, sum(n) AS total FROM n GROUP BY cluster), df AS (SELECT term, count(DISTINCT cluster) AS df FROM n GROUP BY term) SELECT cluster, term, round(n / total * ln(1 + (SELECT count(*) FROM tot) / df), 9) AS score FROM n JOIN tot USING (cluster) JOIN df USING (term)")
 def ctfidf(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     counts = docs.select(F.col("lang").alias("cluster"), F.explode(t.tokens(F.col("text"))).alias("term")).groupBy("cluster", "term").agg(F.count("*").alias("n"))
     return evaluation.ctfidf(counts).withColumn("score", F.round("score", 9))
 
 
-@_register("q_neighbours", "SELECT id, neighbour, rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9), b.vec_id)::int AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE rank <= 10")
+@register("q_neighbours", "SELECT id, neighbour, rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9), b.vec_id)::int AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE rank <= 10")
 def neighbours(spark: SparkSession, d: str) -> DataFrame:
     return vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10).select("id", "neighbour", "rank")
 
 
-@_register("q_neighbour_graph")
+@register("q_neighbour_graph", "WITH n AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9) AS distance FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id), k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT least(id, neighbour) AS u, greatest(id, neighbour) AS v, round(avg(1 - distance), 6) AS w FROM k GROUP BY ALL")
 def neighbour_graph(spark: SparkSession, d: str) -> DataFrame:
     edges = vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10)
     return vector_ops.undirected(edges.select(F.col("id").alias("u"), F.col("neighbour").alias("v"), (1 - F.col("distance")).alias("w"))).withColumn("w", F.round("w", 6))
 
 
-@_register("q_quantised", "WITH m AS (SELECT max(list_max(list_transform(embedding, lambda x: abs(x::double)))) AS m FROM embeddings) SELECT vec_id, array_to_string(list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::double * 127.0 / m, 0)::int))), ',') AS q FROM embeddings, m")
+@register("q_quantised", "WITH m AS (SELECT max(list_max(list_transform(embedding, lambda x: abs(x::double)))) AS m FROM embeddings) SELECT vec_id, array_to_string(list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::double * 127.0 / m, 0)::int))), ',') AS q FROM embeddings, m")
 def quantised(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     largest = rows.agg(F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))).alias("m"))
@@ -250,13 +287,13 @@ def quantised(spark: SparkSession, d: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(largest)).select("vec_id", F.array_join(F.transform(q, lambda x: x.cast("string")), ",").alias("q"))
 
 
-@_register("q_centroids", "WITH x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), m AS (SELECT label, pos, avg(x) AS x FROM x GROUP BY ALL), s AS (SELECT label, sqrt(sum(x * x)) AS s FROM m GROUP BY label) SELECT label, (pos - 1)::int AS pos, round(x / s, 6) AS x FROM m JOIN s USING (label)")
+@register("q_centroids", "WITH x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), m AS (SELECT label, pos, avg(x) AS x FROM x GROUP BY ALL), s AS (SELECT label, sqrt(sum(x * x)) AS s FROM m GROUP BY label) SELECT label, (pos - 1)::int AS pos, round(x / s, 6) AS x FROM m JOIN s USING (label)")
 def centroids(spark: SparkSession, d: str) -> DataFrame:
     found = vector_ops.centroids(table(spark, d, "embeddings"), "label", "embedding")
     return found.select("label", F.posexplode("centroid").alias("pos", "x")).withColumn("x", F.round("x", 6))
 
 
-@_register("q_nearest_centroid")
+@register("q_nearest_centroid", "WITH x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings), c AS (SELECT label, list(x ORDER BY pos) AS c FROM (SELECT label, pos, avg(x) AS x FROM x GROUP BY ALL) GROUP BY label), d AS (SELECT vec_id AS id, c.label AS \"group\", round(acos(greatest(-1, least(1, list_cosine_similarity(embedding::double[], c)))), 9) AS distance FROM embeddings, c) SELECT id, \"group\", round(distance, 6) AS distance FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, \"group\") = 1")
 def nearest_centroid(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     return vector_ops.nearest(rows, "vec_id", "embedding", vector_ops.centroids(rows, "label", "embedding"), "label").withColumn("distance", F.round("distance", 6))
@@ -266,38 +303,42 @@ def _points(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
 
 
-@_register("q_box_select", "SELECT vec_id FROM embeddings WHERE embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.05 AND 0.2")
+@register("q_box_select", "SELECT vec_id FROM embeddings WHERE embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.05 AND 0.2")
 def box_select(spark: SparkSession, d: str) -> DataFrame:
     return _points(spark, d).where(spatial.in_box(F.col("x"), F.col("y"), (-0.1, -0.05, 0.1, 0.2))).select("vec_id")
 
 
-@_register("q_lasso_select", "WITH p AS (SELECT vec_id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings) SELECT vec_id FROM p WHERE y >= 0 AND y < 0.2 AND x >= -0.2 + y AND x < 0.2 - y")
+@register("q_lasso_select", "WITH p AS (SELECT vec_id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings) SELECT vec_id FROM p WHERE y >= 0 AND y < 0.2 AND x >= -0.2 + y AND x < 0.2 - y")
 def lasso_select(spark: SparkSession, d: str) -> DataFrame:
     return _points(spark, d).where(spatial.in_polygon(F.col("x"), F.col("y"), [(-0.2, 0.0), (0.2, 0.0), (0.0, 0.2)])).select("vec_id")
 
 
-@_register("q_levels_of_detail")
+#: SQL of the cells of a grid over the plane of the first two components.
+_GRID = "p AS (SELECT vec_id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings), s AS (SELECT min(x) AS a, min(y) AS b, greatest(max(x) - min(x), max(y) - min(y)) AS w FROM p), g AS (SELECT vec_id, " + ", ".join(f"least(floor((y - b) / w * {r}), {r - 1}) * {r} + least(floor((x - a) / w * {r}), {r - 1}) AS c{r}" for r in (4, 8, 16)) + " FROM p, s), l0 AS (SELECT *, CASE WHEN min(vec_id) OVER (PARTITION BY c4) = vec_id THEN 0 END AS l FROM g), l1 AS (SELECT *, coalesce(l, CASE WHEN max((l IS NOT NULL)::int) OVER (PARTITION BY c8) = 0 AND min(vec_id) OVER (PARTITION BY c8) = vec_id THEN 1 END) AS m FROM l0), l2 AS (SELECT *, coalesce(m, CASE WHEN max((m IS NOT NULL)::int) OVER (PARTITION BY c16) = 0 AND min(vec_id) OVER (PARTITION BY c16) = vec_id THEN 2 END, 3) AS lod FROM l1)"
+
+
+@register("q_levels_of_detail", f"WITH {_GRID} SELECT vec_id, lod FROM l2")
 def levels_of_detail(spark: SparkSession, d: str) -> DataFrame:
     return spatial.levels(_points(spark, d), "vec_id", "x", "y", [4, 8, 16]).select("vec_id", "lod")
 
 
-@_register("q_size_metrics", "WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source), p AS (SELECT n, n / sum(n) OVER () AS p FROM n) SELECT count(*) AS clusters, round(max(p), 9) AS largest, round(stddev_pop(n) / avg(n), 9) AS spread, round(-sum(p * ln(p)) / ln(count(*)), 9) AS entropy FROM p")
+@register("q_size_metrics", "WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source), p AS (SELECT n, n / sum(n) OVER () AS p FROM n) SELECT count(*) AS clusters, round(max(p), 9) AS largest, round(stddev_pop(n) / avg(n), 9) AS spread, round(-sum(p * ln(p)) / ln(count(*)), 9) AS entropy FROM p")
 def size_metrics(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.size_metrics(table(spark, d, "documents"), "source").select("clusters", *(F.round(c, 9).alias(c) for c in ("largest", "spread", "entropy")))
 
 
-@_register("q_purity", "WITH n AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL), p AS (SELECT source, sum(n) OVER (PARTITION BY source) AS s, n / sum(n) OVER (PARTITION BY source) AS p FROM n), e AS (SELECT source, first(s) AS s, max(p) AS top, -sum(p * ln(p)) AS h FROM p GROUP BY source) SELECT round(sum(s * top) / sum(s), 9) AS purity, round(sum(s * h) / sum(s), 9) AS entropy FROM e")
+@register("q_purity", "WITH n AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL), p AS (SELECT source, sum(n) OVER (PARTITION BY source) AS s, n / sum(n) OVER (PARTITION BY source) AS p FROM n), e AS (SELECT source, first(s) AS s, max(p) AS top, -sum(p * ln(p)) AS h FROM p GROUP BY source) SELECT round(sum(s * top) / sum(s), 9) AS purity, round(sum(s * h) / sum(s), 9) AS entropy FROM e")
 def purity(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.purity(table(spark, d, "documents"), "source", "lang").select(F.round("purity", 9).alias("purity"), F.round("entropy", 9).alias("entropy"))
 
 
-@_register("q_label_agreement")
+@register("q_label_agreement", "WITH t AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL), a AS (SELECT source, sum(n) AS na FROM t GROUP BY source), b AS (SELECT lang, sum(n) AS nb FROM t GROUP BY lang), s AS (SELECT sum(n) AS s FROM t), m AS (SELECT sum(n / s * ln(n * s / (na * nb))) AS mi, sum(n * (n - 1) / 2) AS same FROM t JOIN a USING (source) JOIN b USING (lang), s), x AS (SELECT -sum(na / s * ln(na / s)) AS ha, sum(na * (na - 1) / 2) AS pa FROM a, s), y AS (SELECT -sum(nb / s * ln(nb / s)) AS hb, sum(nb * (nb - 1) / 2) AS pb FROM b, s) SELECT round(2 * mi / (ha + hb), 9) AS nmi, round(mi / ha, 9) AS homogeneity, round(mi / hb, 9) AS completeness, round(2 * mi / (ha + hb), 9) AS v_measure, round((same - pa * pb / (s * (s - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (s * (s - 1) / 2)), 9) AS ari FROM m, x, y, s")
 def label_agreement(spark: SparkSession, d: str) -> DataFrame:
     found = evaluation.agreement(table(spark, d, "documents"), "source", "lang")
     return found.select(*(F.round(c, 9).alias(c) for c in found.columns))
 
 
-@_register("q_palette", "WITH n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label), r AS (SELECT label, row_number() OVER (ORDER BY n DESC, label) AS r FROM n) SELECT label, CASE WHEN r <= 4 THEN r - 1 ELSE 4 + (row_number() OVER (PARTITION BY r <= 4 ORDER BY label) - 1) % 3 END AS colour FROM r")
+@register("q_palette", "WITH n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label), r AS (SELECT label, row_number() OVER (ORDER BY n DESC, label) AS r FROM n) SELECT label, CASE WHEN r <= 4 THEN r - 1 ELSE 4 + (row_number() OVER (PARTITION BY r <= 4 ORDER BY label) - 1) % 3 END AS colour FROM r")
 def palette(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "embeddings").groupBy("label").count()
     ranked = n.withColumn("r", F.row_number().over(Window.partitionBy().orderBy(F.desc("count"), "label")).cast("long"))
@@ -305,31 +346,31 @@ def palette(spark: SparkSession, d: str) -> DataFrame:
     return ranked.select("label", F.when(F.col("r") <= 4, F.col("r") - 1).otherwise(4 + rest % 3).alias("colour"))
 
 
-@_register("q_event_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+@register("q_event_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
     return streams.windowed(table(spark, d, "events")).withColumn("total", F.round("total", 4))
 
 
 #: SQL of functions.text.fold.
-_FOLD = "translate(regexp_replace(lower({}), '[̀-ͯ^`¨¯´¸]', '', 'g'), '" + t.ACCENTED + "', '" + t.PLAIN + "')"
+_FOLD = "regexp_replace(strip_accents(lower({})), '" + t.MARKS + "', '', 'g')"
 
 
-@_register("q_exact_id", "SELECT doc_id, lang FROM documents WHERE doc_id = 12")
+@register("q_exact_id", "SELECT doc_id, lang FROM documents WHERE doc_id = 12")
 def exact_id(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(F.col("doc_id") == 12).select("doc_id", "lang")
 
 
-@_register("q_substring_search", f"SELECT doc_id FROM documents WHERE contains({_FOLD.format('text')}, 'ers')")
+@register("q_substring_search", f"SELECT doc_id FROM documents WHERE contains({_FOLD.format('text')}, 'ers')")
 def substring_search(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(t.fold(F.col("text")).contains("ers")).select("doc_id")
 
 
-@_register("q_page", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 60 OFFSET 60")
+@register("q_page", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 60 OFFSET 60")
 def page(spark: SparkSession, d: str) -> DataFrame:
     return ordering.page(table(spark, d, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), "doc_id"], 1)
 
 
-@_register("q_merge_sources", "WITH u AS (SELECT 'article' AS source, doc_id AS id, (n_chars % 5)::double AS first, l.q::double AS second FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) l USING (doc_id) UNION ALL SELECT 'overlay', page_id, (length(url) % 5)::double, page_id::double FROM pages) SELECT *, row_number() OVER (ORDER BY first DESC NULLS LAST, second DESC NULLS LAST, source, id) - 1 AS place FROM u")
+@register("q_merge_sources", "WITH u AS (SELECT 'article' AS source, doc_id AS id, (n_chars % 5)::double AS first, l.q::double AS second FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels GROUP BY doc_id) l USING (doc_id) UNION ALL SELECT 'overlay', page_id, (length(url) % 5)::double, page_id::double FROM pages) SELECT *, row_number() OVER (ORDER BY first DESC NULLS LAST, second DESC NULLS LAST, source, id) - 1 AS place FROM u")
 def merge_sources(spark: SparkSession, d: str) -> DataFrame:
     scores = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("second"))
     articles = table(spark, d, "documents").join(scores, "doc_id", "left").select(F.col("doc_id").alias("id"), (F.col("n_chars") % 5).alias("first"), "second")
@@ -337,54 +378,54 @@ def merge_sources(spark: SparkSession, d: str) -> DataFrame:
     return ordering.merge_sources({"article": articles, "overlay": overlay})
 
 
-@_register("q_run_diff", "SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' ELSE 'removed' END AS state FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'fr') a FULL JOIN (SELECT DISTINCT doc_id FROM documents WHERE n_chars >= 300) b ON a.doc_id = b.doc_id WHERE a.doc_id IS NULL OR b.doc_id IS NULL")
+@register("q_run_diff", "SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' ELSE 'removed' END AS state FROM (SELECT DISTINCT doc_id FROM documents WHERE lang <> 'fr') a FULL JOIN (SELECT DISTINCT doc_id FROM documents WHERE n_chars >= 300) b ON a.doc_id = b.doc_id WHERE a.doc_id IS NULL OR b.doc_id IS NULL")
 def run_diff(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return ordering.difference(docs.where("lang <> 'fr'"), docs.where("n_chars >= 300"), "doc_id")
 
 
-@_register("q_ordered_distinct", "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+@register("q_ordered_distinct", "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
 def ordered_distinct(spark: SparkSession, d: str) -> DataFrame:
     return ordering.ordered_distinct(table(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", ["ts", "event_id"]).select("user_id", "event_id")
 
 
-@_register("q_slots", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderdate) - 1 AS slot FROM orders")
+@register("q_slots", "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderdate) - 1 AS slot FROM orders")
 def slots(spark: SparkSession, d: str) -> DataFrame:
     return ordering.slots(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate").select("o_orderkey", "slot")
 
 
-@_register("q_relabel", "SELECT label, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS renamed FROM embeddings GROUP BY label")
+@register("q_relabel", "SELECT label, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS renamed FROM embeddings GROUP BY label")
 def relabel(spark: SparkSession, d: str) -> DataFrame:
     return ordering.by_size(table(spark, d, "embeddings"), "label")
 
 
-@_register("q_letters", f"SELECT doc_id, CASE WHEN f BETWEEN 'A' AND 'Z' THEN f ELSE 'Other' END AS letter FROM (SELECT doc_id, upper(substr({_FOLD.format('ltrim(text)')}, 1, 1)) AS f FROM documents)")
+@register("q_letters", f"SELECT doc_id, CASE WHEN f BETWEEN 'A' AND 'Z' THEN f ELSE 'Other' END AS letter FROM (SELECT doc_id, upper(substr({_FOLD.format('ltrim(text)')}, 1, 1)) AS f FROM documents)")
 def letters(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", ordering.letter(F.col("text")).alias("letter"))
 
 
-@_register("q_invariants", "SELECT count(*) AS n, (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)) AS repeated_keys, count(*) FILTER (WHERE l_orderkey IS NULL) AS missing_keys, count(*) FILTER (WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey > 4)) AS dangling FROM lineitem")
+@register("q_invariants", "SELECT count(*) AS n, (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)) AS repeated_keys, count(*) FILTER (WHERE l_orderkey IS NULL) AS missing_keys, count(*) FILTER (WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey > 4)) AS dangling FROM lineitem")
 def invariants(spark: SparkSession, d: str) -> DataFrame:
     return ordering.invariants(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "supplier").where("s_nationkey > 4"), "s_suppkey", "l_suppkey")
 
 
-@_register("q_merge_references", "WITH e AS (SELECT user_id, event_id, event_type, CASE WHEN value > 10 THEN event_type END AS big FROM events), f AS (SELECT user_id, event_type, min(event_id) AS place FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY place, event_type) AS n FROM f) SELECT user_id, count(*) AS uses, arg_min(big, event_id) AS big, (SELECT string_agg(event_type, ',' ORDER BY n) FROM r WHERE r.user_id = e.user_id AND n <= 3) AS raw FROM e GROUP BY user_id")
+@register("q_merge_references", "WITH e AS (SELECT user_id, event_id, event_type, CASE WHEN value > 10 THEN event_type END AS big FROM events), f AS (SELECT user_id, event_type, min(event_id) AS place FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY place, event_type) AS n FROM f) SELECT user_id, count(*) AS uses, arg_min(big, event_id) AS big, (SELECT string_agg(event_type, ',' ORDER BY n) FROM r WHERE r.user_id = e.user_id AND n <= 3) AS raw FROM e GROUP BY user_id")
 def merge_references(spark: SparkSession, d: str) -> DataFrame:
     uses = table(spark, d, "events").select("user_id", "event_id", F.when(F.col("value") > 10, F.col("event_type")).alias("big"), F.col("event_type").alias("raw"))
     return ordering.merge_references(uses, "user_id", F.col("event_id"), ["big"], "raw").withColumn("raw", F.array_join("raw", ","))
 
 
-@_register("q_links", r"""SELECT page_id, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' '), '') AS links FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(https?://[^\s"''<>]+)', 1), lambda u: regexp_replace(u, '[.,;:)\]]+$', '')) AS l FROM pages)""")
+@register("q_links", r"""SELECT page_id, coalesce(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ' '), '') AS links FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(https?://[^\s"''<>]+)', 1), lambda u: regexp_replace(u, '[.,;:)\]]+$', '')) AS l FROM pages)""")
 def links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.array_join(t.urls(F.col("html")), " ").alias("links"))
 
 
-@_register("q_html_markdown")
+@register("q_html_markdown")
 def html_markdown(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", markup.html_to_markdown(F.col("html")).alias("markdown"))
 
 
-@_register("q_term_score", f"WITH x AS (SELECT doc_id, {_TOKENS} AS b, {_TOKENS.replace('lower(text)', 'lower(source)')} AS s FROM documents) SELECT doc_id, length(list_filter(s, lambda y: y = 'src0')) * 10.0::double + length(list_filter(b, lambda y: y = 'the')) * 1.5::double AS score FROM x")
+@register("q_term_score", f"WITH x AS (SELECT doc_id, {_TOKENS} AS b, {_TOKENS.replace('lower(text)', 'lower(source)')} AS s FROM documents) SELECT doc_id, length(list_filter(s, lambda y: y = 'src0')) * 10.0::double + length(list_filter(b, lambda y: y = 'the')) * 1.5::double AS score FROM x")
 def term_score(spark: SparkSession, d: str) -> DataFrame:
     fields = [(t.tokens(F.col("source")), 10.0), (t.tokens(F.col("text")), 1.5)]
     one, two = t.term_score(F.col("text"), fields[:1], "src0"), t.term_score(F.col("text"), fields[1:], "the")
@@ -394,33 +435,33 @@ def term_score(spark: SparkSession, d: str) -> DataFrame:
 _PAIRS = "n AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, round(greatest(1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 0), 9) AS distance, a.label AS la, b.label AS lb FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)"
 
 
-@_register("q_farthest", f"WITH {_PAIRS} SELECT id, neighbour, (row_number() OVER (PARTITION BY id ORDER BY distance DESC, neighbour))::int AS rank FROM n QUALIFY rank <= 10")
+@register("q_farthest", f"WITH {_PAIRS} SELECT id, neighbour, (row_number() OVER (PARTITION BY id ORDER BY distance DESC, neighbour))::int AS rank FROM n QUALIFY rank <= 10")
 def farthest(spark: SparkSession, d: str) -> DataFrame:
     return vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 10, farthest=True).select("id", "neighbour", "rank")
 
 
-@_register("q_place_in_map", f"WITH {_PAIRS}, k AS (SELECT * FROM n WHERE id % 10 = 0 AND neighbour % 10 <> 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 15), w AS (SELECT id, neighbour, exp((min(distance) OVER (PARTITION BY id) - distance) / 0.1) AS w FROM k) SELECT id, round(sum(w * embedding[1]) / sum(w), 6) AS x, round(sum(w * embedding[2]) / sum(w), 6) AS y FROM w JOIN embeddings ON vec_id = neighbour GROUP BY id")
+@register("q_place_in_map", f"WITH {_PAIRS}, k AS (SELECT * FROM n WHERE id % 10 = 0 AND neighbour % 10 <> 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 15), w AS (SELECT id, neighbour, exp((min(distance) OVER (PARTITION BY id) - distance) / 0.1) AS w FROM k) SELECT id, round(sum(w * embedding[1]) / sum(w), 6) AS x, round(sum(w * embedding[2]) / sum(w), 6) AS y FROM w JOIN embeddings ON vec_id = neighbour GROUP BY id")
 def place_in_map(spark: SparkSession, d: str) -> DataFrame:
     rows = _points(spark, d).join(table(spark, d, "embeddings").select("vec_id", "embedding"), "vec_id")
     found = vector_ops.place(rows.where("vec_id % 10 = 0"), rows.where("vec_id % 10 <> 0"), "vec_id", "embedding", ["x", "y"])
     return found.select("id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-@_register("q_label_neighbours", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT round(avg((la = lb)::int), 9) AS agreement FROM k")
+@register("q_label_neighbours", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT round(avg((la = lb)::int), 9) AS agreement FROM k")
 def label_neighbours(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
     return vector_ops.label_agreement(edges, rows.select(F.col("vec_id").alias("id"), "label")).select(F.round("agreement", 9).alias("agreement"))
 
 
-@_register("q_expand", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT neighbour AS id, min(distance) AS distance FROM k WHERE id % 25 = 0 AND neighbour % 25 <> 0 GROUP BY neighbour HAVING min(distance) <= 0.8 ORDER BY distance, id LIMIT 250")
+@register("q_expand", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10) SELECT neighbour AS id, min(distance) AS distance FROM k WHERE id % 25 = 0 AND neighbour % 25 <> 0 GROUP BY neighbour HAVING min(distance) <= 0.8 ORDER BY distance, id LIMIT 250")
 def expand(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
     return vector_ops.expand(rows.where("vec_id % 25 = 0").select(F.col("vec_id").alias("id")), edges, 0.8, 250)
 
 
-@_register("q_modularity", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10), g AS (SELECT least(id, neighbour) AS u, greatest(id, neighbour) AS v, avg(1 - distance) AS w, first(CASE WHEN id < neighbour THEN la ELSE lb END) AS lu, first(CASE WHEN id < neighbour THEN lb ELSE la END) AS lv FROM k GROUP BY ALL), m AS (SELECT sum(w) AS m FROM g), i AS (SELECT lu AS l, sum(w) AS inside FROM g WHERE lu = lv GROUP BY lu), d AS (SELECT l, sum(w) AS degree FROM (SELECT lu AS l, w FROM g UNION ALL SELECT lv, w FROM g) GROUP BY l) SELECT round(sum(coalesce(inside, 0) / m - (degree / (2 * m)) ** 2), 6) AS modularity FROM d LEFT JOIN i USING (l), m")
+@register("q_modularity", f"WITH {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 10), g AS (SELECT least(id, neighbour) AS u, greatest(id, neighbour) AS v, avg(1 - distance) AS w, first(CASE WHEN id < neighbour THEN la ELSE lb END) AS lu, first(CASE WHEN id < neighbour THEN lb ELSE la END) AS lv FROM k GROUP BY ALL), m AS (SELECT sum(w) AS m FROM g), i AS (SELECT lu AS l, sum(w) AS inside FROM g WHERE lu = lv GROUP BY lu), d AS (SELECT l, sum(w) AS degree FROM (SELECT lu AS l, w FROM g UNION ALL SELECT lv, w FROM g) GROUP BY l) SELECT round(sum(coalesce(inside, 0) / m - (degree / (2 * m)) ** 2), 6) AS modularity FROM d LEFT JOIN i USING (l), m")
 def modularity(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     edges = vector_ops.neighbours(rows, "vec_id", "embedding", 10)
@@ -431,67 +472,76 @@ def modularity(spark: SparkSession, d: str) -> DataFrame:
 _CENTRES = "x AS (SELECT label, unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos, vec_id FROM embeddings), c AS (SELECT label, pos, avg(x) AS m FROM x GROUP BY ALL), o AS (SELECT label, vec_id, sqrt(sum((x - m) ** 2)) AS d FROM x JOIN c USING (label, pos) GROUP BY ALL), g AS (SELECT a.label AS a, b.label AS b, sqrt(sum((a.m - b.m) ** 2)) AS gap FROM c a JOIN c b ON a.pos = b.pos AND a.label < b.label GROUP BY ALL)"
 
 
-@_register("q_separation", f"WITH {_CENTRES} SELECT round(i, 6) AS intra, round(e, 6) AS inter, round(e / i, 6) AS ratio FROM (SELECT avg(d) AS i FROM o), (SELECT avg(gap) AS e FROM g)")
+@register("q_separation", f"WITH {_CENTRES} SELECT round(i, 6) AS intra, round(e, 6) AS inter, round(e / i, 6) AS ratio FROM (SELECT avg(d) AS i FROM o), (SELECT avg(gap) AS e FROM g)")
 def separation(spark: SparkSession, d: str) -> DataFrame:
     found = clusters.separation(table(spark, d, "embeddings"), "label", "embedding")
     return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
 
 
-@_register("q_scatter", f"WITH {_CENTRES}, s AS (SELECT label, avg(d) AS s, sum(d * d) AS inside, count(*) AS n FROM o GROUP BY label), al AS (SELECT pos, avg(x) AS a FROM x GROUP BY pos), u AS (SELECT label, sum((m - a) ** 2) AS o FROM c JOIN al USING (pos) GROUP BY label), r AS (SELECT a, b, (x.s + y.s) / gap AS r FROM g JOIN s x ON x.label = a JOIN s y ON y.label = b), w AS (SELECT l, max(r) AS r FROM (SELECT a AS l, r FROM r UNION ALL SELECT b, r FROM r) GROUP BY l) SELECT round((SELECT sum(n * o) / (count(*) - 1) / (sum(inside) / (sum(n) - count(*))) FROM s JOIN u USING (label)), 6) AS calinski_harabasz, round((SELECT avg(r) FROM w), 6) AS davies_bouldin")
+@register("q_scatter", f"WITH {_CENTRES}, s AS (SELECT label, avg(d) AS s, sum(d * d) AS inside, count(*) AS n FROM o GROUP BY label), al AS (SELECT pos, avg(x) AS a FROM x GROUP BY pos), u AS (SELECT label, sum((m - a) ** 2) AS o FROM c JOIN al USING (pos) GROUP BY label), r AS (SELECT a, b, (x.s + y.s) / gap AS r FROM g JOIN s x ON x.label = a JOIN s y ON y.label = b), w AS (SELECT l, max(r) AS r FROM (SELECT a AS l, r FROM r UNION ALL SELECT b, r FROM r) GROUP BY l) SELECT round((SELECT sum(n * o) / (count(*) - 1) / (sum(inside) / (sum(n) - count(*))) FROM s JOIN u USING (label)), 6) AS calinski_harabasz, round((SELECT avg(r) FROM w), 6) AS davies_bouldin")
 def scatter(spark: SparkSession, d: str) -> DataFrame:
     found = clusters.scatter(table(spark, d, "embeddings"), "label", "embedding")
     return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
 
 
-@_register("q_kmeans")
+@register("q_kmeans")
 def kmeans(spark: SparkSession, d: str) -> DataFrame:
     return clusters.fit(table(spark, d, "embeddings"), "vec_id", "embedding", 10, components=16)
 
 
-@_register("q_window_distances", "WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS d FROM embeddings a JOIN embeddings b ON b.vec_id > a.vec_id AND b.vec_id <= a.vec_id + 5) SELECT round(avg(d) FILTER (WHERE j = i + 1), 6) AS adjacent_mean, round(median(d) FILTER (WHERE j = i + 1), 6) AS adjacent_median, round(avg(d), 6) AS window_mean, round(median(d), 6) AS window_median FROM p")
+@register("q_window_distances", "WITH p AS (SELECT a.vec_id AS i, b.vec_id AS j, 1 - list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS d FROM embeddings a JOIN embeddings b ON b.vec_id > a.vec_id AND b.vec_id <= a.vec_id + 5) SELECT round(avg(d) FILTER (WHERE j = i + 1), 6) AS adjacent_mean, round(median(d) FILTER (WHERE j = i + 1), 6) AS adjacent_median, round(avg(d), 6) AS window_mean, round(median(d), 6) AS window_median FROM p")
 def window_distances(spark: SparkSession, d: str) -> DataFrame:
     found = sequence.window_distances(table(spark, d, "embeddings"), "vec_id", "embedding", 5)
     return found.select(*(F.round(c, 6).alias(c) for c in found.columns))
 
 
-@_register("q_sequence_tail", "WITH p AS (SELECT a.vec_id AS p, b.vec_id AS q, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS s FROM embeddings a JOIN embeddings b ON b.vec_id <> a.vec_id AND abs(b.vec_id - a.vec_id) <= 5), m AS (SELECT p, avg(s) AS m FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY p ORDER BY abs(q - p), q) <= 5) GROUP BY p) SELECT round(avg(m), 6) AS mean, round(median(m), 6) AS median, round(quantile_cont(m, 0.1), 6) AS p10, count(*) FILTER (WHERE m < 0.6) AS below_06, count(*) FILTER (WHERE m < 0.5) AS below_05 FROM m")
+@register("q_sequence_tail", "WITH p AS (SELECT a.vec_id AS p, b.vec_id AS q, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) AS s FROM embeddings a JOIN embeddings b ON b.vec_id <> a.vec_id AND abs(b.vec_id - a.vec_id) <= 5), m AS (SELECT p, avg(s) AS m FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY p ORDER BY abs(q - p), q) <= 5) GROUP BY p) SELECT round(avg(m), 6) AS mean, round(median(m), 6) AS median, round(quantile_cont(m, 0.1), 6) AS p10, count(*) FILTER (WHERE m < 0.6) AS below_06, count(*) FILTER (WHERE m < 0.5) AS below_05 FROM m")
 def sequence_tail(spark: SparkSession, d: str) -> DataFrame:
     found = sequence.tail(sequence.neighbour_means(table(spark, d, "embeddings"), "vec_id", "embedding"))
     return found.select(*(F.round(c, 6).alias(c) if c in ("mean", "median", "p10") else F.col(c) for c in found.columns))
 
 
-@_register("q_greedy_paths")
+@register("q_greedy_paths")
 def greedy_paths(spark: SparkSession, d: str) -> DataFrame:
     return sequence.greedy_paths(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
 
 
-@_register("q_group_top", "WITH u AS (SELECT unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE label = 0), c AS (SELECT list(m ORDER BY pos) AS m FROM (SELECT pos, avg(x) AS m FROM u GROUP BY pos)) SELECT vec_id AS id, round(list_cosine_similarity(embedding::double[], m), 6) AS similarity FROM embeddings, c WHERE label <> 0 ORDER BY round(list_cosine_similarity(embedding::double[], m), 9) DESC, vec_id LIMIT 20")
+@register("q_group_top", "WITH u AS (SELECT unnest(embedding)::double AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings WHERE label = 0), c AS (SELECT list(m ORDER BY pos) AS m FROM (SELECT pos, avg(x) AS m FROM u GROUP BY pos)) SELECT vec_id AS id, round(list_cosine_similarity(embedding::double[], m), 6) AS similarity FROM embeddings, c WHERE label <> 0 ORDER BY round(list_cosine_similarity(embedding::double[], m), 9) DESC, vec_id LIMIT 20")
 def group_top(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     found = vector_ops.nearest_to_group(rows.where("label = 0"), rows.where("label <> 0"), "vec_id", "embedding", 20)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
-@_register("q_viewport_detail", "WITH p AS (SELECT vec_id FROM embeddings WHERE vec_id % 4 = 3 AND embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.1 AND 0.1) SELECT vec_id FROM p WHERE (SELECT count(*) FROM p) <= 100000")
+@register("q_viewport_detail", "WITH p AS (SELECT vec_id FROM embeddings WHERE vec_id % 4 = 3 AND embedding[1]::double BETWEEN -0.1 AND 0.1 AND embedding[2]::double BETWEEN -0.1 AND 0.1) SELECT vec_id FROM p WHERE (SELECT count(*) FROM p) <= 100000")
 def viewport_detail(spark: SparkSession, d: str) -> DataFrame:
     points = _points(spark, d).withColumn("lod", (F.col("vec_id") % 4).cast("int"))
     return spatial.detail(points, "lod", 3, "x", "y", (-0.1, -0.1, 0.1, 0.1), 100_000).select("vec_id")
 
 
-@_register("q_lod_cap", "SELECT vec_id FROM embeddings ORDER BY vec_id % 4, vec_id LIMIT 300")
+@register("q_viewport_over_budget", "SELECT vec_id FROM embeddings WHERE false")
+def viewport_over_budget(spark: SparkSession, d: str) -> DataFrame:
+    points = _points(spark, d).withColumn("lod", (F.col("vec_id") % 4).cast("int"))
+    return spatial.detail(points, "lod", 3, "x", "y", (-0.1, -0.1, 0.1, 0.1), 2).select("vec_id")
+
+
+@register("q_lod_cap", "SELECT vec_id FROM embeddings ORDER BY vec_id % 4, vec_id LIMIT 300")
 def lod_cap(spark: SparkSession, d: str) -> DataFrame:
     points = _points(spark, d).withColumn("lod", (F.col("vec_id") % 4).cast("int"))
     return spatial.lod_cap(points, "lod", "vec_id", 300).select("vec_id")
 
 
-@_register("q_lod_coverage")
+@register("q_lod_coverage", f"WITH {_GRID}, f AS (SELECT c16, min(lod) AS first FROM l2 GROUP BY c16) SELECT lod, round((SELECT count(*) FROM f WHERE first <= lod) / (SELECT count(*) FROM f), 9) AS coverage FROM (SELECT DISTINCT lod FROM l2)")
 def lod_coverage(spark: SparkSession, d: str) -> DataFrame:
     leveled = spatial.levels(_points(spark, d), "vec_id", "x", "y", [4, 8, 16])
     return spatial.coverage(leveled, "lod", "x", "y", 16).withColumn("coverage", F.round("coverage", 9))
 
 
-@_register("q_stratified")
+@register("q_stratified")
 def stratified(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings")
     sizes = rows.groupBy(F.col("label").alias("group")).agg(F.count("*").alias("n"))
     return relational.stratified(rows, "label", "vec_id", relational.quotas(sizes, 100), 7).select("vec_id", "label")
+
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

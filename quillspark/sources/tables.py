@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_STORED: list[tuple[SparkSession, str]] = []
+
 NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -49,3 +56,32 @@ def write_partitioned(rows: DataFrame, path: str, by: list[str]) -> None:
 def unread(ids: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Ids that a resumed run still has to fetch."""
     return ids.join(done.select(key), key, "left_anti")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; a local master without one gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="quillspark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def stored(rows: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    """Writes Parquet to the shared folder, in folders of the columns ``by``, and reads it again; kept until the driver ends."""
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = rows.write.option("compression", "zstd")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    _STORED.append((spark, path))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _STORED:
+        with contextlib.suppress(Exception):  # the session may have ended already
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -53,10 +53,11 @@ def test_polygon_needs_three_corners(spark):
 
 
 def test_markdown():
-    assert markup.convert(None) is None and markup.convert("") == ""
-    html = "<h2>A &amp; B</h2><p>One <b>two</b> <a href='u'>three</a></p><script>x</script><ol><li>a<ul><li>b</li></ul></li><li>c</li></ol>"
-    assert markup.convert(html) == "## A & B\n\nOne **two** [three](u)\n\n1. a\n  - b\n2. c"
-    assert markup.convert("<p>open <i>x") == "open *x"
+    assert markup.convert(None) == "" and markup.convert(" a & b ") == "a & b"
+    html = "<h2>A &amp; B</h2><p>One <b>two</b> <a href='u'>three</a> x<sup>2</sup></p><ol><li>a<ul><li>b</li></ul></li><li>c</li></ol>"
+    assert markup.convert(html) == "A & B\n\nOne **two**[three](u) x^(2)\n\n1. a\n\n  - b\n\n2. c"
+    assert markup.convert("<p>open <i>x") == "open _x"
+    assert markup.convert("<div>a</div><div>b<br>c</div>") == "a\n\nb\nc"
 
 
 def test_greedy_paths_by_walking(spark):

@@ -35,7 +35,7 @@ def guessed_title(text: Column) -> Column:
 
 def entries(text: Column) -> Column:
     """The entries of a reference list in Markdown: a numbered or dashed line begins one, other lines go on with it."""
-    lines = F.filter(F.transform(F.split(text, r"\r?\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     mark = r"^([0-9]+\.\s+|-+\s+)"
     start = F.array().cast("array<string>")
 
@@ -54,7 +54,7 @@ def covers(source: Column, parts: Column, least: float = 0.6) -> Column:
     state = F.struct(F.lit(1).alias("at"), F.lit(0).alias("n"))
 
     def step(s: Column, part: Column) -> Column:
-        place = F.when((s["at"] > 0) & (part != ""), F.locate_from(part, plain, s["at"]) if hasattr(F, "locate_from") else F.call_function("locate", part, plain, s["at"])).otherwise(F.lit(0))
+        place = F.when((s["at"] > 0) & (part != ""), F.call_function("locate", part, plain, s["at"])).otherwise(F.lit(0))
         return F.struct(F.when(place > 0, place + F.length(part)).otherwise(F.lit(0)).alias("at"), (s["n"] + F.length(part)).alias("n"))
 
     end = F.aggregate(F.transform(parts, lambda p: F.lower(_spaces(p))), state, step)
@@ -111,4 +111,4 @@ def parallel(references: Column) -> Column:
         lambda r: F.struct(F.coalesce(r["doi"], F.lit("")).alias("doi"), F.coalesce(F.nullif(r["url"], F.lit("")), F.concat(F.lit("https://doi.org/"), F.nullif(r["doi"], F.lit(""))), F.lit("")).alias("url"), F.coalesce(r["title"], F.lit("")).alias("title")),
     )
     kept = F.filter(filled, lambda r: (r["doi"] != "") | (r["url"] != "") | (r["title"] != ""))
-    return F.struct(*(F.transform(kept, lambda r, n=n: r[n]).alias(f"{n}s") for n in ("doi", "url", "title")))
+    return F.struct(*(kept[n].alias(f"{n}s") for n in ("doi", "url", "title")))

@@ -128,7 +128,7 @@ def string_list(raw: Column) -> Column:
 def keywords(blob: Column) -> Column:
     """Keywords parted by bars, else by commas, else the whole; trimmed, blanks dropped."""
     parts = F.when(blob.contains("|"), F.split(blob, r"\|")).when(blob.contains(","), F.split(blob, ",")).otherwise(F.array(blob))
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def dois(text: Column) -> Column:

@@ -84,10 +84,11 @@ def top_tokens(rows: DataFrame, segment: str, words: str, most: int = 5) -> Data
     return n.withColumn("place", F.row_number().over(Window.partitionBy(segment).orderBy(F.desc("n"), "token"))).where(F.col("place") <= most)
 
 
-def segment_phrases(rows: DataFrame, segment: str, words: str, most: int = 5, features: int = 8000) -> DataFrame:
-    """(segment, place, term, score): the best terms of segments, each of which counts as one document of the same corpus."""
+def segment_phrases(rows: DataFrame, segment: str, words: str, most: int = 5, features: int = 8000, pairs: bool = True) -> DataFrame:
+    """(segment, place, term, score): the best words, and pairs of neighbours, of segments, each of which counts as one document of the
+    same corpus. A segment's words are gathered, so segments are parts of a list, not of a corpus."""
     joined = rows.groupBy(segment).agg(F.flatten(F.collect_list(words)).alias("w")).withColumn("g", F.lit(0))
-    terms = F.explode(F.concat(ngrams(F.col("w"), 1), ngrams(F.col("w"), 2)))
+    terms = F.explode(F.concat(ngrams(F.col("w"), 1), ngrams(F.col("w"), 2)) if pairs else F.col("w"))
     tf = stored(joined.select("g", segment, terms.alias("term")).groupBy(segment, "term").agg(F.count("*").alias("tf")), "segments")
     about = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("n")).orderBy(F.desc("n"), "term").limit(features)
     docs = joined.agg(F.count("*").alias("docs"))

@@ -6,7 +6,9 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,9 +74,6 @@ def cached(rows: DataFrame, cache: DataFrame, key: str, compute: Callable[[DataF
 
 def structured(prompts: DataFrame, answer: Callable[[Iterable[str]], Iterable[str]], column: str = "prompt") -> DataFrame:
     """Prompts with the answers that a user's function gives for batches of them; a model, its retries and tiers are the user's."""
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     @F.pandas_udf("string")
     def run(batch: pd.Series) -> pd.Series:
         return pd.Series(list(answer(batch.tolist())), dtype=object)

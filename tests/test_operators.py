@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.functions import markup
-from quillspark.operators import clusters, facets, ordering, relational, search, sequence, spatial
-from quillspark.plans import catalog
+from quillspark.functions import display, scholarly
+from quillspark.functions import text as t
+from quillspark.operators import clusters, corpus as build, evaluation, facets, keywords, ordering, ranking, relational, search, semantic, sequence, spatial, vector_ops
+from quillspark.sources import sinks
+from quillspark.plans import catalog, corpus, measures, registry
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -90,14 +93,149 @@ def test_invariants_and_empty(spark):
     assert ordering.difference(rows, rows, "r").where("r is not null").isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
+def test_accents_outside_any_list(spark):
+    docs = spark.createDataFrame([(1, "Antonín Dvořák"), (2, "ŐSZI Şarkı źle"), (3, "dvora")], "id long, text string")
+    index = search.build_index(docs, "id", "text")
+    found = lambda q: {r["id"]: r["exactness"] for r in search.search(index, search.parse(q))[0].collect()}
+    assert found("Dvořák") == {1: 1, 3: 0} and found('"antonin dvorak"') == {1: 2}
+    assert found("oszi zle") == {2: 2} and found("sarkı") == {2: 1}
+    assert t.fold_text("Ǘ ḱ") == spark.range(1).select(t.fold(F.lit("Ǘ ḱ"))).first()[0] == "u k"
+
+
+def test_jvm_distance_equals_the_walk(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abc"), rng.integers(1, 7))) for _ in range(120)]
+    pairs = [(a, b) for a in words[:40] for b in words]
+    got = spark.createDataFrame(pairs, "word string, token string").selectExpr("word", "token", f"{search._OSA} AS d").collect()
+    assert all(search.osa(r["word"], r["token"], 9) == r["d"] for r in got)
+
+
+def test_search_by_brute_force(spark):
+    """Random queries over random texts against evaluation in plain Python."""
+    rng = np.random.default_rng(8)
+    vocabulary = ["alpha", "aplha", "alphas", "beta", "bet", "gamma", "gamna", "delta", "tree", "three", "ab"]
+    docs = [(i, " ".join(rng.choice(vocabulary, rng.integers(1, 7)))) for i in range(60)]
+    index = search.build_index(spark.createDataFrame(docs, "id long, text string"), "id", "text")
+
+    def near(word, token):
+        return word == token or (search.threshold(word) > 0 and search.osa(word, token, search.threshold(word)) <= search.threshold(word))
+
+    def clause(words, tokens):
+        if len(words) == 1:
+            hits = [t for t in tokens if near(words[0], t)]
+            return int(words[0] in hits) if hits else None
+        for s in range(len(tokens) - len(words) + 1):
+            if all(near(w, x) for w, x in zip(words, tokens[s:])):
+                return sum(w == x for w, x in zip(words, tokens[s:]))
+        return None
+
+    for text in ("alpha beta", '"tree delta" OR gamma', "three -alpha", "-alpha -beta", "bet OR beta -gamma", '-"ab tree" alphas'):
+        query, want = search.parse(text), {}
+        for i, body in docs:
+            for g in query.groups:
+                got = [(c, clause(c.words, body.split())) for c in g]
+                if all((x is None) == c.negated for c, x in got):
+                    want[i] = max(want.get(i, 0), sum(x for c, x in got if not c.negated))
+        assert {r["id"]: r["exactness"] for r in search.search(index, query)[0].collect()} == want, text
+
+
+def test_neighbours_in_many_blocks(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 5)).round(1)
+    x[7] = x[8]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(99, None)], "id long, v array<double>")
+    got = vector_ops.neighbours(rows, "id", "v", 4, block=9).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    gap = np.round(np.maximum(1 - u @ u.T, 0), 9)
+    for i in range(60):
+        want = [j for j in np.lexsort((np.arange(60), gap[i])) if j != i][:4]
+        assert want == [r["neighbour"] for r in sorted((r for r in got if r["id"] == i), key=lambda r: r["rank"])]
+    centres = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:20])], "g int, centroid array<double>")
+    few, many = (sorted((r["id"], r["group"]) for r in vector_ops.nearest(rows, "id", "v", centres, "g", most=m).collect()) for m in (100, 5))
+    assert few == many and len(few) == 60
+
+
+def test_silhouette_in_many_blocks(spark):
+    rng = np.random.default_rng(7)
+    rows = spark.createDataFrame([(i, rng.normal(size=3).tolist(), int(i % 4)) for i in range(50)] + [(60, [9.0, 9.0, 9.0], 9)], "id long, v array<double>, c int")
+    assert np.isclose(*(vector_ops.silhouette(rows, "id", "v", "c", block=b).first()[0] for b in (7, 500)))
+    assert vector_ops.silhouette(rows.where("c = 1"), "id", "v", "c").first()[0] is None
+    assert all(np.isclose(*(list(f(rows, "c", "v", most=m).first())[k] for m in (2, 500))) for f in (clusters.separation, clusters.scatter) for k in (0, 1))
+
+
+def test_expected_mutual_information_by_permutations():
+    import itertools
+
+    a, b = [0, 0, 0, 1, 1, 2], [0, 0, 1, 1, 2, 2]
+    n = len(a)
+
+    def mutual(x, y):
+        return sum((k := sum(p == i and q == j for p, q in zip(x, y))) and k / n * np.log(n * k / (x.count(i) * list(y).count(j))) for i in set(x) for j in set(y))
+
+    mean = np.mean([mutual(a, p) for p in itertools.permutations(b)])
+    assert np.isclose(mean, sum(evaluation.expected_mutual_information(a.count(i), b.count(j), n) for i in set(a) for j in set(b)))
+
+
+def test_older_grammar_and_registry():
+    groups = ranking.parse('Alpha -"Beta  gamma" or "x"  -  OR -y')
+    assert [(g.must, g.never) for g in groups] == [(["alpha"], ["beta  gamma"]), (["x"], []), ([], ["y"])]
+    kinds = registry.Registry("kind")
+    kinds.add("a", lambda x: x + 1)
+    assert kinds.run("a", 1) == 2
+    with pytest.raises(ValueError):
+        kinds.add("a", len)
+    with pytest.raises(KeyError):
+        kinds.run("b")
+    assert display.state_key({"b": {2, 1}, "a": (1, None)}) == display.state_key({"a": [1, None], "b": [1, 2]}) != display.state_key({})
+
+
+def test_what_is_refused(spark):
+    rows = spark.createDataFrame([(1, "Poster", "x1"), (2, "Withdrawn", "y"), (None, "Poster", "3")], "id long, decision string, poster string")
+    with pytest.raises(Exception, match="no number"):
+        build.accepted(rows, "id", "decision", "poster", rows.where("id = 9")).collect()
+    assert [r["poster"] for r in build.accepted(rows.withColumn("poster", F.lit("007")), "id", "decision", "poster", rows.where("id = 9")).collect()] == [7]
+    words = spark.createDataFrame([(["a", "z"], ["a", "b"])], "w array<string>, c array<string>")
+    assert keywords.only_candidates(words, "w", "c").first()["kept"] == ["a"]
+    with pytest.raises(Exception, match="no candidates"):
+        keywords.only_candidates(words, "w", "c", strict=True).collect()
+    with pytest.raises(Exception, match="unknown block"):
+        spark.range(1).select(display.session_of(F.lit(7), F.lit(1), {0: (1, 2)})).collect()
+    files = spark.createDataFrame([("a.csv", "1"), ("b.csv", "2")], "name string, sha256 string")
+    with pytest.raises(Exception, match="not one file"):
+        sinks.discover(files, {"x": "csv$"}).collect()
+    assert semantic.worth_encoding("abc") and not semantic.worth_encoding("ab")
+
+
+def test_text_of_markup_and_references(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    assert one(t.html_to_text(F.lit("<p>ref<sup>1,2</sup> H<SUB>2</SUB>O&nbsp;&amp; &eacute;</p><div>b</div>"))) == "ref¹,² H₂O & é\n\nb"
+    assert one(t.html_to_text(F.lit(None).cast("string"))) == ""
+    assert one(t.markdown_to_text(F.lit("# A\n- *b* `c` [d](e)\n2. f"))) == "A b c d f"
+    assert list(one(t.title_changes(F.lit('  - “A  b”')))) == ["A b", ["trim_whitespace", "remove_leading_marker", "remove_wrapping_quotes", "normalize_spacing"]]
+    assert one(t.clean_title(F.lit('"'))) == '"' and one(t.clean_title(F.lit(None).cast("string"))) == ""
+    assert np.isclose(one(scholarly.title_similarity(F.lit("The Brain, A Map"), F.lit("the brain map"))), 2 * 13 / 28, atol=1e-5)
+    assert one(scholarly.guessed_title(F.lit("Only one"))) == "Only one"
+    assert one(scholarly.entries(F.lit("plain line"))) == ["plain line"] and one(scholarly.entries(F.lit(""))) == []
+    assert one(t.keywords(F.lit("a, b ,,c"))) == ["a", "b", "c"]
+
+
+def test_answers_and_cache(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "k long, prompt string")
+    assert sorted(r["answer"] for r in registry.structured(rows, lambda batch: [p.upper() for p in batch]).collect()) == ["X", "Y"]
+    cache = spark.createDataFrame([(1, "old")], "k long, value string")
+    assert sorted(tuple(r) for r in registry.cached(rows, cache, "k", lambda d: d.withColumn("value", F.lit("new"))).collect()) == [(1, "old"), (2, "new")]
+    shown = registry.Corpus("a", rows.withColumnRenamed("k", "id"), ("-id", "id")).found(spark.createDataFrame([(2,), (3,)], "id long"))
+    assert [tuple(r) for r in shown.collect()] == [(2, -2, 2)]
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
-    want = con.execute(catalog.ORACLE_SQL[name]).df()
-    got = catalog.QUERIES[name](spark, DIR).toPandas()
+    want = con.execute(registry.ORACLE_SQL[name]).df()
+    got = registry.QUERIES[name](spark, DIR).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
 
     def rows(df):

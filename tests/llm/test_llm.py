@@ -543,3 +543,27 @@ def test_near_dedup_in_buckets_of_alike_texts(spark, monkeypatch):
     got = near_dedup.link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), words=3, percent=85).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(low))
     assert 20 < sum(a != b for a, b in enumerate(low)) < 90
+
+
+def test_packing_of_odd_texts_and_its_bound(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from quillspark.llm.packing import pack
+
+    rng = random.Random(41)
+    odd = ["é ü ñ ß Ünïcödé", "a\u00a0b\u2003c\u3000d\u200be", "<|endoftext|> <|x", "<s> </s> [PAD] \x00\x01\x1f\x7f", "x" * 9000, "日本語のテキスト " * 40, "🙂👩‍👩‍👧 " * 30, "tab\t\tnew\n\n\r\nline", "  lead and trail  ", "1234567890 3.14 1e-9", "a" + "\u0301" * 50, "ﬁ ﬂ Ⅷ ½", "\ufeffbom", "don't I'LL we've", None, "", " ", "\n"]
+    texts = odd + ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FF), rng.randrange(0x400, 0x4FF), rng.randrange(0x2000, 0x2070)])) for _ in range(200)) for _ in range(20)] + [prose(rng, rng.randrange(1, 400)) for _ in range(150)]
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    got = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), path, capacity=512).collect()
+    tok = Tokenizer.from_file(path)
+    want, total = [], 0
+    for i, text in enumerate(texts):
+        ids = [*tok.encode(text or "", add_special_tokens=False).ids, 1]
+        total += len(ids)
+        want += [(i, k // 512, k, len(ids[k : k + 512]), zlib.crc32(np.array(ids[k : k + 512], "<u4").tobytes())) for k in range(0, len(ids), 512)]
+    assert sorted(want) == sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got)
+    used = {}
+    for r in got:
+        used[r["sequence_id"]] = used.get(r["sequence_id"], 0) + r["length"]
+    assert max(used.values()) <= 512 and len(used) <= -(-total // 512) * 1.1 + 3

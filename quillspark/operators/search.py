@@ -94,7 +94,7 @@ FOLDERS = 64
 
 @dataclass
 class Index:
-    """postings: (folder, token, id, pos); vocabulary: (folder, token, df, n); ids: all ids."""
+    """postings: (folder, token, id, pos); vocabulary: (folder, token, letters, df, n), letters in order; ids: all ids."""
 
     postings: DataFrame
     vocabulary: DataFrame
@@ -109,18 +109,26 @@ def build_index(docs: DataFrame, key: str, text: str, *, folders: int = FOLDERS)
     placed = found.withColumn("folder", F.pmod(F.hash("token"), F.lit(folders))).hint("rebalance", F.col("folder"))
     postings = stored(placed.sortWithinPartitions("folder", "token", "id", "pos"), "postings", ["folder"])
     each = postings.groupBy("folder", "token", "id").agg(F.count("*").alias("n"))
-    vocabulary = stored(each.groupBy("folder", "token").agg(F.count("*").alias("df"), F.sum("n").alias("n")).coalesce(8), "vocabulary")
+    vocabulary = stored(each.groupBy("folder", "token").agg(F.count("*").alias("df"), F.sum("n").alias("n")).withColumn("letters", _letters(F.col("token"))).coalesce(8), "vocabulary")
     return Index(postings, vocabulary, ids)
 
 
+def _letters(word: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(word, "")), "")
+
+
 def word_hits(index: Index, words: list[str]) -> DataFrame:
-    """(folder, token, word, exact): the vocabulary within each word's threshold. Plain edits prune before the exact distance."""
+    """(folder, token, word, exact): the vocabulary within each word's threshold.
+
+    Plain edits decide most pairs. A pair that they refuse may need a swap, which leaves the letters as they are and costs two
+    plain edits; so only pairs whose letters differ by the other edits alone, two places each at most, get the exact distance.
+    """
     spark = index.ids.sparkSession
-    wanted = spark.createDataFrame([(w, threshold(w)) for w in sorted(set(words))], "word string, most int")
-    close = F.levenshtein("token", "word", 4) >= 0  # a swap counts as two plain edits at most
-    near = index.vocabulary.join(F.broadcast(wanted), (F.abs(F.length("token") - F.length("word")) <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & close & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
-    plain = F.levenshtein("token", "word")
-    good = F.when(plain <= F.col("most"), F.lit(True)).otherwise(F.expr(_OSA) <= F.col("most"))
+    wanted = spark.createDataFrame([(w, threshold(w), "".join(sorted(w))) for w in sorted(set(words))], "word string, most int, sorted string")
+    apart = F.abs(F.length("token") - F.length("word"))
+    near = index.vocabulary.join(F.broadcast(wanted), (apart <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
+    swapped = F.levenshtein("letters", "sorted") <= 2 * (F.col("most") - 1)
+    good = F.when(F.levenshtein("token", "word") <= F.col("most"), F.lit(True)).when(swapped, F.expr(_OSA) <= F.col("most")).otherwise(F.lit(False))
     return near.where(good).select("folder", "token", "word", (F.col("word") == F.col("token")).cast("int").alias("exact"))
 
 
@@ -189,6 +197,21 @@ def seeds(index: Index, query: Query) -> DataFrame:
     return _hits(index, words).groupBy("id").agg(F.collect_set("word").alias("words")).select("id", F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + times[w]).alias("score"))
 
 
+def typo_variants(word: str) -> list[str]:
+    """A word with a letter lost, changed, doubled and swapped with the next, at its middle, as far as the ladder forgives it."""
+    i = len(word) // 2
+    made = [word[:i] + word[i + 1 :], word[:i] + chr((ord(word[i]) - 96) % 26 + 97) + word[i + 1 :], word[:i] + word[i] + word[i:], word[: i - 1] + word[i] + word[i - 1] + word[i + 1 :]]
+    return [v for v in dict.fromkeys(made) if v != word and osa(v, word, threshold(v)) <= threshold(v)]
+
+
+def typo_recall(index: Index, words: list[str]) -> DataFrame:
+    """(recall): the share of misspelt words whose search meets the word itself. words: a list to test, of the vocabulary."""
+    pairs = [(w, v) for w in words for v in typo_variants(w)]
+    asked = index.ids.sparkSession.createDataFrame(pairs, "wanted string, word string")
+    hits = word_hits(index, [v for _, v in pairs]).select("word", F.col("token").alias("wanted"), F.lit(1).alias("hit")).distinct()
+    return asked.join(hits, ["word", "wanted"], "left").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+
+
 def id_prefix(docs: DataFrame, key: str, query: str, limit: int = 10) -> DataFrame:
     """id:NNN finds ids by their first digits, the least first; exact only if there is a single match."""
     digits = re.sub(r"\D", "", query).lstrip("0")

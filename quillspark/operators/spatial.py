@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.operators.relational import dense_ids
 from quillspark.sources.tables import stored
 
 
@@ -57,9 +58,14 @@ def coverage(points: DataFrame, lod: str, x: str, y: str, resolution: int) -> Da
     return many.select("lod", (so_far / F.sum("n").over(Window.partitionBy())).alias("coverage"))
 
 
-def lod_cap(points: DataFrame, lod: str, order: str, most: int = 50_000) -> DataFrame:
-    """Whole levels from the coarsest, then part of one in source order, ``most`` points in all."""
-    return points.orderBy(lod, order).limit(most).orderBy(order)
+def lod_cap(points: DataFrame, lod: str | None, order: str, most: int = 50_000) -> DataFrame:
+    """Whole levels from the coarsest, then part of one in source order, ``most`` points in all; without levels every n-th point
+    in source order, n the least that leaves ``most`` at most."""
+    if lod is not None:
+        return points.orderBy(lod, order).limit(most).orderBy(order)
+    placed = dense_ids(points, [order], "_place")
+    step = placed.agg(F.ceil(F.count("*") / most).alias("_step"))
+    return placed.crossJoin(F.broadcast(step)).where(F.col("_place") % F.col("_step") == 0).drop("_place", "_step")
 
 
 def detail(points: DataFrame, lod: str, rest: int, x: str, y: str, box: tuple[float, float, float, float], budget: int) -> DataFrame:

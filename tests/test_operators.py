@@ -10,7 +10,7 @@ from quillspark.functions import display, scholarly
 from quillspark.functions import text as t
 from quillspark.operators import clusters, corpus as build, evaluation, facets, keywords, ordering, ranking, relational, search, semantic, sequence, spatial, vector_ops
 from quillspark.sources import sinks
-from quillspark.plans import catalog, corpus, measures, registry
+from quillspark.plans import catalog, corpus, measures, registry, resolve
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -267,6 +267,10 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
     encoded = store.save(named.mapInArrow(tx.lean(encode), "row long, doc_id long, held_out boolean, dealt int, n_tokens long, n_known long, base double, share double, symbols binary, rest array<long>, many array<int>"))
     shared.unpersist()
     model, weight, before = _random_start(prior, states), 50.0, -np.inf
+    # each share is a table of its own, so that a pass reads no more than it works on
+    shares = {1.0: encoded.where(~F.col("held_out")).select("dealt", "symbols")}
+    for part in sorted({f for f, _ in ramp}, reverse=True):
+        shares[part] = store.save(shares[min(shares)].where(F.col("dealt") < int(part * (1 << 20))))
     for part in [f for f, times in ramp for _ in range(times)] + [1.0] * passes if total else []:
         now = spark.sparkContext.broadcast(model)
 
@@ -282,8 +286,7 @@ def score_texts(docs: DataFrame, held_out: Column, *, states: int = 8, symbols:
                 some = np.flatnonzero(grid.any(1))
                 yield pa.record_batch([pa.array(some.astype(np.int32)), *(pa.array(grid[some, j]) for j in range(k))], names=["row", *(f"s{j}" for j in range(k))])
 
-        some = encoded.where(~F.col("held_out") & (F.col("dealt") < int(part * (1 << 20)))).select("symbols")
-        got = some.mapInArrow(tx.lean(gather), "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
+        got = shares[part].select("symbols").mapInArrow(tx.lean(gather), "row int, " + ", ".join(f"s{j} double" for j in range(states))).groupBy("row").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(states))).toArrow()
         now.unpersist()
         grid = np.zeros((m + 3 + states, states))
         grid[got["row"].to_numpy()] = np.column_stack([got[f"s{j}"].to_numpy() for j in range(states)]) if got.num_rows else 0

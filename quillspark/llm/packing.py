@@ -77,7 +77,7 @@ class Encoder:
     """Token ids of whole texts. Words between ASCII white space are encoded alone, as the tokenizer's own rules never
     join them, and kept in a bounded cache."""
 
-    def __init__(self, path: str, words: int = 600_000):
+    def __init__(self, path: str, words: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
         from tokenizers import Tokenizer
 
@@ -156,7 +156,7 @@ def encoder_of(path: str, words: int, reuse: bool) -> Encoder:
     return _KEPT[path]
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997, cache_words: int = 600_000, reuse: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end: int = 1, open_bins: int = 256, full: float = 0.997, cache_words: int = 1_500_000, reuse: bool = True) -> DataFrame:
     """Packs the token ids of every whole text, then ``end``, into sequences of at most ``capacity`` ids.
 
     docs needs doc_id and text; other columns are ignored. tokenizer: the path of a tokenizers file that every

@@ -203,6 +203,12 @@ def urls(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, r"[.,;:)\]]+$", "")))
 
 
+def valid_url(url: Column) -> Column:
+    """Whether an address is http or https, has a host and, if any, a port up to 65535."""
+    port = F.regexp_extract(url, r"^https?://[^/?#]*?:([0-9]+)(?:[/?#]|$)", 1)
+    return F.coalesce(url.rlike(r"^https?://[^/?#:]+(:[0-9]*)?([/?#]|$)") & ((port == "") | (port.cast("decimal(20,0)") <= 65535)), F.lit(False))
+
+
 def term_score(text: Column, fields: list[tuple[Column, float]], term: str) -> Column:
     """A word's occurrences in arrays of words, each field with its weight."""
     score = F.lit(0.0)

@@ -221,7 +221,11 @@ def quotas(spark: SparkSession, d: str) -> DataFrame:
     return relational.quotas(sizes, 100)
 
 
-@register("q_html_text")
+#: Entities that the pages have; a text that held others would differ.
+_ENTITIES = "replace(replace(replace(replace(replace(replace(replace(replace({}, '&copy;', chr(169)), '&middot;', chr(183)), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+
+
+@register("q_html_text", r"SELECT page_id, regexp_replace(regexp_replace(regexp_replace(" + _ENTITIES.format(r"regexp_replace(regexp_replace(html, '(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|tbody|thead|section|article)[^>]*>', E'\n\n', 'g'), '<[^>]+>', '', 'g')") + r", '[ \t\x{00a0}]+', ' ', 'g'), E'\n{3,}', E'\n\n', 'g'), '^\s+|\s+$', '', 'g') AS text FROM pages")
 def html_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", t.html_to_text(F.col("html")).alias("text"))
 

@@ -11,8 +11,8 @@ from quillspark.operators import embed, relational, resolve, search, spatial
 from quillspark.plans import catalog
 from quillspark.plans.catalog import _TOKENS
 from quillspark.plans.registry import register
-from quillspark.sources.fetch import fetch
-from quillspark.sources.tables import table
+from quillspark.sources.fetch import fetch, scan
+from quillspark.sources.tables import table, unread
 
 
 def _answer(ids: list, timeout: float) -> list[dict]:
@@ -27,6 +27,41 @@ def fetched(spark: SparkSession, d: str) -> DataFrame:
     return fetch(table(spark, d, "documents"), "doc_id", "name string", _answer, batch=16)
 
 
+def _page(after: int, where: str) -> tuple[list[int], bool]:
+    """A service that gives at most 30 ids a page, of those that its predicate lets through."""
+    every = [i for i in range(200) if i % 3 == 0] if where == "complete" else list(range(200))
+    left = [i for i in every if i > after]
+    return left[:30], len(left) > 30
+
+
+@register("q_scanned", "SELECT range AS id FROM range(200) WHERE range % 3 = 0")
+def scanned(spark: SparkSession, d: str) -> DataFrame:
+    return scan(spark, lambda after: _page(after, "complete"), "id")
+
+
+@register("q_resumed", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resumed(spark: SparkSession, d: str) -> DataFrame:
+    return unread(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
+
+
+@register("q_kinds", "SELECT DISTINCT event_type AS kind FROM events")
+def kinds(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(F.col("event_type").alias("kind")).distinct().orderBy("kind")
+
+
+@register("q_valid_urls", "SELECT page_id, page_id % 5 NOT IN (1, 2, 3) AS good FROM pages")
+def valid_urls(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("page_id") % 5
+    url = F.when(n == 1, "ftp://a.b/c").when(n == 2, "https:///c").when(n == 3, "http://a.b:99999/").when(n == 4, "http://a.b:80/x?y").otherwise("https://a.b")
+    return table(spark, d, "pages").select("page_id", t.valid_url(url).alias("good"))
+
+
+@register("q_encodable", "SELECT * FROM (VALUES (0, 'alpha beta gamma'), (1, 'one'), (2, '')) v(id, text)")
+def encodable(spark: SparkSession, d: str) -> DataFrame:
+    asked = ['Alpha "beta gamma" -delta', "one OR -two", "-x OR"]
+    return spark.createDataFrame([(i, search.parse(q).without_operators()) for i, q in enumerate(asked)], "id int, text string")
+
+
 @register("q_components", r"SELECT doc_id, 'title' AS component, source AS text FROM documents UNION ALL SELECT doc_id, 'methods', '**' || lang || '** x' FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'claims', E'one\n\ntwo' FROM documents UNION ALL SELECT doc_id, 'inference_claims', 'two' FROM documents")
 def components(spark: SparkSession, d: str) -> DataFrame:
     said = lambda name, value: F.struct(F.lit(name).alias("question_name"), value.alias("value"))

@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+Page = Callable[[int], tuple[list[int], bool]]
 Answer = Callable[[list[Any], float], list[dict[str, Any]]]
 
 
@@ -43,3 +44,15 @@ def fetch(ids: DataFrame, key: str, columns: str, answer: Answer, *, batch: int
                 yield pd.DataFrame({key: part} | {n: pd.Series([said.get(i, {}).get(n) for i in part], dtype=object) for n in names} | {"error": pd.Series([wrong.get(i) for i in part], dtype=object)})
 
     return ids.select(key).where(F.col(key).isNotNull()).distinct().mapInPandas(run, f"{key} {kind}, {columns}, error string")
+
+
+def scan(spark: SparkSession, page: Page, key: str, start: int = -1) -> DataFrame:
+    """All ids of a service that gives them in pages: ``page`` takes the last id seen and gives the next ones, in order, and whether
+    there are more. What the service itself filters never travels. Pages follow each other, so the driver asks, and keeps ids only."""
+    ids, more = [], True
+    while more:
+        found, more = page(ids[-1] if ids else start)
+        if not found:
+            break
+        ids += found
+    return spark.createDataFrame([(i,) for i in ids], f"{key} long")

@@ -193,6 +193,8 @@ def _blocked(found: DataFrame, query: Query, name: dict) -> DataFrame:
 def seeds(index: Index, query: Query) -> DataFrame:
     """(id, score): how many of the query's words, repeats included, each document has."""
     words = query.words()
+    if not words:
+        return index.ids.sparkSession.createDataFrame([], "id long, score long")
     times = F.create_map(*(x for w in sorted(set(words)) for x in (F.lit(w), F.lit(words.count(w)))))
     return _hits(index, words).groupBy("id").agg(F.collect_set("word").alias("words")).select("id", F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + times[w]).alias("score"))
 

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as t
-from quillspark.operators import embed, relational, resolve, search, spatial
+from quillspark.operators import embed, graph, relational, resolve, search, spatial, vector_ops
 from quillspark.plans import catalog
-from quillspark.plans.catalog import _TOKENS
+from quillspark.plans.catalog import _PAIRS, _TOKENS
 from quillspark.plans.registry import register
 from quillspark.sources.fetch import fetch, scan
 from quillspark.sources.tables import table, unread
@@ -142,3 +142,25 @@ def typo_recall(spark: SparkSession, d: str) -> DataFrame:
 @register("q_lod_stride", "SELECT vec_id FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings) WHERE r % ceil(n / 120)::bigint = 0")
 def lod_stride(spark: SparkSession, d: str) -> DataFrame:
     return spatial.lod_cap(table(spark, d, "embeddings").select("vec_id"), None, "vec_id", 120).select("vec_id")
+
+
+#: The graph of each row and its nearest neighbour, and its components.
+_PARTS = f"""WITH RECURSIVE {_PAIRS}, k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) <= 1), e AS (SELECT id AS u, neighbour AS v FROM k UNION SELECT neighbour, id FROM k),
+r AS (SELECT vec_id AS id, vec_id AS low FROM embeddings UNION SELECT e.v, r.low FROM r JOIN e ON e.u = r.id WHERE r.low < e.v), c AS (SELECT id, min(low) AS component FROM r GROUP BY id)"""
+
+
+def _nearest(spark: SparkSession, d: str) -> DataFrame:
+    near = vector_ops.neighbours(table(spark, d, "embeddings"), "vec_id", "embedding", 1)
+    return vector_ops.undirected(near.select(F.col("id").alias("u"), F.col("neighbour").alias("v"), (1 - F.col("distance")).alias("w")))
+
+
+@register("q_components_of_graph", _PARTS + " SELECT id, component FROM c")
+def components_of_graph(spark: SparkSession, d: str) -> DataFrame:
+    return graph.components(_nearest(spark, d), table(spark, d, "embeddings").select(F.col("vec_id").alias("id")))
+
+
+@register("q_bridges", _PARTS + ", o AS (SELECT component, row_number() OVER (ORDER BY component) AS place FROM (SELECT DISTINCT component FROM c)), m AS (SELECT id, place FROM c JOIN o USING (component)), p AS (SELECT a.place, a.id AS u, b.id AS v, round(greatest(0, list_cosine_similarity(x.embedding::double[], y.embedding::double[])), 9) AS w FROM m a JOIN m b ON b.place = a.place + 1 JOIN embeddings x ON x.vec_id = a.id JOIN embeddings y ON y.vec_id = b.id) SELECT u, v, round(greatest(w, 0.000001), 6) AS w FROM p QUALIFY row_number() OVER (PARTITION BY place ORDER BY w DESC, u, v) = 1")
+def bridges(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    labels = graph.components(_nearest(spark, d), rows.select(F.col("vec_id").alias("id")))
+    return graph.bridges(labels, rows, "vec_id", "embedding", block=64).withColumn("w", F.round("w", 6))

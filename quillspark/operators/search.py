@@ -126,7 +126,9 @@ def word_hits(index: Index, words: list[str]) -> DataFrame:
     spark = index.ids.sparkSession
     wanted = spark.createDataFrame([(w, threshold(w), "".join(sorted(w))) for w in sorted(set(words))], "word string, most int, sorted string")
     apart = F.abs(F.length("token") - F.length("word"))
-    near = index.vocabulary.join(F.broadcast(wanted), (apart <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
+    # the lengths that can match; a filter on this side also lets Spark skip folders of the postings
+    low, high = min(len(w) - threshold(w) for w in words), max(len(w) + threshold(w) for w in words)
+    near = index.vocabulary.where(F.length("token").between(low, high)).join(F.broadcast(wanted), (apart <= F.col("most")) & ((F.col("token") == F.col("word")) | ((F.col("most") > 0) & (F.levenshtein("token", "word") <= 2 * F.col("most")))))
     swapped = F.levenshtein("letters", "sorted") <= 2 * (F.col("most") - 1)
     good = F.when(F.levenshtein("token", "word") <= F.col("most"), F.lit(True)).when(swapped, F.expr(_OSA) <= F.col("most")).otherwise(F.lit(False))
     return near.where(good).select("folder", "token", "word", (F.col("word") == F.col("token")).cast("int").alias("exact"))

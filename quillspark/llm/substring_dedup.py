@@ -29,7 +29,7 @@ from quillspark.llm.store import Scratch, free_name, if_small
 
 LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partner_pos int"
 #: Seeds that a task holds before it links and sends them on.
-HELD = 2_000_000
+HELD = 1_000_000
 #: Words beyond a chain's ends that alignment looks at.
 MARGIN = 16
 #: Spans of a document in one list, and chains that one copy of a partner's span serves.
@@ -378,18 +378,25 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made(out)
 
 
-def common(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, by bits (Hyyro, 2004)."""
-    where: dict[int, int] = {}
-    for i, x in enumerate(a):
-        where[x] = where.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for x in b:
-        hit = row & where.get(x, 0)
-        if hit:
-            row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+def common(a: list[int], b: list[int], wide: int = 4096) -> int:
+    """Length of the longest common subsequence, by bits (Hyyro, 2004); ``wide`` words of a at a time, whose carries go on to the
+    next ones, so that memory stays small for long spans."""
+    carries, total = bytearray(len(b)), 0
+    for at in range(0, len(a), wide):
+        part = a[at : at + wide]
+        where: dict[int, int] = {}
+        for i, x in enumerate(part):
+            where[x] = where.get(x, 0) | 1 << i
+        full = (1 << len(part)) - 1
+        row = full
+        for j, x in enumerate(b):
+            hit = row & where.get(x, 0)
+            if hit or carries[j]:
+                added = row + hit + carries[j]
+                carries[j] = added >> len(part)
+                row = (added | (row - hit)) & full
+        total += len(part) - row.bit_count()
+    return total
 
 
 def _runs(a: np.ndarray, b: np.ndarray, parts: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:

@@ -125,6 +125,14 @@ def test_sharding_is_even_and_whole(docs):
 def test_chain_and_subsequence():
     assert chain([(0, 10, 0, 10), (12, 20, 13, 21), (5, 9, 90, 94)])[0][:4] == (0, 20, 0, 21)
     assert common([1, 2, 3, 4], [2, 9, 4]) == 2
+    rng = random.Random(1)
+    for _ in range(60):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(40))] for _ in "ab")
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert common(a, b) == common(a, b, wide=7) == table[-1][-1]
 
 
 def test_substring_and_leaks(docs, spark):

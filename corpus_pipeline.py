@@ -74,7 +74,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens; a null or empty text is one token, and every row is packed, repeated ones too. Workers keep no cache that later stages would have to make room for."""
-    return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), cache_words=300_000, reuse=False)
+    return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), cache_words=100_000, reuse=False)
 
 
 STAGES = [

@@ -32,6 +32,8 @@ BANDS, ROWS = 32, 4
 _rng = np.random.Generator(np.random.PCG64(5))
 _A = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
+#: Buckets whose pivots are broadcast; executors keep such tables for a while after the join.
+FEW = 100_000
 #: Members of an unresolved bucket that one task compares with as many others.
 BLOCK = 512
 
@@ -220,7 +222,7 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     banded = classes.select("node", "mark").mapInArrow(tx.lean(_bands), "bucket long, node long")
     # stored apart, so that the join has two plain sides and a bucket of very many classes can be split
     pivots = store.save(banded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"))
-    buckets = store.save(banded.join(if_small(pivots), "bucket"))
+    buckets = store.save(banded.join(if_small(pivots, FEW), "bucket"))
 
     agree = refusal(percent)
     candidates = store.save(buckets.select("node").distinct().join(classes.select("node", "text_of"), "node"))
@@ -251,7 +253,7 @@ def link_documents(docs: DataFrame, *, words: int = 5, percent: int = 80) -> Dat
     member = buckets.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     parts = member.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
     spread = parts.agg(F.max_by("component", F.struct("n", "component")).alias("large"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0 and size > 2").select("bucket", "large")
-    spread = if_small(store.save(spread))
+    spread = if_small(store.save(spread), FEW)
     # the bucket's members outside its largest component are compared with those of its members whose sizes are near, block by block:
     # sizes fall into bands, and a set can be linked only to sets of its band and the two beside it
     band = F.floor(F.log(F.col("n")) / (F.log(F.lit(100 / percent)) * 1.000001)).cast("int")

@@ -27,20 +27,22 @@ def phrase_words(text: Column) -> Column:
 
 def phrases(text: Column, most: int = 3) -> Column:
     """All phrases of one to ``most`` words after stop words are gone."""
-    words = phrase_words(text)
-    return F.flatten(F.array(*(ngrams(words, n) for n in range(1, most + 1))))
+    each = lambda words: F.flatten(F.array(*(ngrams(words, n) for n in range(1, most + 1))))
+    return F.get(F.transform(F.array(phrase_words(text)), each), F.lit(0))
 
 
 def phrase_counts(docs: DataFrame, cluster: str, key: str, text: str) -> DataFrame:
-    """(cluster, term, n): how many documents of a cluster have a phrase."""
-    each = docs.select(cluster, key, F.explode(F.array_distinct(phrases(F.col(text)))).alias("term"))
+    """(cluster, term, n): how many documents of a cluster have a phrase. Texts are dealt out first, as a file of few row groups
+    is read by as few tasks."""
+    dealt = docs.select(cluster, key, text).repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, key)
+    each = dealt.select(cluster, key, F.explode(F.array_distinct(phrases(F.col(text)))).alias("term"))
     return each.groupBy(F.col(cluster).alias("cluster"), "term").agg(F.count("*").alias("n"))
 
 
 def topics(docs: DataFrame, cluster: str, key: str, text: str, most: int = 10) -> DataFrame:
     """(cluster, place, term, score): each cluster's best phrases by class-based TF-IDF, ties by the phrase."""
-    scored = ctfidf(phrase_counts(docs, cluster, key, text)).withColumn("score", F.round("score", 9))
-    order = Window.partitionBy("cluster").orderBy(F.desc("score"), "term")
+    scored = ctfidf(phrase_counts(docs, cluster, key, text))
+    order = Window.partitionBy("cluster").orderBy(F.desc(F.round("score", 9)), "term")
     return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select("cluster", "place", "term", "score")
 
 

@@ -228,6 +228,12 @@ def test_answers_and_cache(spark):
     assert [tuple(r) for r in shown.collect()] == [(2, -2, 2)]
 
 
+def test_phrases_read_a_text_once(spark):
+    assert str(keywords.phrases(F.col("text"))).count("regexp_extract_all") == 1
+    got = spark.createDataFrame([("the red fox or dog",), (None,)], "text string").select(keywords.phrases(F.col("text"))).collect()
+    assert [r[0] for r in got] == [["red", "fox", "dog", "red fox", "fox dog", "red fox dog"], []]
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()

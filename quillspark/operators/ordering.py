@@ -52,9 +52,9 @@ def by_size(rows: DataFrame, label: str, name: str = "renamed") -> DataFrame:
 
 
 def letter(text: Column) -> Column:
-    """The index letter: A-Z of the first character but white space without its accent, else Other."""
-    first = F.upper(F.substring(fold(F.ltrim(text)), 1, 1))
-    return F.when(first.between("A", "Z"), first).otherwise("Other")
+    """The index letter: A-Z of the first character but spaces without its accent, else Other."""
+    first = F.upper(F.substring(fold(F.regexp_replace(text, r"^\p{Zs}+", "")), 1, 1))
+    return F.when(first.rlike("^[A-Z]$"), first).otherwise("Other")  # some signs have two capitals, as the sharp s
 
 
 def invariants(rows: DataFrame, key: str, parent: DataFrame, parent_key: str, reference: str) -> DataFrame:

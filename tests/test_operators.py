@@ -254,6 +254,12 @@ def test_first_of_equal_lines(spark, tmp_path):
     _same_as_sql(spark, tmp_path, "q_inverted_index", "lineitem", "l_partkey long, l_orderkey long, l_linenumber int, l_returnflag string", lines)
 
 
+def test_letters_of_odd_signs(spark, tmp_path):
+    signs = ["\u00df", "\u00a0a", "\u3000\u2003\u00e9", "\u0483a", "\u0903b", "\u017fx", "\u0131", "\ufb01", "\u212b", "\ta", "", " ", None]
+    _same_as_sql(spark, tmp_path, "q_letters", "documents", "doc_id long, text string", list(enumerate(signs)))
+    assert t.fold_text("a\u0483b\u0b94") == spark.range(1).select(t.fold(F.lit("a\u0483b\u0b94"))).first()[0] == "ab\u0b92"
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()

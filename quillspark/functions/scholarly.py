@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
+from quillspark.functions.text import year as any_year
+
 #: How DOIs, PubMed ids and years are written.
 DOI = r"(?i)\b10\.[0-9]{4,9}/[^\s\"<>]+"
 PMID = r"(?i)\bPMID:?\s*([0-9]{4,9})\b"
@@ -33,6 +35,13 @@ def guessed_title(text: Column) -> Column:
     return F.when(F.size(F.split(_spaces(second), " ")) >= 3, second).otherwise(F.coalesce(F.get(parts, F.lit(0)), _spaces(text)))
 
 
+def year(text: Column) -> Column:
+    """The first year beside the title, DOIs and PubMed ids, else the first one anywhere, or null."""
+    bare, title = F.regexp_replace(F.regexp_replace(text, DOI, ""), PMID, ""), guessed_title(text)
+    beside = F.when(title != "", F.replace(bare, title, F.lit(" "))).otherwise(bare)
+    return F.coalesce(any_year(beside), any_year(text))
+
+
 def entries(text: Column) -> Column:
     """The entries of a reference list in Markdown: a numbered or dashed line begins one, other lines go on with it."""
     lines = F.filter(F.transform(F.split(text, r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")

@@ -185,7 +185,7 @@ def _reference() -> F.Column:
 @register("q_references", "SELECT doc_id, '10.1234/ab.' || doc_id AS doi, (10000 + doc_id)::varchar AS pmid, (1990 + n_chars % 30)::int AS year, 'A title of record ' || doc_id AS title FROM documents")
 def references(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").withColumn("r", _reference())
-    return rows.select("doc_id", F.array_join(t.dois(F.col("r")), ",").alias("doi"), scholarly.pmid(F.col("r")).alias("pmid"), t.year(F.col("r")).alias("year"), scholarly.guessed_title(F.col("r")).alias("title"))
+    return rows.select("doc_id", F.array_join(t.dois(F.col("r")), ",").alias("doi"), scholarly.pmid(F.col("r")).alias("pmid"), scholarly.year(F.col("r")).alias("year"), scholarly.guessed_title(F.col("r")).alias("title"))
 
 
 @register("q_reference_entries", "SELECT doc_id, 'First ' || lang || ' and on|Second ' || source AS entries FROM documents")

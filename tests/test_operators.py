@@ -260,6 +260,12 @@ def test_letters_of_odd_signs(spark, tmp_path):
     assert t.fold_text("a\u0483b\u0b94") == spark.range(1).select(t.fold(F.lit("a\u0483b\u0b94"))).first()[0] == "ab\u0b92"
 
 
+def test_year_beside_the_title(spark, tmp_path):
+    one = lambda x: spark.range(1).select(scholarly.year(F.lit(x))).first()[0]
+    assert one("Doe J. The world in 1950. Press 2001. doi: 10.1234/x.1999") == 2001 and one("Maps of 1950") == 1950 and one("None") is None
+    _same_as_sql(spark, tmp_path, "q_references", "documents", "doc_id long, n_chars long", [(1900, 29), (2019, 1), (7, 5), (123456, 30)])
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()

@@ -76,7 +76,16 @@ def stored(rows: DataFrame, name: str, by: list[str] | None = None) -> DataFrame
     writer = rows.write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     _STORED.append((spark, path))
-    return spark.read.schema(rows.schema).parquet(path)
+    out = spark.read.schema(rows.schema).parquet(path)
+    out._quillspark_path = path
+    return out
+
+
+def discard(rows: DataFrame) -> None:
+    """Deletes a table that ``stored`` wrote and nothing reads any more."""
+    spark = rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(rows._quillspark_path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @atexit.register

@@ -155,6 +155,27 @@ def test_neighbours_in_many_blocks(spark):
     assert few == many and len(few) == 60
 
 
+def test_neighbours_do_not_multiply_rows(spark):
+    """Each pass meets one block and carries the best along; copies, all measures, few rows to choose from and repeated blocks."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(-2, 3, size=(40, 3)).astype(float)
+    x[20:30] = x[3]
+    x[(x == 0).all(1)] = 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    for measure, farthest, against in (("inner", False, None), ("euclidean", True, None), ("squared", False, "id < 4"), ("cosine", True, "id % 2 = 0")):
+        near = vector_ops.neighbours(rows, "id", "v", 6, block=7, farthest=farthest, measure=measure, against=against and rows.where(against))
+        assert "Generate" not in near._jdf.queryExecution().toString() and "CoGroup" not in near._jdf.queryExecution().toString()
+        got = {(r["id"], r["rank"]): (r["neighbour"], r["distance"]) for r in near.collect()}
+        y = vector_ops.unit_rows(x) if measure == "cosine" else x
+        gap = np.round(vector_ops.gaps(y, y, measure), 9)
+        others = [j for j in range(40) if against is None or (j < 4 if against == "id < 4" else j % 2 == 0)]
+        want = {}
+        for i in range(40):
+            order = sorted((-gap[i, j] if farthest else gap[i, j], j) for j in others if against or j != i)[:6]
+            want |= {(i, n + 1): (j, gap[i, j]) for n, (_, j) in enumerate(order)}
+        assert got == want, measure
+
+
 def test_silhouette_in_many_blocks(spark):
     rng = np.random.default_rng(7)
     rows = spark.createDataFrame([(i, rng.normal(size=3).tolist(), int(i % 4)) for i in range(50)] + [(60, [9.0, 9.0, 9.0], 9)], "id long, v array<double>, c int")

@@ -6,11 +6,20 @@ broadcast, the corpus never is.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.vectors import dot
+from quillspark.operators.vector_ops import COLUMNS, TILE, Best, raw_matrix
+from quillspark.sources.tables import stored
 
+#: Places of best rows, and numbers of query vectors, that a task keeps at a time; more queries are searched in parts.
+KEPT = 4_000_000
 #: Characters that a query must have before anything is encoded.
 LEAST = 3
 
@@ -30,10 +39,68 @@ def _top(scored: DataFrame, by: list[str], k: int, name: str) -> DataFrame:
     return scored.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(F.round("cosine", 9)), "id"))).where(F.col(name) <= k)
 
 
+def _vectors(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and which of them are null; those are zero."""
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), width))
+    if not null.all():
+        out[~null] = raw_matrix(column.drop_null())
+    return out, null
+
+
+def _scan(asked: DataFrame, corpus: DataFrame, largest: float, k: int) -> DataFrame:
+    """(query_id, cluster, visit, id, cosine): for each query and each cluster that it visits (query_id, cluster, visit, vector) the k best
+    rows that a task has of a corpus (id, cluster, q). The queries are broadcast, the corpus streams past them in tiles."""
+    spark = corpus.sparkSession
+    n, width = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
+    parts = max(1, -(-n * max(k, width or 0) // KEPT))
+    scale = largest / 127.0 if largest is not None else 0.0
+
+    def part(i: int) -> DataFrame:
+        table = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).select("query_id", "cluster", "visit", "vector").orderBy("cluster").toArrow()
+        names, clusters, visits = (table[c].to_numpy() for c in ("query_id", "cluster", "visit"))
+        x, unknown = _vectors(table["vector"].combine_chunks(), width or 0)
+        at = {c: slice(*np.searchsorted(clusters, [c, c + 1])) for c in np.unique(clusters).tolist()}
+        shared = spark.sparkContext.broadcast((names, clusters, visits, x, unknown, at))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, clusters, visits, x, unknown, at = shared.value
+            top = {}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                y, null = _vectors(batch.column("q"), x.shape[1])
+                ids, of = batch.column("id").to_numpy(), batch.column("cluster").to_numpy()
+                for c in np.unique(of).tolist():
+                    if c not in at:
+                        continue
+                    mine, seen = np.nonzero(of == c)[0], x[at[c]]
+                    best = top.setdefault(c, Best(len(seen), k))
+                    for i in range(0, len(seen), TILE):
+                        for j in range(0, len(mine), COLUMNS):
+                            some = mine[j : j + COLUMNS]
+                            score = np.clip(seen[i : i + TILE] @ y[some].T * scale, -1, 1)
+                            score[:, null[some]] = 1  # as SQL has it, where the least of 1 and null is 1
+                            score[unknown[at[c]][i : i + TILE]] = 1
+                            best.add(i, -score, ids[some])
+            for c, best in top.items():
+                r, found, score = best.found()
+                r = r + at[c].start
+                yield pa.record_batch([pa.array(names[r]), pa.array(clusters[r]), pa.array(visits[r]), pa.array(found), pa.array(-score)], names=["query_id", "cluster", "visit", "id", "cosine"])
+
+        return corpus.select(F.col("id").cast("long").alias("id"), F.col("cluster").cast("long").alias("cluster"), "q").mapInArrow(run, "query_id long, cluster long, visit long, id long, cosine double")
+
+    return reduce(DataFrame.union, map(part, range(parts)))
+
+
+def _asked(queries: DataFrame, cluster: Column, visit: Column) -> DataFrame:
+    return queries.select(F.col("query_id").cast("long").alias("query_id"), cluster.cast("long").alias("cluster"), visit.cast("long").alias("visit"), "vector").where("cluster is not null")
+
+
 def search_all(queries: DataFrame, corpus: DataFrame, largest: float, k: int = 50) -> DataFrame:
     """(query_id, rank, id, cosine): each query's k best rows of the whole corpus (id, q), ties to the smaller id."""
-    scored = corpus.crossJoin(F.broadcast(queries)).select("query_id", "id", score(F.col("vector"), F.col("q"), largest).alias("cosine"))
-    return _top(scored, ["query_id"], k, "rank")
+    found = _scan(_asked(queries, F.lit(0), F.lit(0)), corpus.select("id", F.lit(0).alias("cluster"), "q"), largest, k)
+    return _top(found.select("query_id", "id", "cosine"), ["query_id"], k, "rank")
 
 
 def facade(query: str, encode, corpus: DataFrame, largest: float, k: int = 50) -> DataFrame:  # noqa: ANN001

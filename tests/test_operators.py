@@ -176,6 +176,26 @@ def test_neighbours_do_not_multiply_rows(spark):
         assert got == want, measure
 
 
+def test_semantic_scores_in_matrices(spark, monkeypatch):
+    """Queries in several parts, ties, null vectors, and routes, against brute force; no row is paired with all queries in a plan."""
+    monkeypatch.setattr(semantic, "KEPT", 40)
+    rng = np.random.default_rng(9)
+    q, v = rng.integers(-9, 10, size=(50, 4)), rng.normal(size=(12, 4))
+    q[30:40] = q[2]
+    rows = spark.createDataFrame([(i, i % 3, x.tolist()) for i, x in enumerate(q)] + [(90, 1, None), (91, None, [0, 0, 0, 0])], "id long, cluster int, q array<tinyint>")
+    asked = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "query_id long, vector array<double>")
+    found = semantic.search_all(asked, rows, 20.0, 7)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString() and "Cartesian" not in found._jdf.queryExecution().toString()
+    every = {i: {**{j: np.clip(v[i] @ q[j] * 20 / 127, -1, 1) for j in range(50)}, 90: 1.0, 91: 0.0} for i in range(12)}
+    want = {(i, n + 1): j for i in range(12) for n, (_, j) in enumerate(sorted((-round(s, 9), j) for j, s in every[i].items())[:7])}
+    assert {(r["query_id"], r["rank"]): r["id"] for r in found.collect()} == want
+    centres = spark.createDataFrame([(c, q[c::3].mean(0).tolist()) for c in range(3)] + [(None, [9.0] * 4)], "cluster int, centroid array<double>")
+    none = spark.createDataFrame([], "id long, neighbour long, distance double, rank int")
+    got = semantic.routed(asked, rows, centres, none, 20.0, k=5, seeds=5, horizon=3.0)
+    want = {(i, n + 1): j for i in range(12) for n, (_, j) in enumerate(sorted((-round(s, 9), j) for j, s in every[i].items() if j != 91)[:5])}
+    assert {(r["query_id"], r["rank"]): r["id"] for r in got.collect()} == want
+
+
 def test_silhouette_in_many_blocks(spark):
     rng = np.random.default_rng(7)
     rows = spark.createDataFrame([(i, rng.normal(size=3).tolist(), int(i % 4)) for i in range(50)] + [(60, [9.0, 9.0, 9.0], 9)], "id long, v array<double>, c int")

@@ -131,16 +131,17 @@ def routed(queries: DataFrame, corpus: DataFrame, centroids: DataFrame, edges: D
     seeds = seeds or max(20, -(-k // 4))
     order = route(queries, centroids)
     reach = order if budget is None else order.where(F.col("visit") <= budget)
-    # the joins on cluster read the visited clusters only, if the corpus lies in folders by cluster
-    scored = corpus.join(F.broadcast(reach.join(queries, "query_id")), "cluster").select("query_id", "cluster", "visit", "id", score(F.col("vector"), F.col("q"), largest).alias("cosine"))
-    hits = _top(scored, ["query_id", "cluster"], seeds, "place")
+    # the join on cluster reads the visited clusters only, if the corpus lies in folders by cluster
+    near = corpus.join(F.broadcast(reach.select("cluster").distinct()), "cluster", "left_semi")
+    found = _scan(_asked(reach.join(queries, "query_id"), F.col("cluster"), F.col("visit")), near, largest, seeds)
+    hits = stored(_top(found, ["query_id", "cluster"], seeds, "place"), "hits")
     best = hits.groupBy("query_id", "visit").agg(F.max("cosine").alias("best"))
     stop = best.groupBy("query_id").agg(F.min(F.when(1 - F.col("best") > horizon, F.col("visit"))).alias("stop"), F.max("visit").alias("last"))
     swept = hits.join(F.broadcast(stop), "query_id").where(F.col("visit") <= F.coalesce("stop", "last"))
     named = swept.select("query_id", "visit", "place", F.col("id").alias("seed")).join(edges.select(F.col("id").alias("seed"), "neighbour", "distance", F.col("rank").alias("nth")), "seed")
     turn = F.struct("visit", "place", "nth")
     reached = named.groupBy("query_id", F.col("neighbour").alias("id")).agg(F.min(turn).alias("turn"), F.min_by("distance", turn).alias("distance"))
-    reached = reached.join(swept.select("query_id", "id"), ["query_id", "id"], "left_anti").join(corpus.select("id", "cluster", "q"), "id")
+    reached = stored(reached.join(swept.select("query_id", "id"), ["query_id", "id"], "left_anti").join(corpus.select("id", "cluster", "q"), "id"), "reached")
     visited = swept.select("query_id", "cluster").distinct()
     fresh = reached.join(visited, ["query_id", "cluster"], "left_anti").groupBy("query_id", "cluster").agg(F.min("turn").alias("turn"))
     nth = fresh.withColumn("nth", F.row_number().over(Window.partitionBy("query_id").orderBy("turn", "cluster")))

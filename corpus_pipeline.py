@@ -1,7 +1,8 @@
 """From raw documents to training sequences: toxicity, near-duplicates, repeated passages, benchmark leaks, packing.
 
 Each stage works on all that its predecessor kept. The first four return the columns of documents, whatever their names,
-and the rows that they leave alone as they are. Empty tables give empty tables.
+and the rows that they leave alone as they are. Empty tables give empty tables. A stage begins with a collection of the
+executors' garbage.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from quillspark.llm.lsa_decontam import contaminated
 from quillspark.llm.near_dedup import link_documents
 from quillspark.llm.packing import pack
-from quillspark.llm.store import Scratch, free_name, if_small, passing
+from quillspark.llm.store import Scratch, free_name, if_small, passing, release
 from quillspark.llm.substring_dedup import repeated_passages, without_passages
 from quillspark.llm.toxicity import score_toxicity
 
@@ -37,6 +38,7 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go, every row that repeats one of them too. Null and empty texts stay. Without
     labels the lexicon decides, so documents without an insult stay."""
+    release(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return _without(docs, score_toxicity(docs, labels, held_out).where("predicted = 1"))
@@ -46,7 +48,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group at a similarity of 0.8 over five-word shingles the row with the least doc_id stays, null after all others;
     of rows with the same doc_id that with the least hash of its text, and of rows that repeat both any one. Rows without
     a word are in no group and stay, all of them."""
+    release(spark)
     linked = Scratch(spark, "linked").save(link_documents(docs, words=5, percent=80))
+    release(spark)
     grouped = linked.where(F.col("group").isNotNull())
     first = grouped.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid")).alias("first"))
     stay = first.select(F.col("first.uid").alias("uid")).union(linked.where(F.col("group").isNull()).select("uid").distinct())
@@ -63,17 +67,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document has are cut, n_chars follows; a document with nothing left goes.
     Rows with a null doc_id or text are left alone; rows that repeat doc_id and text are one document and are cut alike."""
+    release(spark)
     return without_passages(docs, repeated_passages(docs))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item or a paraphrase of one go, null doc_ids and repeated rows alike. Null and empty texts
     stay, and null items ask for nothing."""
+    release(spark)
     return _without(docs, contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens; a null or empty text is one token, and every row is packed, repeated ones too. Workers keep no cache that later stages would have to make room for."""
+    release(spark)
     return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), cache_words=100_000, reuse=False)
 
 

@@ -73,6 +73,16 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH)
 
 
+def release(spark: SparkSession) -> None:
+    """Executors collect their garbage, so that heap which one stage has filled goes back to the system and the next one's Python
+    workers find room. Executors grow their heap up to its bound rather than collect it, and seldom shrink it by themselves. A task
+    for each core reaches all executors that are idle; one that isn't reached is as it was."""
+    from pyspark.sql import functions as F
+
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc"))).collect()
+
+
 class Scratch:
     """The tables that one run of an operator writes."""
 

@@ -28,8 +28,10 @@ from quillspark.llm import text as tx
 from quillspark.llm.store import Scratch, free_name, if_small
 
 LINK = "doc_id long, uid long, pos int, partner_id long, partner_uid long, partner_pos int"
-#: Seeds that a task holds before it links and sends them on.
-HELD = 1_000_000
+#: Seeds that a task holds before it links and sends them on, and parts in which it does so: sorting takes many times the memory of what is sorted.
+HELD, PARTS = 1_000_000, 8
+#: Bytes of text that are scanned at once; hashing takes about fifty times as much.
+SCANNED = 250_000
 #: Words beyond a chain's ends that alignment looks at.
 MARGIN = 16
 #: Spans of a document in one list, and chains that one copy of a partner's span serves.
@@ -109,8 +111,19 @@ def _names(schema: str) -> list[str]:
 
 
 def _scan(k: int, w: int, buckets: int):
-    def flush(held: list) -> Iterator[pa.RecordBatch]:
-        h, doc, uid, pos = _sorted(*(np.concatenate(x) for x in zip(*held)))
+    def flush(held: list[list]) -> Iterator[pa.RecordBatch]:
+        """Empties held. All places of a seed are in one part."""
+        columns = []
+        for x in held:
+            columns.append(np.concatenate(x))
+            x.clear()
+        part = (columns[0] % np.uint64(buckets) % np.uint64(PARTS)).astype(np.uint8)
+        for p in range(PARTS):
+            here = np.flatnonzero(part == p)
+            if len(here):
+                yield from linked(*_sorted(*(x[here] for x in columns)))
+
+    def linked(h: np.ndarray, doc: np.ndarray, uid: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
         at = np.arange(len(h))
         first = np.maximum.accumulate(np.where(_runs_of(h), at, 0))
         number = _number(_runs_of(h, uid))
@@ -136,19 +149,20 @@ def _scan(k: int, w: int, buckets: int):
                 yield rows.slice(at, 50_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = [[], [], [], []], 0
         for batch in batches:
             data, offsets = tx.buffers(batch.column("text"))
             docs, uids = batch.column("doc_id").to_numpy(), batch.column("uid").to_numpy()
-            for i, j in tx.blocks(offsets):
+            for i, j in tx.blocks(offsets, SCANNED):
                 h, at = tx.words(data, offsets[i : j + 1])
                 place, value = seeds(h, at, k, w)
                 row = np.searchsorted(at, place, side="right") - 1
-                held.append((value, docs[i:j][row], uids[i:j][row], (place - at[row]).astype(np.int32)))
+                for x, y in zip(held, (value, docs[i:j][row], uids[i:j][row], (place - at[row]).astype(np.int32))):
+                    x.append(y)
                 size += len(place)
                 if size > HELD:
                     yield from flush(held)
-                    held, size = [], 0
+                    size = 0
         if size:
             yield from flush(held)
 
@@ -581,7 +595,7 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     spans = passages.groupBy(F.col("uid").alias(name)).agg(F.collect_set(F.array("doc_start", "doc_end")).alias(cuts))
     spans = if_small(Scratch(docs.sparkSession, "spans").save(spans))
     named = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    cut = F.pandas_udf(_cut, "string")
+    cut = F.pandas_udf(_cut, "string").asNondeterministic()  # else the filter below gets a call of its own, in workers of its own
     hit = named.join(spans, name).withColumn("text", cut(F.col("text").cast("string"), cuts))
     if "n_chars" in docs.columns:
         hit = hit.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
